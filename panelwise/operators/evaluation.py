@@ -122,7 +122,7 @@ def score_histogram(df: DataFrame, label: str, score: str, group: Sequence[str]
 
 
 def cumulative(hist: DataFrame, group: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
-    """The histogram with cum_p and cum_n, the counts at this or a higher score."""
+    """The histogram with cum_p and cum_n, the counts at this or a higher score, and their totals per group."""
     return running_totals(hist, {"cum_p": "p", "cum_n": "n"}, "score", group=group, descending=True, blocks=blocks)
 
 
@@ -132,7 +132,7 @@ def _ranking_aggregates() -> list[Column]:
     A negative is beaten by the positives above it and half of those level with it. Counts are combined as integers
     and divided once at the end for AUC.
     """
-    p_total, n_total = F.sum("p"), F.sum("n")
+    p_total, n_total = F.max("cum_p_total"), F.max("cum_n_total")
     wins = F.sum((F.col("n") * (2 * F.col("cum_p") - F.col("p"))).cast("decimal(38,0)"))
     steps = F.sum(F.try_divide(F.col("p") * F.col("cum_p").cast("double"), F.col("cum_p") + F.col("cum_n")))
     auc = F.try_divide(wins.cast("double"), 2.0 * p_total.cast("double") * n_total.cast("double"))
@@ -148,28 +148,16 @@ def ranking_metrics(df: DataFrame, label: str, score: str, group: Sequence[str]
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """Rows (score, fpr, tpr), one per distinct score."""
-    hist = score_histogram(df, label, score)
-    totals = hist.agg(F.struct(F.sum("p").alias("p"), F.sum("n").alias("n")).alias("t")).scalar()
-    ranked = cumulative(hist).withColumn("_t", totals)
-    return ranked.select("score", ratio(F.col("cum_n"), F.col("_t.n")).alias("fpr"), ratio(F.col("cum_p"), F.col("_t.p")).alias("tpr"))
+    ranked = cumulative(score_histogram(df, label, score))
+    fpr, tpr = ratio(F.col("cum_n"), F.col("cum_n_total")), ratio(F.col("cum_p"), F.col("cum_p_total"))
+    return ranked.select("score", fpr.alias("fpr"), tpr.alias("tpr"))
 
 
 def pr_points(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """Rows ([group,] score, precision, recall), one per distinct score."""
-    hist = score_histogram(df, label, score, group)
-    totals = hist.groupBy(*[col(g).alias(f"{g}_t") for g in group]).agg(F.sum("p").alias("_p"))
-    ranked = cumulative(hist, group)
-    same = F.lit(True)
-    for g in group:
-        same = same & ranked[f"`{g}`"].eqNullSafe(totals[f"`{g}_t`"])
-    # One total per group: groups are declared, so this side stays small.
-    joined = ranked.join(F.broadcast(totals), same, "inner")
-    return joined.select(
-        *[col(g) for g in group],
-        "score",
-        ratio(F.col("cum_p"), F.col("cum_p") + F.col("cum_n")).alias("precision"),
-        ratio(F.col("cum_p"), F.col("_p")).alias("recall"),
-    )
+    ranked = cumulative(score_histogram(df, label, score, group), group)
+    precision, recall = ratio(F.col("cum_p"), F.col("cum_p") + F.col("cum_n")), ratio(F.col("cum_p"), F.col("cum_p_total"))
+    return ranked.select(*[col(g) for g in group], "score", precision.alias("precision"), recall.alias("recall"))
 
 
 def max_f1(df: DataFrame, label: str, score: str, group: Sequence[str] = (), eps: float = 1e-8) -> DataFrame:

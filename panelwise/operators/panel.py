@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwise.operators.ranking import running_totals
-from panelwise.operators.skew import GROUP_ROWS, attach, bounded_rows, col, frequent_keys, largest_group
+from panelwise.operators.skew import GROUP_ROWS, attach, bounded_rows, col, frequent_keys, keep_members, largest_group
 
 STATS = ("mean", "std", "min", "max")
 ROLLING = ("mean", "std", "min", "max", "count")
@@ -196,7 +196,7 @@ def running_sum(
     if _fits(df, entity, group_rows):
         return windowed(df)
     frequent, rare = _split_frequent(df, entity)
-    totals = running_totals(frequent, {out: column}, tiebreak, group=[entity], leading=[period])
+    totals = running_totals(frequent, {out: column}, tiebreak, group=[entity], leading=[period]).drop(f"{out}_total")
     return totals.unionByName(windowed(rare))
 
 
@@ -215,7 +215,7 @@ def rolling_rows(
     frequent, rare = _split_frequent(df, entity)
     # Number the rows across tasks; then a frame of rows is a frame of numbers, aggregated where it ends.
     one = frequent.withColumn("_one", F.lit(1).cast("bigint"))
-    numbered = running_totals(one, {"_at": "_one"}, tiebreak, group=[entity], leading=[period]).drop("_one")
+    numbered = running_totals(one, {"_at": "_one"}, tiebreak, group=[entity], leading=[period]).drop("_one", "_at_total")
     steps = F.explode(F.array(*[F.lit(i) for i in range(rows)])).alias("_step")
     moved = numbered.select(col(entity), (F.col("_at")).alias("_from"), *[col(c) for c in columns], steps)
     table = (
@@ -271,8 +271,7 @@ def new_rows_with_history(
     Only the history of incoming entities is read into the windows. An entity without history gets mean = current
     value, deviation 0 and change 0 from the same code.
     """
-    ids = incoming.select(col(entity)).distinct()
-    past = history.join(ids, entity, "left_semi").withColumn("_new", F.lit(False))
+    past = keep_members(history, incoming, entity).withColumn("_new", F.lit(False))
     both = past.unionByName(incoming.withColumn("_new", F.lit(True)))
     wide = panel_features(both, entity, period, columns, rolling_columns=columns, windows=windows, lags=lags)
     return zero_fill_features(wide.filter("_new").drop("_new"))

@@ -40,22 +40,18 @@ def running_totals(
     descending: bool = False,
     blocks: int | None = None,
 ) -> DataFrame:
-    """Add, per ``sums`` entry ``{out: column}``, the running total of the column up to and including the row.
+    """Add, per ``sums`` entry ``{out: column}``, the running total of the column up to and including the row, and
+    as ``{out}_total`` its total over the group.
 
     The order is ``leading`` (columns of few values, if any), then the numeric ``order``, which must be non-null and
     distinct within (group, leading). ``group`` must have few distinct values (declared slices, columns, frequent
-    keys): one row of cuts per (group, leading) is broadcast.
+    keys): one row of cuts per (group, leading) goes through the driver and is broadcast. Finding the cuts is a job
+    of its own that reads the order column only.
     """
     n = blocks or block_count(df)
     cells = [*group, *leading]
-    probs = [i / n for i in range(1, n)]
-    cuts = df.groupBy(*[col(c) for c in cells]).agg(F.percentile_approx(col(order), probs, _ACCURACY).alias("_cuts"))
-    small = F.broadcast(cuts.withColumnsRenamed({c: f"{c}_c" for c in cells}))
-    same = F.lit(True)
-    for c in cells:
-        same = same & df[f"`{c}`"].eqNullSafe(small[f"`{c}_c`"])
-    # One row of cuts per cell: with no cell at all this is a one-row table.
-    blocked = df.join(small, same, "inner").select(
+    small = F.broadcast(_cuts(df, order, cells, n))
+    blocked = df.join(small, _same_cell(df, small, cells, "_c"), "inner").select(
         *[col(c) for c in df.columns], _block(col(order), F.col("_cuts"), n).alias("_block")
     )
 
@@ -65,25 +61,47 @@ def running_totals(
     totals = blocked.groupBy(*[col(c) for c in cells], "_block").agg(
         *[F.sum(col(src)).alias(out) for out, src in sums.items()]
     )
-    before = W.partitionBy(*[col(c) for c in group]).orderBy(*[by(c) for c in leading], by("_block"))
-    before = before.rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*[col(c) for c in group])
+    before = whole.orderBy(*[by(c) for c in leading], by("_block")).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
         *[col(c).alias(f"{c}_o") for c in cells],
         F.col("_block").alias("_block_o"),
-        *[F.coalesce(F.sum(col(out)).over(before), F.lit(0)).alias(f"{out}_o") for out in sums],
+        *[F.sum(col(out)).over(before).alias(f"{out}_o") for out in sums],
+        *[F.sum(col(out)).over(whole).alias(f"{out}_total") for out in sums],
     )
     inside = W.partitionBy(*[col(c) for c in cells], "_block").orderBy(by(order))
     inside = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     within = blocked.select("*", *[F.sum(col(src)).over(inside).alias(out) for out, src in sums.items()])
     offsets = F.broadcast(offsets)  # cells x blocks rows
-    match = within["_block"] == offsets["_block_o"]
-    for c in cells:
-        match = match & within[f"`{c}`"].eqNullSafe(offsets[f"`{c}_o`"])
+    match = _same_cell(within, offsets, cells, "_o") & (within["_block"] == offsets["_block_o"])
+    parts = [(o, within[f"`{o}`"], offsets[f"`{o}_o`"]) for o in sums]
     return within.join(offsets, match, "inner").select(
-        *[col(c) for c in df.columns], *[(within[f"`{o}`"] + offsets[f"`{o}_o`"]).alias(o) for o in sums]
+        *[col(c) for c in df.columns],
+        # Null as long as no value has been seen, like a sum.
+        *[F.coalesce(here + earlier, here, earlier).alias(o) for o, here, earlier in parts],
+        *[col(f"{o}_total") for o in sums],
     )
 
 
+def _same_cell(left: DataFrame, right: DataFrame, cells: Sequence[str], suffix: str) -> Column:
+    same = F.lit(True)
+    for c in cells:
+        same = same & left[f"`{c}`"].eqNullSafe(right[f"`{c}{suffix}`"])
+    return same
+
+
+def _cuts(df: DataFrame, order: str, cells: Sequence[str], n: int) -> DataFrame:
+    """``n - 1`` cut points of ``order`` per cell, found once and kept as constants.
+
+    The sketch depends on the order in which partial results arrive, so it must not be computed again for another
+    branch of the plan or for a lost task: both would place rows in other blocks than the block totals assume.
+    """
+    keys = [F.col(f"`{c}`").alias(f"{c}_c") for c in cells]
+    sketch = F.percentile_approx(col(order), [i / n for i in range(1, n)], _ACCURACY).cast("array<double>")
+    found = df.groupBy(*keys).agg(sketch.alias("_cuts"))
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows (name, value double), one per non-null, non-NaN cell of the numeric ``columns``."""
     cells = F.array(*[F.struct(F.lit(c).alias("name"), col(c).cast("double").alias("value")) for c in columns])
@@ -96,24 +114,15 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, f
     Values are counted first (map-side combine), then ranked by ``running_totals``; no task holds a column.
     """
     counts = long_values(df, columns).groupBy("name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counts, {"_upto": "_n"}, "value", group=["name"])
-    # The rank table is read twice, so the size of each column is counted apart from it.
-    sizes = counts.groupBy("name").agg(F.sum("_n").alias("n"))
-    sized = ranked.join(F.broadcast(sizes), "name")
+    ranked = running_totals(counts, {"_upto": "_n"}, "value", group=["name"]).withColumnRenamed("_upto_total", "n")
+
+    def place(p: float) -> Column:
+        return F.lit(float(p)) * (F.col("n") - 1)
+
     picks = []
     for out, p in probs.items():
-        at = F.lit(float(p)) * (F.col("n") - 1)
-        picks.append(F.min(F.when(F.col("_upto") > F.floor(at), F.col("value"))).alias(f"{out}_lo"))
-        picks.append(F.min(F.when(F.col("_upto") > F.ceil(at), F.col("value"))).alias(f"{out}_hi"))
-    found = sized.groupBy("name", "n").agg(*picks)
-    return found.select(
-        "name",
-        "n",
-        *[
-            (
-                F.col(f"{o}_lo")
-                + (F.col(f"{o}_hi") - F.col(f"{o}_lo")) * (F.lit(float(p)) * (F.col("n") - 1) - F.floor(F.lit(float(p)) * (F.col("n") - 1)))
-            ).alias(o)
-            for o, p in probs.items()
-        ],
-    )
+        picks.append(F.min(F.when(F.col("_upto") > F.floor(place(p)), F.col("value"))).alias(f"{out}_lo"))
+        picks.append(F.min(F.when(F.col("_upto") > F.ceil(place(p)), F.col("value"))).alias(f"{out}_hi"))
+    found = ranked.groupBy("name", "n").agg(*picks)
+    between = {o: (col(f"{o}_hi") - col(f"{o}_lo")) * (place(p) - F.floor(place(p))) for o, p in probs.items()}
+    return found.select("name", "n", *[(col(f"{o}_lo") + between[o]).alias(o) for o in probs])

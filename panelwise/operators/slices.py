@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwise.operators.evaluation import _ranking_aggregates, cumulative
+from panelwise.operators.evaluation import _ranking_aggregates
+from panelwise.operators.ranking import running_totals
 from panelwise.operators.skew import col
 
 Slices = Mapping[str, Mapping[str, Column]]
@@ -53,26 +54,21 @@ def slice_metrics(df: DataFrame, label: str, score: str, slices: Slices | None =
     keys = ["feature_type", "slice", "ordinal"]
     tagged = slice_rows(df, label, score, default_slices() if slices is None else slices)
     hist = tagged.groupBy(*keys, "score").agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))
-    ranked = cumulative(hist, keys)
-    # With P the positives of the slice, 2pr/(p+r+eps) is a function of the running counts and P.
+    hist = hist.withColumn("_sum", F.col("score") * (F.col("p") + F.col("n")))
+    sums = {"cum_p": "p", "cum_n": "n", "_upto": "_sum"}
+    ranked = running_totals(hist, sums, "score", group=keys, descending=True)
     weight = F.col("p") + F.col("n")
-    p_total = hist.groupBy(*[F.col(k).alias(f"{k}_t") for k in keys]).agg(
-        F.sum("p").alias("_p"), (F.sum(F.col("score") * weight) / F.sum(weight)).alias("_mean")
-    )
-    same = F.lit(True)
-    for k in keys:
-        same = same & (ranked[k] == p_total[f"{k}_t"])
-    with_total = ranked.join(F.broadcast(p_total), same, "inner")
+    total = F.col("cum_p_total") + F.col("cum_n_total")
+    off = F.col("score") - F.col("_upto_total") / total
     precision = F.try_divide(F.col("cum_p").cast("double"), F.col("cum_p") + F.col("cum_n"))
-    recall = F.coalesce(F.try_divide(F.col("cum_p").cast("double"), F.col("_p")), F.lit(0.0))
-    rows, off = F.sum(weight), F.col("score") - F.col("_mean")
-    return with_total.groupBy(*keys).agg(
-        rows.alias("sample_size"),
+    recall = F.coalesce(F.try_divide(F.col("cum_p").cast("double"), F.col("cum_p_total")), F.lit(0.0))
+    return ranked.groupBy(*keys).agg(
+        F.max(total).alias("sample_size"),
         *_ranking_aggregates(),
-        (F.sum("p") / rows).alias("positive_rate"),
+        F.max(F.col("cum_p_total") / total).alias("positive_rate"),
         F.max(2 * precision * recall / (precision + recall + 1e-8)).alias("max_f1"),
-        F.first("_mean").alias("prediction_mean"),
-        F.sqrt(F.sum(off * off * weight) / rows).alias("prediction_std"),
+        F.max(F.col("_upto_total") / total).alias("prediction_mean"),
+        F.sqrt(F.sum(off * off * weight / total)).alias("prediction_std"),
     )
 
 
