@@ -44,7 +44,7 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), out:
     stages: list = []
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=index, outputCols=dummies, dropLast=False, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=index, outputCols=dummies, dropLast=False))
     stages.append(VectorAssembler(inputCols=[*numeric, *dummies], outputCol=out, handleInvalid="error"))
     return stages
 
