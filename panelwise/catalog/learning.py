@@ -4,9 +4,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelwise.catalog import query
-from panelwise.catalog.fixtures import panel, rounded, visits
+from panelwise.catalog.fixtures import rounded, table, visits, vitals_of
 from panelwise.operators import learning as L
 from panelwise.operators.aggregates import top_features
+from panelwise.operators.oversampling import oversample
 from panelwise.operators.scoring import score_with_model
 from panelwise.operators.splits import assign_split
 from panelwise.plans.train import train
@@ -82,3 +83,20 @@ def _(spark, sf):
     path = shared_path(spark, "model")
     L.save_trained(spark, L.Trained(model, "logistic_regression", _NUMERIC, 0.45), path)
     return rounded(score_with_model(data, L.load_trained(spark, path), keep=("patient_id", "year")))
+
+
+def _oversampled(spark, sf):
+    orders = table(spark, sf, "orders")
+    positive = orders.select(F.col("o_orderkey").alias("id"), (F.col("o_orderstatus") == "F").cast("int").alias("label"))
+    return oversample(vitals_of(orders).join(positive, "id"), ["age", "bmi", "systolic_bp", "glucose"], "label")
+
+
+@query("i10_oversampled_rows")
+def _(spark, sf):
+    return rounded(_oversampled(spark, sf))
+
+
+@query("i10_oversampled_classes", """
+WITH c AS (SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label, count(*) AS n FROM orders GROUP BY ALL) SELECT label, (SELECT max(n) FROM c) AS n FROM c""")
+def _(spark, sf):
+    return _oversampled(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("n"))

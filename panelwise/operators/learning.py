@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 
 from panelwise.operators.aggregates import top_features
 from panelwise.operators.evaluation import COARSE_THRESHOLDS, _metrics, best_f1_threshold, ranking_metrics, threshold_sweep
+from panelwise.operators.oversampling import oversample
 from panelwise.operators.scaling import VARIANCE_THRESHOLD, varying_columns
 from panelwise.operators.skew import col
 from panelwise.operators.splits import SEED, fold_of, positive_weight, with_class_weight
+from panelwise.session import write_and_read
 
 MAX_FEATURES = 150
 # fixed values
@@ -162,17 +164,34 @@ def split_metrics(scored: DataFrame, label: str, group: str = "split", score: st
 
 
 def train_models(
-    df: DataFrame, numeric: Sequence[str], label: str, categorical: Sequence[str] = (), split: str = "split", seed: int = SEED, **boosted
+    df: DataFrame,
+    numeric: Sequence[str],
+    label: str,
+    categorical: Sequence[str] = (),
+    split: str = "split",
+    imbalance: str = "class_weight",
+    seed: int = SEED,
+    **boosted,
 ) -> tuple[DataFrame, Trained]:
     """Fit logistic regression and boosted trees on the train split.
 
+    ``imbalance`` is class_weight, oversample (synthetic minority rows in the train split, numeric columns only) or
+    none.
+
     Returns the metrics (model, split, metric, value) of all splits and the model to use: boosted trees are
     preferred, with the threshold of the best F1 on the validation split.
     """
     train, val = df.filter(col(split) == "train"), df.filter(col(split) == "val")
+    balanced = imbalance == "class_weight"
+    if imbalance == "oversample":
+        if categorical:
+            raise ValueError("encode categorical columns before oversampling")
+        train = write_and_read(oversample(train, numeric, label, seed=seed), "oversampled")
+    elif imbalance not in ("class_weight", "none"):
+        raise ValueError(f"unknown imbalance method {imbalance!r}")
     models = {
-        "logistic_regression": fit_logistic(train, numeric, label, categorical),
-        "boosted_trees": fit_boosted(train, numeric, label, val, categorical, seed=seed, **boosted),
+        "logistic_regression": fit_logistic(train, numeric, label, categorical, balanced),
+        "boosted_trees": fit_boosted(train, numeric, label, val, categorical, balanced, seed, **boosted),
     }
     tables, thresholds = [], {}
     for name, model in models.items():

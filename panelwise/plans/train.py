@@ -14,15 +14,15 @@ from panelwise.sources.registry import register
 
 
 def train(
-    df: DataFrame, entity: str, numeric: Sequence[str], label: str, categorical: Sequence[str] = (), seed: int = SEED, **boosted
+    df: DataFrame, entity: str, numeric: Sequence[str], label: str, categorical: Sequence[str] = (), seed: int = SEED, **options
 ) -> tuple[DataFrame, Trained, dict]:
-    """(metrics per model and split, chosen model, selection report).
+    """(metrics per model and split, chosen model, selection report); ``options`` go to ``train_models``.
 
     The split table is stored once, since fitting and evaluation read it many times.
     """
     ready = write_and_read(assign_split(df, entity, seed=seed).select(entity, label, "split", *numeric, *categorical), "training")
     kept, report = select_features(ready.filter(F.col("split") == "train"), numeric, label, seed=seed)
-    metrics, trained = train_models(ready, kept, label, categorical, seed=seed, **boosted)
+    metrics, trained = train_models(ready, kept, label, categorical, seed=seed, **options)
     return metrics, trained, report
 
 

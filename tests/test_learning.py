@@ -67,3 +67,11 @@ def test_stored_model_scores_with_missing_and_extra_columns(spark, data, tmp_pat
     want = rows(score_with_model(data.withColumn("noise", F.lit(0.0)), loaded, keep=("id",)), "id")
     assert out == want
     assert all(r["label"] == int(r["score"] >= 0.3) for r in out)
+
+
+@pytest.mark.parametrize("imbalance", ["oversample", "none"])
+def test_imbalance_options(data, imbalance):
+    metrics, trained = L.train_models(data, ["x", "noise"], "y", imbalance=imbalance, maxIter=3)
+    assert metrics.count() == 36 and trained.name == "boosted_trees"
+    with pytest.raises(ValueError):
+        L.train_models(data, ["x"], "y", ["c"], imbalance="oversample")
