@@ -108,7 +108,7 @@ def _(spark, sf):
 
 
 @query("i2_label_encode", f"""
-WITH {PANEL}, m AS (SELECT prio, CAST(row_number() OVER (ORDER BY prio) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT prio FROM panel WHERE period < 1996 AND prio <> '2-HIGH'))
+WITH {PANEL}, m AS (SELECT prio, CAST(row_number() OVER (ORDER BY prio) - 1 AS BIGINT) AS code FROM (SELECT DISTINCT prio FROM panel WHERE period < 1996 AND prio <> '2-HIGH'))
 SELECT entity_id, period, prio, coalesce(code, -1) AS prio_encoded FROM panel LEFT JOIN m USING (prio)""")
 def _(spark, sf):
     p = panel(spark, sf).select("entity_id", "period", "prio")
@@ -117,7 +117,7 @@ def _(spark, sf):
 
 
 @query("i2_label_encode_many_values", """
-WITH m AS (SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS c_name_encoded FROM (SELECT DISTINCT c_name FROM customer))
+WITH m AS (SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) - 1 AS BIGINT) AS c_name_encoded FROM (SELECT DISTINCT c_name FROM customer))
 SELECT c_custkey, c_name_encoded FROM customer JOIN m USING (c_name)""")
 def _(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
@@ -127,7 +127,7 @@ def _(spark, sf):
 
 @query("i3_category_codes", f"""
 WITH {PANEL}, p AS (SELECT entity_id, period, CASE WHEN entity_id % 9 <> 0 THEN seg END AS seg, prio FROM panel)
-SELECT entity_id, period, CASE WHEN seg IS NULL THEN -1 ELSE CAST(dense_rank() OVER (ORDER BY seg NULLS LAST) - 1 AS INTEGER) END AS seg, CAST(dense_rank() OVER (ORDER BY prio) - 1 AS INTEGER) AS prio FROM p""")
+SELECT entity_id, period, CASE WHEN seg IS NULL THEN -1 ELSE CAST(dense_rank() OVER (ORDER BY seg NULLS LAST) - 1 AS BIGINT) END AS seg, CAST(dense_rank() OVER (ORDER BY prio) - 1 AS BIGINT) AS prio FROM p""")
 def _(spark, sf):
     p = panel(spark, sf).select("entity_id", "period", F.when(F.col("entity_id") % 9 != 0, F.col("seg")).alias("seg"), "prio")
     return encoding.category_codes(p, {c: encoding.label_index(p, c) for c in ("seg", "prio")})

@@ -80,7 +80,7 @@ def label_encode(df: DataFrame, column: str, index: DataFrame, out: str | None =
     """``{column}_encoded``: code of the value, -1 for null and for values the index lacks."""
     out = out or f"{column}_encoded"
     coded = lookup(df, index.withColumnRenamed("code", out), column, limit)
-    return coded.withColumn(out, F.coalesce(col(out), F.lit(-1)).cast("int"))
+    return coded.withColumn(out, F.coalesce(col(out), F.lit(-1).cast("bigint")))
 
 
 def category_codes(df: DataFrame, indexes: Mapping[str, DataFrame]) -> DataFrame:

@@ -133,7 +133,8 @@ def _ranking_aggregates() -> list[Column]:
     and divided once at the end for AUC.
     """
     p_total, n_total = F.max("cum_p_total"), F.max("cum_n_total")
-    wins = F.sum((F.col("n") * (2 * F.col("cum_p") - F.col("p"))).cast("decimal(38,0)"))
+    beaten = 2 * F.col("cum_p") - F.col("p")
+    wins = F.sum(F.col("n").cast("decimal(19,0)") * beaten.cast("decimal(19,0)"))
     steps = F.sum(F.try_divide(F.col("p") * F.col("cum_p").cast("double"), F.col("cum_p") + F.col("cum_n")))
     auc = F.try_divide(wins.cast("double"), 2.0 * p_total.cast("double") * n_total.cast("double"))
     ap = F.when(p_total > 0, steps / p_total)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwise.operators.ranking import _block, _cuts, block_count, running_totals
+from panelwise.operators.ranking import block_count, block_of, cut_array, find_cuts, running_totals
 from panelwise.operators.skew import col
 from panelwise.operators.splits import SEED
 from panelwise.session import write_and_read
@@ -31,19 +31,22 @@ _NEAR = "of bigint, d double, pid bigint, copies bigint, x array<double>"
 
 def _nearest(points: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k nearest other points of each row, as rows in the shape of ``_NEAR``."""
+    points = points.sort_values("pid")  # equal distances are settled by pid
     x = np.array(points["x"].tolist(), dtype=float)
-    ids = points["pid"].to_numpy()
+    here = np.array(rows["x"].tolist(), dtype=float)
+    ids, own = points["pid"].to_numpy(), rows["pid"].to_numpy()
     picked, distance = [], []
-    for pid, here in zip(rows["pid"], rows["x"]):
-        d = np.sqrt(((x - np.asarray(here, dtype=float)) ** 2).sum(axis=1))
-        d[ids == pid] = np.inf
-        order = np.lexsort((ids, d))[:k]
-        picked.append(order[np.isfinite(d[order])])
-        distance.append(d[picked[-1]])
+    for start in range(0, len(own), 32):
+        some = slice(start, start + 32)
+        d = np.sqrt(((here[some, None, :] - x[None, :, :]) ** 2).sum(axis=2))
+        d[own[some, None] == ids[None, :]] = np.inf
+        for far, order in zip(d, np.argsort(d, axis=1, kind="stable")[:, :k]):
+            picked.append(order[np.isfinite(far[order])])
+            distance.append(far[picked[-1]])
     at = np.concatenate(picked)
     return pd.DataFrame(
         {
-            "of": np.repeat(rows["pid"].to_numpy(), [len(p) for p in picked]),
+            "of": np.repeat(own, [len(p) for p in picked]),
             "d": np.concatenate(distance),
             "pid": ids[at],
             "copies": points["copies"].to_numpy()[at],
@@ -124,22 +127,17 @@ def _search_stretches(points: DataFrame, j: int, k: int, stretch: int) -> DataFr
 def _search_blocks(open_rows: DataFrame, points: DataFrame, k: int) -> DataFrame:
     """Rows (of, _late) over every point whose place on projection 0 lies within ``needed`` of the row."""
     blocks = block_count(points)
-    cuts = F.broadcast(_cuts(points, "p0", [], blocks))
+    cuts = cut_array(find_cuts(points, "p0", blocks))
     n_points, n_open = points.count(), open_rows.count()
     parts, turns = max(1, n_points // (blocks * _GROUP)), max(1, n_open // _GROUP)
     # The bounds are widened by far more than the rounding of a projection.
     slack = F.abs("p0") * 1e-9 + F.col("needed") * 1e-9
     first, last = F.col("p0") - F.col("needed") - slack, F.col("p0") + F.col("needed") + slack
-    asked = (
-        open_rows.join(cuts)
-        .select(
-            "pid", "x", F.pmod(F.xxhash64("pid"), F.lit(turns)).alias("turn"),
-            F.explode(F.sequence(_block(first, F.col("_cuts"), blocks), _block(last, F.col("_cuts"), blocks))).alias("block"),
-        )
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    )
-    held = points.join(cuts).select(
-        "pid", "copies", "x", _block(F.col("p0"), F.col("_cuts"), blocks).alias("block"),
+    touched = F.explode(F.sequence(block_of(first, cuts, blocks), block_of(last, cuts, blocks))).alias("block")
+    asked = open_rows.select("pid", "x", F.pmod(F.xxhash64("pid"), F.lit(turns)).alias("turn"), touched)
+    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    held = points.select(
+        "pid", "copies", "x", block_of(F.col("p0"), cuts, blocks).alias("block"),
         F.pmod(F.xxhash64("pid"), F.lit(parts)).cast("int").alias("part"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(turns - 1).cast("bigint"))).alias("turn"),
     )

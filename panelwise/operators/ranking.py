@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ def block_count(df: DataFrame) -> int:
     return max(2, min(_MAX_BLOCKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def _block(value: Column, cuts: Column, blocks: int) -> Column:
+def block_of(value: Column, cuts: Column, blocks: int) -> Column:
     """How many cuts lie below ``value``: first among every s-th cut, then within that stretch."""
     step = math.isqrt(blocks - 1) or 1
     coarse = F.size(F.filter(cuts, lambda c, i: (i % step == step - 1) & (c < value)))
@@ -50,10 +50,7 @@ def running_totals(
     """
     n = blocks or block_count(df)
     cells = [*group, *leading]
-    small = F.broadcast(_cuts(df, order, cells, n))
-    blocked = df.join(small, _same_cell(df, small, cells, "_c"), "inner").select(
-        *[col(c) for c in df.columns], _block(col(order), F.col("_cuts"), n).alias("_block")
-    )
+    blocked = with_block(df, order, n, cells)
 
     def by(c: str) -> Column:
         return col(c).desc() if descending else col(c).asc()
@@ -90,16 +87,31 @@ def _same_cell(left: DataFrame, right: DataFrame, cells: Sequence[str], suffix:
     return same
 
 
-def _cuts(df: DataFrame, order: str, cells: Sequence[str], n: int) -> DataFrame:
-    """``n - 1`` cut points of ``order`` per cell, found once and kept as constants.
+def find_cuts(df: DataFrame, order: str, n: int, cells: Sequence[str] = ()) -> list[Row]:
+    """``n - 1`` cut points of ``order`` per cell, as driver-side constants.
 
     The sketch depends on the order in which partial results arrive, so it must not be computed again for another
     branch of the plan or for a lost task: both would place rows in other blocks than the block totals assume.
     """
-    keys = [F.col(f"`{c}`").alias(f"{c}_c") for c in cells]
     sketch = F.percentile_approx(col(order), [i / n for i in range(1, n)], _ACCURACY).cast("array<double>")
-    found = df.groupBy(*keys).agg(sketch.alias("_cuts"))
-    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+    return df.groupBy(*[col(c).alias(f"{c}_c") for c in cells]).agg(sketch.alias("_cuts")).collect()
+
+
+def cut_array(found: list[Row]) -> Column:
+    """The cuts of the only cell as a literal."""
+    cuts = found[0]["_cuts"] if found else None
+    return F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
+
+
+def with_block(df: DataFrame, order: str, n: int, cells: Sequence[str] = ()) -> DataFrame:
+    """Adds ``_block``, 0 .. n-1 in the order of ``order`` within each cell."""
+    found = find_cuts(df, order, n, cells)
+    if not cells:
+        return df.withColumn("_block", block_of(col(order), cut_array(found), n))
+    keys = df.select(*[col(c).alias(f"{c}_c") for c in cells], F.array().cast("array<double>").alias("_cuts")).schema
+    small = F.broadcast(df.sparkSession.createDataFrame(found, keys))
+    joined = df.join(small, _same_cell(df, small, cells, "_c"), "inner")
+    return joined.select(*[col(c) for c in df.columns], block_of(col(order), F.col("_cuts"), n).alias("_block"))
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:

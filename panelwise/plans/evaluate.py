@@ -1,7 +1,7 @@
 """Evaluation of scored rows: ranking metrics, thresholds and time-window hits in one row."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwise.operators.evaluation import fallback_threshold, metrics_at, ranking_metrics, threshold_sweep, window_hits
@@ -16,7 +16,10 @@ def evaluate(df: DataFrame, entity: str, period: str, label: str, score: str, ye
     best = thresholds.first()
     at_best = metrics_at(df, label, score, best["optimal_threshold"]).drop("threshold")
     hits = window_hits(df, entity, period, label, score, best["optimal_threshold"], years)
-    one = F.lit(1).alias("_one")
-    parts = [f.select(one, "*") for f in (ranking_metrics(df, label, score), at_best, hits)]
-    row = parts[0].join(parts[1], "_one").join(parts[2], "_one").drop("_one")
-    return row.withColumns({c: F.lit(best[c]) for c in thresholds.columns})
+
+    def only(row: DataFrame) -> Column:
+        return row.select(F.struct("*")).scalar()
+
+    return hits.select(
+        only(ranking_metrics(df, label, score)).alias("_ranking"), only(at_best).alias("_at"), "*", *[F.lit(best[c]).alias(c) for c in thresholds.columns]
+    ).select("_ranking.*", "_at.*", *hits.columns, *thresholds.columns)
