@@ -22,4 +22,4 @@ def test_model_queries_give_rows(spark, small, name):
 
 def test_entry(spark):
     df = entry(spark)
-    assert df.count() > 0 and len(df.columns) == 24 + 72 + 13 + 1
+    assert df.count() > 0 and len(df.columns) == 23 + 72 + 13 + 1
