@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwise.operators.panel import small_distinct
-from panelwise.operators.skew import LOOKUP_ROWS, bounded_rows, col, lookup
+from panelwise.operators.skew import GROUP_ROWS, LOOKUP_ROWS, bounded_rows, col, lookup
 from panelwise.session import write_and_read
 
 MAX_CATEGORIES = 50
@@ -76,10 +76,12 @@ def label_index(df: DataFrame, column: str, limit: int = LOOKUP_ROWS) -> DataFra
     return placed.select(col(column), (F.col("_before") + at - 1).cast("bigint").alias("code"))
 
 
-def label_encode(df: DataFrame, column: str, index: DataFrame, out: str | None = None, limit: int = LOOKUP_ROWS) -> DataFrame:
+def label_encode(
+    df: DataFrame, column: str, index: DataFrame, out: str | None = None, limit: int = LOOKUP_ROWS, group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """``{column}_encoded``: code of the value, -1 for null and for values the index lacks."""
     out = out or f"{column}_encoded"
-    coded = lookup(df, index.withColumnRenamed("code", out), column, limit)
+    coded = lookup(df, index.withColumnRenamed("code", out), column, limit, group_rows)
     return coded.withColumn(out, F.coalesce(col(out), F.lit(-1).cast("bigint")))
 
 
@@ -96,11 +98,13 @@ def target_means(df: DataFrame, column: str, label: str) -> DataFrame:
     return df.groupBy(col(column)).agg(F.avg(col(label).cast("double")).alias("target_mean"))
 
 
-def target_encode(df: DataFrame, train: DataFrame, column: str, label: str, limit: int = LOOKUP_ROWS) -> DataFrame:
+def target_encode(
+    df: DataFrame, train: DataFrame, column: str, label: str, limit: int = LOOKUP_ROWS, group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """``{column}_target``: the value's share of positives in ``train``, the overall share for unseen values."""
     overall = train.agg(F.avg(col(label).cast("double"))).first()[0]
     out = f"{column}_target"
-    coded = lookup(df, target_means(train, column, label).withColumnRenamed("target_mean", out), column, limit)
+    coded = lookup(df, target_means(train, column, label).withColumnRenamed("target_mean", out), column, limit, group_rows)
     return coded.withColumn(out, F.coalesce(col(out), F.lit(overall)))
 
 

@@ -87,25 +87,42 @@ def attach(
     return frequent.unionByName(rare)
 
 
-def keep_members(rows: DataFrame, members: DataFrame, on: str | Sequence[str], k: int = FREQUENT_KEYS) -> DataFrame:
-    """Rows whose key occurs in ``members`` (null matches nothing), without moving the rows of frequent keys."""
+#: Rows up to which a lookup or membership table is broadcast.
+LOOKUP_ROWS = 10_000
+
+
+def keep_members(
+    rows: DataFrame,
+    members: DataFrame,
+    on: str | Sequence[str],
+    k: int = FREQUENT_KEYS,
+    limit: int = LOOKUP_ROWS,
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """Rows whose key occurs in ``members``; null matches nothing.
+
+    Up to ``limit`` members are broadcast. More are joined by a shuffle while no key of ``rows`` exceeds
+    ``group_rows``; else the rows of the ``k`` most frequent keys are decided map-side and only the others move.
+    """
     on = names(on)
     keys = members.select(*[col(x) for x in on]).distinct()
+    if bounded_rows(keys, limit) is not None:
+        return rows.join(F.broadcast(keys), on, "left_semi")
+    if largest_group(rows.dropna(subset=on), on) <= group_rows:
+        return rows.join(keys, on, "left_semi")
     top = frequent_keys(rows.dropna(subset=on), on, k)
     hot_in = F.broadcast(top.join(keys, on, "left_semi"))
-    return rows.join(hot_in, on, "left_semi").unionByName(
-        rows.join(F.broadcast(top), on, "left_anti").join(keys, on, "left_semi")
-    )
-
-
-#: Rows up to which a lookup table is broadcast.
-LOOKUP_ROWS = 10_000
+    rare = rows.dropna(subset=on).join(F.broadcast(top), on, "left_anti").join(keys, on, "left_semi")
+    return rows.join(hot_in, on, "left_semi").unionByName(rare)
 
 
-def lookup(rows: DataFrame, table: DataFrame, on: str, limit: int = LOOKUP_ROWS) -> DataFrame:
-    """Left-join a table of one row per value: broadcast if it has at most ``limit`` rows, else ``attach``."""
-    if bounded_rows(table.select(col(on)), limit) is None:
+def lookup(rows: DataFrame, table: DataFrame, on: str, limit: int = LOOKUP_ROWS, group_rows: int = GROUP_ROWS) -> DataFrame:
+    """Left-join a table of one row per value, null matching null: a broadcast up to ``limit`` rows, a shuffled join
+    while no value exceeds ``group_rows`` rows, else ``attach``."""
+    right = _renamed(table, [on])
+    if bounded_rows(table.select(col(on)), limit) is not None:
+        right = F.broadcast(right)
+    elif largest_group(rows, on) > group_rows:
         return attach(rows, table, on)
-    small = F.broadcast(_renamed(table, [on]))
     keep = [c for c in table.columns if c != on]
-    return rows.join(small, _same(rows, small, [on]), "left").select(*[col(c) for c in [*rows.columns, *keep]])
+    return rows.join(right, _same(rows, right, [on]), "left").select(*[col(c) for c in [*rows.columns, *keep]])

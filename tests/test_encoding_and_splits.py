@@ -21,12 +21,12 @@ def test_one_hot_names_nulls_and_cap(words):
     assert [(r["w_b"], r["w_other"]) for r in capped] == [(1, 0), (0, 1), (0, 0), (0, 1), (1, 0)]
 
 
-@pytest.mark.parametrize("limit", [1, 100])
-def test_label_codes(words, spark, limit):
+@pytest.mark.parametrize("limit,group_rows", [(1, 0), (1, 100), (100, 0)])
+def test_label_codes(words, spark, limit, group_rows):
     index = encoding.label_index(words, "w", limit)
     assert {(r["w"], r["code"]) for r in rows(index)} == {("a b", 0), ("b", 1), ("c", 2)}
     new = spark.createDataFrame([("c",), ("zz",), (None,)], "w string")
-    assert [r["w_encoded"] for r in rows(encoding.label_encode(new, "w", index, limit=limit), "w")] == [2, -1, -1]
+    assert [r["w_encoded"] for r in rows(encoding.label_encode(new, "w", index, limit=limit, group_rows=group_rows), "w")] == [2, -1, -1]
 
 
 def test_many_label_codes_over_several_files(spark):
@@ -38,8 +38,8 @@ def test_many_label_codes_over_several_files(spark):
 def test_target_encoding_of_unseen_value(spark):
     train = spark.createDataFrame([("a", 1), ("a", 0), ("b", 1)], "w string, y int")
     new = spark.createDataFrame([("a",), ("zz",)], "w string")
-    for limit in (0, 100):
-        out = rows(encoding.target_encode(new, train, "w", "y", limit), "w")
+    for limit, group_rows in ((0, 0), (0, 100), (100, 0)):
+        out = rows(encoding.target_encode(new, train, "w", "y", limit, group_rows), "w")
         assert [round(r["w_target"], 6) for r in out] == [0.5, round(2 / 3, 6)]
 
 

@@ -81,8 +81,8 @@ def test_attach_keeps_rows_without_a_match(spark):
 def test_keep_members(hot, spark):
     members = spark.createDataFrame([("hot",), ("5",), ("absent",)], "e string")
     want = hot.filter("e IN ('hot', '5')")
-    for k in (1, 1000):
-        assert same_rows(skew.keep_members(hot, members, "e", k), want)
+    for k, limit, group_rows in ((1, 0, 0), (1000, 0, 0), (1, 0, 10**6), (1, 100, 0)):
+        assert same_rows(skew.keep_members(hot, members, "e", k, limit, group_rows), want)
 
 
 def test_frequent_rows_are_not_shuffled(hot):
