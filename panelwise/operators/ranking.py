@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwise.operators.skew import col
+from panelwise.operators.skew import bounded_rows, col
 
 _ACCURACY = 20_000
 _MAX_BLOCKS = 1024
+#: Cut points in all: the bound on what is collected and broadcast per ranking.
+_MAX_CUTS = 1_000_000
 
 
 def block_count(df: DataFrame) -> int:
@@ -48,8 +50,8 @@ def running_totals(
     keys): one row of cuts per (group, leading) goes through the driver and is broadcast. Finding the cuts is a job
     of its own that reads the order column only.
     """
-    n = blocks or block_count(df)
     cells = [*group, *leading]
+    n = blocks or _blocks_per_cell(df, cells)
     blocked = with_block(df, order, n, cells)
 
     def by(c: str) -> Column:
@@ -87,6 +89,14 @@ def _same_cell(left: DataFrame, right: DataFrame, cells: Sequence[str], suffix:
     return same
 
 
+def _blocks_per_cell(df: DataFrame, cells: Sequence[str]) -> int:
+    """Blocks so that the cuts of all cells stay within ``_MAX_CUTS``."""
+    if not cells:
+        return block_count(df)
+    counted = df.select(*[col(c) for c in cells]).distinct().count()
+    return max(2, min(block_count(df), _MAX_CUTS // max(counted, 1)))
+
+
 def find_cuts(df: DataFrame, order: str, n: int, cells: Sequence[str] = ()) -> list[Row]:
     """``n - 1`` cut points of ``order`` per cell, as driver-side constants.
 
@@ -94,7 +104,10 @@ def find_cuts(df: DataFrame, order: str, n: int, cells: Sequence[str] = ()) -> l
     branch of the plan or for a lost task: both would place rows in other blocks than the block totals assume.
     """
     sketch = F.percentile_approx(col(order), [i / n for i in range(1, n)], _ACCURACY).cast("array<double>")
-    return df.groupBy(*[col(c).alias(f"{c}_c") for c in cells]).agg(sketch.alias("_cuts")).collect()
+    found = bounded_rows(df.groupBy(*[col(c).alias(f"{c}_c") for c in cells]).agg(sketch.alias("_cuts")), _MAX_CUTS // n)
+    if found is None:
+        raise ValueError(f"more than {_MAX_CUTS // n} groups; running totals are for few, large groups")
+    return found
 
 
 def cut_array(found: list[Row]) -> Column:

@@ -64,6 +64,16 @@ def test_running_totals_with_leading_column(spark):
     assert [(r["lead"], r["s"]) for r in ranked] == sorted((r["lead"], r["s"]) for r in ranked)
 
 
+def test_running_totals_refuse_many_groups(spark, monkeypatch):
+    from panelwise.operators import ranking
+
+    df = spark.range(50).select((F.col("id") % 25).alias("g"), F.col("id").cast("double").alias("s"), F.lit(1).alias("one"))
+    monkeypatch.setattr(ranking, "_MAX_CUTS", 60)
+    assert running_totals(df, {"at": "one"}, "s", group=["g"]).filter("at = 2").count() == 25
+    with pytest.raises(ValueError):
+        running_totals(df, {"at": "one"}, "s", group=["g"], blocks=5)
+
+
 def test_quantiles_interpolate_and_skip_missing(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, None), (3.0, float("nan")), (4.0, 7.0)], "a double, b double")
     out = {r["name"]: r for r in rows(exact_quantiles(df, ["a", "b"], {"q1": 0.25, "m": 0.5}))}
