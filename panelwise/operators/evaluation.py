@@ -121,9 +121,11 @@ def score_histogram(df: DataFrame, label: str, score: str, group: Sequence[str]
     )
 
 
-def cumulative(hist: DataFrame, group: Sequence[str] = (), blocks: int | None = None) -> DataFrame:
+def cumulative(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """The histogram with cum_p and cum_n, the counts at this or a higher score, and their totals per group."""
-    return running_totals(hist, {"cum_p": "p", "cum_n": "n"}, "score", group=group, descending=True, blocks=blocks)
+    hist = score_histogram(df, label, score, group)
+    scores = df.select(*[col(g) for g in group], col(score).cast("double").alias("score"))
+    return running_totals(hist, {"cum_p": "p", "cum_n": "n"}, "score", group=group, descending=True, cuts_from=scores)
 
 
 def _ranking_aggregates() -> list[Column]:
@@ -143,20 +145,20 @@ def _ranking_aggregates() -> list[Column]:
 
 def ranking_metrics(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """([group,] auc, average_precision), exact with ties."""
-    ranked = cumulative(score_histogram(df, label, score, group), group)
+    ranked = cumulative(df, label, score, group)
     return ranked.groupBy(*[col(g) for g in group]).agg(*_ranking_aggregates())
 
 
 def roc_points(df: DataFrame, label: str, score: str) -> DataFrame:
     """Rows (score, fpr, tpr), one per distinct score."""
-    ranked = cumulative(score_histogram(df, label, score))
+    ranked = cumulative(df, label, score)
     fpr, tpr = ratio(F.col("cum_n"), F.col("cum_n_total")), ratio(F.col("cum_p"), F.col("cum_p_total"))
     return ranked.select("score", fpr.alias("fpr"), tpr.alias("tpr"))
 
 
 def pr_points(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """Rows ([group,] score, precision, recall), one per distinct score."""
-    ranked = cumulative(score_histogram(df, label, score, group), group)
+    ranked = cumulative(df, label, score, group)
     precision, recall = ratio(F.col("cum_p"), F.col("cum_p") + F.col("cum_n")), ratio(F.col("cum_p"), F.col("cum_p_total"))
     return ranked.select(*[col(g) for g in group], "score", precision.alias("precision"), recall.alias("recall"))
 

@@ -41,6 +41,7 @@ def running_totals(
     leading: Sequence[str] = (),
     descending: bool = False,
     blocks: int | None = None,
+    cuts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add, per ``sums`` entry ``{out: column}``, the running total of the column up to and including the row, and
     as ``{out}_total`` its total over the group.
@@ -48,11 +49,12 @@ def running_totals(
     The order is ``leading`` (columns of few values, if any), then the numeric ``order``, which must be non-null and
     distinct within (group, leading). ``group`` must have few distinct values (declared slices, columns, frequent
     keys): one row of cuts per (group, leading) goes through the driver and is broadcast. Finding the cuts is a job
-    of its own that reads the order column only.
+    of its own that reads these columns only, from ``cuts_from`` if given: the rows that ``df`` was counted from,
+    which need no shuffle to be sketched.
     """
     cells = [*group, *leading]
     n = blocks or _blocks_per_cell(df, cells)
-    blocked = with_block(df, order, n, cells)
+    blocked = with_block(df, order, n, cells, cuts_from)
 
     def by(c: str) -> Column:
         return col(c).desc() if descending else col(c).asc()
@@ -93,8 +95,12 @@ def _blocks_per_cell(df: DataFrame, cells: Sequence[str]) -> int:
     """Blocks so that the cuts of all cells stay within ``_MAX_CUTS``."""
     if not cells:
         return block_count(df)
-    counted = df.select(*[col(c) for c in cells]).distinct().count()
-    return max(2, min(block_count(df), _MAX_CUTS // max(counted, 1)))
+    return blocks_for(df, df.select(*[col(c) for c in cells]).distinct().count())
+
+
+def blocks_for(df: DataFrame, cells: int) -> int:
+    """Blocks per cell for a known number of cells."""
+    return max(2, min(block_count(df), _MAX_CUTS // max(cells, 1)))
 
 
 def find_cuts(df: DataFrame, order: str, n: int, cells: Sequence[str] = ()) -> list[Row]:
@@ -116,15 +122,16 @@ def cut_array(found: list[Row]) -> Column:
     return F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
 
 
-def with_block(df: DataFrame, order: str, n: int, cells: Sequence[str] = ()) -> DataFrame:
+def with_block(df: DataFrame, order: str, n: int, cells: Sequence[str] = (), cuts_from: DataFrame | None = None) -> DataFrame:
     """Adds ``_block``, 0 .. n-1 in the order of ``order`` within each cell."""
-    found = find_cuts(df, order, n, cells)
+    found = find_cuts(df if cuts_from is None else cuts_from, order, n, cells)
     if not cells:
         return df.withColumn("_block", block_of(col(order), cut_array(found), n))
     keys = df.select(*[col(c).alias(f"{c}_c") for c in cells], F.array().cast("array<double>").alias("_cuts")).schema
     small = F.broadcast(df.sparkSession.createDataFrame(found, keys))
     joined = df.join(small, _same_cell(df, small, cells, "_c"), "inner")
-    return joined.select(*[col(c) for c in df.columns], block_of(col(order), F.col("_cuts"), n).alias("_block"))
+    cuts = F.coalesce(F.col("_cuts"), F.array().cast("array<double>"))  # a cell may have no value to cut at
+    return joined.select(*[col(c) for c in df.columns], block_of(col(order), cuts, n).alias("_block"))
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -138,8 +145,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, f
 
     Values are counted first (map-side combine), then ranked by ``running_totals``; no task holds a column.
     """
-    counts = long_values(df, columns).groupBy("name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counts, {"_upto": "_n"}, "value", group=["name"]).withColumnRenamed("_upto_total", "n")
+    values = long_values(df, columns)
+    counts = values.groupBy("name", "value").agg(F.count(F.lit(1)).alias("_n"))
+    blocks = blocks_for(df, len(columns))
+    ranked = running_totals(counts, {"_upto": "_n"}, "value", group=["name"], blocks=blocks, cuts_from=values)
+    ranked = ranked.withColumnRenamed("_upto_total", "n")
 
     def place(p: float) -> Column:
         return F.lit(float(p)) * (F.col("n") - 1)
