@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from panelwise.operators.skew import bounded_rows, col
 
+#: Finest resolution of the quantile sketch; blocks need fifty steps each to come out about equal.
 _ACCURACY = 20_000
 _MAX_BLOCKS = 1024
 #: Cut points in all: the bound on what is collected and broadcast per ranking.
@@ -109,7 +110,7 @@ def find_cuts(df: DataFrame, order: str, n: int, cells: Sequence[str] = ()) -> l
     The sketch depends on the order in which partial results arrive, so it must not be computed again for another
     branch of the plan or for a lost task: both would place rows in other blocks than the block totals assume.
     """
-    sketch = F.percentile_approx(col(order), [i / n for i in range(1, n)], _ACCURACY).cast("array<double>")
+    sketch = F.percentile_approx(col(order), [i / n for i in range(1, n)], min(_ACCURACY, 50 * n)).cast("array<double>")
     found = bounded_rows(df.groupBy(*[col(c).alias(f"{c}_c") for c in cells]).agg(sketch.alias("_cuts")), _MAX_CUTS // n)
     if found is None:
         raise ValueError(f"more than {_MAX_CUTS // n} groups; running totals are for few, large groups")
