@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import sharding
+from panelwise.llm import html_wrapper, impact_search, sharding
 from panelwise.llm.shared import QUERIES, SQL, query, table  # noqa: F401
 
 
@@ -22,3 +22,30 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+_OP3_SQL = """
+WITH v AS (
+    SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c AS (SELECT r, vec_id, unnest(range(len(embedding))) AS i, unnest(embedding) AS x FROM v),
+n AS (SELECT r, vec_id, i, CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM c),
+s AS (
+    SELECT q.r AS qr, q.vec_id AS query_id, d.r AS dr, d.vec_id, CAST(sum(q.x * d.x) AS BIGINT) AS score
+    FROM n q JOIN n d ON q.i = d.i AND q.r <> d.r WHERE q.vec_id % 20 = 0 GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY qr ORDER BY score DESC, vec_id, dr) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
+@query("op3_impact_ordered_topk", _OP3_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = impact_search.quantise(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    return impact_search.top_k(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
+@query("op5_wrapper_induction_text")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_wrapper.main_text(table(spark, folder, "pages"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
