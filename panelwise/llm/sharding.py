@@ -74,7 +74,8 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 7, bucket_rows:
         matrix = draw_matrix(np.random.default_rng([seed, int(key[0]) + 1]), frame["n"].tolist(), share[int(key[0])])
         return pd.DataFrame({"from": frame["part"].to_numpy(), "upto": matrix.cumsum(axis=1).tolist()})
 
-    matrix = counts.groupBy(F.pmod("part", F.lit(BLOCKS)).alias("block")).applyInPandas(rows_of_block, "from long, upto array<long>")
+    drawn_rows = counts.groupBy(F.pmod("part", F.lit(BLOCKS)).alias("block")).applyInPandas(rows_of_block, "from long, upto array<long>")
+    matrix = write_and_read(drawn_rows, "matrix")  # a table of known size: while it is small, the rows need no shuffle to meet it
     turn = F.expr(f"place & {(1 << _PART_BITS) - 1}")
     buckets = max(1, -(-total // (shards * bucket_rows)))
     placed = (
