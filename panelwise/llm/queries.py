@@ -1,12 +1,15 @@
 """The registered queries: each operator with production parameters over its whole table."""
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import html_wrapper, impact_search, sharding
+from panelwise.llm import html_wrapper, impact_search, pieces, repeats, sharding
 from panelwise.llm.shared import QUERIES, SQL, query, table  # noqa: F401
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 
 @query("op1_hypergeometric_sharding")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
@@ -49,3 +52,20 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     found = html_wrapper.main_text(table(spark, folder, "pages"))
     return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("long").alias("n_chars"))
+
+
+@query("op8_piece_prefix_table")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    coded = pieces.encode_and_decode(table(spark, folder, "documents").select("doc_id", "text"), PIECE_MODEL)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op2_suffix_tree_repeats")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    kept = repeats.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

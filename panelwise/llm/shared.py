@@ -1,6 +1,7 @@
 """Tables every operator of this folder reads and writes, and words in bulk."""
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -8,6 +9,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
+from panelwise.session import write_and_read
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -39,12 +42,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def free_name(df: DataFrame, stem: str) -> str:
-    """A column name that ``df`` does not have, whatever its case."""
-    taken, name = {c.lower() for c in df.columns}, stem
-    while name.lower() in taken:
-        name += "_"
-    return name
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back. The shuffle files of the finished phase are given up: Spark
+    deletes them once the driver has collected the plans that own them, which would otherwise happen late or never."""
+    spark = df.sparkSession
+    out = write_and_read(df, name)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return out
 
 
 def _powers() -> list[np.ndarray]:
