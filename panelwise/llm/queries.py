@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import html_wrapper, impact_search, pieces, repeats, sharding
+from panelwise.llm import html_wrapper, impact_search, jaccard, pieces, repeats, sharding
 from panelwise.llm.shared import QUERIES, SQL, query, table  # noqa: F401
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -69,3 +69,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     kept = repeats.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op7_count_vector_jaccard")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
