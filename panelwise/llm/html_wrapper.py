@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from panelwise.llm.shared import store
+
 #: A text of an aligned node is template when at least this share of the host's pages with the node has it ...
 TEMPLATE_SHARE = 0.9
 #: ... and at least so many pages have the node.
@@ -318,12 +320,14 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataFra
     rows = pages.select(F.struct(*keep).alias("row"), host.alias("host"), F.coalesce(F.col(page), F.lit("")).alias("html"))
     shapes = rows.select("host", "html").mapInPandas(_shapes, "host string, shape string, n long").groupBy("host", "shape").agg(F.sum("n").alias("n"))
     parts = shapes.withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(32))).groupBy("host", "part").applyInPandas(_merged("shape", False), "host string, wrapper string, n long")
-    wrappers = parts.groupBy("host").applyInPandas(_merged("wrapper", True), "host string, wrapper string, n long").drop("n")
-    seen = rows.select("host", "html").join(wrappers, "host").mapInPandas(_texts, "host string, node int, hash long, n long").groupBy("host", "node", "hash").agg(F.sum("n").alias("n"))
+    # Stored tables have known sizes: while the wrappers are small, pages meet them without a shuffle.
+    wrappers = store(parts.groupBy("host").applyInPandas(_merged("wrapper", True), "host string, wrapper string, n long").drop("n"), "wrappers")
+    counted = rows.select("host", "html").join(wrappers, "host").mapInPandas(_texts, "host string, node int, hash long, n long").groupBy("host", "node", "hash").agg(F.sum("n").alias("n"))
+    seen = store(counted.where(F.col("hash").isNull() | (F.col("n") >= TEMPLATE_PAGES * TEMPLATE_SHARE)), "slots")
     slots = seen.where("hash IS NULL AND node >= 0").select("host", "node", F.col("n").alias("of"))
-    texts = seen.where(F.col("hash").isNotNull() & (F.col("n") >= TEMPLATE_PAGES * TEMPLATE_SHARE)).join(slots, ["host", "node"])
+    texts = seen.where("hash IS NOT NULL").join(slots, ["host", "node"])
     constant = texts.where((F.col("of") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("of"))).groupBy("host").agg(F.collect_list(F.struct("node", "hash")).alias("template"))
-    known = wrappers.join(constant, "host", "left")
+    known = store(wrappers.join(constant, "host", "left"), "templates")
     ready = rows.select("row", "host").join(known, "host").select("row", "wrapper", "template")
     schema = StructType([ready.schema["row"], StructField("main_text", StringType())])
     return ready.mapInArrow(_content(page), schema).select("row.*", "main_text")

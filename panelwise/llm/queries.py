@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import html_wrapper, impact_search, jaccard, pieces, repeats, sharding
+from panelwise.llm import decontaminate, html_wrapper, impact_search, jaccard, pieces, repeats, sharding
 from panelwise.llm.shared import QUERIES, SQL, query, table  # noqa: F401
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -74,3 +74,10 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_count_vector_jaccard")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, folder, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op4_block_max_decontamination")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each document and test item found in it; clean documents have none."""
+    found = decontaminate.find_items(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", F.explode("findings").alias("f")).select("doc_id", "f.*")
