@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import decontaminate, html_wrapper, impact_search, jaccard, pieces, repeats, sharding
+from panelwise.llm import decontaminate, html_wrapper, impact_search, jaccard, lattice, pieces, repeats, sharding
 from panelwise.llm.shared import QUERIES, SQL, query, table  # noqa: F401
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -81,3 +81,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each document and test item found in it; clean documents have none."""
     found = decontaminate.find_items(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
     return found.select("doc_id", F.explode("findings").alias("f")).select("doc_id", "f.*")
+
+
+@query("op9_subword_lattice_likelihood")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    scored = lattice.score_documents(table(spark, folder, "documents").select("doc_id", "text"), held_out, PIECE_MODEL)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
