@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import decontaminate, html_wrapper, impact_search, jaccard, lattice, pieces, repeats, sharding
+from panelwise.llm import decontaminate, html_wrapper, impact_search, jaccard, language, lattice, pieces, repeats, sharding
 from panelwise.llm.shared import QUERIES, SQL, query, table  # noqa: F401
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -88,3 +88,21 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     scored = lattice.score_documents(table(spark, folder, "documents").select("doc_id", "text"), held_out, PIECE_MODEL)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op6_evidence_fusion_language")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents declare ``lang``, their host is ``source``; they have no address."""
+    found = language.identify(table(spark, folder, "documents"), F.col("lang"), F.col("source"))
+    return found.select("doc_id", F.col("lang").alias("declared"), "language", "probability", "accepted")
+
+
+@query("page_languages")
+def page_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with all evidence: markup language, last label of the host, host and domain."""
+    pages = table(spark, folder, "pages")
+    markup = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html[^>]*\slang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    host = F.nullif(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z]+://([^/:?#]+)", 1), F.lit(""))
+    bare = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^>]*>", " ")
+    found = language.identify(pages.select("page_id", "url", bare.alias("text"), markup.alias("markup"), host.alias("host")), F.col("markup"), F.col("host"), F.regexp_extract("host", r"([^.]+)$", 1))
+    return found.select("page_id", "url", F.col("markup").alias("declared"), "language", "probability", "accepted")
