@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import decontaminate, html_wrapper, impact_search, jaccard, language, lattice, pieces, repeats, sharding
+from panelwise.llm import decontaminate, html_wrapper, impact_search, jaccard, language, lattice, pieces, repeats, secrets, sharding
 from panelwise.llm.shared import QUERIES, SQL, query, table  # noqa: F401
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -106,3 +106,10 @@ def page_languages(spark: SparkSession, folder: str) -> DataFrame:
     bare = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^>]*>", " ")
     found = language.identify(pages.select("page_id", "url", bare.alias("text"), markup.alias("markup"), host.alias("host")), F.col("markup"), F.col("host"), F.regexp_extract("host", r"([^.]+)$", 1))
     return found.select("page_id", "url", F.col("markup").alias("declared"), "language", "probability", "accepted")
+
+
+@query("op10_random_forest_secrets")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each secret of a document; ``word`` counts the words of the text from 0."""
+    found = secrets.scan(table(spark, folder, "documents"))
+    return found.select("row.doc_id", "word", "value", F.round("probability", 4).alias("probability"))
