@@ -273,18 +273,18 @@ class _Aligner:
 
 
 def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(host, node, text hash, pages) of this partition, and with a null hash the pages that have the node."""
+    """(host, node, text hash, false, pages) of this partition, and with true the pages that have the node."""
     aligner, counts = _Aligner(), Counter()
-    columns = ["host", "node", "hash", "n"]
+    columns = ["host", "node", "hash", "whole", "n"]
     for frame in frames:
         for host, wrapper, page in zip(frame["host"], frame["wrapper"], frame["html"]):
             found = {(node, _hash(text)) for node, text in aligner.blocks(wrapper, page)}
-            counts.update((host, node, h) for node, h in found)
-            counts.update((host, node, None) for node in {node for node, _ in found})
+            counts.update((host, node, h, False) for node, h in found)
+            counts.update((host, node, 0, True) for node in {node for node, _ in found})
         if len(counts) > 200_000:
-            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=columns).astype({"hash": "Int64"})
+            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=columns)
             counts.clear()
-    yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=columns).astype({"hash": "Int64"})
+    yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=columns)
 
 
 def _content(page: str):
@@ -322,10 +322,10 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataFra
     parts = shapes.withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(32))).groupBy("host", "part").applyInPandas(_merged("shape", False), "host string, wrapper string, n long")
     # Stored tables have known sizes: while the wrappers are small, pages meet them without a shuffle.
     wrappers = store(parts.groupBy("host").applyInPandas(_merged("wrapper", True), "host string, wrapper string, n long").drop("n"), "wrappers")
-    counted = rows.select("host", "html").join(wrappers, "host").mapInPandas(_texts, "host string, node int, hash long, n long").groupBy("host", "node", "hash").agg(F.sum("n").alias("n"))
-    seen = store(counted.where(F.col("hash").isNull() | (F.col("n") >= TEMPLATE_PAGES * TEMPLATE_SHARE)), "slots")
-    slots = seen.where("hash IS NULL AND node >= 0").select("host", "node", F.col("n").alias("of"))
-    texts = seen.where("hash IS NOT NULL").join(slots, ["host", "node"])
+    counted = rows.select("host", "html").join(wrappers, "host").mapInPandas(_texts, "host string, node int, hash long, whole boolean, n long").groupBy("host", "node", "hash", "whole").agg(F.sum("n").alias("n"))
+    seen = store(counted.where(F.col("whole") | (F.col("n") >= TEMPLATE_PAGES * TEMPLATE_SHARE)), "slots")
+    slots = seen.where("whole AND node >= 0").select("host", "node", F.col("n").alias("of"))
+    texts = seen.where("NOT whole").join(slots, ["host", "node"])
     constant = texts.where((F.col("of") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("of"))).groupBy("host").agg(F.collect_list(F.struct("node", "hash")).alias("template"))
     known = store(wrappers.join(constant, "host", "left"), "templates")
     ready = rows.select("row", "host").join(known, "host").select("row", "wrapper", "template")
