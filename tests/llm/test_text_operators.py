@@ -1,0 +1,293 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from panelwise.llm import decontaminate, graph, jaccard, language, lattice, pieces, repeats, secrets, sharding
+from panelwise.llm.queries import QUERIES
+from tests.llm import brute
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+ODD = [(1, ""), (2, None), (3, " \n\t"), (4, "one"), (5, "ONE"), (6, "a b"), (7, "a\x0bB  "), (8, "x" * 5000), (None, "null id here"), (9, "dup dup"), (9, "dup dup")]
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def texts(spark, rows, parts=3):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+
+
+def planted(seed=3, groups=3, copies=40, words=120):
+    """Near copies of a few texts, with up to three words changed."""
+    rnd, out = random.Random(seed), []
+    for g in range(groups):
+        base = [f"w{g}x{i}" for i in range(words)]
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(rnd.randint(0, 3)):
+                text[rnd.randrange(words)] = f"z{rnd.randrange(10**6)}"
+            out.append((len(out) + 100, " ".join(text)))
+    return out
+
+
+# --- 1 ---------------------------------------------------------------------------------------------------------------
+
+
+def test_matrix_has_exact_sums():
+    m = sharding.draw_matrix(np.random.default_rng(1), [5, 0, 7, 100], [40, 40, 32])
+    assert m.sum(axis=1).tolist() == [5, 0, 7, 100] and m.sum(axis=0).tolist() == [40, 40, 32]
+
+
+def test_hypergeometric_beyond_the_generator():
+    rng = np.random.default_rng(5)
+    got = [sharding._hypergeometric(rng, 2_000_000_000, 2_000_000_000, 10_000) for _ in range(200)]
+    assert abs(np.mean(got) - 5000) < 20 and 35 < np.std(got) < 65
+
+
+def test_shards_are_exact_and_uniform(spark):
+    df = spark.range(0, 1000, 1, 7).withColumn("shard", F.lit("clash")).withColumn("part", F.lit(1))
+    rows = sharding.shuffle_into_shards(df, 8, bucket_rows=50).collect()
+    sizes = Counter(r.shard for r in rows)
+    assert sorted(r.id for r in rows) == list(range(1000)) and set(sizes.values()) == {125}
+    assert all(sorted(r.slot for r in rows if r.shard == s) == list(range(125)) for s in range(8))
+    assert abs(np.corrcoef([r.id for r in rows], [r.shard * 125 + r.slot for r in rows])[0, 1]) < 0.12
+
+
+def test_shards_of_odd_tables(spark):
+    assert sharding.shuffle_into_shards(texts(spark, []), 4).count() == 0
+    rows = sharding.shuffle_into_shards(texts(spark, ODD), 4).collect()
+    assert len(rows) == len(ODD) and max(Counter(r.shard for r in rows).values()) == 3
+
+
+# --- 2 ---------------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("group", [2000, 1])
+def test_repeats_are_those_of_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(repeats, "GROUP", group)
+    rnd = random.Random(1)
+    passage = [f"p{i}" for i in range(60)]
+    rows = planted(copies=12) + ODD[:8]
+    for k in range(30):
+        a = [f"q{rnd.randrange(400)}" for _ in range(50)]
+        rows.append((1000 + k, " ".join(a[:20] + passage[rnd.randrange(20) :] + a[20:])))
+    rows += [(2000, " ".join(["loop", "again"] * 60)), (2001, " ".join(["same"] * 36)), (2002, rows[0][1]), (2002, rows[0][1])]
+    got = repeats.remove_repeats(texts(spark, rows)).select("doc_id", "text", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept")).collect()
+    want = brute.repeats([t for _, t in rows])
+    assert sorted((r.doc_id, *map(str, r[2:])) for r in got) == sorted((i, *map(str, w)) for (i, _), w in zip(rows, want))
+    assert repeats.remove_repeats(texts(spark, [])).count() == 0
+
+
+# --- 4 ---------------------------------------------------------------------------------------------------------------
+
+QUESTION = "Which of the nine rivers crosses the old border town of Velm before it meets the grey northern sea. The answer is the slow river Tarn."
+
+
+def test_index_returns_all_items_above_the_threshold():
+    rnd = random.Random(2)
+    items = [(i, " ".join(f"v{int(rnd.paretovariate(0.7)) % 300}" for _ in range(rnd.randint(5, 40)))) for i in range(60)]
+    counts = Counter(w for _, t in items for w in set(decontaminate.words_of(t)))
+    index = decontaminate.Index(items, counts, 60, np.mean([len(t.split()) for _, t in items]))
+    for _ in range(100):
+        query = sorted({index.ids[w] for w in rnd.choice(items)[1].split() if rnd.random() < 0.8} | {rnd.randrange(len(index.ids)) for _ in range(30)})
+        scores = Counter()
+        for t in query:
+            for item, w in zip(*index.postings[t]):
+                scores[item] += w
+        limit = rnd.choice([0.2, 0.5, 0.8])
+        got = index.search(query, limit)
+        assert [i for i, _ in got] == sorted(i for i, s in scores.items() if s >= limit)
+        assert all(abs(s - scores[i]) < 1e-9 for i, s in got)
+
+
+def test_test_items_are_found_whole_and_only_then(spark):
+    filler = " ".join(f"f{i}" for i in range(300))
+    rows = ODD + [(20, f"{filler} {QUESTION} {filler}"), (21, QUESTION.upper().replace(" ", " ** ")), (22, f"{filler} {QUESTION[:60]}"), (23, filler), (24, " ".join(reversed(QUESTION.split())))]
+    items = spark.createDataFrame([(7, QUESTION), (7, QUESTION), (8, None), (9, ""), (None, "zzz yyy xxx www vvv uuu")], "item_id long, text string")
+    found = {r.doc_id: [f.item_id for f in r.findings] for r in decontaminate.find_items(texts(spark, rows), items).collect() if r.findings}
+    assert found == {20: [7], 21: [7]}
+    none = decontaminate.find_items(texts(spark, rows), items.where("false"))
+    assert none.count() == len(rows) and none.where("size(findings) > 0").count() == 0
+
+
+# --- 6 ---------------------------------------------------------------------------------------------------------------
+
+
+def test_language_of_wrongly_declared_and_of_empty_texts(spark):
+    en, fr = "the river was there and the other thing ", "les rivières étaient là avec une autre chose "
+    rows = [(i, (en if i % 2 else fr) * 3, "en" if i % 2 else "fr", f"h{i % 3}", 1) for i in range(60)]
+    rows += [(100, en * 2, "fr", "h1", 1), (101, None, "en", None, 1), (102, "12 34", None, "h1", 1), (103, "the other", None, None, 1), (104, "", "xx", "h0", 1)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4).withColumn("language", F.lit(0))
+    got = {r.doc_id: r for r in language.identify(docs, F.col("lang"), F.col("source")).collect()}
+    assert len(got) == len(rows) and all(got[i].language == ("en" if i % 2 else "fr") and got[i].accepted for i in range(60))
+    assert got[100].language == "en" and got[103].language == "en"
+    assert not any(got[i].accepted or got[i].language for i in (101, 102, 104))
+    assert language.identify(docs.where("false"), F.col("lang"), F.col("source")).count() == 0
+    unknown = language.identify(docs.withColumn("lang", F.lit(None).cast("string")), F.col("lang"), F.col("source"))
+    assert unknown.where("accepted").count() == 0
+
+
+def test_evidence_is_smoothed():
+    table = language._likelihoods({("en", 0): 99, ("fr", 1): 9}, 2)
+    assert np.allclose(np.exp(table["en"]) + np.exp(table["fr"]), 1) and table["en"][0] > table["en"][1]
+
+
+# --- 7 ---------------------------------------------------------------------------------------------------------------
+
+
+def test_similar_sets_share_a_signature():
+    rng, pairs = np.random.default_rng(0), 0
+    for percent in (80, 90):
+        for n in [*range(1, 50), 120, 400]:
+            for _ in range(8):
+                a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+                b = [x for x in a if rng.random() > (100 - percent) / 250] + list(rng.integers(0, 2**63, rng.integers(0, n * (100 - percent) // 150 + 1)).astype(np.uint64))
+                b = np.unique(np.array(b, dtype=np.uint64))
+                both = len(np.intersect1d(a, b))
+                if not len(b) or 100 * both < percent * (len(a) + len(b) - both) or both == len(a) == len(b):
+                    continue
+                pairs += 1
+                who, sig = jaccard.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), percent)
+                assert set(sig[who == 0]) & set(sig[who == 1])
+    assert pairs > 200
+
+
+def test_bound_keeps_every_partner():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 400, rng.integers(20, 200)).astype(np.uint64)) for _ in range(60)]
+    sizes, vectors = np.array([len(s) for s in sets]), np.stack([np.bincount((s % 64).astype(int), minlength=64) for s in sets])
+    tree = jaccard.CountTree(vectors, sizes, 30)
+    for i, a in enumerate(sets):
+        near = set(tree.near(i).tolist())
+        for j, b in enumerate(sets):
+            both = len(np.intersect1d(a, b))
+            assert j in near or 100 * both < 30 * (len(a) + len(b) - both)
+
+
+@pytest.mark.parametrize("block", [2_000_000, 2500])
+def test_classes_are_those_of_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
+    rows = planted() + ODD
+    docs = texts(spark, rows, 5).withColumn("n_shingles", F.lit("clash"))
+    got = [(r.doc_id, r.text, r.n_shingles, r.component_id) for r in jaccard.similar_documents(docs).collect()]
+    assert sorted(map(str, got)) == sorted(str((i, t, *w)) for (i, t), w in zip(rows, brute.classes(rows)))
+
+
+def test_classes_of_no_rows(spark):
+    assert jaccard.similar_documents(texts(spark, [])).count() == 0
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    links = [(i, i + 1) for i in range(20)] + [(100, 100 + i) for i in range(1, 30)] + [(5, 5)]
+    got = {r.node: r.component for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(21)) and all(got[i] == 100 for i in range(100, 130))
+
+
+# --- 8 ---------------------------------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def both():
+    return pieces.Codec(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+def test_ids_are_those_of_the_library(both):
+    codec, library = both
+    rnd = random.Random(1)
+    parts = list("abeinrst THE\n▁é☃0.,-_<>\t\x00") + ["  ", "the", "tion", " ", "▁▁", "aaaa"]
+    cases = ["", " ", "\n\n", " a", "a  b   c\n\n  d ", "<s></s><unk><0x0A>", " " * 100, "x" * 3000, "😀ﬁ①", "a \n \nb"]
+    cases += ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40))) for _ in range(3000)]
+    for t in cases:
+        ids = np.frombuffer(codec.encode(t), dtype=np.int32)
+        assert ids.tolist() == library.encode(t), t
+        assert codec.decode(ids) == library.decode(ids.tolist()), t
+
+
+def test_whole_texts_round_trip(spark, small, both):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").unionByName(texts(spark, ODD))
+    rows = pieces.encode_and_decode(docs.withColumn("ids", F.lit("clash")), MODEL).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r.ids == both[1].encode(r.text or "") and r.decoded == both[1].decode(r.ids)
+
+
+# --- 9 ---------------------------------------------------------------------------------------------------------------
+
+
+def test_marginal_sums_all_segmentations():
+    names = ["▁", "a", "b", "▁a", "ab", "ba", "▁ab", "aba"]
+    weights = [0.05, 0.1, 0.1, 0.2, 0.15, 0.1, 0.2, 0.1]
+    found = lattice.Lattice(list(zip(names, range(8))), [8] * 256, [math.log(w) for w in weights] + [math.log(0.01)])
+    for word in ("▁a", "▁ab", "▁abab", "▁bbaababab"):
+        assert math.isclose(math.exp(found.marginal(word)), brute.segmentations(word, dict(zip(names, weights))), rel_tol=1e-9)
+    assert math.isclose(found.marginal("▁é"), math.log(0.05) + 2 * math.log(0.01))
+    counts = {}
+    found.expect("▁ab", 2.0, counts)
+    assert math.isclose(sum(n * len(names[i]) for i, n in counts.items()), 2 * 3, rel_tol=1e-9)
+    assert found.marginal("▁" + "ab" * 3000) < -1000
+
+
+def test_scores_of_documents(spark):
+    rows = [(i, "the cat sat on the mat") for i in range(20)] + ODD
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    got = lattice.score_documents(texts(spark, rows).withColumn("score", F.lit("clash")), held, MODEL).collect()
+    out = {i: zlib.crc32(str(i).encode()) % 7 == 2 if i is not None else False for i, _ in rows}
+    words = {(i, t): (t or "").encode().translate(brute.LOWER).split() + [None] for i, t in rows}
+    counts = Counter(w for i, t in rows if not out[i] for w in words[i, t])
+    n, v = sum(counts.values()), len(counts)
+    assert len(got) == len(rows)
+    for r in got:
+        own = words[r.doc_id, r.text]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out[r.doc_id], len(own), sum(counts[w] > 0 for w in own), n)
+        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in own), rel_tol=1e-9) and r.score < 0
+    assert lattice.score_documents(texts(spark, []), held, MODEL).count() == 0
+
+
+# --- 10 --------------------------------------------------------------------------------------------------------------
+
+
+def test_secrets_are_told_from_other_strings(spark, small):
+    prose = spark.read.parquet(f"{small}/documents.parquet").withColumn("found", F.lit("clash"))
+    key, other = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b", "60303ae22b998861bce3b28f33eec1be758a213c"
+    rows = [(9001, f'so then token = "{key}" was there {key}'), (9002, f"seen at commit {other} of the tree"), (9003, "averyveryverylongwordthatisprose"), (9004, f"API_KEY: {other.upper()} "), (9005, None), (9006, ""), (9001, f'so then token = "{key}" was there {key}')]
+    rows = [(i, t, "en", None, None if t is None else len(t), "x") for i, t in rows]
+    docs = prose.unionByName(spark.createDataFrame(rows, DOCS + ", found string")).repartition(3)
+    ids = Counter(r.row.doc_id for r in secrets.scan(docs).collect() if r.row.doc_id > 9000)
+    assert ids[9001] >= 2 and ids[9004] == 1 and set(ids) == {9001, 9004}
+    clean = {r.doc_id: r for r in secrets.redact(docs).collect()}
+    assert secrets.redact(docs).columns == docs.columns and secrets.redact(docs).count() == docs.count()
+    assert clean[9001].text == f'so then token = "{secrets.MARK}" was there {secrets.MARK}' and clean[9001].n_chars == len(clean[9001].text)
+    assert clean[9002].text.endswith("of the tree") and other in clean[9002].text and clean[9005].text is None
+    assert secrets.redact(docs.where("false")).count() == 0
+
+
+def test_forest_holds_out(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    known = secrets.labelled_findings(docs, "text").withColumn("part", F.crc32("value") % 4)
+    trigrams = secrets.dictionary(docs, "text")
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.feature import VectorAssembler
+
+    put = VectorAssembler(inputCols=list(secrets.FEATURES), outputCol="features")
+    rows = put.transform(secrets.with_features(known, trigrams))
+    forest = RandomForestClassifier(numTrees=secrets.TREES, maxDepth=secrets.DEPTH, seed=1).fit(rows.where("part > 0"))
+    right = forest.transform(rows.where("part = 0")).agg(F.avg((F.col("prediction") == F.col("label")).cast("int"))).first()[0]
+    assert right > 0.95
+
+
+@pytest.mark.parametrize("name", ["op1_hypergeometric_sharding", "op2_suffix_tree_repeats", "op7_count_vector_jaccard"])
+def test_queries_against_brute_force(spark, small, name):
+    docs = [tuple(r) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in QUERIES[name](spark, small).collect()}
+    assert set(got) == {i for i, _ in docs}
+    if name.startswith("op1"):
+        assert all(got[i].size == len(t.encode()) + 16 and got[i].text_crc32 == zlib.crc32(t.encode()) and got[i].law == "rows" for i, t in docs)
+    elif name.startswith("op2"):
+        assert [tuple(got[i][1:]) for i, _ in docs] == brute.repeats([t for _, t in docs])
+    else:
+        assert [tuple(got[i][1:]) for i, _ in docs] == brute.classes(docs)
