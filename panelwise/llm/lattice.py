@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -15,9 +16,7 @@ from pyspark.sql import functions as F
 from panelwise.llm.shared import store
 
 #: Rows of a chunk: its texts and the scores of its words are in memory together.
-CHUNK_BITS = 11
-#: Distinct words that a task holds before it passes their counts on.
-WORDS = 300_000
+CHUNK_BITS = 13
 #: Added to the expected count of each piece.
 SMOOTHING = 0.1
 #: Passes that learn piece scores from the training words.
@@ -106,18 +105,19 @@ def _vocabulary(path: str) -> tuple[list[tuple[str, int]], list[int], list[float
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, word, times in training) for each word of a chunk."""
+    """(chunk, number, word, times in training) for each word of a chunk, numbered in order."""
     counts: Counter = Counter()
     now = None
 
     def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array([now] * len(counts), pa.int64()), pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["chunk", "word", "times"])
+        words = sorted(counts)
+        columns = [pa.array([now] * len(words), pa.int64()), pa.array(range(len(words)), pa.int32()), pa.array(words, pa.binary()), pa.array([counts[w] for w in words], pa.int64())]
         counts.clear()
-        return out
+        return pa.RecordBatch.from_arrays(columns, names=["chunk", "number", "word", "times"])
 
     for batch in batches:
         for chunk, held, text in zip(batch.column("chunk").to_pylist(), batch.column("held_out").to_pylist(), batch.column("text").to_pylist()):
-            if counts and (chunk != now or len(counts) >= WORDS):
+            if chunk != now and now is not None:
                 yield flush()
             now = chunk
             if held:
@@ -125,7 +125,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     counts[w] += 0
             else:
                 counts.update(tokens(text))
-    if counts:
+    if now is not None:
         yield flush()
 
 
@@ -167,7 +167,7 @@ def score_documents(docs: DataFrame, held_out, path: str, text: str = "text") ->
     c of all training tokens. ``score`` is the sum over all segmentations of each word into pieces, times the end. Null
     and empty texts have only the end; unknown characters are written in bytes, so every text has a probability.
     Repeated rows count each time. Columns of these names in ``docs`` are replaced. Texts are stored in chunks of
-    2048 rows; a chunk's distinct words meet the corpus counts by a join, and come back to the chunk's texts. So no
+    8192 rows; a chunk's distinct words meet the corpus counts by a join, and come back to the chunk's texts. So no
     task needs the whole vocabulary, and a word that all chunks have is one row per chunk.
     """
     names = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -177,7 +177,7 @@ def score_documents(docs: DataFrame, held_out, path: str, text: str = "text") ->
     rows = store(rows.withColumn("row", place), "rows")
     chunk = F.shiftright("row", CHUNK_BITS).alias("chunk")
     body = F.col(f"doc.{text}").alias("text")
-    local = store(rows.select(chunk, "held_out", body).mapInArrow(_count_words, "chunk long, word binary, times long"), "words-of-chunks")
+    local = store(rows.select(chunk, "held_out", body).mapInArrow(_count_words, "chunk long, number int, word binary, times long"), "words-of-chunks")
     words = store(local.groupBy("word").agg(F.sum("times").alias("times")), "words")
     whole = words.where("times > 0").agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = rows.where(~F.col("held_out")).count()
@@ -192,15 +192,20 @@ def score_documents(docs: DataFrame, held_out, path: str, text: str = "text") ->
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("times"), pa.array(found, pa.float64())], names=["word", "times", "score"])
 
     scored = store(words.mapInArrow(marginals, "word binary, times long, score double"), "word-scores")
-    of_chunk = local.select("chunk", "word").join(scored, "word")
+    of_chunk = store(local.select("chunk", "number", "word").join(scored, "word").select("chunk", "number", "times", "score"), "scores-of-chunks")
     floor = math.log10(total + kinds + 1)
     end = (math.log10(ends + 1) - floor, end_score / _LN10, int(ends > 0))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        counts = right.column("times").to_pylist()
-        known = {w: (math.log10(c + 1) - floor, s, c > 0) for w, c, s in zip(right.column("word").to_pylist(), counts, right.column("score").to_pylist())}
+        texts = left.column("text").to_pylist()
+        words = sorted({w for t in texts for w in tokens(t)})  # the numbers that _count_words gave
+        times, scores = np.zeros(len(words)), np.zeros(len(words))
+        at = right.column("number").to_numpy()
+        times[at], scores[at] = right.column("times").to_numpy(), right.column("score").to_numpy()
+        bases = np.log10(times + 1) - floor
+        known = dict(zip(words, zip(bases.tolist(), scores.tolist(), (times > 0).tolist())))
         out: list[list] = [[], [], [], [], []]
-        for row, value in zip(left.column("row").to_pylist(), left.column("text").to_pylist()):
+        for row, value in zip(left.column("row").to_pylist(), texts):
             found = [known[w] for w in tokens(value)]
             base, model_score, n = zip(*found) if found else ((), (), ())
             for column, v in zip(out, (row, len(found) + 1, sum(n) + end[2], math.fsum(base) + end[0], math.fsum(model_score) + end[1])):
