@@ -8,12 +8,13 @@ from panelwise.catalog.fixtures import rounded, table, visits, vitals_of
 from panelwise.operators import learning as L
 from panelwise.operators.aggregates import top_features
 from panelwise.operators.oversampling import oversample
+from panelwise.operators.panel import NUMERIC_COLUMNS
 from panelwise.operators.scoring import score_with_model
 from panelwise.operators.splits import assign_split
 from panelwise.plans.train import train
 from panelwise.session import shared_path
 
-_NUMERIC = ["age", "bmi", "systolic_bp", "glucose", "cholesterol_total", "hdl", "ldl", "num_encounters", "num_medications"]
+_NUMERIC = list(NUMERIC_COLUMNS)
 _LABEL = "alzheimers_diagnosis"
 
 
@@ -24,7 +25,7 @@ def _split(spark, sf):
 
 @query("i13_train_and_compare")
 def _(spark, sf):
-    metrics, _, _ = train(_split(spark, sf), "patient_id", _NUMERIC, _LABEL, ["sex", "education_level"], maxIter=10)
+    metrics, _, _ = train(_split(spark, sf), "patient_id", _NUMERIC, _LABEL, ["sex", "education_level"])
     return rounded(metrics)
 
 
@@ -38,7 +39,7 @@ def _(spark, sf):
 @query("i12_boosted_scores")
 def _(spark, sf):
     data = _split(spark, sf)
-    model = L.fit_boosted(data.filter("split = 'train'"), _NUMERIC, _LABEL, data.filter("split = 'val'"), maxIter=10)
+    model = L.fit_boosted(data.filter("split = 'train'"), _NUMERIC, _LABEL, data.filter("split = 'val'"))
     return L.with_score(model, data).select("patient_id", "year", F.round("score", 6).alias("score"), "predicted")
 
 
@@ -51,7 +52,7 @@ def _(spark, sf):
 @query("g1_top_features")
 def _(spark, sf):
     train_rows = _split(spark, sf).filter("split = 'train'")
-    model = L.fit_boosted(train_rows, _NUMERIC, _LABEL, maxIter=5, categorical=["sex", "education_level"])
+    model = L.fit_boosted(train_rows, _NUMERIC, _LABEL, categorical=["sex", "education_level"])
     return rounded(top_features(L.importances(model, train_rows), 5))
 
 
@@ -71,7 +72,7 @@ def _(spark, sf):
 def _(spark, sf):
     data = _split(spark, sf)
     stages = L.logistic_stages(_NUMERIC, [], _LABEL, data.count(), None)
-    mean, std, model = L.cross_validate(data, stages, "patient_id", _LABEL, folds=3)
+    mean, std, model = L.cross_validate(data, stages, "patient_id", _LABEL)
     fitted = L.with_score(model, data).agg(F.avg((F.col("predicted") == F.col(_LABEL)).cast("double")).alias("fitted_accuracy"))
     return rounded(fitted.select(F.lit(mean).alias("cv_mean"), F.lit(std).alias("cv_std"), "fitted_accuracy"))
 

@@ -68,7 +68,18 @@ def _rolling_sql(c, windows=(1, 2, 3)):
 @query("e3_rolling_years", f"WITH {PANEL} SELECT entity_id, period, {_rolling_sql('amt_n')} FROM panel")
 def _(spark, sf):
     p = panel(spark, sf).select("entity_id", "period", "amt_n")
-    return rounded(P.zero_fill_features(P.rolling_years(p, "entity_id", "period", ["amt_n"])).drop("amt_n"))
+    return rounded(P.zero_fill_features(P.rolling_years(p, "entity_id", "period", ["amt_n"]), P.feature_names([], rolling_columns=["amt_n"])).drop("amt_n"))
+
+
+_HOLES = "holes AS (SELECT entity_id, CASE WHEN n_orders % 2 = 1 AND period % 3 = 0 THEN NULL ELSE period END AS period, period AS grain, amt_n FROM panel)"
+
+
+@query("e3_rolling_null_period", f"WITH {PANEL}, {_HOLES}, r AS (SELECT entity_id, grain, {_rolling_sql('amt_n')} FROM holes) SELECT * FROM r")
+def _(spark, sf):
+    """Rows without a period count among each other only."""
+    hole = (F.col("n_orders") % 2 == 1) & (F.col("period") % 3 == 0)
+    p = panel(spark, sf).select("entity_id", F.when(~hole, F.col("period")).alias("period"), F.col("period").alias("grain"), "amt_n")
+    return rounded(P.zero_fill_features(P.rolling_years(p, "entity_id", "period", ["amt_n"]), P.feature_names([], rolling_columns=["amt_n"])).drop("amt_n", "period"))
 
 
 def _delta_sql(c, lags=(1, 2)):
@@ -130,10 +141,10 @@ def _(spark, sf):
 
 
 @query("f5_densified_panel", f"""
-WITH {PANEL}, e AS (SELECT DISTINCT entity_id FROM panel), y AS (SELECT CAST(unnest(range(1995, 2000)) AS INTEGER) AS period)
+WITH {PANEL}, e AS (SELECT DISTINCT entity_id FROM panel), y AS (SELECT CAST(unnest(range(1992, 2002)) AS INTEGER) AS period)
 SELECT e.entity_id, y.period, p.amt, p.seg FROM e CROSS JOIN y LEFT JOIN panel p ON p.entity_id = e.entity_id AND p.period = y.period""")
 def _(spark, sf):
-    return P.densify(panel(spark, sf).select("entity_id", "period", "amt", "seg"), "entity_id", "period", 1995, 1999)
+    return P.densify(panel(spark, sf).select("entity_id", "period", "amt", "seg"), "entity_id", "period", 1992, 2001)
 
 
 @query("h1_vertical_concat", f"WITH {PANEL} SELECT entity_id, period, amt FROM panel WHERE period < 1996 UNION ALL SELECT entity_id, period, amt FROM panel WHERE period >= 1995")
@@ -143,10 +154,10 @@ def _(spark, sf):
 
 
 @query("h3_unseen_entities", f"""
-WITH {PANEL} SELECT DISTINCT entity_id FROM panel WHERE period = 1999 AND entity_id NOT IN (SELECT entity_id FROM panel WHERE period IN (1997, 1998))""")
+WITH {PANEL} SELECT DISTINCT entity_id FROM panel WHERE period >= 1999 AND entity_id NOT IN (SELECT entity_id FROM panel WHERE period < 1999)""")
 def _(spark, sf):
     p = panel(spark, sf)
-    return P.unseen_entities(p.filter("period = 1999"), p.filter("period IN (1997, 1998)"), "entity_id")
+    return P.unseen_entities(p.filter("period >= 1999"), p.filter("period < 1999"), "entity_id")
 
 
 @query("i18_new_rows_with_history", f"""
@@ -156,7 +167,7 @@ SELECT * FROM f WHERE period = (SELECT max(period) FROM panel)""")
 def _(spark, sf):
     p = panel(spark, sf).select("entity_id", "period", "amt")
     last = p.agg(F.max("period")).first()[0]
-    out = P.new_rows_with_history(p.filter(F.col("period") < last), p.filter(F.col("period") == last), "entity_id", "period", ["amt"], windows=(1, 2), lags=(1,))
+    out = P.new_rows_with_history(p.filter(F.col("period") < last), p.filter(F.col("period") == last), "entity_id", "period", ["amt"], years=(1, 2), lags=(1,))
     return rounded(out.drop("amt"))
 
 
@@ -188,11 +199,13 @@ def _(spark, sf):
 
 @query("k1_mapped_frames", f"WITH {VITALS} SELECT id, round(bmi / 25, 6) AS ratio, CASE WHEN bmi >= 30 THEN 'obese' ELSE 'other' END AS band FROM vitals")
 def _(spark, sf):
+    import numpy as np
+
     from panelwise.functions.frames import map_frames
 
     def add(frame, base):
         frame["ratio"] = frame["bmi"] / base
-        frame["band"] = ["obese" if x >= 30 else "other" for x in frame["bmi"]]
+        frame["band"] = np.where(frame["bmi"] >= 30, "obese", "other")
         return frame[["id", "ratio", "band"]]
 
     return rounded(map_frames(vitals(spark, sf).select("id", "bmi"), add, "id bigint, ratio double, band string", base=25.0))

@@ -121,8 +121,8 @@ WITH m AS (SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) - 1 AS BIGINT
 SELECT c_custkey, c_name_encoded FROM customer JOIN m USING (c_name)""")
 def _(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name")
-    index = encoding.label_index(c, "c_name", limit=100)
-    return encoding.label_encode(c, "c_name", index, limit=100).drop("c_name")
+    index = encoding.label_index(c, "c_name")
+    return encoding.label_encode(c, "c_name", index).drop("c_name")
 
 
 @query("i3_category_codes", f"""

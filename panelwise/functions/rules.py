@@ -152,7 +152,8 @@ def score_report(score: str) -> dict[str, Column]:
 
 
 def at_threshold(score: str, threshold: float) -> Column:
-    return (col(score) >= threshold).cast("int")
+    """1 or 0; a score that is no number has no label."""
+    return F.when(~F.isnan(col(score).cast("double")), (col(score) >= threshold).cast("int"))
 
 
 def fill_missing_columns(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:

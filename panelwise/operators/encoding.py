@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwise.operators.panel import small_distinct
-from panelwise.operators.skew import GROUP_ROWS, LOOKUP_ROWS, bounded_rows, col, lookup
+from panelwise.operators.skew import col, lookup
 from panelwise.session import write_and_read
 
 MAX_CATEGORIES = 50
@@ -33,19 +33,26 @@ def cap_categories(df: DataFrame, column: str, n: int = MAX_CATEGORIES, other: s
     return joined.select(*[value.alias(c) if c == column else col(c) for c in df.columns])
 
 
-def one_hot(df: DataFrame, columns: Sequence[str], max_categories: int = MAX_CATEGORIES, fit_on: DataFrame | None = None) -> DataFrame:
+def one_hot(df: DataFrame, columns: Sequence[str], max_categories: int | None = None, fit_on: DataFrame | None = None) -> DataFrame:
     """``{column}_{value}`` 0/1 columns for every non-null value, in value order; null gives all zeros.
 
-    A column with more than ``max_categories`` values is capped first, so that the rest counts as ``other``.
+    With ``max_categories`` the rarer values of a column with more count together as ``{column}_other``, or
+    ``other_``, ``other__`` and so on if a kept value already has that name.
     """
     source = df if fit_on is None else fit_on
     added: dict[str, Column] = {}
     for c in columns:
-        values = small_distinct(source, c, max_categories)
+        if max_categories is None:
+            values = sorted(r[0] for r in source.select(col(c)).where(col(c).isNotNull()).distinct().collect())  # as many as new columns
+        else:
+            values = small_distinct(source, c, max_categories)
         if values is None:
             kept = sorted(r[0] for r in top_values(source, c, max_categories).collect())
             added |= {f"{c}_{v}": _is(c, v) for v in kept}
-            added[f"{c}_{OTHER}"] = F.coalesce(~col(c).isin(kept), F.lit(False)).cast("int")
+            other = OTHER
+            while f"{c}_{other}" in added:
+                other += "_"
+            added[f"{c}_{other}"] = F.coalesce(~col(c).isin(kept), F.lit(False)).cast("int")
         else:
             added |= {f"{c}_{v}": _is(c, v) for v in values}
     return df.withColumns(added)
@@ -55,16 +62,13 @@ def _is(column: str, value: object) -> Column:
     return F.coalesce(col(column) == F.lit(value), F.lit(False)).cast("int")
 
 
-def label_index(df: DataFrame, column: str, limit: int = LOOKUP_ROWS) -> DataFrame:
+def label_index(df: DataFrame, column: str) -> DataFrame:
     """Codes of the non-null values in value order, from 0: rows (column, code). Fitted once, then reused.
 
-    Up to ``limit`` values are numbered in one window. More are range-sorted into a stored table, whose files are
-    consecutive ranges; a value's code is its place in its file plus the sizes of the files before it.
+    The values are range-sorted into a stored table, whose files are consecutive ranges; a value's code is its place in
+    its file plus the sizes of the files before it.
     """
     values = df.select(col(column)).filter(col(column).isNotNull()).distinct()
-    if bounded_rows(values, limit) is not None:
-        at = F.row_number().over(W.partitionBy(F.lit(0)).orderBy(col(column)))
-        return values.select(col(column), (at - 1).cast("bigint").alias("code"))
     stored = write_and_read(values.orderBy(col(column)), "label-index")
     stored = stored.select(col(column), F.col("_metadata.file_path").alias("_file"))
     files = stored.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"), F.min(col(column)).alias("_first"))
@@ -76,12 +80,10 @@ def label_index(df: DataFrame, column: str, limit: int = LOOKUP_ROWS) -> DataFra
     return placed.select(col(column), (F.col("_before") + at - 1).cast("bigint").alias("code"))
 
 
-def label_encode(
-    df: DataFrame, column: str, index: DataFrame, out: str | None = None, limit: int = LOOKUP_ROWS, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def label_encode(df: DataFrame, column: str, index: DataFrame, out: str | None = None) -> DataFrame:
     """``{column}_encoded``: code of the value, -1 for null and for values the index lacks."""
     out = out or f"{column}_encoded"
-    coded = lookup(df, index.withColumnRenamed("code", out), column, limit, group_rows)
+    coded = lookup(df, index.withColumnRenamed("code", out), column)
     return coded.withColumn(out, F.coalesce(col(out), F.lit(-1).cast("bigint")))
 
 
@@ -98,13 +100,11 @@ def target_means(df: DataFrame, column: str, label: str) -> DataFrame:
     return df.groupBy(col(column)).agg(F.avg(col(label).cast("double")).alias("target_mean"))
 
 
-def target_encode(
-    df: DataFrame, train: DataFrame, column: str, label: str, limit: int = LOOKUP_ROWS, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def target_encode(df: DataFrame, train: DataFrame, column: str, label: str) -> DataFrame:
     """``{column}_target``: the value's share of positives in ``train``, the overall share for unseen values."""
     overall = train.agg(F.avg(col(label).cast("double"))).first()[0]
     out = f"{column}_target"
-    coded = lookup(df, target_means(train, column, label).withColumnRenamed("target_mean", out), column, limit, group_rows)
+    coded = lookup(df, target_means(train, column, label).withColumnRenamed("target_mean", out), column)
     return coded.withColumn(out, F.coalesce(col(out), F.lit(overall)))
 
 

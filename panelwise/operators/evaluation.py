@@ -23,6 +23,21 @@ RECALL_TARGET = 0.8
 FP_COST, FN_COST = 1.0, 3.0
 
 
+def valid(df: DataFrame, label: str, score: str) -> DataFrame:
+    """The rows that evaluation counts: those with a label and a score that is a number. Every function below starts
+    here, so all of them count the same rows; ``skipped`` says how many others there are."""
+    return df.filter(_is_valid(label, score))
+
+
+def skipped(df: DataFrame, label: str, score: str) -> DataFrame:
+    """One row ``skipped``: rows without a label or a usable score."""
+    return df.agg(F.count_if(~_is_valid(label, score)).alias("skipped"))
+
+
+def _is_valid(label: str, score: str) -> Column:
+    return col(label).isNotNull() & col(score).isNotNull() & ~F.isnan(col(score).cast("double"))
+
+
 def _metrics(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
     """accuracy, precision, recall, f1; every division by zero gives 0."""
     return {
@@ -36,7 +51,7 @@ def _metrics(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column
 def confusion(df: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
     """One row tn, fp, fn, tp at an inclusive threshold."""
     positive, predicted = col(label) == 1, col(score) >= threshold
-    return df.agg(
+    return valid(df, label, score).agg(
         F.count_if(~positive & ~predicted).alias("tn"),
         F.count_if(~positive & predicted).alias("fp"),
         F.count_if(positive & ~predicted).alias("fn"),
@@ -62,7 +77,7 @@ def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: Sequence[
         F.struct(F.lit(t).alias("threshold"), F.col(f"_tp{i}").alias("tp"), F.col(f"_fp{i}").alias("fp"))
         for i, t in enumerate(thresholds)
     ]
-    rows = df.agg(*sums).select("_p", "_n", F.inline(F.array(*cells)))
+    rows = valid(df, label, score).agg(*sums).select("_p", "_n", F.inline(F.array(*cells)))
     rows = rows.select("threshold", "tp", "fp", (F.col("_p") - F.col("tp")).alias("fn"), (F.col("_n") - F.col("_p") - F.col("fp")).alias("tn"))
     return rows.withColumns(_metrics(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")))
 
@@ -116,7 +131,7 @@ def fallback_threshold(sweep: DataFrame, recall: float = RECALL_TARGET) -> DataF
 
 def score_histogram(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """Rows ([group,] score, p, n): positives and negatives per distinct score."""
-    return df.groupBy(*[col(g) for g in group], col(score).cast("double").alias("score")).agg(
+    return valid(df, label, score).groupBy(*[col(g) for g in group], col(score).cast("double").alias("score")).agg(
         F.count_if(col(label) == 1).alias("p"), F.count_if(col(label) == 0).alias("n")
     )
 
@@ -124,8 +139,7 @@ def score_histogram(df: DataFrame, label: str, score: str, group: Sequence[str]
 def cumulative(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> DataFrame:
     """The histogram with cum_p and cum_n, the counts at this or a higher score, and their totals per group."""
     hist = score_histogram(df, label, score, group)
-    scores = df.select(*[col(g) for g in group], col(score).cast("double").alias("score"))
-    return running_totals(hist, {"cum_p": "p", "cum_n": "n"}, "score", group=group, descending=True, cuts_from=scores)
+    return running_totals(hist, {"cum_p": "p", "cum_n": "n"}, "score", group=group, descending=True)
 
 
 def _ranking_aggregates() -> list[Column]:
@@ -184,10 +198,12 @@ def _window_result(hits: Column, positives: Column) -> list[Column]:
 def window_hits(df: DataFrame, entity: str, period: str, label: str, score: str, threshold: float, years: int = 1) -> DataFrame:
     """One row: positive predictions, and how many have a true label of the same entity within +-``years``.
 
-    Rows are first reduced to one per (entity, period), so an entity's window never exceeds its distinct periods.
+    Rows are first reduced to one per (entity, period), so an entity's window never exceeds its distinct periods. A row
+    without a period is a prediction that nothing can confirm.
     """
-    cells = df.groupBy(col(entity).alias("entity"), col(period).cast("bigint").alias("period")).agg(
-        F.count_if(col(score) >= threshold).alias("predicted"), F.max((col(label) == 1).cast("int")).alias("hit")
+    hit = F.max(F.when(col(period).isNotNull(), (col(label) == 1).cast("int")))
+    cells = valid(df, label, score).groupBy(col(entity).alias("entity"), col(period).cast("bigint").alias("period")).agg(
+        F.count_if(col(score) >= threshold).alias("predicted"), hit.alias("hit")
     )
     around = W.partitionBy("entity").orderBy("period").rangeBetween(-years, years)
     near = cells.select("predicted", F.coalesce(F.max("hit").over(around), F.lit(0)).alias("near"))
@@ -199,8 +215,9 @@ def window_hits_by_join(
 ) -> DataFrame:
     """``window_hits`` as an interval join: each labelled (entity, period) is spread over the periods it covers,
     which makes the interval an equality and each side distinct."""
+    df = valid(df, label, score)
     covered = (
-        df.filter(col(label) == 1)
+        df.filter((col(label) == 1) & col(period).isNotNull())
         .select(col(entity).alias("entity"), col(period).cast("bigint").alias("period"))
         .distinct()
         .select("entity", F.explode(F.sequence(F.col("period") - years, F.col("period") + years)).alias("period"))

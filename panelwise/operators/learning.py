@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from panelwise.operators.aggregates import top_features
 from panelwise.operators.evaluation import COARSE_THRESHOLDS, _metrics, best_f1_threshold, ranking_metrics, threshold_sweep
+from panelwise.operators.encoding import top_values
 from panelwise.operators.oversampling import oversample
+from panelwise.operators.ranking import exact_quantiles
 from panelwise.operators.scaling import VARIANCE_THRESHOLD, varying_columns
 from panelwise.operators.skew import col
 from panelwise.operators.splits import SEED, fold_of, positive_weight, with_class_weight
@@ -27,6 +29,7 @@ MAX_FEATURES = 150
 BOOSTED = {"maxIter": 50, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 SELECTOR = {"maxIter": 25, "maxDepth": 3, "stepSize": 0.3}
 PATIENCE = 10
+FILLED = "_filled"
 
 
 class Trained(NamedTuple):
@@ -36,14 +39,29 @@ class Trained(NamedTuple):
     threshold: float
 
 
-def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), out: str = "features") -> list:
-    """Assembler over the numeric columns and one dummy per category; unseen categories get a slot of their own.
+def fill_values(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()) -> dict[str, float | str]:
+    """Exact median of each numeric column and most frequent value of each categorical one (ties by value), of the training
+    rows; 0 and "unknown" for a column without values."""
+    medians = {r["name"]: r["m"] for r in exact_quantiles(train, numeric, {"m": 0.5}).collect()} if numeric else {}
+    modes = {c: r[0] for c in categorical if (r := top_values(train, c, 1).select(col(c)).first())}
+    return {**{c: medians.get(c, 0.0) for c in numeric}, **{c: modes.get(c, "unknown") for c in categorical}}
 
-    Fitted on the training split only, so all splits share the same columns.
+
+def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), out: str = "features", fills: Mapping[str, float | str] | None = None) -> list:
+    """Missing values filled with ``fills``, an assembler over the numeric columns, and one dummy per category; unseen
+    categories get a slot of their own.
+
+    Fitted on the training split only, so all splits share the same columns. The fills are part of the stored model.
     """
     index = [f"{c}_index" for c in categorical]
     dummies = [f"{c}_dummies" for c in categorical]
     stages: list = []
+    if fills is not None:
+        quoted = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        filled = [f"coalesce(nullif(cast(`{c}` as double), double('NaN')), double('{fills[c]!r}')) AS `{c}{FILLED}`" for c in numeric]
+        filled += [f"coalesce(`{c}`, {quoted(str(fills[c]))}) AS `{c}{FILLED}`" for c in categorical]
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__"))
+        numeric, categorical = [f"{c}{FILLED}" for c in numeric], [f"{c}{FILLED}" for c in categorical]
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=index, outputCols=dummies, dropLast=False))
@@ -54,7 +72,7 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), out:
 def vector_names(df: DataFrame, column: str = "features") -> list[str]:
     """Names of the vector's slots, from the column's ML attributes."""
     groups = df.schema[column].metadata["ml_attr"]["attrs"].values()
-    return [a["name"] for a in sorted((a for g in groups for a in g), key=lambda a: a["idx"])]
+    return [a["name"].removesuffix(FILLED) for a in sorted((a for g in groups for a in g), key=lambda a: a["idx"])]
 
 
 def importances(model: PipelineModel, sample: DataFrame) -> DataFrame:
@@ -75,7 +93,7 @@ def select_features(
     report = {"variance_threshold": threshold, "variance_selected": len(kept)}
     if len(kept) > max_features:
         booster = GBTClassifier(labelCol=label, seed=seed, **SELECTOR)
-        model = Pipeline(stages=[*feature_stages(kept), booster]).fit(train)
+        model = Pipeline(stages=[*feature_stages(kept, fills=fill_values(train, kept)), booster]).fit(train)
         kept = [r["feature"] for r in top_features(importances(model, train), max_features).collect()]
     return kept, {**report, "max_features": max_features, "final_selected": len(kept)}
 
@@ -84,16 +102,24 @@ def selection_report(spark: SparkSession, report: Mapping[str, float]) -> DataFr
     return spark.createDataFrame([(k, float(v)) for k, v in report.items()], "item string, value double")
 
 
-def logistic_stages(numeric: Sequence[str], categorical: Sequence[str], label: str, rows: int, weight: str | None) -> list:
-    """Scaled features, then logistic regression with L2 strength C = 1, i.e. 1/n on the mean loss."""
+def logistic_stages(
+    numeric: Sequence[str], categorical: Sequence[str], label: str, rows: int, weight: str | None, fills: Mapping[str, float | str] | None = None
+) -> list:
+    """Scaled features, then logistic regression with L2 strength C = 1, i.e. 1/n on the mean loss.
+
+    The scaler divides by the sample deviation. The penalty is lowered by (n - 1)/n, which gives exactly the model of
+    features scaled by the population deviation.
+    """
     scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
-    lr = LogisticRegression(labelCol=label, regParam=1.0 / max(rows, 1), standardization=False, maxIter=500, tol=1e-3)
-    return [*feature_stages(numeric, categorical, "raw_features"), scaler, lr.setWeightCol(weight) if weight else lr]
+    n = max(rows, 1)
+    lr = LogisticRegression(labelCol=label, regParam=max(n - 1, 1) / n / n, standardization=False, maxIter=500, tol=1e-3)
+    return [*feature_stages(numeric, categorical, "raw_features", fills), scaler, lr.setWeightCol(weight) if weight else lr]
 
 
 def fit_logistic(train: DataFrame, numeric: Sequence[str], label: str, categorical: Sequence[str] = (), balanced: bool = True) -> PipelineModel:
     data = with_class_weight(train, label) if balanced else train
-    stages = logistic_stages(numeric, categorical, label, train.count(), "weight" if balanced else None)
+    fills = fill_values(train, numeric, categorical)
+    stages = logistic_stages(numeric, categorical, label, train.count(), "weight" if balanced else None, fills)
     return Pipeline(stages=stages).fit(data)
 
 
@@ -126,7 +152,7 @@ def fit_boosted(
     data = train
     if balanced:
         data = train.withColumn("weight", F.when(col(label) == 1, F.lit(positive_weight(train, label))).otherwise(F.lit(1.0)))
-    prepared = Pipeline(stages=feature_stages(numeric, categorical)).fit(data)
+    prepared = Pipeline(stages=feature_stages(numeric, categorical, fills=fill_values(train, numeric, categorical))).fit(data)
     ready = prepared.transform(data)
     settings = {**BOOSTED, **params}
     booster = GBTClassifier(labelCol=label, seed=seed, **settings)
@@ -195,7 +221,7 @@ def train_models(
     }
     tables, thresholds = [], {}
     for name, model in models.items():
-        scored = with_score(model, df)
+        scored = write_and_read(with_score(model, df).select(col(split), col(label), "score", "predicted"), "scores")
         tables.append(split_metrics(scored, label, split).select(F.lit(name).alias("model"), col(split).alias("split"), "metric", "value"))
         sweep = threshold_sweep(scored.filter(col(split) == "val"), label, "score", COARSE_THRESHOLDS)
         thresholds[name] = best_f1_threshold(sweep).first()["threshold"]

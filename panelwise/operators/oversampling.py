@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwise.operators.ranking import block_count, block_of, cut_array, find_cuts, running_totals
+from panelwise.operators.ranking import block_count, block_of, find_cuts, running_totals
 from panelwise.operators.skew import col
 from panelwise.operators.splits import SEED
 from panelwise.session import write_and_read
@@ -95,7 +95,7 @@ def points_of(df: DataFrame, columns: Sequence[str], seed: int = SEED, projectio
     points = write_and_read(copies.select(x.alias("x"), "copies", F.lit(1).cast("bigint").alias("one"), *[p.alias(n) for n, p in places.items()]), "points")
     for j in range(projections):
         sums = {f"r{j}": "one", "upto": "copies"} if j == 0 else {f"r{j}": "one"}
-        ranked = running_totals(points, sums, f"p{j}").drop(*[f"{s}_total" for s in sums])
+        ranked = running_totals(points, sums, "x", leading=[f"p{j}"]).drop(*[f"{s}_total" for s in sums])
         points = write_and_read(ranked, "points")
     return points.withColumn("pid", F.col("r0")).drop("one")
 
@@ -127,7 +127,7 @@ def _search_stretches(points: DataFrame, j: int, k: int, stretch: int) -> DataFr
 def _search_blocks(open_rows: DataFrame, points: DataFrame, k: int) -> DataFrame:
     """Rows (of, _late) over every point whose place on projection 0 lies within ``needed`` of the row."""
     blocks = block_count(points)
-    cuts = cut_array(find_cuts(points, "p0", blocks))
+    cuts = F.array(*[F.lit(c) for c in find_cuts(points, "p0", blocks)]).cast("array<double>")
     n_points, n_open = points.count(), open_rows.count()
     parts, turns = max(1, n_points // (blocks * _GROUP)), max(1, n_open // _GROUP)
     # The bounds are widened by far more than the rounding of a projection.

@@ -1,9 +1,9 @@
 """Features of an entity x period panel.
 
-Two plans give the same result. While the largest entity fits in one task (``group_rows``, checked by an aggregate
-over the entity column alone) all windows share one shuffle on the entity. Beyond that, each row's contribution is
-moved to the periods it counts for and aggregated there with map-side combine, and the small per-entity or
-per-(entity, period) result is attached to the rows; then no entity is ever gathered in one task.
+Each row's contribution is moved to the entity or the periods it counts for and aggregated there with map-side combine;
+the small per-entity or per-(entity, period) result is attached to the rows. No entity is ever gathered in one task.
+``windows=True`` asks for the other plan, in which all windows share one shuffle on the entity: right for panels whose
+entities are known to be small. Both give the same rows.
 """
 from __future__ import annotations
 
@@ -14,7 +14,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwise.operators.ranking import running_totals
-from panelwise.operators.skew import GROUP_ROWS, attach, bounded_rows, col, frequent_keys, keep_members, largest_group
+from panelwise.operators.skew import attach, bounded_rows, col, keep_members
+from panelwise.session import write_and_read
 
 STATS = ("mean", "std", "min", "max")
 ROLLING = ("mean", "std", "min", "max", "count")
@@ -38,10 +39,6 @@ def _stat(name: str, value: Column) -> Column:
     }[name](value)
 
 
-def _fits(df: DataFrame, entity: str, group_rows: int) -> bool:
-    return largest_group(df, entity) <= group_rows
-
-
 def _years(w: WindowSpec, first: int, last: int) -> WindowSpec:
     return w.rangeBetween(first, last)
 
@@ -64,10 +61,10 @@ def join_entity_table(df: DataFrame, entity: str, columns: Sequence[str], stats:
 
 
 def entity_stats(
-    df: DataFrame, entity: str, columns: Sequence[str], stats: Sequence[str] = STATS, group_rows: int = GROUP_ROWS
+    df: DataFrame, entity: str, columns: Sequence[str], stats: Sequence[str] = STATS, windows: bool = False
 ) -> DataFrame:
     """``{column}_patient_{stat}`` of the row's entity on every row; the deviation of one value is null."""
-    if not _fits(df, entity, group_rows):
+    if not windows:
         return join_entity_table(df, entity, columns, stats)
     w = W.partitionBy(col(entity))
     return df.select("*", *[_stat(s, col(c)).over(w).alias(f"{c}_patient_{s}") for c in columns for s in stats])
@@ -89,14 +86,17 @@ def _by_shifting(
 ) -> DataFrame:
     """Rolling frames and earlier values: every row is counted in the periods it reaches, then attached there."""
     reach = max([0, *[w - 1 for w in windows], *lags])
-    steps = F.explode(F.array(*[F.lit(i) for i in range(reach + 1)])).alias("_step")
-    moved = df.select(col(entity), col(period), *[col(c) for c in columns], steps)
+    # A row without a period counts once, with the entity's other rows without one.
+    steps = F.when(col(period).isNull(), F.array(F.lit(0))).otherwise(F.array(*[F.lit(i) for i in range(reach + 1)]))
+    moved = df.select(col(entity), col(period), *[col(c) for c in columns], F.explode(steps).alias("_step"))
     moved = moved.withColumn("_at", (col(period) + F.col("_step")).cast("bigint"))
     aggs = [F.count_if(F.col("_step") == 0).alias(_WEIGHT)]
     aggs += [
         _stat(s, F.when(F.col("_step") < w, col(c))).alias(_rolling_name(c, s, w)) for w in windows for c in columns for s in stats
     ]
-    aggs += [F.min(F.when(F.col("_step") == k, col(c))).alias(f"{_delta_name(c, k)}_from") for k in lags for c in columns]
+    # Without a period the frame of exactly k years before is that of the rows without one, as for a window.
+    from_ = lambda k: (F.col("_step") == k) | F.col("_at").isNull()
+    aggs += [F.min(F.when(from_(k), col(c))).alias(f"{_delta_name(c, k)}_from") for k in lags for c in columns]
     table = moved.groupBy(col(entity), F.col("_at")).agg(*aggs)
     rows = df.withColumn("_at", col(period).cast("bigint"))
     wide = attach(rows, table, [entity, "_at"], _WEIGHT).drop("_at")
@@ -113,25 +113,25 @@ def rolling_years(
     entity: str,
     period: str,
     columns: Sequence[str],
-    windows: Sequence[int] = (1, 2, 3),
+    years: Sequence[int] = (1, 2, 3),
     stats: Sequence[str] = ROLLING,
-    group_rows: int = GROUP_ROWS,
+    windows: bool = False,
 ) -> DataFrame:
     """``{column}_rolling_{stat}_{w}y`` over the row's year and the ``w - 1`` years before it, gaps included."""
-    if not _fits(df, entity, group_rows):
-        return _by_shifting(df, entity, period, columns, windows, stats, ())
+    if not windows:
+        return _by_shifting(df, entity, period, columns, years, stats, ())
     w = W.partitionBy(col(entity)).orderBy(col(period))
     return df.select(
         "*",
-        *[_stat(s, col(c)).over(_years(w, 1 - n, 0)).alias(_rolling_name(c, s, n)) for n in windows for c in columns for s in stats],
+        *[_stat(s, col(c)).over(_years(w, 1 - n, 0)).alias(_rolling_name(c, s, n)) for n in years for c in columns for s in stats],
     )
 
 
 def year_deltas(
-    df: DataFrame, entity: str, period: str, columns: Sequence[str], lags: Sequence[int] = (1, 2), group_rows: int = GROUP_ROWS
+    df: DataFrame, entity: str, period: str, columns: Sequence[str], lags: Sequence[int] = (1, 2), windows: bool = False
 ) -> DataFrame:
     """``{column}_delta_{k}y``: change against exactly ``k`` years before, 0 if that year or a value is missing."""
-    if not _fits(df, entity, group_rows):
+    if not windows:
         return _by_shifting(df, entity, period, columns, (), (), lags)
     w = W.partitionBy(col(entity)).orderBy(col(period))
     return df.select(
@@ -146,90 +146,69 @@ def panel_features(
     columns: Sequence[str] = NUMERIC_COLUMNS,
     stats: Sequence[str] = STATS,
     rolling_columns: Sequence[str] = (),
-    windows: Sequence[int] = (1, 2, 3),
+    years: Sequence[int] = (1, 2, 3),
     rolling: Sequence[str] = ROLLING,
     lags: Sequence[int] = (),
-    group_rows: int = GROUP_ROWS,
+    windows: bool = False,
 ) -> DataFrame:
-    """Entity statistics, rolling frames and changes in one projection: one shuffle on the entity serves them all."""
-    if not _fits(df, entity, group_rows):
+    """Entity statistics, rolling frames and changes together."""
+    if not windows:
         out = join_entity_table(df, entity, columns, stats) if columns else df
-        if rolling_columns:
-            added = _by_shifting(out, entity, period, rolling_columns, windows, rolling, lags)
-            return added
-        return out
+        return _by_shifting(out, entity, period, rolling_columns, years, rolling, lags) if rolling_columns else out
     ordered = W.partitionBy(col(entity)).orderBy(col(period))
     # The whole-entity frame is ordered too, so that one sort serves every window.
     whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing) if rolling_columns else W.partitionBy(col(entity))
     added = [_stat(s, col(c)).over(whole).alias(f"{c}_patient_{s}") for c in columns for s in stats]
     for c in rolling_columns:
-        added += [_stat(s, col(c)).over(_years(ordered, 1 - n, 0)).alias(_rolling_name(c, s, n)) for n in windows for s in rolling]
+        added += [_stat(s, col(c)).over(_years(ordered, 1 - n, 0)).alias(_rolling_name(c, s, n)) for n in years for s in rolling]
         added += [_change(col(c), F.min(col(c)).over(_years(ordered, -k, -k))).alias(_delta_name(c, k)) for k in lags]
     return df.select("*", *added)
 
 
-def zero_fill_features(df: DataFrame) -> DataFrame:
-    """Null entity, rolling and delta features become 0."""
-    marks = ("_patient_", "_rolling_", "_delta_")
-    return df.na.fill(0, [c for c in df.columns if any(m in c for m in marks)])
+def feature_names(
+    columns: Sequence[str], stats: Sequence[str] = STATS, rolling_columns: Sequence[str] = (), years: Sequence[int] = (1, 2, 3), rolling: Sequence[str] = ROLLING, lags: Sequence[int] = ()
+) -> list[str]:
+    """Names of the columns that ``panel_features`` adds for these arguments."""
+    names = [f"{c}_patient_{s}" for c in columns for s in stats]
+    names += [_rolling_name(c, s, n) for c in rolling_columns for n in years for s in rolling]
+    return names + [_delta_name(c, k) for c in rolling_columns for k in lags]
 
 
-# --- row order within an entity -----------------------------------------------------------------------------------
+def zero_fill_features(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Nulls of the named feature columns become 0; other columns keep theirs."""
+    return df.na.fill(0, [n for n in names if n in df.columns])
 
 
-def _split_frequent(df: DataFrame, entity: str) -> tuple[DataFrame, DataFrame]:
-    """(rows of frequent entities, the rest): at most ``FREQUENT_KEYS`` keys are broadcast."""
-    top = F.broadcast(frequent_keys(df, entity).select(col(entity).alias("_key")))
-    same = df[f"`{entity}`"].eqNullSafe(top["_key"])
-    return df.join(top, same, "left_semi"), df.join(top, same, "left_anti")
+# --- row order within an entity -----------------------------------------------------------------------------------
 
 
-def running_sum(
-    df: DataFrame, entity: str, period: str, tiebreak: str, column: str, out: str, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def running_sum(df: DataFrame, entity: str, period: str, tiebreak: str, column: str, out: str) -> DataFrame:
     """Sum of ``column`` over the entity's rows so far, ordered by period and the unique numeric ``tiebreak``."""
+    return running_totals(df, {out: column}, tiebreak, group=[entity], leading=[period]).drop(f"{out}_total")
 
-    def windowed(part: DataFrame) -> DataFrame:
-        w = W.partitionBy(col(entity)).orderBy(col(period), col(tiebreak)).rowsBetween(W.unboundedPreceding, 0)
-        return part.select("*", F.sum(col(column)).over(w).alias(out))
-
-    if _fits(df, entity, group_rows):
-        return windowed(df)
-    frequent, rare = _split_frequent(df, entity)
-    totals = running_totals(frequent, {out: column}, tiebreak, group=[entity], leading=[period]).drop(f"{out}_total")
-    return totals.unionByName(windowed(rare))
 
+def rolling_rows(df: DataFrame, entity: str, period: str, tiebreak: str, columns: Sequence[str], rows: int = 3) -> DataFrame:
+    """Mean and maximum of the last ``rows`` rows of the entity (fewer at its start), same order as above.
 
-def rolling_rows(
-    df: DataFrame, entity: str, period: str, tiebreak: str, columns: Sequence[str], rows: int = 3, group_rows: int = GROUP_ROWS
-) -> DataFrame:
-    """Mean and maximum of the last ``rows`` rows of the entity (fewer at its start), same order as above."""
-    stats = ("mean", "max")
-
-    def windowed(part: DataFrame) -> DataFrame:
-        w = W.partitionBy(col(entity)).orderBy(col(period), col(tiebreak)).rowsBetween(1 - rows, 0)
-        return part.select("*", *[_stat(s, col(c)).over(w).alias(f"{c}_rolling_{s}") for c in columns for s in stats])
-
-    if _fits(df, entity, group_rows):
-        return windowed(df)
-    frequent, rare = _split_frequent(df, entity)
-    # Number the rows across tasks; then a frame of rows is a frame of numbers, aggregated where it ends.
-    one = frequent.withColumn("_one", F.lit(1).cast("bigint"))
+    Rows are numbered across tasks; then a frame of rows is a frame of numbers, aggregated where it ends.
+    """
+    one = df.withColumn("_one", F.lit(1).cast("bigint"))
     numbered = running_totals(one, {"_at": "_one"}, tiebreak, group=[entity], leading=[period]).drop("_one", "_at_total")
+    numbered = write_and_read(numbered, "numbered-rows")  # read twice below
     steps = F.explode(F.array(*[F.lit(i) for i in range(rows)])).alias("_step")
-    moved = numbered.select(col(entity), (F.col("_at")).alias("_from"), *[col(c) for c in columns], steps)
+    moved = numbered.select(col(entity), F.col("_at").alias("_from"), *[col(c) for c in columns], steps)
     table = (
         moved.withColumn("_at", F.col("_from") + F.col("_step"))
         .groupBy(col(entity), F.col("_at"))
         .agg(
             F.count_if(F.col("_step") == 0).alias(_WEIGHT),
-            *[_stat(s, col(c)).alias(f"{c}_rolling_{s}") for c in columns for s in stats],
+            *[_stat(s, col(c)).alias(f"{c}_rolling_{s}") for c in columns for s in ("mean", "max")],
         )
     )
-    return attach(numbered, table, [entity, "_at"], _WEIGHT).drop("_at").unionByName(windowed(rare))
+    return attach(numbered, table, [entity, "_at"], _WEIGHT).drop("_at")
 
 
-def advance(df: DataFrame, entity: str, period: str, base: str, out: str, group_rows: int = GROUP_ROWS) -> DataFrame:
+def advance(df: DataFrame, entity: str, period: str, base: str, out: str) -> DataFrame:
     """The entity's value in its first period plus the periods passed since then (age progression).
 
     If the first period has several rows the smallest value counts.
@@ -239,8 +218,6 @@ def advance(df: DataFrame, entity: str, period: str, base: str, out: str, group_
     def value(start: Column) -> Column:
         return start["_b"] + (col(period) - start["_p"])
 
-    if _fits(df, entity, group_rows):
-        return df.withColumn("_start", first.over(W.partitionBy(col(entity)))).withColumn(out, value(F.col("_start"))).drop("_start")
     table = df.groupBy(col(entity)).agg(F.count(F.lit(1)).alias(_WEIGHT), first.alias("_start"))
     return attach(df, table, entity, _WEIGHT).withColumn(out, value(F.col("_start"))).drop("_start")
 
@@ -263,7 +240,7 @@ def new_rows_with_history(
     entity: str,
     period: str,
     columns: Sequence[str],
-    windows: Sequence[int] = (1, 2, 3),
+    years: Sequence[int] = (1, 2, 3),
     lags: Sequence[int] = (1, 2),
 ) -> DataFrame:
     """Features of incoming rows computed over their entity's stored history and themselves.
@@ -273,8 +250,8 @@ def new_rows_with_history(
     """
     past = keep_members(history, incoming, entity).withColumn("_new", F.lit(False))
     both = past.unionByName(incoming.withColumn("_new", F.lit(True)))
-    wide = panel_features(both, entity, period, columns, rolling_columns=columns, windows=windows, lags=lags)
-    return zero_fill_features(wide.filter("_new").drop("_new"))
+    wide = panel_features(both, entity, period, columns, rolling_columns=columns, years=years, lags=lags)
+    return zero_fill_features(wide.filter("_new").drop("_new"), feature_names(columns, rolling_columns=columns, years=years, lags=lags))
 
 
 def unseen_entities(incoming: DataFrame, history: DataFrame, entity: str) -> DataFrame:

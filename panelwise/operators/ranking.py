@@ -1,25 +1,23 @@
 """Running totals, ranks and quantiles over a global order, without ordering everything in one task.
 
-A window ordered over a whole table runs in one task. Here the order column is cut into blocks at approximate
-quantiles, each block is summed up in its own window, and the few block totals give every block its offset. The
-result is exact wherever the cuts fall, since equal values always share a block.
+The rows are range-sorted into a table in the shared folder. Its files are consecutive ranges of the order, so a
+window per (group, file) and the totals of the files before it give the result. There is no limit on groups or files.
 """
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwise.operators.skew import bounded_rows, col
+from panelwise.operators.skew import col
+from panelwise.session import write_and_read
 
 #: Finest resolution of the quantile sketch; blocks need fifty steps each to come out about equal.
 _ACCURACY = 20_000
 _MAX_BLOCKS = 1024
-#: Cut points in all: the bound on what is collected and broadcast per ranking.
-_MAX_CUTS = 1_000_000
 
 
 def block_count(df: DataFrame) -> int:
@@ -35,47 +33,36 @@ def block_of(value: Column, cuts: Column, blocks: int) -> Column:
 
 
 def running_totals(
-    df: DataFrame,
-    sums: Mapping[str, str],
-    order: str,
-    group: Sequence[str] = (),
-    leading: Sequence[str] = (),
-    descending: bool = False,
-    blocks: int | None = None,
-    cuts_from: DataFrame | None = None,
+    df: DataFrame, sums: Mapping[str, str], order: str, group: Sequence[str] = (), leading: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
     """Add, per ``sums`` entry ``{out: column}``, the running total of the column up to and including the row, and
     as ``{out}_total`` its total over the group.
 
-    The order is ``leading`` (columns of few values, if any), then the numeric ``order``, which must be non-null and
-    distinct within (group, leading). ``group`` must have few distinct values (declared slices, columns, frequent
-    keys): one row of cuts per (group, leading) goes through the driver and is broadcast. Finding the cuts is a job
-    of its own that reads these columns only, from ``cuts_from`` if given: the rows that ``df`` was counted from,
-    which need no shuffle to be sketched.
+    The order is ``leading`` (columns, if any), then ``order``, which must be distinct within (group, leading). Groups may
+    be few and large, or many. The sorted table is written before the result is read, so ``df`` is computed once.
     """
-    cells = [*group, *leading]
-    n = blocks or _blocks_per_cell(df, cells)
-    blocked = with_block(df, order, n, cells, cuts_from)
 
     def by(c: str) -> Column:
         return col(c).desc() if descending else col(c).asc()
 
-    totals = blocked.groupBy(*[col(c) for c in cells], "_block").agg(
-        *[F.sum(col(src)).alias(out) for out, src in sums.items()]
-    )
-    whole = W.partitionBy(*[col(c) for c in group])
-    before = whole.orderBy(*[by(c) for c in leading], by("_block")).rowsBetween(W.unboundedPreceding, -1)
+    in_order = [*[by(c) for c in leading], by(order)]
+    stored = write_and_read(df.orderBy(*[col(g) for g in group], *in_order), "ranking")
+    placed = stored.select("*", F.col("_metadata.file_path").alias("_file"))
+    cells = [col(g) for g in group]
+    place = F.struct(*[col(c) for c in [*leading, order]])
+    totals = placed.groupBy(*cells, "_file").agg((F.max if descending else F.min)(place).alias("_first"), *[F.sum(col(src)).alias(out) for out, src in sums.items()])
+    whole = W.partitionBy(*cells)
+    first = F.col("_first").desc() if descending else F.col("_first").asc()
+    before = whole.orderBy(first).rowsBetween(W.unboundedPreceding, -1)  # files of a group
     offsets = totals.select(
-        *[col(c).alias(f"{c}_o") for c in cells],
-        F.col("_block").alias("_block_o"),
+        *[col(g).alias(f"{g}_o") for g in group],
+        F.col("_file").alias("_file_o"),
         *[F.sum(col(out)).over(before).alias(f"{out}_o") for out in sums],
         *[F.sum(col(out)).over(whole).alias(f"{out}_total") for out in sums],
     )
-    inside = W.partitionBy(*[col(c) for c in cells], "_block").orderBy(by(order))
-    inside = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    within = blocked.select("*", *[F.sum(col(src)).over(inside).alias(out) for out, src in sums.items()])
-    offsets = F.broadcast(offsets)  # cells x blocks rows
-    match = _same_cell(within, offsets, cells, "_o") & (within["_block"] == offsets["_block_o"])
+    inside = W.partitionBy(*cells, "_file").orderBy(*in_order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    within = placed.select("*", *[F.sum(col(src)).over(inside).alias(out) for out, src in sums.items()])
+    match = _same_cell(within, offsets, group, "_o") & (within["_file"] == offsets["_file_o"])
     parts = [(o, within[f"`{o}`"], offsets[f"`{o}_o`"]) for o in sums]
     return within.join(offsets, match, "inner").select(
         *[col(c) for c in df.columns],
@@ -92,47 +79,10 @@ def _same_cell(left: DataFrame, right: DataFrame, cells: Sequence[str], suffix:
     return same
 
 
-def _blocks_per_cell(df: DataFrame, cells: Sequence[str]) -> int:
-    """Blocks so that the cuts of all cells stay within ``_MAX_CUTS``."""
-    if not cells:
-        return block_count(df)
-    return blocks_for(df, df.select(*[col(c) for c in cells]).distinct().count())
-
-
-def blocks_for(df: DataFrame, cells: int) -> int:
-    """Blocks per cell for a known number of cells."""
-    return max(2, min(block_count(df), _MAX_CUTS // max(cells, 1)))
-
-
-def find_cuts(df: DataFrame, order: str, n: int, cells: Sequence[str] = ()) -> list[Row]:
-    """``n - 1`` cut points of ``order`` per cell, as driver-side constants.
-
-    The sketch depends on the order in which partial results arrive, so it must not be computed again for another
-    branch of the plan or for a lost task: both would place rows in other blocks than the block totals assume.
-    """
+def find_cuts(df: DataFrame, order: str, n: int) -> list[float]:
+    """``n - 1`` approximate quantiles of ``order``, as constants: a sketch computed again for a lost task could differ."""
     sketch = F.percentile_approx(col(order), [i / n for i in range(1, n)], min(_ACCURACY, 50 * n)).cast("array<double>")
-    found = bounded_rows(df.groupBy(*[col(c).alias(f"{c}_c") for c in cells]).agg(sketch.alias("_cuts")), _MAX_CUTS // n)
-    if found is None:
-        raise ValueError(f"more than {_MAX_CUTS // n} groups; running totals are for few, large groups")
-    return found
-
-
-def cut_array(found: list[Row]) -> Column:
-    """The cuts of the only cell as a literal."""
-    cuts = found[0]["_cuts"] if found else None
-    return F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-
-
-def with_block(df: DataFrame, order: str, n: int, cells: Sequence[str] = (), cuts_from: DataFrame | None = None) -> DataFrame:
-    """Adds ``_block``, 0 .. n-1 in the order of ``order`` within each cell."""
-    found = find_cuts(df if cuts_from is None else cuts_from, order, n, cells)
-    if not cells:
-        return df.withColumn("_block", block_of(col(order), cut_array(found), n))
-    keys = df.select(*[col(c).alias(f"{c}_c") for c in cells], F.array().cast("array<double>").alias("_cuts")).schema
-    small = F.broadcast(df.sparkSession.createDataFrame(found, keys))
-    joined = df.join(small, _same_cell(df, small, cells, "_c"), "inner")
-    cuts = F.coalesce(F.col("_cuts"), F.array().cast("array<double>"))  # a cell may have no value to cut at
-    return joined.select(*[col(c) for c in df.columns], block_of(col(order), cuts, n).alias("_block"))
+    return df.agg(sketch.alias("_cuts")).first()["_cuts"] or []
 
 
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -148,8 +98,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, f
     """
     values = long_values(df, columns)
     counts = values.groupBy("name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    blocks = blocks_for(df, len(columns))
-    ranked = running_totals(counts, {"_upto": "_n"}, "value", group=["name"], blocks=blocks, cuts_from=values)
+    ranked = running_totals(counts, {"_upto": "_n"}, "value", group=["name"])
     ranked = ranked.withColumnRenamed("_upto_total", "n")
 
     def place(p: float) -> Column:

@@ -141,8 +141,3 @@ def cumulative_risk(df: DataFrame, age: str, period: str, out: str = "cumulative
     """(age - pivot) * (period - first period) / 10."""
     first = df.agg(F.min(col(period))).scalar()
     return df.withColumn(out, (col(age) - pivot) * (col(period) - first) / 10)
-
-
-def share(df: DataFrame, condition: Column) -> Column:
-    """Share of rows, for one-row summaries."""
-    return ratio(F.count_if(condition), F.count(F.lit(1)))

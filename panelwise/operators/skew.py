@@ -13,10 +13,6 @@ from pyspark.sql import functions as F
 #: How many keys the broadcast side of ``attach`` may hold; the bound on what it ships to each executor.
 FREQUENT_KEYS = 1000
 
-#: Rows per key up to which a whole group may be ordered inside one task.
-GROUP_ROWS = 1_000_000
-
-
 def col(name: str) -> Column:
     """A column by its literal name, whatever characters it holds."""
     return F.col("`" + name.replace("`", "``") + "`")
@@ -32,12 +28,6 @@ def bounded_rows(df: DataFrame, limit: int) -> list[Row] | None:
     return rows if len(rows) <= limit else None
 
 
-def largest_group(df: DataFrame, keys: str | Sequence[str]) -> int:
-    """Rows of the most frequent key; scans the key columns only and combines map-side."""
-    counts = df.groupBy(*[col(k) for k in names(keys)]).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.max("_n")).first()[0] or 0
-
-
 def frequent_keys(df: DataFrame, keys: str | Sequence[str], k: int = FREQUENT_KEYS) -> DataFrame:
     """The ``k`` most frequent keys. Every other key then holds at most 1/k of the rows."""
     on = names(keys)
@@ -87,42 +77,16 @@ def attach(
     return frequent.unionByName(rare)
 
 
-#: Rows up to which a lookup or membership table is broadcast.
-LOOKUP_ROWS = 10_000
-
+def keep_members(rows: DataFrame, members: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Rows whose key occurs in ``members``; null matches nothing. Spark chooses the join, and splits a frequent key of
+    ``rows``: both sides meet it straight from their shuffle, so ``members`` may repeat keys."""
+    on = names(on)
+    return rows.join(members.select(*[col(x) for x in on]), on, "left_semi")
 
-def keep_members(
-    rows: DataFrame,
-    members: DataFrame,
-    on: str | Sequence[str],
-    k: int = FREQUENT_KEYS,
-    limit: int = LOOKUP_ROWS,
-    group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """Rows whose key occurs in ``members``; null matches nothing.
 
-    Up to ``limit`` members are broadcast. More are joined by a shuffle while no key of ``rows`` exceeds
-    ``group_rows``; else the rows of the ``k`` most frequent keys are decided map-side and only the others move.
-    """
-    on = names(on)
-    keys = members.select(*[col(x) for x in on]).distinct()
-    if bounded_rows(keys, limit) is not None:
-        return rows.join(F.broadcast(keys), on, "left_semi")
-    if largest_group(rows.dropna(subset=on), on) <= group_rows:
-        return rows.join(keys, on, "left_semi")
-    top = frequent_keys(rows.dropna(subset=on), on, k)
-    hot_in = F.broadcast(top.join(keys, on, "left_semi"))
-    rare = rows.dropna(subset=on).join(F.broadcast(top), on, "left_anti").join(keys, on, "left_semi")
-    return rows.join(hot_in, on, "left_semi").unionByName(rare)
-
-
-def lookup(rows: DataFrame, table: DataFrame, on: str, limit: int = LOOKUP_ROWS, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """Left-join a table of one row per value, null matching null: a broadcast up to ``limit`` rows, a shuffled join
-    while no value exceeds ``group_rows`` rows, else ``attach``."""
+def lookup(rows: DataFrame, table: DataFrame, on: str) -> DataFrame:
+    """Left-join a table of one row per value, null matching null. Spark broadcasts a small table by its size and splits
+    a frequent value otherwise."""
     right = _renamed(table, [on])
-    if bounded_rows(table.select(col(on)), limit) is not None:
-        right = F.broadcast(right)
-    elif largest_group(rows, on) > group_rows:
-        return attach(rows, table, on)
     keep = [c for c in table.columns if c != on]
     return rows.join(right, _same(rows, right, [on]), "left").select(*[col(c) for c in [*rows.columns, *keep]])

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwise.operators.evaluation import _ranking_aggregates
-from panelwise.operators.ranking import blocks_for, running_totals
+from panelwise.operators.evaluation import _ranking_aggregates, valid
+from panelwise.operators.ranking import running_totals
 from panelwise.operators.skew import col
 
 Slices = Mapping[str, Mapping[str, Column]]
@@ -53,12 +53,11 @@ def slice_metrics(df: DataFrame, label: str, score: str, slices: Slices | None =
     """
     keys = ["feature_type", "slice", "ordinal"]
     slices = default_slices() if slices is None else slices
-    tagged = slice_rows(df, label, score, slices)
+    tagged = slice_rows(valid(df, label, score), label, score, slices)
     hist = tagged.groupBy(*keys, "score").agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))
     hist = hist.withColumn("_sum", F.col("score") * (F.col("p") + F.col("n")))
     sums = {"cum_p": "p", "cum_n": "n", "_upto": "_sum"}
-    blocks = blocks_for(df, sum(len(members) for members in slices.values()))
-    ranked = running_totals(hist, sums, "score", group=keys, descending=True, blocks=blocks, cuts_from=tagged)
+    ranked = running_totals(hist, sums, "score", group=keys, descending=True)
     weight = F.col("p") + F.col("n")
     total = F.col("cum_p_total") + F.col("cum_n_total")
     off = F.col("score") - F.col("_upto_total") / total

@@ -47,7 +47,7 @@ def exact_split(df: DataFrame, entity: str, label: str, seed: int = SEED, test:
     labelled = majority_label(df, entity, label, out="stratum").select(
         col(entity), "stratum", F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").alias("_h"), F.lit(1).cast("bigint").alias("_one")
     )
-    ranked = running_totals(labelled, {"_at": "_one"}, "_h", group=["stratum"])
+    ranked = running_totals(labelled, {"_at": "_one"}, entity, group=["stratum"], leading=["_h"])  # equal hashes: by entity
     sizes = labelled.groupBy("stratum").agg(F.count(F.lit(1)).alias("_n"))  # one row per class
     n_test = F.ceil(F.col("_n") * test)
     n_val = F.ceil((F.col("_n") - n_test) * val)

@@ -4,13 +4,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.operators.learning import Trained, save_trained, select_features, train_models
+from panelwise.operators.learning import Trained, load_trained, save_trained, select_features, train_models
 from panelwise.operators.splits import SEED, assign_split
 from panelwise.session import write_and_read
-from panelwise.sources.registry import register
+from panelwise.sources.registry import history, read_registry, register, specific, with_version
 
 
 def train(
@@ -27,11 +27,10 @@ def train(
 
 
 def train_and_register(df: DataFrame, entity: str, numeric: Sequence[str], label: str, store: str, name: str, **kw) -> DataFrame:
-    """Train, save the chosen model below ``store`` and add its metrics to the registry; returns all metrics."""
+    """Train, save the chosen model below its version in ``store`` and add its metrics to the registry; returns all metrics."""
     spark = df.sparkSession
     started = datetime.now(timezone.utc)
     metrics, trained, report = train(df, entity, numeric, label, **kw)
-    save_trained(spark, trained, f"{store}/artifacts/{name}")
     chosen = {(r["split"], r["metric"]): r["value"] for r in metrics.filter(F.col("model") == trained.name).collect()}
     kinds = {"accuracy": "accuracy", "f1": "f1", "auc": "roc_auc"}
     row = {f"{s}_{short}": chosen.get((s, metric)) for s in ("train", "val", "test") for short, metric in kinds.items()}
@@ -49,5 +48,17 @@ def train_and_register(df: DataFrame, entity: str, numeric: Sequence[str], label
     )
     entry = spark.createDataFrame([tuple(row.values())], schema)
     entry = entry.withColumn("feature_names", F.array(*[F.lit(f) for f in trained.features]))
-    register(entry, f"{store}/registry")
+    entry = with_version(entry)
+    made = entry.select("version", "model_path").first()
+    save_trained(spark, trained, f"{store}/{made['model_path']}")  # first the model, then the row that points to it
+    register(entry.withColumn("version", F.lit(made["version"])), f"{store}/registry")
     return metrics
+
+
+def load_version(spark: SparkSession, store: str, name: str, version: str | None = None) -> Trained:
+    """A registered model: the named version, or the newest. ValueError if there is none."""
+    versions = read_registry(spark, f"{store}/registry").filter(F.col("model_name") == name)
+    row = (specific(versions, name, version) if version else history(versions, name)).first()
+    if row is None:
+        raise ValueError(f"no version of {name}")
+    return load_trained(spark, f"{store}/{row['model_path']}")

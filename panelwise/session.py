@@ -26,18 +26,28 @@ def local_session(cores: str = "*", app: str = "panelwise", **conf: str) -> Spar
     return spark
 
 
+_FOLDERS: set[str] = set()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path below the cluster's checkpoint folder, unique to this call.
+    """A new path below the cluster's checkpoint folder, unique to this call. It is deleted when the driver ends.
 
-    The folder comes from ``spark.checkpoint.dir``. Only a local session, where driver and executors are one
-    machine, may fall back to a temporary folder.
+    The folder comes from ``spark.checkpoint.dir``. Only where that is unset and driver and executors are one machine, as in
+    tests, a temporary folder takes its place.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         root = os.path.join(tempfile.gettempdir(), "panelwise")
-    return f"{root.rstrip('/')}/panelwise/{name}-{uuid.uuid4().hex}"
+    folder = f"{root.rstrip('/')}/panelwise/{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _FOLDERS.add(folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def write_and_read(df, name: str):

@@ -34,7 +34,7 @@ def newest(versions: DataFrame, keep: int = KEEP) -> DataFrame:
 
 def with_version(rows: DataFrame) -> DataFrame:
     """Version key and artifact paths of new rows."""
-    keyed = rows.withColumn("version", version_key(F.col("model_name"), F.col("created_at"), F.col("test_accuracy"), F.col("test_f1")))
+    keyed = rows if "version" in rows.columns else rows.withColumn("version", version_key(F.col("model_name"), F.col("created_at"), F.col("test_accuracy"), F.col("test_f1")))
     stem = F.concat_ws("_", "model_name", "version")
     return keyed.withColumns(
         {
@@ -61,7 +61,11 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
 
 
 def register(rows: DataFrame, path: str, keep: int = KEEP) -> None:
-    """Add versions (without version key) and store the trimmed registry as the next snapshot."""
+    """Add versions and store the trimmed registry as the next snapshot.
+
+    A snapshot's folder is created by an exclusive step: of two writers that take the same number, one fails and may
+    try again; neither overwrites or mixes with the other.
+    """
     spark = rows.sparkSession
     at = _snapshot(spark, path)
     fresh = with_version(rows)
@@ -69,7 +73,7 @@ def register(rows: DataFrame, path: str, keep: int = KEEP) -> None:
     full = spark.createDataFrame([], FIELDS).unionByName(fresh, allowMissingColumns=True)
     if at is not None:
         full = read_registry(spark, path).unionByName(full)
-    newest(full, keep).withColumn("snapshot", F.lit(0 if at is None else at + 1)).write.mode("append").partitionBy("snapshot").parquet(path)
+    newest(full, keep).write.mode("errorifexists").parquet(f"{path}/snapshot={0 if at is None else at + 1}")
 
 
 def latest(versions: DataFrame) -> DataFrame:

@@ -20,9 +20,13 @@ def score_stream(
     """
 
     def store(batch: DataFrame, number: int) -> None:
-        scored, rejected = validate_and_score(prepare(batch) if prepare else batch, threshold, rules)
-        scored.write.mode("overwrite").parquet(f"{out}/scored/batch={number}")
-        rejected.write.mode("overwrite").parquet(f"{out}/rejected/batch={number}")
+        kept = batch.persist()  # both outputs read the batch; its source is read once
+        try:
+            scored, rejected = validate_and_score(prepare(kept) if prepare else kept, threshold, rules)
+            scored.write.mode("overwrite").parquet(f"{out}/scored/batch={number}")
+            rejected.write.mode("overwrite").parquet(f"{out}/rejected/batch={number}")
+        finally:
+            kept.unpersist()
 
     writer = records.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

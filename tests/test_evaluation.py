@@ -52,26 +52,34 @@ def test_blocks_and_partitions_do_not_matter(spark, partitions, blocks):
         for _, s, v in sorted((d for d in data if d[0] == g), key=lambda d: -d[1]):
             total += v
             want[g, s] = total
-    out = running_totals(df, {"c": "v"}, "s", group=["g"], descending=True, blocks=blocks)
+    out = running_totals(df, {"c": "v"}, "s", group=["g"], descending=True)
     assert {(r["g"], r["s"]): r["c"] for r in out.collect()} == want
     assert {(r["g"], r["c_total"]) for r in out.collect()} == {(g, sum(v for h, _, v in data if h == g)) for g in range(3)}
 
 
 def test_running_totals_with_leading_column(spark):
     df = spark.range(200).select((F.col("id") % 4).alias("lead"), (F.col("id") * 13 % 211).cast("double").alias("s"), F.lit(1).alias("one"))
-    out = running_totals(df, {"at": "one"}, "s", leading=["lead"], blocks=7)
+    out = running_totals(df, {"at": "one"}, "s", leading=["lead"])
     ranked = sorted(out.collect(), key=lambda r: r["at"])
     assert [(r["lead"], r["s"]) for r in ranked] == sorted((r["lead"], r["s"]) for r in ranked)
 
 
-def test_running_totals_refuse_many_groups(spark, monkeypatch):
-    from panelwise.operators import ranking
+def test_running_totals_of_many_groups(spark):
+    df = spark.range(5000).select((F.col("id") % 2500).alias("g"), F.col("id").cast("double").alias("s"), F.lit(1).alias("one"))
+    assert running_totals(df, {"at": "one"}, "s", group=["g"]).filter("at = 2 AND at_total = 2").count() == 2500
 
-    df = spark.range(50).select((F.col("id") % 25).alias("g"), F.col("id").cast("double").alias("s"), F.lit(1).alias("one"))
-    monkeypatch.setattr(ranking, "_MAX_CUTS", 60)
-    assert running_totals(df, {"at": "one"}, "s", group=["g"]).filter("at = 2").count() == 25
-    with pytest.raises(ValueError):
-        running_totals(df, {"at": "one"}, "s", group=["g"], blocks=5)
+
+def test_one_rule_for_missing_scores_and_labels(spark):
+    nan = float("nan")
+    data = [("a", 2000, 1, 0.9), ("a", 2001, 0, None), ("a", 2001, 0, nan), ("b", 2000, None, 0.9), ("b", None, 1, 0.8), ("b", None, 0, 0.7), ("c", 2000, 0, 0.2), ("c", 2001, 1, nan)]
+    df = spark.createDataFrame(data, "e string, y int, label int, score double")
+    at = lambda c: tuple(c.select("tn", "fp", "fn", "tp").first())
+    assert at(E.confusion(df, "label", "score", 0.5)) == at(E.threshold_sweep(df, "label", "score", [0.5])) == (1, 1, 0, 2)
+    assert E.skipped(df, "label", "score").first()[0] == 4
+    assert E.ranking_metrics(df, "label", "score").first()["auc"] == 1.0
+    assert E.score_histogram(df, "label", "score").agg(F.sum("p"), F.sum("n")).first()[:] == (2, 2)
+    hits = [tuple(f(df, "e", "y", "label", "score", 0.5, 1).first()) for f in (E.window_hits, E.window_hits_by_join)]
+    assert hits[0] == hits[1] == (3, 1, 1 / 3)
 
 
 def test_quantiles_interpolate_and_skip_missing(spark):

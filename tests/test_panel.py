@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwise.operators import panel as P
@@ -29,11 +30,11 @@ def hot(spark):
 def test_entity_stats_of_one_row(gaps):
     b = rows(P.entity_stats(gaps, "e", ["v"]).filter("e = 'b'"))[0]
     assert (b["v_patient_mean"], b["v_patient_min"], b["v_patient_max"], b["v_patient_std"]) == (7.0, 7.0, 7.0, None)
-    assert rows(P.zero_fill_features(P.entity_stats(gaps, "e", ["v"])).filter("e = 'b'"))[0]["v_patient_std"] == 0.0
+    assert rows(P.zero_fill_features(P.entity_stats(gaps, "e", ["v"]), P.feature_names(["v"])).filter("e = 'b'"))[0]["v_patient_std"] == 0.0
 
 
 def test_rolling_counts_years_not_rows(gaps):
-    out = {(r["e"], r["y"]): r for r in rows(P.rolling_years(gaps, "e", "y", ["v"], windows=(2,)))}
+    out = {(r["e"], r["y"]): r for r in rows(P.rolling_years(gaps, "e", "y", ["v"], years=(2,)))}
     assert out["a", 2021]["v_rolling_mean_2y"] == 2.5
     assert out["a", 2023]["v_rolling_mean_2y"] == 10.0  # 2022 is missing
     assert out["a", 2023]["v_rolling_count_2y"] == 1
@@ -54,17 +55,16 @@ def test_delta_needs_the_exact_year(gaps):
         lambda d, **k: P.rolling_years(d, "e", "y", ["v"], **k),
         lambda d, **k: P.year_deltas(d, "e", "y", ["v"], **k),
         lambda d, **k: P.panel_features(d, "e", "y", ["v"], rolling_columns=["v"], lags=(1, 2), **k),
-        lambda d, **k: P.rolling_rows(d, "e", "y", "id", ["v"], **k),
-        lambda d, **k: P.running_sum(d, "e", "y", "id", "v", "s", **k),
-        lambda d, **k: P.advance(d, "e", "y", "v", "b", **k),
     ],
-    ids=["stats", "rolling", "deltas", "features", "rolling_rows", "running_sum", "advance"],
+    ids=["stats", "rolling", "deltas", "features"],
 )
 @pytest.mark.parametrize("frequent", [3, 1000])
 def test_plan_for_frequent_entities_gives_the_same(hot, op, frequent, monkeypatch):
     monkeypatch.setattr(skew.attach, "__defaults__", (None, frequent))
     monkeypatch.setattr(skew.frequent_keys, "__defaults__", (frequent,))
-    assert same_rows(op(hot, group_rows=0), op(hot))
+    assert same_rows(op(hot), op(hot, windows=True))
+    holes = hot.withColumn("y", F.when(F.col("id") % 5 > 0, F.col("y")))  # rows without a period
+    assert same_rows(op(holes), op(holes, windows=True))
 
 
 def test_attach_keeps_rows_without_a_match(spark):
@@ -81,8 +81,21 @@ def test_attach_keeps_rows_without_a_match(spark):
 def test_keep_members(hot, spark):
     members = spark.createDataFrame([("hot",), ("5",), ("absent",)], "e string")
     want = hot.filter("e IN ('hot', '5')")
-    for k, limit, group_rows in ((1, 0, 0), (1000, 0, 0), (1, 0, 10**6), (1, 100, 0)):
-        assert same_rows(skew.keep_members(hot, members, "e", k, limit, group_rows), want)
+    assert same_rows(skew.keep_members(hot, members, "e"), want)
+    assert same_rows(skew.keep_members(hot, members.unionByName(members), "e"), want)
+
+
+def test_row_order_of_frequent_entities(hot):
+    w = W.partitionBy("e").orderBy("y", "id")
+    assert same_rows(P.running_sum(hot, "e", "y", "id", "v", "s"), hot.withColumn("s", F.sum("v").over(w.rowsBetween(W.unboundedPreceding, 0))))
+    near = w.rowsBetween(-2, 0)
+    want = hot.select("*", F.avg("v").over(near).alias("v_rolling_mean"), F.max("v").over(near).alias("v_rolling_max"))
+    assert same_rows(P.rolling_rows(hot, "e", "y", "id", ["v"]), want)
+
+
+def test_only_generated_columns_are_filled(spark):
+    df = spark.createDataFrame([(None, None)], "n_patient_visits double, v_patient_mean double")
+    assert tuple(P.zero_fill_features(df, P.feature_names(["v"])).first()) == (None, 0.0)
 
 
 def test_frequent_rows_are_not_shuffled(hot):
@@ -109,4 +122,4 @@ def test_new_entity_gets_its_own_values(spark, gaps):
 def test_empty_panel(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert P.panel_features(empty, "e", "y", ["v"], rolling_columns=["v"], lags=(1,)).count() == 0
-    assert P.panel_features(empty, "e", "y", ["v"], rolling_columns=["v"], lags=(1,), group_rows=-1).count() == 0
+    assert P.panel_features(empty, "e", "y", ["v"], rolling_columns=["v"], lags=(1,), windows=True).count() == 0

@@ -3,10 +3,10 @@ from pyspark.sql import functions as F
 
 from panelwise.catalog.fixtures import panel, visits
 from panelwise.functions.validation import Range
-from panelwise.operators.learning import load_trained
+from panelwise.operators.learning import with_score
 from panelwise.operators.scoring import validate_and_score
 from panelwise.plans.featurize import run_featurize
-from panelwise.plans.train import train_and_register
+from panelwise.plans.train import load_version, train_and_register
 from panelwise.session import shared_path
 from panelwise.sources import files, registry, runlog
 from panelwise.streaming.monitoring import level_metrics, monitor_stream
@@ -77,7 +77,7 @@ def test_shared_path_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_path(spark, "x") != shared_path(spark, "x")
     if root:
-        assert shared_path(spark, "x").startswith(f"{root}/panelwise/x-")
+        assert shared_path(spark, "x").startswith(f"{root}/panelwise/{spark.sparkContext.applicationId}/x-")
 
 
 def test_run_log(spark, tmp_path):
@@ -121,10 +121,17 @@ def test_training_job_registers_the_model(spark, small, tmp_path):
     assert metrics.count() == 2 * 3 * 6
     assert metrics.filter("value < 0 OR value > 1").isEmpty()
     row = registry.latest(registry.read_registry(spark, f"{tmp_path}/registry")).first()
-    loaded = load_trained(spark, f"{tmp_path}/artifacts/demo")
+    loaded = load_version(spark, str(tmp_path), "demo")
     assert row["model_name"] == "demo" and row["feature_names"] == loaded.features == ["age", "bmi", "hdl", "sex"]
     want = metrics.filter("model = 'boosted_trees' AND split = 'test' AND metric = 'roc_auc'").first()["value"]
     assert row["test_auc"] == want
+    holes = data.withColumn("bmi", F.when(F.col("year") % 2 == 0, F.col("bmi")))
+    train_and_register(holes, "patient_id", ["age", "bmi"], "alzheimers_diagnosis", str(tmp_path), "demo", maxIter=3)
+    assert load_version(spark, str(tmp_path), "demo").features == ["age", "bmi"]
+    assert load_version(spark, str(tmp_path), "demo", row["version"]).features == loaded.features
+    assert with_score(load_version(spark, str(tmp_path), "demo").model, holes).filter("score IS NULL").isEmpty()
+    with pytest.raises(ValueError):
+        load_version(spark, str(tmp_path), "demo", "absent")
 
 
 # --- streams ----------------------------------------------------------------------------------------------------------
