@@ -315,7 +315,8 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     sizes = store(members.groupBy("bundle").agg(F.sum("n").alias("total")), "bundle-sizes")
     blocks = F.ceil(F.col("total") / BLOCK_SHINGLES)
     member = store(members.join(sizes, "bundle").select("bundle", "f", "n", "t1", "t2", blocks.alias("blocks"), F.pmod(F.xxhash64("f"), blocks).alias("own")), "members")
-    texts = store(bare.select("text", "t1", "t2").join(member, ["t1", "t2"]).groupBy("f").agg(F.first("text").alias("text"), *[F.first(c).alias(c) for c in ("bundle", "blocks", "own", "n")]), "texts-of-members")
+    # One plan at every size: members grow with the rows, so they are never broadcast.
+    texts = store(bare.select("text", "t1", "t2").join(member.hint("merge"), ["t1", "t2"]).groupBy("f").agg(F.first("text").alias("text"), *[F.first(c).alias(c) for c in ("bundle", "blocks", "own", "n")]), "texts-of-members")
     meets = F.when(F.col("own") > 0, F.array("own")).when(F.col("blocks") == 1, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(1).cast("long"), F.col("blocks") - 1))
     links = _joined(texts.select("bundle", F.explode(meets).alias("block"), "f", F.col("f").alias("label"), F.lit(True).alias("asking"), "text"), size, percent, "links-of-blocks")
     if member.where("blocks > 1").head(1):
