@@ -15,7 +15,7 @@ from panelwise.llm.shared import hashed_words, mix, pair, signed, slices, store
 #: Coordinates of a count vector.
 GROUPS = 64
 #: Shingles of the sets that are compared in one task; a larger bundle is cut into blocks.
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 1_000_000
 _LEAF = 16
 _SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D)
 
@@ -57,7 +57,7 @@ def _bounds(percent: int) -> np.ndarray:
     """First sizes of the size classes; partners are in the same class or the next."""
     out = [1]
     while out[-1] < 1 << 31:
-        out.append(max(out[-1] + 1, out[-1] * 100 // percent + 1, out[-1] * 5 // 4))
+        out.append(max(out[-1] + 1, out[-1] * 100 // percent + 1, out[-1] * 8 // 5))
     return np.array(out)
 
 
@@ -192,8 +192,8 @@ def _describe(size: int, seed: int):
     return run
 
 
-def _sign(size: int, percent: int, seed: int, hold: int = 4_000_000):
-    """(signature, set) once per task and signature, and as links (null signature) the task's other sets with it."""
+def _sign(size: int, percent: int, seed: int, hold: int = 1_000_000):
+    """(signature, set) once per task and signature; the task's other sets with it come as links (set, null, to)."""
 
     def flush(sigs: list[np.ndarray], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         sig, f = np.concatenate(sigs), np.concatenate(sets)
@@ -204,7 +204,7 @@ def _sign(size: int, percent: int, seed: int, hold: int = 4_000_000):
         yield pa.RecordBatch.from_arrays([pa.array(sig[first]), pa.array(f[first]), pa.nulls(int(first.sum()), pa.int64())], names=["sig", "f", "to"])
         rest = ~first & (f != least)
         links = np.unique(np.stack([f[rest], least[rest]]), axis=1) if rest.any() else np.zeros((2, 0), dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.nulls(links.shape[1], pa.int64()), pa.array(links[0]), pa.array(links[1])], names=["sig", "f", "to"])
+        yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.nulls(links.shape[1], pa.int64()), pa.array(links[1])], names=["sig", "f", "to"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, sets, held = [], [], 0
@@ -226,18 +226,22 @@ def _sign(size: int, percent: int, seed: int, hold: int = 4_000_000):
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by signature: each further set of a signature is linked with its first."""
+    """Rows sorted by signature: each further set of a signature is linked with its first; links pass."""
     sig0 = first0 = None
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        sig, f = batch.column("sig").to_numpy(), batch.column("f").to_numpy()
-        first = np.concatenate([[sig[0] != sig0], sig[1:] != sig[:-1]])
-        at = np.maximum.accumulate(np.where(first, np.arange(len(f)), -1))
-        least = np.where(at >= 0, f[np.maximum(at, 0)], first0 if first0 is not None else 0)
-        keep = ~first & (least != f)
-        sig0, first0 = sig[-1], least[-1]
-        links = np.unique(np.stack([f[keep], least[keep]]), axis=1) if keep.any() else np.zeros((2, 0), dtype=np.int64)
+        whole = batch.column("f").is_null().to_numpy(zero_copy_only=False)
+        made = batch.filter(pa.array(whole))
+        links = np.stack([made.column("sig").to_numpy(), made.column("to").to_numpy()]).astype(np.int64)
+        batch = batch.filter(pa.array(~whole))
+        if batch.num_rows:
+            sig, f = batch.column("sig").to_numpy(), batch.column("f").to_numpy()
+            first = np.concatenate([[sig[0] != sig0], sig[1:] != sig[:-1]])
+            at = np.maximum.accumulate(np.where(first, np.arange(len(f)), -1))
+            least = np.where(at >= 0, f[np.maximum(at, 0)], first0 if first0 is not None else 0)
+            keep = ~first & (least != f)
+            sig0, first0 = sig[-1], least[-1]
+            links = np.concatenate([links, np.stack([f[keep], least[keep]])], axis=1)
+        links = np.unique(links, axis=1) if links.shape[1] else links
         yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], names=["a", "b"])
 
 
@@ -306,10 +310,9 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "t
         if not sets.groupBy("f").count().where("count > 1").head(1):
             break
         seed += 1  # two sets of one name: all are named anew
-    signed_ = store(bare.select("text").mapInArrow(_sign(size, percent, seed), "sig long, f long, to long"), "signatures")
-    met = signed_.where("sig IS NOT NULL").select("sig", "f").repartition("sig").sortWithinPartitions("sig", "f").mapInArrow(_meet, "a long, b long")
-    local = signed_.where("sig IS NULL").select(F.col("f").alias("a"), F.col("to").alias("b"))
-    bundles = store(components(met.unionByName(local)), "bundles")
+    signed_ = bare.select("text").mapInArrow(_sign(size, percent, seed), "sig long, f long, to long")
+    met = signed_.repartition("sig").sortWithinPartitions("sig", "f").mapInArrow(_meet, "a long, b long")
+    bundles = store(components(met), "bundles")
 
     members = bundles.join(sets, bundles["node"] == sets["f"]).select(F.col("component").alias("bundle"), "f", "n", "t.t1", "t.t2")
     sizes = store(members.groupBy("bundle").agg(F.sum("n").alias("total")), "bundle-sizes")
