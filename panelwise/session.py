@@ -54,5 +54,5 @@ def write_and_read(df, name: str):
     """Store ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
