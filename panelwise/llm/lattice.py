@@ -105,21 +105,28 @@ def _vocabulary(path: str) -> tuple[list[tuple[str, int]], list[int], list[float
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, number, word, times in training) for each word of a chunk, numbered in order."""
+    """(chunk, part, number, word, times in training) for each word of a part, numbered in order.
+
+    A part is a run of consecutive rows of one chunk, named by its first row: stored rows are read back in splits that may
+    begin within a chunk, and a task may read splits that don't follow each other.
+    """
     counts: Counter = Counter()
-    now = None
+    now = part = last = None
 
     def flush() -> pa.RecordBatch:
         words = sorted(counts)
-        columns = [pa.array([now] * len(words), pa.int64()), pa.array(range(len(words)), pa.int32()), pa.array(words, pa.binary()), pa.array([counts[w] for w in words], pa.int64())]
+        columns = [pa.array([now] * len(words), pa.int64()), pa.array([part] * len(words), pa.int64()), pa.array(range(len(words)), pa.int32()), pa.array(words, pa.binary()), pa.array([counts[w] for w in words], pa.int64())]
         counts.clear()
-        return pa.RecordBatch.from_arrays(columns, names=["chunk", "number", "word", "times"])
+        return pa.RecordBatch.from_arrays(columns, names=["chunk", "part", "number", "word", "times"])
 
     for batch in batches:
-        for chunk, held, text in zip(batch.column("chunk").to_pylist(), batch.column("held_out").to_pylist(), batch.column("text").to_pylist()):
-            if chunk != now and now is not None:
+        for chunk, row, held, text in zip(*(batch.column(c).to_pylist() for c in ("chunk", "row", "held_out", "text"))):
+            if now is not None and (chunk != now or row != last + 1):
                 yield flush()
-            now = chunk
+                now = None
+            if now is None:
+                now, part = chunk, row
+            last = row
             if held:
                 for w in tokens(text):
                     counts[w] += 0
@@ -167,8 +174,9 @@ def score_documents(docs: DataFrame, held_out, path: str, text: str = "text") ->
     c of all training tokens. ``score`` is the sum over all segmentations of each word into pieces, times the end. Null
     and empty texts have only the end; unknown characters are written in bytes, so every text has a probability.
     Repeated rows count each time. Columns of these names in ``docs`` are replaced. Texts are stored in chunks of
-    8192 rows; a chunk's distinct words meet the corpus counts by a join, and come back to the chunk's texts. So no
-    task needs the whole vocabulary, and a word that all chunks have is one row per chunk.
+    8192 rows; the distinct words of what a task reads of a chunk (a part) meet the corpus counts by a join, and come back
+    to these texts, wherever stored files are split. So no task needs the whole vocabulary, and a word that all chunks have
+    is one row per part.
     """
     names = ("held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     keep = [c for c in docs.columns if c.lower() not in names]
@@ -177,7 +185,7 @@ def score_documents(docs: DataFrame, held_out, path: str, text: str = "text") ->
     rows = store(rows.withColumn("row", place), "rows")
     chunk = F.shiftright("row", CHUNK_BITS).alias("chunk")
     body = F.col(f"doc.{text}").alias("text")
-    local = store(rows.select(chunk, "held_out", body).mapInArrow(_count_words, "chunk long, number int, word binary, times long"), "words-of-chunks")
+    local = store(rows.select(chunk, "row", "held_out", body).mapInArrow(_count_words, "chunk long, part long, number int, word binary, times long"), "words-of-chunks")
     words = store(local.groupBy("word").agg(F.sum("times").alias("times")), "words")
     whole = words.where("times > 0").agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     ends = rows.where(~F.col("held_out")).count()
@@ -192,21 +200,27 @@ def score_documents(docs: DataFrame, held_out, path: str, text: str = "text") ->
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("times"), pa.array(found, pa.float64())], names=["word", "times", "score"])
 
     scored = store(words.mapInArrow(marginals, "word binary, times long, score double"), "word-scores")
-    of_chunk = store(local.select("chunk", "number", "word").join(scored, "word").select("chunk", "number", "times", "score"), "scores-of-chunks")
+    of_chunk = store(local.select("chunk", "part", "number", "word").join(scored, "word").select("chunk", "part", "number", "times", "score"), "scores-of-chunks")
     floor = math.log10(total + kinds + 1)
     end = (math.log10(ends + 1) - floor, end_score / _LN10, int(ends > 0))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        texts = left.column("text").to_pylist()
-        words = sorted({w for t in texts for w in tokens(t)})  # the numbers that _count_words gave
-        times, scores = np.zeros(len(words)), np.zeros(len(words))
-        at = right.column("number").to_numpy()
-        times[at], scores[at] = right.column("times").to_numpy(), right.column("score").to_numpy()
-        bases = np.log10(times + 1) - floor
-        known = dict(zip(words, zip(bases.tolist(), scores.tolist(), (times > 0).tolist())))
+        places, texts = left.column("row").to_numpy(), left.column("text").to_pylist()
+        starts, of = np.unique(right.column("part").to_numpy(), return_inverse=True)
+        own = np.searchsorted(starts, places, side="right") - 1  # a part without words has no start and needs none
         out: list[list] = [[], [], [], [], []]
-        for row, value in zip(left.column("row").to_pylist(), texts):
-            found = [known[w] for w in tokens(value)]
+        known: list[dict] = []
+        for part in range(len(starts)):
+            words = sorted({w for k in np.flatnonzero(own == part) for w in tokens(texts[k])})  # the numbers that _count_words gave
+            here = np.flatnonzero(of == part)
+            if len(here) != len(words):
+                raise ValueError(f"{len(here)} words were counted where the texts have {len(words)}")
+            times, scores, at = np.zeros(len(words)), np.zeros(len(words)), right.column("number").to_numpy()[here]
+            times[at], scores[at] = right.column("times").to_numpy()[here], right.column("score").to_numpy()[here]
+            bases = np.log10(times + 1) - floor
+            known.append(dict(zip(words, zip(bases.tolist(), scores.tolist(), (times > 0).tolist()))))
+        for row, value, part in zip(places.tolist(), texts, own.tolist()):
+            found = [known[part][w] for w in tokens(value)]
             base, model_score, n = zip(*found) if found else ((), (), ())
             for column, v in zip(out, (row, len(found) + 1, sum(n) + end[2], math.fsum(base) + end[0], math.fsum(model_score) + end[1])):
                 column.append(v)

@@ -248,6 +248,31 @@ def test_scores_of_documents(spark):
     assert lattice.score_documents(texts(spark, []), held, MODEL).count() == 0
 
 
+def test_scores_where_stored_files_are_cut_within_a_chunk(spark):
+    rnd = random.Random(3)
+    rows = [(i, "" if i % 9 == 0 else " ".join(f"w{rnd.randrange(4000)}" for _ in range(30))) for i in range(3000)]
+    docs, held = texts(spark, rows).coalesce(1), F.col("doc_id") % 7 == 2
+    counts = Counter(w for i, t in rows if i % 7 != 2 for w in [*t.encode().split(), None])
+    floor = math.log10(sum(counts.values()) + len(counts) + 1)
+    whole = {r.doc_id: r.score for r in lattice.score_documents(docs, held, MODEL).collect()}
+    hadoop, small = spark.sparkContext._jsc.hadoopConfiguration(), {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in small}
+    hadoop.set("parquet.block.size", "20000")
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        got = lattice.score_documents(docs, held, MODEL).collect()
+    finally:
+        hadoop.unset("parquet.block.size")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(got) == len(rows)
+    for r in got:
+        own = [*rows[r.doc_id][1].encode().split(), None]
+        assert r.n_known == sum(counts[w] > 0 for w in own) and math.isclose(r.score, whole[r.doc_id], rel_tol=1e-9)
+        assert math.isclose(r.base_score, sum(math.log10(counts[w] + 1) - floor for w in own), rel_tol=1e-9)
+
+
 # --- 10 --------------------------------------------------------------------------------------------------------------
 
 
