@@ -17,10 +17,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from panelwise.llm.shared import store
 
-#: A text of an aligned node is template when at least this share of the host's pages with the node has it ...
+#: A text of an aligned node is template when at least this share of the host's different pages with the node has it ...
 TEMPLATE_SHARE = 0.9
-#: ... and at least so many pages have the node.
+#: ... and at least so many different pages have the node.
 TEMPLATE_PAGES = 10
+#: Texts that over half of the different pages share; if they are more than this share of all text, the pages are copies of one article.
+COPIES_SHARE = 0.5
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -272,19 +274,15 @@ class _Aligner:
         return [(numbers.get(path, -1), text) for path, text in _blocks(root, items)]
 
 
-def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(host, node, text hash, false, pages) of this partition, and with true the pages that have the node."""
-    aligner, counts = _Aligner(), Counter()
-    columns = ["host", "node", "hash", "whole", "n"]
+def _contents(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(host, content, blocks) of each page: its different blocks as (node, text hash, characters) and a hash of these."""
+    aligner = _Aligner()
     for frame in frames:
+        out = []
         for host, wrapper, page in zip(frame["host"], frame["wrapper"], frame["html"]):
-            found = {(node, _hash(text)) for node, text in aligner.blocks(wrapper, page)}
-            counts.update((host, node, h, False) for node, h in found)
-            counts.update((host, node, 0, True) for node in {node for node, _ in found})
-        if len(counts) > 200_000:
-            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=columns)
-            counts.clear()
-    yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=columns)
+            found = sorted({(node, _hash(text), len(text)) for node, text in aligner.blocks(wrapper, page)})
+            out.append((host, xxhash.xxh128_hexdigest(repr(found)), [{"node": node, "hash": h, "size": size} for node, h, size in found]))
+        yield pd.DataFrame(out, columns=["host", "content", "blocks"])
 
 
 def _content(page: str):
@@ -307,8 +305,9 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataFra
     """The rows of ``pages`` with ``main_text``, the blocks of the main text joined by one space.
 
     For each host: the trees of its pages (brothers of one label folded) are merged by simple tree matching into a
-    wrapper; then each page is aligned with the wrapper and texts are counted per node. A text that ``TEMPLATE_SHARE``
-    of the pages with the node share is template; what varies is content, unless its node is a menu, header, footer,
+    wrapper; then each page is aligned with the wrapper and texts are counted per node, pages of the same blocks once. A
+    text that ``TEMPLATE_SHARE`` of the different pages with the node share is template, unless most of the host's text
+    is shared by most pages: then they are (near) copies of one article, and nothing is template; what varies is content, unless its node is a menu, header, footer,
     advert, form or the like by element name, class, id or role. If a page has article or main elements, only these
     count. A page all of whose blocks are constant (copies of one article) keeps them. Null html is the empty page, a
     null or malformed address belongs to the host ''. Extra columns stay; a column ``main_text`` is replaced. Repeated
@@ -322,11 +321,18 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataFra
     parts = shapes.withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(32))).groupBy("host", "part").applyInPandas(_merged("shape", False), "host string, wrapper string, n long")
     # Stored tables have known sizes: while the wrappers are small, pages meet them without a shuffle.
     wrappers = store(parts.groupBy("host").applyInPandas(_merged("wrapper", True), "host string, wrapper string, n long").drop("n"), "wrappers")
-    counted = rows.select("host", "html").join(wrappers, "host").mapInPandas(_texts, "host string, node int, hash long, whole boolean, n long").groupBy("host", "node", "hash", "whole").agg(F.sum("n").alias("n"))
-    seen = store(counted.where(F.col("whole") | (F.col("n") >= TEMPLATE_PAGES * TEMPLATE_SHARE)), "slots")
-    slots = seen.where("whole AND node >= 0").select("host", "node", F.col("n").alias("of"))
-    texts = seen.where("NOT whole").join(slots, ["host", "node"])
-    constant = texts.where((F.col("of") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("of"))).groupBy("host").agg(F.collect_list(F.struct("node", "hash")).alias("template"))
+    aligned = rows.select("host", "html").join(wrappers, "host").mapInPandas(_contents, "host string, content string, blocks array<struct<node:int,hash:long,size:int>>")
+    each = aligned.groupBy("host", "content").agg(F.first("blocks").alias("blocks"))
+    marks = F.transform(F.array_distinct("blocks.node"), lambda node: F.struct(node.alias("node"), F.lit(0).cast("long").alias("hash"), F.lit(-1).alias("size")))
+    exploded = each.select("host", F.explode(F.concat("blocks", marks)).alias("b"))
+    counted = store(exploded.groupBy("host", "b.node", "b.hash", "b.size").agg(F.count(F.lit(1)).alias("n")), "slots")
+    slots = counted.where("size < 0 AND node >= 0").select("host", "node", F.col("n").alias("of"))
+    texts = counted.where("size >= 0").join(slots, ["host", "node"])
+    weight = F.col("n") * F.col("size")
+    shared = F.coalesce(F.sum(F.when(2 * F.col("n") > F.col("of"), weight)), F.lit(0))
+    copies = texts.groupBy("host").agg((shared > COPIES_SHARE * F.sum(weight)).alias("copies")).where("copies").select("host")
+    sure = (F.col("of") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("of"))
+    constant = texts.where(sure).join(copies, "host", "left_anti").groupBy("host").agg(F.collect_list(F.struct("node", "hash")).alias("template"))
     known = store(wrappers.join(constant, "host", "left"), "templates")
     ready = rows.select("row", "host").join(known, "host").select("row", "wrapper", "template")
     schema = StructType([ready.schema["row"], StructField("main_text", StringType())])

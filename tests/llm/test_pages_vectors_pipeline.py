@@ -105,6 +105,24 @@ def test_constant_texts_are_template_and_copies_are_kept(spark):
     assert all(got[100 + i] == "Title The same article" for i in range(15))
 
 
+def texts_of(spark, rows):
+    return {r.page_id: r.main_text for r in html_wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
+
+
+def test_near_copies_are_kept_whole(spark):
+    parts = [f"Paragraph {k} of the one article that all mirrors carry" for k in range(6)]
+    write = lambda x: page("".join(f"<p>{t}</p>" for t in x))
+    near = {28: [*parts, "One added line"], 29: [*parts[:3], "A changed paragraph", *parts[4:]]}
+    rows = [(i, f"http://e.example/{i}", write(near.get(i, parts))) for i in range(30)]
+    each = {100 + i: [*parts[:i % 6], f"Changed by mirror {i}", *parts[i % 6 + 1 :], f"Added by mirror {i}"] for i in range(20)}
+    rows += [(i, f"http://f.example/{i}", write(x)) for i, x in each.items()]
+    rows += [(200 + i, f"http://g.example/{i}", page(f"<p>Text {min(i, 12)} that differs from the others here</p><p>Subscribe now</p>")) for i in range(60)]
+    got = texts_of(spark, rows)
+    assert all(got[i] == " ".join(["Title", *near.get(i, parts)]) for i in range(30))
+    assert all(got[i] == " ".join(["Title", *x]) for i, x in each.items())
+    assert all(got[200 + i] == f"Text {min(i, 12)} that differs from the others here" for i in range(60))
+
+
 def test_pages_of_the_table(spark, small):
     raw = {r.page_id: r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
     for r in QUERIES["op5_wrapper_induction_text"](spark, small).collect():
