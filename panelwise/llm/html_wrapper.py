@@ -34,6 +34,8 @@ ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header masthead menu modal nav navbar "
     "navigation newsletter notice notices popup promo promoted related replies reply search share sharing sidebar social sponsor sponsored subscribe toolbar widget complementary contentinfo".split()
 )
+#: A compound with one of these tells of a page or article, or that it has no such part.
+DENIALS = frozenset("has have with no not without hide hidden is".split())
 _TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|/?[a-zA-Z][^>]*(?:>|\Z))""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _BREAK = None
@@ -62,7 +64,7 @@ def _label(tag: str, attributes: str) -> str:
         return tag
     words: set[str] = set()
     for m in _ATTRIBUTE.finditer(attributes):
-        words.update(re.findall(r"[a-z]+", (m[2] or m[3] or m[4] or "").lower()))
+        words.update("-".join(parts) for x in (m[2] or m[3] or m[4] or "").lower().split() if (parts := re.findall(r"[a-z]+", x)))
     return ".".join([tag, *sorted(words)])
 
 
@@ -187,7 +189,20 @@ def _path(node: Node) -> tuple:
 
 
 def _aside(path: tuple) -> bool:
-    return any((words := label.split("."))[0] in ASIDE_TAGS or not ASIDE_WORDS.isdisjoint(words[1:]) for label in path)
+    return any(label.split(".")[0] in ASIDE_TAGS for label in path)
+
+
+def _says_aside(name: str) -> bool:
+    """Whether a class, id or role is one of the words, or a compound that ends with one (``site-footer``, not ``header-fixed``,
+    ``has-sidebar`` or ``no-comments``)."""
+    parts = name.split("-")
+    return parts[-1] in ASIDE_WORDS and DENIALS.isdisjoint(parts[:-1])
+
+
+def _hinted(path: tuple) -> bool:
+    """Whether a node within the innermost article or main, or below body where there is none, is named like an aside."""
+    last = max((k for k, label in enumerate(path) if label.split(".")[0] in ("html", "body", "article", "main")), default=-1)
+    return any(_says_aside(name) for label in path[last + 1 :] for name in label.split(".")[1:])
 
 
 def _in_article(path: tuple) -> bool:
@@ -197,15 +212,16 @@ def _in_article(path: tuple) -> bool:
 def _blocks(root: Node, items: list[tuple[Node, str | None]]) -> list[tuple[tuple, str]]:
     """(path, text) of each block that may be content, white space made single."""
     paths: dict[int, tuple] = {}
-    out, run, where = [], [], ()
+    out, run, where, hinted = [], [], (), False
 
     def end() -> None:
         text = " ".join("".join(run).split())
         if text:
-            out.append((where, text))
+            out.append((where, text, hinted))
         run.clear()
 
     asides: dict[tuple, bool] = {}
+    hints: dict[tuple, bool] = {}
     for node, text in items:
         if text is None:
             end()
@@ -214,15 +230,18 @@ def _blocks(root: Node, items: list[tuple[Node, str | None]]) -> list[tuple[tupl
         if path is None:
             path = paths[id(node)] = _path(node)
         if path not in asides:
-            asides[path] = _aside(path)
+            asides[path], hints[path] = _aside(path), _hinted(path)
         if asides[path]:
             continue
+        if run and hints[path] != hinted:
+            end()
         if not run:
+            hinted = hints[path]
             where = tuple(x for x in path if x.split(".")[0] not in INLINE)
         run.append(text)
     end()
-    articles = [b for b in out if _in_article(b[0])]
-    return articles or out
+    found = [b for b in out if _in_article(b[0])] or out
+    return [(path, text) for path, text, hint in found if not hint] or [(path, text) for path, text, _ in found]
 
 
 def _hash(text: str) -> int:
@@ -308,7 +327,8 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataFra
     wrapper; then each page is aligned with the wrapper and texts are counted per node, pages of the same blocks once. A
     text that ``TEMPLATE_SHARE`` of the different pages with the node share is template, unless most of the host's text
     is shared by most pages: then they are (near) copies of one article, and nothing is template; what varies is content, unless its node is a menu, header, footer,
-    advert, form or the like by element name, class, id or role. If a page has article or main elements, only these
+    advert, form or the like by element name, or by a class, id or role inside the article that is such a word or ends
+    with one; a page with no other text keeps the latter. If a page has article or main elements, only these
     count. A page all of whose blocks are constant (copies of one article) keeps them. Null html is the empty page, a
     null or malformed address belongs to the host ''. Extra columns stay; a column ``main_text`` is replaced. Repeated
     rows stay repeated. Work per host: its shapes are counted before they are merged, first in 32 parts, so a host with

@@ -123,6 +123,21 @@ def test_near_copies_are_kept_whole(spark):
     assert all(got[200 + i] == f"Text {min(i, 12)} that differs from the others here" for i in range(60))
 
 
+def test_names_of_pages_and_articles_drop_nothing(spark):
+    text = "<p>The text</p>"
+    bodies = [
+        f'<body class="has-sidebar">{text}</body>',
+        f'<article class="post no-comments">{text}</article>',
+        f'<main id="search-result-page">{text}</main>',
+        f'<body><div class="header-fixed">{text}</div></body>',
+        f'<div class="sidebar share"><article class="comments">{text}</article></div>',
+        f'<body class="widget"><div class="promo">{text}</div></body>',
+        f'<article>{text}<div class="site-footer">end</div><div class="related">more</div><p id="comments">nice</p></article>',
+        f'<article>{text} <span class="ad">buy</span></article>',
+    ]
+    assert set(texts_of(spark, [(i, f"http://h{i}.example/", x) for i, x in enumerate(bodies)]).values()) == {"The text"}
+
+
 def test_pages_of_the_table(spark, small):
     raw = {r.page_id: r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
     for r in QUERIES["op5_wrapper_induction_text"](spark, small).collect():
