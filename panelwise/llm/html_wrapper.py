@@ -19,8 +19,8 @@ from panelwise.llm.shared import store
 
 #: A text of an aligned node is template when at least this share of the host's different pages with the node has it ...
 TEMPLATE_SHARE = 0.9
-#: ... and at least so many different pages have the node.
-TEMPLATE_PAGES = 10
+#: ... and at least so many different pages have the node: outside of articles, and inside, where texts are content by themselves.
+TEMPLATE_PAGES, ARTICLE_PAGES = 2, 3
 #: Texts that over half of the different pages share; if they are more than this share of all text, the pages are copies of one article.
 COPIES_SHARE = 0.5
 
@@ -282,7 +282,8 @@ class _Aligner:
         self.wrappers: dict[str, list] = {}
         self.known: dict[tuple, dict] = {}
 
-    def blocks(self, wrapper: str, page: str) -> list[tuple[int, str]]:
+    def blocks(self, wrapper: str, page: str) -> list[tuple[int, str, bool]]:
+        """(number of the wrapper's node, text, whether it is in an article) of each block."""
         root, items = parse(page)
         shape = root.shape()
         numbers = self.known.get((wrapper, shape))
@@ -290,17 +291,17 @@ class _Aligner:
             if len(self.known) > 5_000:
                 self.known.clear()
             numbers = self.known[wrapper, shape] = _numbers(json.loads(wrapper), shape)
-        return [(numbers.get(path, -1), text) for path, text in _blocks(root, items)]
+        return [(numbers.get(path, -1), text, _in_article(path)) for path, text in _blocks(root, items)]
 
 
 def _contents(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(host, content, blocks) of each page: its different blocks as (node, text hash, characters) and a hash of these."""
+    """(host, content, blocks) of each page: its different blocks as (node, text hash, characters, article) and a hash of these."""
     aligner = _Aligner()
     for frame in frames:
         out = []
         for host, wrapper, page in zip(frame["host"], frame["wrapper"], frame["html"]):
-            found = sorted({(node, _hash(text), len(text)) for node, text in aligner.blocks(wrapper, page)})
-            out.append((host, xxhash.xxh128_hexdigest(repr(found)), [{"node": node, "hash": h, "size": size} for node, h, size in found]))
+            found = sorted({(node, _hash(text), len(text), article) for node, text, article in aligner.blocks(wrapper, page)})
+            out.append((host, xxhash.xxh128_hexdigest(repr(found)), [{"node": node, "hash": h, "size": size, "article": article} for node, h, size, article in found]))
         yield pd.DataFrame(out, columns=["host", "content", "blocks"])
 
 
@@ -313,8 +314,8 @@ def _content(page: str):
             for wrapper, template, text in zip(batch.column("wrapper").to_pylist(), batch.column("template").to_pylist(), texts):
                 constant = {(t["node"], t["hash"]) for t in template or ()}
                 blocks = aligner.blocks(wrapper, text or "")
-                kept = [text for node, text in blocks if (node, _hash(text)) not in constant]
-                out.append(" ".join(kept or [text for _, text in blocks]))
+                kept = [text for node, text, _ in blocks if (node, _hash(text)) not in constant]
+                out.append(" ".join(kept or [text for _, text, _ in blocks]))
             yield pa.RecordBatch.from_arrays([rows, pa.array(out, pa.string())], names=["row", "main_text"])
 
     return content
@@ -325,7 +326,8 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataFra
 
     For each host: the trees of its pages (brothers of one label folded) are merged by simple tree matching into a
     wrapper; then each page is aligned with the wrapper and texts are counted per node, pages of the same blocks once. A
-    text that ``TEMPLATE_SHARE`` of the different pages with the node share is template, unless most of the host's text
+    text that ``TEMPLATE_SHARE`` of the different pages with the node share (all, if they are under ten; of two pages on, in
+    articles of three on) is template, unless most of the host's text
     is shared by most pages: then they are (near) copies of one article, and nothing is template; what varies is content, unless its node is a menu, header, footer,
     advert, form or the like by element name, or by a class, id or role inside the article that is such a word or ends
     with one; a page with no other text keeps the latter. If a page has article or main elements, only these
@@ -341,17 +343,17 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataFra
     parts = shapes.withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(32))).groupBy("host", "part").applyInPandas(_merged("shape", False), "host string, wrapper string, n long")
     # Stored tables have known sizes: while the wrappers are small, pages meet them without a shuffle.
     wrappers = store(parts.groupBy("host").applyInPandas(_merged("wrapper", True), "host string, wrapper string, n long").drop("n"), "wrappers")
-    aligned = rows.select("host", "html").join(wrappers, "host").mapInPandas(_contents, "host string, content string, blocks array<struct<node:int,hash:long,size:int>>")
+    aligned = rows.select("host", "html").join(wrappers, "host").mapInPandas(_contents, "host string, content string, blocks array<struct<node:int,hash:long,size:int,article:boolean>>")
     each = aligned.groupBy("host", "content").agg(F.first("blocks").alias("blocks"))
-    marks = F.transform(F.array_distinct("blocks.node"), lambda node: F.struct(node.alias("node"), F.lit(0).cast("long").alias("hash"), F.lit(-1).alias("size")))
+    marks = F.transform(F.array_distinct("blocks.node"), lambda node: F.struct(node.alias("node"), F.lit(0).cast("long").alias("hash"), F.lit(-1).alias("size"), F.lit(False).alias("article")))
     exploded = each.select("host", F.explode(F.concat("blocks", marks)).alias("b"))
-    counted = store(exploded.groupBy("host", "b.node", "b.hash", "b.size").agg(F.count(F.lit(1)).alias("n")), "slots")
+    counted = store(exploded.groupBy("host", "b.node", "b.hash", "b.size", "b.article").agg(F.count(F.lit(1)).alias("n")), "slots")
     slots = counted.where("size < 0 AND node >= 0").select("host", "node", F.col("n").alias("of"))
     texts = counted.where("size >= 0").join(slots, ["host", "node"])
     weight = F.col("n") * F.col("size")
     shared = F.coalesce(F.sum(F.when(2 * F.col("n") > F.col("of"), weight)), F.lit(0))
     copies = texts.groupBy("host").agg((shared > COPIES_SHARE * F.sum(weight)).alias("copies")).where("copies").select("host")
-    sure = (F.col("of") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("of"))
+    sure = (F.col("of") >= F.when(F.col("article"), ARTICLE_PAGES).otherwise(TEMPLATE_PAGES)) & (F.col("n") >= TEMPLATE_SHARE * F.col("of"))
     constant = texts.where(sure).join(copies, "host", "left_anti").groupBy("host").agg(F.collect_list(F.struct("node", "hash")).alias("template"))
     known = store(wrappers.join(constant, "host", "left"), "templates")
     ready = rows.select("row", "host").join(known, "host").select("row", "wrapper", "template")

@@ -138,6 +138,16 @@ def test_names_of_pages_and_articles_drop_nothing(spark):
     assert set(texts_of(spark, [(i, f"http://h{i}.example/", x) for i, x in enumerate(bodies)]).values()) == {"The text"}
 
 
+def test_constant_texts_of_small_hosts_are_template(spark):
+    plain = lambda h, i: f"<body><div>Home News Contact</div><div><p>Story {i} of {h}, told at some length and unlike others</p></div><div><em>All rights</em></div></body>"
+    rows = [(10 * n + i, f"http://s{n}.example/{i}", plain(n, i)) for n in (1, 2, 3, 9) for i in range(n)]
+    rows += [(200 + i, f"http://t.example/{i}", page(f"<p>Story {i} of another place, told at length</p><p>Subscribe now</p>")) for i in range(3)]
+    got = texts_of(spark, rows)
+    assert got.pop(10) == "Home News Contact Story 0 of 1, told at some length and unlike others All rights"
+    assert all(got[10 * n + i] == f"Story {i} of {n}, told at some length and unlike others" for n in (2, 3, 9) for i in range(n))
+    assert all(got[200 + i] == f"Story {i} of another place, told at length" for i in range(3))
+
+
 def test_pages_of_the_table(spark, small):
     raw = {r.page_id: r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
     for r in QUERIES["op5_wrapper_induction_text"](spark, small).collect():
