@@ -20,6 +20,8 @@ CELL = 0.5
 EVIDENCE = 200
 #: A document is accepted at this posterior probability.
 ACCEPT = 0.5
+#: Prior of a text in no known language.
+OTHER = 1e-3
 _CODES = 1 << 16
 _FOLD = np.full(256, 32, dtype=np.uint8)
 _FOLD[65:91] = np.arange(97, 123)
@@ -27,6 +29,24 @@ _FOLD[97:123] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
 
 
+def _mixed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    code = ((a * np.uint32(0x9E3779B1)) ^ (b * np.uint32(0x85EBCA6B)) ^ (c * np.uint32(0xC2B2AE35))) * np.uint32(0x27D4EB2F)
+    return (code >> np.uint32(16)).astype(np.int64)
+
+
+def other_language(letters: np.ndarray, n: float) -> np.ndarray:
+    """Log probability of each trigram in a text of no known language: the known letters (counts of bytes) in any order,
+    smoothed like a language of ``n`` trigrams."""
+    share = (letters + 0.5) / (letters + 0.5).sum()
+    own = np.unique(_FOLD).astype(np.uint32)
+    total = np.zeros(_CODES)
+    for a in own:
+        b, c = (x.ravel() for x in np.meshgrid(own, own))
+        good = ((a != 32) | (b != 32)) & ((b != 32) | (c != 32))
+        total += np.bincount(_mixed(np.full(good.sum(), a), b[good], c[good]), weights=share[a] * share[b[good]] * share[c[good]], minlength=_CODES)
+    return np.log((n * total / total.sum() + 0.5) / (n + 0.5 * _CODES)).astype(np.float32)
+
+
 def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashed byte trigrams of each text (letters folded, all else a space; not those with two spaces in a row) and the
     number of their text."""
@@ -34,21 +54,26 @@ def trigrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     b = _FOLD[raw].astype(np.uint32)
     if len(b) < 3:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    code = ((b[:-2] * np.uint32(0x9E3779B1)) ^ (b[1:-1] * np.uint32(0x85EBCA6B)) ^ (b[2:] * np.uint32(0xC2B2AE35))) * np.uint32(0x27D4EB2F)
+    code = _mixed(b[:-2], b[1:-1], b[2:])
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     good = (text[:-2] == text[2:]) & ((b[:-2] != 32) | (b[1:-1] != 32)) & ((b[1:-1] != 32) | (b[2:] != 32))
-    return (code[good] >> np.uint32(16)).astype(np.int64), text[:-2][good]
+    return code[good], text[:-2][good]
 
 
 def _count(languages: list[str]):
     place = {x: k for k, x in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(languages) * _CODES, dtype=np.int64)
+        total = np.zeros((len(languages) + 1) * _CODES, dtype=np.int64)  # the last are the bytes of all languages
         for whole in batches:
             for batch in slices(whole):
                 code, text = trigrams(batch.column("text"))
-                own = np.array([place.get(x, -1) for x in batch.column("declared").to_pylist()], dtype=np.int64)[text]
+                own = np.array([place.get(x, -1) for x in batch.column("declared").to_pylist()], dtype=np.int64)
+                raw, offsets = buffers(batch.column("text"))
+                b, known = _FOLD[raw], np.repeat(own >= 0, np.diff(offsets))
+                known[1:] &= (b[1:] != 32) | (b[:-1] != 32)
+                total[-_CODES:][:256] += np.bincount(b[known], minlength=256)
+                own = own[text]
                 total += np.bincount((own * _CODES + code)[own >= 0], minlength=len(total))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array((at // _CODES).astype(np.int32)), pa.array((at % _CODES).astype(np.int32)), pa.array(total[at])], names=["language", "code", "n"])
@@ -77,7 +102,9 @@ def _best(sent):
         for whole in batches:
             for batch in slices(whole):
                 scores, n = text_scores(batch.column("text"), sent.value)
-                best = np.where(n > 0, scores.argmax(axis=1), -1) if scores.shape[1] else np.full(len(n), -1)
+                scores[:, -1] += np.log(OTHER)
+                best = scores.argmax(axis=1)
+                best = np.where((n > 0) & (best < scores.shape[1] - 1), best, -1)
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("declared", "suffix", "host")], pa.array(best.astype(np.int32))], names=["declared", "suffix", "host", "language"])
 
     return run
@@ -91,9 +118,10 @@ def _fuse(sent, languages: list[str], column: str):
             texts = whole.column("row").field(whole.column("row").type.get_field_index(column))
             for batch in slices(whole.append_column("text", texts)):
                 scores, n = text_scores(batch.column("text"), model)
-                if scores.shape[1]:
+                if languages:
+                    scores[:, -1] += np.log(OTHER)
                     for k, (d, s, p) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("declared", "suffix", "prior")))):
-                        scores[k] += np.log(everywhere if p is None else np.array(p))
+                        scores[k, :-1] += np.log(everywhere if p is None else np.array(p))
                         if d in declared:
                             scores[k] += declared[d]
                         if s in suffix:
@@ -101,8 +129,9 @@ def _fuse(sent, languages: list[str], column: str):
                     scores -= scores.max(axis=1, keepdims=True)
                     share = np.exp(scores)
                     share /= share.sum(axis=1, keepdims=True)
-                    best = np.where(n > 0, share.argmax(axis=1), -1)
-                    chance = np.where(n > 0, share.max(axis=1), 0.0)
+                    best = share.argmax(axis=1)
+                    best = np.where((n > 0) & (best < len(languages)), best, -1)
+                    chance = np.where(n > 0, share[:, :-1].max(axis=1), 0.0)
                 else:
                     best, chance = np.full(len(n), -1), np.zeros(len(n))
                 yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(names[best].tolist(), pa.string()), pa.array(chance), pa.array(chance >= ACCEPT)], names=["row", "language", "probability", "accepted"])
@@ -124,7 +153,8 @@ def identify(docs: DataFrame, declared: Column, host: Column, suffix: Column | N
     counts of all rows that declare a language. Every row's best language by text alone is then counted by declared
     language, address suffix, domain and host; that gives P(declared | language), P(suffix | language) and the prior of
     each host, smoothed towards its domain (the host without its first label) and that towards all rows. The posterior
-    multiplies all of them. Null or unknown declarations, suffixes and hosts are no evidence. A text without letters,
+    multiplies all of them. One more hypothesis, with prior ``OTHER``, is a text of no known language, whose trigrams are the
+    known letters in any order; where it wins, ``language`` is null and the row is not accepted. Null or unknown declarations, suffixes and hosts are no evidence. A text without letters,
     null included, has no language, probability 0 and is not accepted; without any known language none is. Ties go to
     the first language by name. Repeated rows count each time. Columns of these names in ``docs`` are replaced.
 
@@ -137,8 +167,15 @@ def identify(docs: DataFrame, declared: Column, host: Column, suffix: Column | N
     rows = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"), F.when(tag != "", tag).alias("declared"), F.lower(host.cast("string")).alias("host"), (F.lit(None).cast("string") if suffix is None else F.lower(suffix)).alias("suffix"))
     languages = sorted(r["declared"] for r in rows.where("declared IS NOT NULL").groupBy("declared").count().where(F.col("count") >= MIN_ROWS).select("declared").collect())
     size = len(languages)
-    model = np.zeros((size, _CODES), dtype=np.float32)
+    model = np.zeros((size + 1, _CODES), dtype=np.float32)
     counted = rows.select("text", "declared").mapInArrow(_count(languages), "language int, code int, n long").groupBy("language", "code").agg(F.sum("n").alias("n"))
+    counted = store(counted, "trigrams")
+    letters = np.zeros(256)
+    for r in counted.where(F.col("language") == size).collect():
+        letters[r["code"]] = r["n"]
+    counted = counted.where(F.col("language") < size)
+    least = min((r["n"] for r in counted.groupBy("language").agg(F.sum("n").alias("n")).collect()), default=0)
+    model[size] = other_language(letters, least)
     for r in counted.groupBy("language").applyInArrow(_table, "language int, logs binary").collect():
         model[r["language"]] = np.frombuffer(r["logs"], dtype=np.float32)
     sent = spark.sparkContext.broadcast(model)
@@ -153,7 +190,12 @@ def identify(docs: DataFrame, declared: Column, host: Column, suffix: Column | N
     total = {r["language"]: r["n"] for r in counts.groupBy("language").agg(F.sum("n").alias("n")).collect()}
     everywhere = np.array([total.get(k, 0) + 1.0 for k in range(size)])
     everywhere = everywhere / everywhere.sum() if size else everywhere
-    evidence = spark.sparkContext.broadcast((model, cells("declared"), cells("suffix"), everywhere))
+
+    def with_other(values: dict) -> dict:
+        """No known language says nothing of a declaration or suffix: it has the mean of the languages."""
+        return {v: np.append(logs, np.log((np.exp(logs) * everywhere).sum())) for v, logs in values.items()}
+
+    evidence = spark.sparkContext.broadcast((model, with_other(cells("declared")), with_other(cells("suffix")), everywhere))
 
     hosts = counts.where("host IS NOT NULL").withColumn("domain", F.regexp_extract("host", r"^[^.]*\.(.*)$", 1))
     per = [F.sum(F.when(F.col("language") == k, F.col("n")).otherwise(0)).cast("double").alias(f"n{k}") for k in range(size)]

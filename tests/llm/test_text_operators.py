@@ -132,6 +132,22 @@ def test_language_of_wrongly_declared_and_of_empty_texts(spark):
     assert unknown.where("accepted").count() == 0
 
 
+def test_texts_of_no_known_language_are_rejected(spark):
+    en, fr = "the river was there and the other thing ", "les rivières étaient là avec une autre chose "
+    rnd = random.Random(2)
+    strange = {
+        200: "kaksi vanhaa miestä istui järven rannalla ja puhui hiljaa",
+        201: "двое стариков сидели на берегу",
+        202: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)),
+    }
+    rows = [(i, (en if i % 2 else fr) * 3, "en" if i % 2 else "fr", f"h{i % 3}", 1) for i in range(60)]
+    rows += [(i, t, "fi", "h1", 1) for i, t in strange.items()] + [(100 + i, t, None, "h1", 1) for i, t in strange.items()]
+    rows += [(400, "the other river", None, None, 1), (401, "une autre", "fr", "h1", 1)]
+    got = {r.doc_id: r for r in language.identify(spark.createDataFrame(rows, DOCS).repartition(4), F.col("lang"), F.col("source")).collect()}
+    assert not any(got[k + i].accepted or got[k + i].language for i in strange for k in (0, 100))
+    assert all(got[i].accepted for i in [*range(60), 400, 401]) and (got[400].language, got[401].language) == ("en", "fr")
+
+
 def test_evidence_is_smoothed():
     table = language._likelihoods({("en", 0): 99, ("fr", 1): 9}, 2)
     assert np.allclose(np.exp(table["en"]) + np.exp(table["fr"]), 1) and table["en"][0] > table["en"][1]
