@@ -5,7 +5,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.llm import decontaminate, html_wrapper, impact_search, jaccard, language, lattice, pieces, repeats, secrets, sharding
+from panelwise.llm import chat, decontaminate, html_wrapper, impact_search, jaccard, language, lattice, periodic, pieces, repeats, secrets, sharding, whitening
 from panelwise.llm.shared import QUERIES, SQL, query, table  # noqa: F401
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -113,3 +113,55 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each secret of a document; ``word`` counts the words of the text from 0."""
     found = secrets.scan(table(spark, folder, "documents"))
     return found.select("row.doc_id", "word", "value", F.round("probability", 4).alias("probability"))
+
+
+def periodic_documents(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where h = crc32(doc_id) is divisible by 10, the words from a on repeat their first p."""
+    text, word = F.coalesce("text", F.lit("")), r"[^\x20\x09-\x0D]+"
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = docs.select("doc_id", text.alias("text"), h.alias("h"), F.when(h % 10 == 0, F.regexp_extract_all(text, F.lit(word), F.lit(0))).alias("words"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil((n - a) / p).cast("int")))
+    altered = F.array_join(F.concat(F.slice("words", 1, a), F.slice(again, 1, n - a)), " ")
+    return chosen.select("doc_id", F.when(n > 0, altered).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_frequency_split_runs")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Null doc_id: the text as it is."""
+    found = periodic.find_runs(periodic_documents(table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    described = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    period = -F.col("top.shorter")
+    return described.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("top.before")).alias("start"),
+        F.col("top.length").alias("length"),
+        period.alias("period"),
+        F.floor(1000 * F.col("top.length") / period).alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+@query("op12_event_sourced_chat")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of one turn: by a hash of role and text. Null roles are empty, null conversations are one."""
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.element_at(F.array(F.lit("user"), F.lit("assistant")), (F.col("id") + 1).cast("int")).alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    log = chat.as_log(turns.unionByName(probe), "conv_id", "turn")
+    pieces_ = chat.rebuild_and_render(log, "conv_id", ["of_turn", "of_tie", "of_row", "of_step"], ["turn", "tie", "row", "step"])
+    return chat.read_back(pieces_, "conv_id")
+
+
+@query("op13_exact_polynomial_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each usable vector and component."""
+    found = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    w = "whitening."
+    each = found.select("vec_id", f"{w}n", f"{w}deviation", f"{w}explained", f"{w}identity_error", F.posexplode(f"{w}whitened").alias("at", "whitened"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened", F.element_at("explained", F.col("at") + 1).alias("explained"), "identity_error")
