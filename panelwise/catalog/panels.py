@@ -8,7 +8,7 @@ from panelwise.catalog.fixtures import PANEL, SCORED, VISITS, VITALS, panel, rou
 from panelwise.catalog.rules import _FLAGS, _RISK
 from panelwise.operators import panel as P
 from panelwise.operators.evaluation import window_hits, window_hits_by_join
-from panelwise.operators.skew import keep_members
+from panelwise.operators.skew import col, keep_members
 from panelwise.operators.splits import split_of
 from panelwise.plans.featurize import featurize
 
@@ -84,7 +84,7 @@ def _(spark, sf):
 
 def _delta_sql(c, lags=(1, 2)):
     return ", ".join(
-        f"round(coalesce({c} - min({c}) OVER (PARTITION BY entity_id ORDER BY period RANGE BETWEEN {k} PRECEDING AND {k} PRECEDING), 0), 6) AS {c}_delta_{k}y" for k in lags
+        f"round(CAST(coalesce({c} - min({c}) OVER (PARTITION BY entity_id ORDER BY period RANGE BETWEEN {k} PRECEDING AND {k} PRECEDING), 0) AS DOUBLE), 6) AS {c}_delta_{k}y" for k in lags
     )
 
 
@@ -185,20 +185,27 @@ def feature_table(spark, sf):
     return rounded(featurize(visits(spark, sf)))
 
 
+_EDUCATIONS = ("Bachelor's", "High School", "Master's", "PhD", "Some College")
+_DUMMY_SQL = ", ".join(
+    [f"CASE WHEN sex = '{v}' THEN 1 ELSE 0 END AS \"sex_{v}\"" for v in "FM"]
+    + ["CASE WHEN education_level = '{}' THEN 1 ELSE 0 END AS \"education_level_{}\"".format(v.replace("'", "''"), v) for v in _EDUCATIONS]
+)
+
+
 @query("feature_table_with_history", f"""
-WITH {VISITS}, v AS (SELECT patient_id AS entity_id, year AS period, bmi, systolic_bp, sex, education_level FROM visits)
-SELECT entity_id AS patient_id, period AS year, {_rolling_sql('bmi')}, {_delta_sql('bmi')}, {_rolling_sql('systolic_bp')}, {_delta_sql('systolic_bp')},
-  CASE WHEN sex = 'F' THEN 1 ELSE 0 END AS "sex_F", CASE WHEN sex = 'M' THEN 1 ELSE 0 END AS "sex_M", coalesce(education_level, 'unknown') AS education_level,
-  CASE WHEN education_level = 'PhD' THEN 1 ELSE 0 END AS "education_level_PhD" FROM v""")
+WITH {VISITS}, v AS (SELECT * RENAME (patient_id AS entity_id, year AS period) FROM visits)
+SELECT entity_id AS patient_id, period AS year, {_FEATURE_SQL}, {", ".join(_rolling_sql(c) + ", " + _delta_sql(c) for c in _COLUMNS)},
+  sex, coalesce(education_level, 'unknown') AS education_level, {_DUMMY_SQL} FROM v WINDOW e AS (PARTITION BY entity_id)""")
 def _(spark, sf):
-    v = visits(spark, sf).select("patient_id", "year", "bmi", "systolic_bp", "sex", "education_level")
-    wide = featurize(v, columns=("bmi", "systolic_bp"), rolling_columns=("bmi", "systolic_bp"), lags=(1, 2), categorical=("sex", "education_level"))
-    keep = [c for c in wide.columns if "_rolling_" in c or "_delta_" in c]
-    return rounded(wide.select("patient_id", "year", *keep, "sex_F", "sex_M", "education_level", "education_level_PhD"))
+    """All columns: entity statistics, rolling years, changes and dummies."""
+    v = visits(spark, sf)
+    wide = featurize(v, rolling_columns=_COLUMNS, lags=(1, 2), categorical=("sex", "education_level"))
+    dummies = [f"sex_{x}" for x in "FM"] + [f"education_level_{x}" for x in _EDUCATIONS]
+    names = P.feature_names(_COLUMNS, rolling_columns=_COLUMNS, lags=(1, 2))
+    return rounded(wide.select("patient_id", "year", *names, "sex", "education_level", *[col(d) for d in dummies]))
 
 
-@query("k1_mapped_frames", f"WITH {VITALS} SELECT id, round(bmi / 25, 6) AS ratio, CASE WHEN bmi >= 30 THEN 'obese' ELSE 'other' END AS band FROM vitals")
-def _(spark, sf):
+def _mapped(spark, sf, chunk_size=None):
     import numpy as np
 
     from panelwise.functions.frames import map_frames
@@ -208,4 +215,17 @@ def _(spark, sf):
         frame["band"] = np.where(frame["bmi"] >= 30, "obese", "other")
         return frame[["id", "ratio", "band"]]
 
-    return rounded(map_frames(vitals(spark, sf).select("id", "bmi"), add, "id bigint, ratio double, band string", base=25.0))
+    return rounded(map_frames(vitals(spark, sf).select("id", "bmi"), add, "id bigint, ratio double, band string", chunk_size, base=25.0))
+
+
+_MAPPED_SQL = f"WITH {VITALS} SELECT id, round(bmi / 25, 6) AS ratio, CASE WHEN bmi >= 30 THEN 'obese' ELSE 'other' END AS band FROM vitals"
+
+
+@query("k1_mapped_frames", _MAPPED_SQL)
+def _(spark, sf):
+    return _mapped(spark, sf)
+
+
+@query("k1_mapped_chunks", _MAPPED_SQL)
+def _(spark, sf):
+    return _mapped(spark, sf, 700)

@@ -1,7 +1,7 @@
 """Features of an entity x period panel.
 
-Each row's contribution is moved to the entity or the periods it counts for and aggregated there with map-side combine;
-the small per-entity or per-(entity, period) result is attached to the rows. No entity is ever gathered in one task.
+Rows are reduced map-side to moments per entity or per (entity, period); windows run over these, at most one row for each
+of an entity's periods, and the result meets the rows in one join. No entity's rows are ever gathered in one task.
 ``windows=True`` asks for the other plan, in which all windows share one shuffle on the entity: right for panels whose
 entities are known to be small. Both give the same rows.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwise.operators.ranking import running_totals
-from panelwise.operators.skew import attach, bounded_rows, col, keep_members
+from panelwise.operators.skew import attach, bounded_rows, col, keep_members, lookup
 from panelwise.session import write_and_read
 
 STATS = ("mean", "std", "min", "max")
@@ -65,7 +65,8 @@ def entity_stats(
 ) -> DataFrame:
     """``{column}_patient_{stat}`` of the row's entity on every row; the deviation of one value is null."""
     if not windows:
-        return join_entity_table(df, entity, columns, stats)
+        table = df.groupBy(col(entity)).agg(*[_stat(s, col(c)).alias(f"{c}_patient_{s}") for c in columns for s in stats])
+        return lookup(df, table, entity)
     w = W.partitionBy(col(entity))
     return df.select("*", *[_stat(s, col(c)).over(w).alias(f"{c}_patient_{s}") for c in columns for s in stats])
 
@@ -81,26 +82,96 @@ def _delta_name(column: str, years: int) -> str:
     return f"{column}_delta_{years}y"
 
 
-def _by_shifting(
-    df: DataFrame, entity: str, period: str, columns: Sequence[str], windows: Sequence[int], stats: Sequence[str], lags: Sequence[int]
+def _cell(c: str) -> Column:
+    """Moments of a column's values in one period of an entity: count, mean, squared deviations, least, greatest."""
+    value = col(c)
+    return F.struct(
+        F.count(value).alias("n"),
+        F.avg(value).cast("double").alias("mean"),
+        (F.var_pop(value) * F.count(value)).cast("double").alias("m2"),
+        F.min(value).alias("low"),
+        F.max(value).alias("high"),
+    )
+
+
+def _added(parts: Sequence[Column]) -> Column:
+    total = F.lit(0.0)
+    for x in parts:
+        total = total + F.coalesce(x, F.lit(0.0))
+    return total
+
+
+def _merged(states: Sequence[Column]) -> tuple[Column, Column, Column, Column]:
+    """(count, mean, least, greatest) of the values of several cells, null where there are none."""
+    n = states[0]["n"]
+    for s in states[1:]:
+        n = n + F.coalesce(s["n"], F.lit(0))
+    if len(states) == 1:
+        return n, states[0]["mean"], states[0]["low"], states[0]["high"]
+    mean = F.when(n > 0, _added([s["n"] * s["mean"] for s in states]) / n)
+    return n, mean, F.least(*[s["low"] for s in states]), F.greatest(*[s["high"] for s in states])
+
+
+def _deviation(n: Column, m2: Column) -> Column:
+    return F.when(n > 1, F.sqrt(m2 / (n - 1)))
+
+
+def _by_cells(
+    df: DataFrame,
+    entity: str,
+    period: str,
+    columns: Sequence[str],
+    stats: Sequence[str],
+    rolling_columns: Sequence[str],
+    years: Sequence[int],
+    rolling: Sequence[str],
+    lags: Sequence[int],
 ) -> DataFrame:
-    """Rolling frames and earlier values: every row is counted in the periods it reaches, then attached there."""
-    reach = max([0, *[w - 1 for w in windows], *lags])
-    # A row without a period counts once, with the entity's other rows without one.
-    steps = F.when(col(period).isNull(), F.array(F.lit(0))).otherwise(F.array(*[F.lit(i) for i in range(reach + 1)]))
-    moved = df.select(col(entity), col(period), *[col(c) for c in columns], F.explode(steps).alias("_step"))
-    moved = moved.withColumn("_at", (col(period) + F.col("_step")).cast("bigint"))
-    aggs = [F.count_if(F.col("_step") == 0).alias(_WEIGHT)]
-    aggs += [
-        _stat(s, F.when(F.col("_step") < w, col(c))).alias(_rolling_name(c, s, w)) for w in windows for c in columns for s in stats
-    ]
-    # Without a period the frame of exactly k years before is that of the rows without one, as for a window.
-    from_ = lambda k: (F.col("_step") == k) | F.col("_at").isNull()
-    aggs += [F.min(F.when(from_(k), col(c))).alias(f"{_delta_name(c, k)}_from") for k in lags for c in columns]
-    table = moved.groupBy(col(entity), F.col("_at")).agg(*aggs)
-    rows = df.withColumn("_at", col(period).cast("bigint"))
-    wide = attach(rows, table, [entity, "_at"], _WEIGHT).drop("_at")
-    deltas = {_delta_name(c, k): _change(col(c), col(f"{_delta_name(c, k)}_from")) for k in lags for c in columns}
+    """All features from the moments of (entity, period) cells, which meet the rows in one join.
+
+    Rows are reduced to cells map-side. An entity has one cell for each of its periods, so the windows over them are short
+    whatever its rows. Cells merge by Chan's rule: squared deviations add up, plus those of the cells' means. Rows
+    without a period are one cell, which no frame of years reaches.
+    """
+    used = list(dict.fromkeys([*columns, *rolling_columns]))
+    at = {c: f"_{i}" for i, c in enumerate(used)}
+    cells = df.groupBy(col(entity), col(period)).agg(F.struct(*[_cell(c).alias(at[c]) for c in used]).alias("_0y"))
+    ordered = W.partitionBy(col(entity)).orderBy(col(period))
+    reach = max([0, *[w - 1 for w in years if rolling_columns], *lags])
+    earlier = [F.first("_0y").over(_years(ordered, -k, -k)).alias(f"_{k}y") for k in range(1, reach + 1)]
+    # The whole-entity frame is ordered too, so that one sort serves every window.
+    whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    of_entity = []
+    for c in columns:
+        cell = F.col("_0y")[at[c]]
+        n = F.sum(cell["n"]).over(whole)
+        mean = F.when(n > 0, F.sum(cell["n"] * cell["mean"]).over(whole) / n)
+        found = {"n": n, "mean": mean, "low": F.min(cell["low"]).over(whole), "high": F.max(cell["high"]).over(whole)}
+        of_entity += [v.alias(f"{at[c]}_{k}") for k, v in found.items()]
+    cells = cells.select(col(entity), col(period), "_0y", *earlier, *of_entity)
+
+    added: dict[str, Column] = {}
+    for c in columns:
+        e, cell = lambda k: F.col(f"{at[c]}_{k}"), F.col("_0y")[at[c]]  # noqa: E731, B023
+        if "std" in stats:
+            m2 = F.sum(cell["m2"] + cell["n"] * (cell["mean"] - e("mean")) * (cell["mean"] - e("mean"))).over(whole)
+        values = {"mean": e("mean"), "min": e("low"), "max": e("high"), "count": e("n")}
+        added |= {f"{c}_patient_{s}": _deviation(e("n"), m2) if s == "std" else values[s] for s in stats}
+    for c in rolling_columns:
+        states = [F.col(f"_{k}y")[at[c]] for k in range(reach + 1)]
+        for w in years:
+            # A null period is its own frame, which must not be merged with itself.
+            frame = [states[0], *[F.when(col(period).isNotNull(), s) for s in states[1:w]]]
+            n, mean, low, high = _merged(frame)
+            if "std" in rolling:
+                m2 = frame[0]["m2"] if w == 1 else _added([s["m2"] + s["n"] * (s["mean"] - mean) * (s["mean"] - mean) for s in frame])
+            values = {"mean": mean, "min": low, "max": high, "count": n}
+            added |= {_rolling_name(c, s, w): _deviation(n, m2) if s == "std" else values[s] for s in rolling}
+        # Without a period the frame of exactly k years before is that of the rows without one, as for a window.
+        added |= {f"{_delta_name(c, k)}_from": states[k]["low"] for k in lags}
+    table = cells.select(col(entity), col(period), *[v.alias(k) for k, v in added.items()])
+    wide = lookup(df, table, [entity, period])
+    deltas = {_delta_name(c, k): _change(col(c), col(f"{_delta_name(c, k)}_from")) for c in rolling_columns for k in lags}
     return wide.withColumns(deltas).drop(*[f"{d}_from" for d in deltas]) if deltas else wide
 
 
@@ -119,7 +190,7 @@ def rolling_years(
 ) -> DataFrame:
     """``{column}_rolling_{stat}_{w}y`` over the row's year and the ``w - 1`` years before it, gaps included."""
     if not windows:
-        return _by_shifting(df, entity, period, columns, years, stats, ())
+        return _by_cells(df, entity, period, (), (), columns, years, stats, ())
     w = W.partitionBy(col(entity)).orderBy(col(period))
     return df.select(
         "*",
@@ -132,7 +203,7 @@ def year_deltas(
 ) -> DataFrame:
     """``{column}_delta_{k}y``: change against exactly ``k`` years before, 0 if that year or a value is missing."""
     if not windows:
-        return _by_shifting(df, entity, period, columns, (), (), lags)
+        return _by_cells(df, entity, period, (), (), columns, (), (), lags)
     w = W.partitionBy(col(entity)).orderBy(col(period))
     return df.select(
         "*", *[_change(col(c), F.min(col(c)).over(_years(w, -k, -k))).alias(_delta_name(c, k)) for k in lags for c in columns]
@@ -153,8 +224,9 @@ def panel_features(
 ) -> DataFrame:
     """Entity statistics, rolling frames and changes together."""
     if not windows:
-        out = join_entity_table(df, entity, columns, stats) if columns else df
-        return _by_shifting(out, entity, period, rolling_columns, years, rolling, lags) if rolling_columns else out
+        if rolling_columns:
+            return _by_cells(df, entity, period, columns, stats, rolling_columns, years, rolling, lags)
+        return entity_stats(df, entity, columns, stats) if columns else df
     ordered = W.partitionBy(col(entity)).orderBy(col(period))
     # The whole-entity frame is ordered too, so that one sort serves every window.
     whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing) if rolling_columns else W.partitionBy(col(entity))

@@ -84,9 +84,10 @@ def keep_members(rows: DataFrame, members: DataFrame, on: str | Sequence[str]) -
     return rows.join(members.select(*[col(x) for x in on]), on, "left_semi")
 
 
-def lookup(rows: DataFrame, table: DataFrame, on: str) -> DataFrame:
-    """Left-join a table of one row per value, null matching null. Spark broadcasts a small table by its size and splits
-    a frequent value otherwise."""
-    right = _renamed(table, [on])
-    keep = [c for c in table.columns if c != on]
-    return rows.join(right, _same(rows, right, [on]), "left").select(*[col(c) for c in [*rows.columns, *keep]])
+def lookup(rows: DataFrame, table: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Left-join a table of one row per key, null matching null. Spark broadcasts a small table by its size; otherwise both
+    sides meet straight from their shuffles, where it splits the rows of a frequent key over several tasks."""
+    on = names(on)
+    right = _renamed(table, on)
+    keep = [c for c in table.columns if c not in on]
+    return rows.join(right, _same(rows, right, on), "left").select(*[col(c) for c in [*rows.columns, *keep]])

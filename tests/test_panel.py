@@ -104,6 +104,32 @@ def test_frequent_rows_are_not_shuffled(hot):
     assert "Join Inner" in text and "strategy=broadcast" in text
 
 
+def test_rows_of_a_frequent_entity_are_split(spark):
+    """The join of features to rows cuts the partition of a frequent key into several tasks."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    rows_ = spark.range(60_000, numPartitions=8).select(F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 500).cast("string")).alias("e"), F.lit(2020).alias("y"), F.rand(3).alias("v"))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        wide = P.rolling_years(rows_, "e", "y", ["v"])
+        assert len(wide.collect()) == 60_000
+        assert "SortMergeJoin(skew=true)" in wide._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_panel_features_shuffle_cells_and_join_once(hot):
+    plan = P.panel_features(hot, "e", "y", ["v"], rolling_columns=["v"], lags=(1, 2))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Generate" not in plan
+
+
+def test_moments_of_far_values_are_stable(spark):
+    df = spark.createDataFrame([("a", 2020 + i % 3, 1e9 + i * 0.25) for i in range(30)], SCHEMA)
+    assert same_rows(P.panel_features(df, "e", "y", ["v"], rolling_columns=["v"]), P.panel_features(df, "e", "y", ["v"], rolling_columns=["v"], windows=True), digits=4)
+
+
 def test_densify(gaps):
     out = rows(P.densify(gaps, "e", "y", 2020, 2022), "e", "y")
     assert len(out) == 9
