@@ -1,179 +1,38 @@
 """Synthetic minority rows: each lies between a minority row and one of its nearest minority neighbours.
 
-Neighbours are searched along a few projections. On a unit direction two points are never further apart than in
-space, so once a row's k-th distance is smaller than the stretch of the projection already looked at, its neighbours
-are proven. Rows with fixed-size stretches are compared in small groups first; only rows not proven by that are
-compared with every block their distance reaches. Equal rows are one point with a count, so copies cost nothing.
+Equal rows are one point with a count, so copies cost nothing; ``cells`` finds the neighbours of the points.
 """
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelwise.operators.ranking import block_count, block_of, find_cuts, running_totals
+from panelwise.operators.cells import CELL, nearest_points
+from panelwise.operators.ranking import running_totals
 from panelwise.operators.skew import col
 from panelwise.operators.splits import SEED
 from panelwise.session import write_and_read
 
-NEIGHBOURS, STRETCH, PROJECTIONS = 5, 128, 3
-_GROUP = 1000  # points, and rows in search, per group of the second search
+NEIGHBOURS = 5
 _CHUNK = 10_000  # synthetic rows made from one row of the plan
 
-_NEAR = "of bigint, d double, pid bigint, copies bigint, x array<double>"
 
-
-def _nearest(points: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The k nearest other points of each row, as rows in the shape of ``_NEAR``."""
-    points = points.sort_values("pid")  # equal distances are settled by pid
-    x = np.array(points["x"].tolist(), dtype=float)
-    here = np.array(rows["x"].tolist(), dtype=float)
-    ids, own = points["pid"].to_numpy(), rows["pid"].to_numpy()
-    picked, distance = [], []
-    for start in range(0, len(own), 32):
-        some = slice(start, start + 32)
-        d = np.sqrt(((here[some, None, :] - x[None, :, :]) ** 2).sum(axis=2))
-        d[own[some, None] == ids[None, :]] = np.inf
-        for far, order in zip(d, np.argsort(d, axis=1, kind="stable")[:, :k]):
-            picked.append(order[np.isfinite(far[order])])
-            distance.append(far[picked[-1]])
-    at = np.concatenate(picked)
-    return pd.DataFrame(
-        {
-            "of": np.repeat(own, [len(p) for p in picked]),
-            "d": np.concatenate(distance),
-            "pid": ids[at],
-            "copies": points["copies"].to_numpy()[at],
-            "x": pd.Series(list(x[at]), dtype=object),
-        }
-    )
-
-
-def _one_near() -> Column:
-    return F.struct("d", "pid", "copies", "x")
-
-
-def _merge(near: Column, k: int) -> Column:
-    """The k nearest of a list that may name a point twice; nearest first."""
-    return F.slice(F.array_sort(F.array_distinct(near)), 1, k)
-
-
-def _needed(k: int) -> Column:
-    """Distance up to which neighbours must be known: other copies of the row come first, then its neighbours."""
-    seen = F.aggregate(
-        F.col("near"),
-        F.struct((F.col("copies") - 1).alias("n"), F.lit(0.0).alias("d")),
-        lambda acc, x: F.when(acc["n"] >= k, acc).otherwise(F.struct((acc["n"] + x["copies"]).alias("n"), x["d"].alias("d"))),
-    )
-    return F.when(seen["n"] >= k, seen["d"]).otherwise(F.lit(float("inf")))
-
-
-def points_of(df: DataFrame, columns: Sequence[str], seed: int = SEED, projections: int = PROJECTIONS) -> DataFrame:
-    """Distinct points (pid, x, copies, upto) with place ``r{j}`` and coordinate ``p{j}`` along each projection.
-
-    Directions lean towards the columns that vary most, which dominate the distance. Stored, so that places stay
-    the same wherever they are read.
-    """
-    spread = df.agg(*[F.stddev_pop(col(c).cast("double")) for c in columns]).first()
-    draw = random.Random(seed)
+def points_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Distinct points (pid, x, copies, upto), numbered from 1 in the order of their coordinates; ``upto`` counts the rows so
+    far. Stored, so that numbers stay the same wherever they are read."""
     copies = df.groupBy(*[col(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)]).agg(F.count(F.lit(1)).alias("copies"))
-    places = {}
-    for j in range(projections):
-        weights = [(s or 0.0) * (1.0 if j == 0 else draw.uniform(-1, 1)) for s in spread]
-        length = math.sqrt(sum(w * w for w in weights)) or 1.0
-        total = F.lit(0.0)
-        for i, w in enumerate(weights):
-            total = total + F.col(f"x{i}") * (w / length)
-        places[f"p{j}"] = total
     x = F.array(*[F.col(f"x{i}") for i in range(len(columns))])
-    points = write_and_read(copies.select(x.alias("x"), "copies", F.lit(1).cast("bigint").alias("one"), *[p.alias(n) for n, p in places.items()]), "points")
-    for j in range(projections):
-        sums = {f"r{j}": "one", "upto": "copies"} if j == 0 else {f"r{j}": "one"}
-        ranked = running_totals(points, sums, "x", leading=[f"p{j}"]).drop(*[f"{s}_total" for s in sums])
-        points = write_and_read(ranked, "points")
-    return points.withColumn("pid", F.col("r0")).drop("one")
-
-
-def _search_stretches(points: DataFrame, j: int, k: int, stretch: int) -> DataFrame:
-    """Rows (of, near point, reach): the nearest among at least ``stretch`` places to either side along projection j.
-
-    Each group holds its own ``stretch`` points and those of the two stretches next to it.
-    """
-    home = F.floor((F.col(f"r{j}") - 1) / stretch)
-    placed = points.select(
-        "pid", "copies", "x", F.col(f"p{j}").alias("p"), home.alias("home"), F.explode(F.array(home - 1, home, home + 1)).alias("stretch")
-    )
-    groups = points.agg(F.max(home)).first()[0]
-
-    def nearest(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        own = group[group["home"] == key[0]]
-        low = -np.inf if key[0] <= 1 else group["p"].min()
-        high = np.inf if key[0] >= groups - 1 else group["p"].max()
-        if own.empty:
-            return pd.DataFrame(columns=["of", "d", "pid", "copies", "x", "reach"], dtype=object)
-        reach = pd.Series(np.minimum(own["p"] - low, high - own["p"]).to_numpy(), index=own["pid"])
-        found = _nearest(group, own, k)
-        return found.assign(reach=found["of"].map(reach))
-
-    return placed.groupBy("stretch").applyInPandas(nearest, f"{_NEAR}, reach double")
-
-
-def _search_blocks(open_rows: DataFrame, points: DataFrame, k: int) -> DataFrame:
-    """Rows (of, _late) over every point whose place on projection 0 lies within ``needed`` of the row."""
-    blocks = block_count(points)
-    cuts = F.array(*[F.lit(c) for c in find_cuts(points, "p0", blocks)]).cast("array<double>")
-    n_points, n_open = points.count(), open_rows.count()
-    parts, turns = max(1, n_points // (blocks * _GROUP)), max(1, n_open // _GROUP)
-    # The bounds are widened by far more than the rounding of a projection.
-    slack = F.abs("p0") * 1e-9 + F.col("needed") * 1e-9
-    first, last = F.col("p0") - F.col("needed") - slack, F.col("p0") + F.col("needed") + slack
-    touched = F.explode(F.sequence(block_of(first, cuts, blocks), block_of(last, cuts, blocks))).alias("block")
-    asked = open_rows.select("pid", "x", F.pmod(F.xxhash64("pid"), F.lit(turns)).alias("turn"), touched)
-    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    held = points.select(
-        "pid", "copies", "x", block_of(F.col("p0"), cuts, blocks).alias("block"),
-        F.pmod(F.xxhash64("pid"), F.lit(parts)).cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(turns - 1).cast("bigint"))).alias("turn"),
-    )
-    keys = ["block", "part", "turn"]
-
-    def nearest(rows: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or group.empty:
-            return pd.DataFrame(columns=["of", "d", "pid", "copies", "x"], dtype=object)
-        return _nearest(group, rows, k)
-
-    found = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(nearest, _NEAR)
-    # Spark keeps k rows per point in every task before it shuffles.
-    best = F.row_number().over(W.partitionBy("of").orderBy("d", "pid"))
-    kept = found.withColumn("_at", best).filter(F.col("_at") <= k)
-    return kept.groupBy("of").agg(F.collect_list(_one_near()).alias("_late"))
+    counted = copies.select(x.alias("x"), "copies", F.lit(1).cast("bigint").alias("one"))
+    ranked = running_totals(counted, {"pid": "one", "upto": "copies"}, "x")
+    return write_and_read(ranked.select("pid", "x", "copies", "upto"), "points")
 
 
-def neighbours(points: DataFrame, k: int = NEIGHBOURS, stretch: int = STRETCH) -> DataFrame:
+def neighbours(points: DataFrame, columns: int, k: int = NEIGHBOURS, cell: int = CELL) -> DataFrame:
     """Points with ``near``: their k nearest other points, exact."""
-    tables = [_search_stretches(points, int(c[1:]), k, stretch) for c in points.columns if c.startswith("p") and c[1:].isdigit()]
-    both = tables[0]
-    for t in tables[1:]:
-        both = both.unionByName(t)
-    # At most k rows per point and projection.
-    merged = both.groupBy("of").agg(F.max("reach").alias("reach"), F.collect_list(_one_near()).alias("near"))
-    joined = points.join(merged, points["pid"] == merged["of"], "left").withColumn("near", _merge(F.coalesce("near", F.array()), k))
-    seen = write_and_read(joined.drop("of").withColumn("needed", _needed(k)), "neighbours")
-    proven = F.coalesce(F.col("needed") * (1 + 1e-9) < F.col("reach"), F.lit(False))
-    open_rows = seen.filter(~proven & (F.col("needed") > 0))
-    columns = [*points.columns, "near"]
-    if open_rows.isEmpty():
-        return seen.select(*columns)
-    late = write_and_read(_search_blocks(open_rows, points, k), "late-neighbours")
-    joined = seen.join(late, seen["pid"] == late["of"], "left")
-    near = _merge(F.concat(F.col("near"), F.coalesce("_late", F.array())), k)
-    return joined.withColumn("near", near).select(*columns)
+    found = nearest_points(points, columns, k, cell)
+    return points.join(found, "pid")
 
 
 def _slots(k: int) -> Column:
@@ -183,23 +42,26 @@ def _slots(k: int) -> Column:
     return F.slice(F.concat(own, others), 1, k)
 
 
-def oversample(df: DataFrame, columns: Sequence[str], label: str, k: int = NEIGHBOURS, seed: int = SEED, stretch: int = STRETCH) -> DataFrame:
+def oversample(df: DataFrame, columns: Sequence[str], label: str, k: int = NEIGHBOURS, seed: int = SEED) -> DataFrame:
     """``columns`` and ``label`` of all rows, plus as many synthetic minority rows as make both classes equal.
 
     Every minority row is the base of the same number of synthetic rows (one more for the first of the order where
-    it does not divide). Neighbour and place on the way to it come from a hash of row, number and seed.
+    it does not divide); rows with a missing value are no base and no neighbour. Neighbour and place on the way to it come from a hash of row, number and seed.
     """
     counts = {r[0]: r[1] for r in df.groupBy(col(label)).count().collect()}
     data = df.select(*[col(c).cast("double").alias(c) for c in columns], col(label))
     if len(counts) < 2 or len(set(counts.values())) == 1:
         return data
     minority = min(counts, key=counts.get)
-    small = counts[minority]
+    whole = col(label) == minority
+    for c in columns:
+        whole = whole & col(c).isNotNull() & ~F.isnan(col(c).cast("double"))
+    small = df.filter(whole).count()
     if small < 2:
-        raise ValueError("the minority class needs at least two rows")
-    missing = max(counts.values()) - small
+        raise ValueError("the minority class needs at least two rows without missing values")
+    missing = max(counts.values()) - counts[minority]
     each, more = divmod(missing, small)
-    known = neighbours(points_of(df.filter(col(label) == minority), columns, seed), k, stretch)
+    known = neighbours(points_of(df.filter(whole), columns), len(columns), k)
     before = F.col("upto") - F.col("copies")
     extra = F.greatest(F.least(F.col("upto"), F.lit(more)) - F.least(before, F.lit(more)), F.lit(0))
     wanted = known.select("pid", "x", _slots(k).alias("slots"), (F.col("copies") * each + extra).cast("bigint").alias("wanted"))

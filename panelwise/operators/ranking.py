@@ -5,7 +5,6 @@ window per (group, file) and the totals of the files before it give the result.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,22 +14,6 @@ from pyspark.sql import functions as F
 from panelwise.operators.skew import col
 from panelwise.session import write_and_read
 
-#: Finest resolution of the quantile sketch; blocks need fifty steps each to come out about equal.
-_ACCURACY = 20_000
-_MAX_BLOCKS = 1024
-
-
-def block_count(df: DataFrame) -> int:
-    """As many blocks as shuffle partitions, within what the quantile sketch resolves."""
-    return max(2, min(_MAX_BLOCKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-
-
-def block_of(value: Column, cuts: Column, blocks: int) -> Column:
-    """How many cuts lie below ``value``: first among every s-th cut, then within that stretch."""
-    step = math.isqrt(blocks - 1) or 1
-    coarse = F.size(F.filter(cuts, lambda c, i: (i % step == step - 1) & (c < value)))
-    return coarse * step + F.size(F.filter(F.slice(cuts, coarse * step + 1, F.lit(step)), lambda c: c < value))
-
 
 def running_totals(
     df: DataFrame, sums: Mapping[str, str], order: str, group: Sequence[str] = (), leading: Sequence[str] = (), descending: bool = False
@@ -79,12 +62,6 @@ def _same_cell(left: DataFrame, right: DataFrame, cells: Sequence[str], suffix:
     return same
 
 
-def find_cuts(df: DataFrame, order: str, n: int) -> list[float]:
-    """``n - 1`` approximate quantiles of ``order``, as constants: a sketch computed again for a lost task could differ."""
-    sketch = F.percentile_approx(col(order), [i / n for i in range(1, n)], min(_ACCURACY, 50 * n)).cast("array<double>")
-    return df.agg(sketch.alias("_cuts")).first()["_cuts"] or []
-
-
 def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows (name, value double), one per non-null, non-NaN cell of the numeric ``columns``."""
     cells = F.array(*[F.struct(F.lit(c).alias("name"), col(c).cast("double").alias("value")) for c in columns])

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from panelwise.operators import cells as C
 from panelwise.operators import oversampling as O
 
 
@@ -18,13 +19,16 @@ def minority():
     return np.vstack([cloud, grid, copies, [[500.0, 500.0, 500.0]]])
 
 
-@pytest.mark.parametrize("stretch", [8, 128])
-def test_neighbours_equal_brute_force(spark, minority, stretch):
+@pytest.mark.parametrize("cell, asks", [(10_000, 100_000), (40, 100_000), (15, 20)])
+def test_neighbours_equal_brute_force(spark, minority, monkeypatch, cell, asks):
+    monkeypatch.setattr(C, "ASKS", asks)
     df = table(spark, [(x, 1) for x in minority])
     points = O.points_of(df, ["a", "b", "c"])
     distinct, counts = np.unique(minority, axis=0, return_counts=True)
     assert points.count() == len(distinct) and points.agg(F.sum("copies")).first()[0] == len(minority)
-    for r in O.neighbours(points, 5, stretch).collect():
+    found = O.neighbours(points, 3, 5, cell).collect()
+    assert len(found) == len(distinct)
+    for r in found:
         x = np.array(r["x"])
         d = np.sort(np.sqrt(((distinct - x) ** 2).sum(axis=1)))[1:6]
         # Distances, since equally far points may stand for each other; only as many as the copies leave open.
@@ -37,23 +41,26 @@ def test_neighbours_equal_brute_force(spark, minority, stretch):
         assert have >= 5
 
 
-def test_second_search_is_used_and_exact(spark, minority, monkeypatch):
-    called = []
-    search = O._search_blocks
-    monkeypatch.setattr(O, "_search_blocks", lambda *a: called.append(1) or search(*a))
-    monkeypatch.setattr(O, "_GROUP", 20)
-    points = O.points_of(table(spark, [(x, 1) for x in minority]), ["a", "b", "c"], projections=1)
-    distinct = np.unique(minority, axis=0)
-    for r in O.neighbours(points, 5, 6).collect():
-        if r["copies"] == 1:
-            d = np.sort(np.sqrt(((distinct - np.array(r["x"])) ** 2).sum(axis=1)))[1:6]
-            got, have = [], 0
-            for n in r["near"]:
-                if have < 5:
-                    got.append(n["d"])
-                have += n["copies"]
-            assert got == pytest.approx(list(d[: len(got)]))
-    assert called
+def test_ties_are_settled_by_number(spark):
+    grid = [(float(a), float(b), 0.0) for a in range(12) for b in range(12)]
+    points = O.points_of(table(spark, [(x, 1) for x in grid]), ["a", "b", "c"])
+    where = {r.pid: np.array(r.x) for r in points.collect()}
+    for r in C.nearest_points(points, 3, 5, 20).collect():
+        d = sorted((float(np.sqrt(((where[r.pid] - x) ** 2).sum())), p) for p, x in where.items() if p != r.pid)[:5]
+        assert [(n.d, n.pid) for n in r.near] == d
+
+
+def test_compared_points_stay_few():
+    """Eight columns made from one number, as in the catalog: four times the points, about the same comparisons a row."""
+    made = []
+    for n in (4000, 16000):
+        i = np.arange(n) * 7
+        x = np.stack([i % 80, i % 300 / 10, i % 130, i % 80 + 45, i % 160, i % 250, i % 75, i % 210], axis=1).astype(float)
+        x = np.unique(x, axis=0)
+        _, place, compared = C.nearest(x, np.arange(len(x)), x, np.arange(len(x)), np.full(len(x), np.inf), 5)
+        assert (place >= 0).all()
+        made.append(compared.mean())
+    assert made[1] < 2 * made[0]
 
 
 def test_classes_become_equal_and_rows_lie_between(spark, minority):
