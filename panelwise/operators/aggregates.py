@@ -67,9 +67,9 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
     return pairs.groupBy("column").agg(F.count("value").alias("n_distinct"))
 
 
-def top_cardinality(df: DataFrame, columns: Sequence[str], k: int = 50) -> DataFrame:
+def top_cardinality(df: DataFrame, columns: Sequence[str], k: int = 50, approximate: bool = False) -> DataFrame:
     """The ``k`` columns of most distinct values, ties by name; all of them where there are no more than ``k``."""
-    return distinct_counts(df, columns).orderBy(F.desc("n_distinct"), "column").limit(k)
+    return distinct_counts(df, columns, approximate).orderBy(F.desc("n_distinct"), "column").limit(k)
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -3,18 +3,19 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwise.operators.aggregates import top_features
+from panelwise.operators.aggregates import top_cardinality, top_features
 from panelwise.operators.evaluation import COARSE_THRESHOLDS, _metrics, best_f1_threshold, ranking_metrics, threshold_sweep
 from panelwise.operators.encoding import top_values
 from panelwise.operators.oversampling import oversample
@@ -22,13 +23,17 @@ from panelwise.operators.ranking import exact_quantiles
 from panelwise.operators.scaling import VARIANCE_THRESHOLD, varying_columns
 from panelwise.operators.skew import col
 from panelwise.operators.splits import SEED, fold_of, positive_weight, with_class_weight
-from panelwise.session import write_and_read
+from panelwise.session import shared_path, write_and_read
 
 MAX_FEATURES = 150
 # fixed values
 BOOSTED = {"maxIter": 50, "maxDepth": 4, "stepSize": 0.2, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
 SELECTOR = {"maxIter": 25, "maxDepth": 3, "stepSize": 0.3}
 PATIENCE = 10
+MAX_CATEGORICAL = 50
+# -----
+#: Values of a categorical column that get a dummy each; the others share ``VALUE_SLOTS`` dummies by hash.
+MAX_VALUES, VALUE_SLOTS = 1000, 64
 FILLED = "_filled"
 
 
@@ -47,21 +52,52 @@ def fill_values(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
     return {**{c: medians.get(c, 0.0) for c in numeric}, **{c: modes.get(c, "unknown") for c in categorical}}
 
 
-def feature_stages(numeric: Sequence[str], categorical: Sequence[str] = (), out: str = "features", fills: Mapping[str, float | str] | None = None) -> list:
+def value_dictionaries(train: DataFrame, categorical: Sequence[str], limit: int = MAX_VALUES) -> dict[str, list[str]]:
+    """The ``limit`` most frequent values (ties by value) of each column that has more than that; others need none.
+
+    At most ``limit`` + 1 values of a column reach the driver.
+    """
+    out = {}
+    for c in categorical:
+        found = [r[0] for r in top_values(train, c, limit + 1).select(col(c).cast("string")).collect()]
+        if len(found) > limit:
+            out[c] = found[:limit]
+    return out
+
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def feature_stages(
+    numeric: Sequence[str],
+    categorical: Sequence[str] = (),
+    out: str = "features",
+    fills: Mapping[str, float | str] | None = None,
+    dictionaries: Mapping[str, Sequence[str]] | None = None,
+    slots: int = VALUE_SLOTS,
+) -> list:
     """Missing values filled with ``fills``, an assembler over the numeric columns, and one dummy per category; unseen
     categories get a slot of their own.
 
-    Fitted on the training split only, so all splits share the same columns. The fills are part of the stored model.
+    Values that the dictionary of a column (``value_dictionaries``) lacks become one of ``slots`` values ``#0``, ``#1`` and so
+    on, by hash, so neither the labels nor the vector grow with the data. Fitted on the training split only, so all splits
+    share the same columns. Fills and dictionaries are part of the stored model.
     """
     index = [f"{c}_index" for c in categorical]
     dummies = [f"{c}_dummies" for c in categorical]
     stages: list = []
     if fills is not None:
-        quoted = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
         filled = [f"coalesce(nullif(cast(`{c}` as double), double('NaN')), double('{fills[c]!r}')) AS `{c}{FILLED}`" for c in numeric]
-        filled += [f"coalesce(`{c}`, {quoted(str(fills[c]))}) AS `{c}{FILLED}`" for c in categorical]
+        filled += [f"coalesce(`{c}`, {_quoted(str(fills[c]))}) AS `{c}{FILLED}`" for c in categorical]
         stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__"))
+        dictionaries = {f"{c}{FILLED}": v for c, v in (dictionaries or {}).items()}
         numeric, categorical = [f"{c}{FILLED}" for c in numeric], [f"{c}{FILLED}" for c in categorical]
+    bounded = {c: f"{c}_known" for c in categorical if c in (dictionaries or {})}
+    if bounded:
+        known = [f"CASE WHEN `{c}` IN ({', '.join(map(_quoted, dictionaries[c]))}) THEN `{c}` WHEN `{c}` IS NOT NULL THEN concat('#', pmod(xxhash64(`{c}`), {int(slots)})) END AS `{k}`" for c, k in bounded.items()]
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(known)} FROM __THIS__"))
+        categorical = [bounded.get(c, c) for c in categorical]
     if categorical:
         stages.append(StringIndexer(inputCols=list(categorical), outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=index, outputCols=dummies, dropLast=False))
@@ -82,28 +118,83 @@ def importances(model: PipelineModel, sample: DataFrame) -> DataFrame:
     return sample.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
+def rank_categorical(df: DataFrame, columns: Sequence[str], k: int = MAX_CATEGORICAL) -> list[str]:
+    """The ``k`` columns with most values by HyperLogLog counts, in frame order; all if there are no more."""
+    if len(columns) <= k:
+        return list(columns)
+    kept = {r["column"] for r in top_cardinality(df, columns, k, approximate=True).collect()}
+    return [c for c in columns if c in kept]
+
+
+def varying_categorical(df: DataFrame, columns: Sequence[str], threshold: float = VARIANCE_THRESHOLD) -> list[str]:
+    """Columns one of whose dummies varies more than the threshold: the dummy of a share p has variance p (1 - p)."""
+    if not columns:
+        return []
+    total = df.count()
+    cells = [F.struct(F.lit(c).alias("column"), col(c).cast("string").alias("value")) for c in columns]
+    counts = df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    share = F.col("n") / F.lit(max(total, 1))
+    kept = {r[0] for r in counts.filter(share * (1 - share) > threshold).select("column").distinct().collect()}
+    return [c for c in columns if c in kept]
+
+
+def importances_by_column(found: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """Importances of a vector's slots added up by the column that a slot stems from."""
+    owner = F.col("feature")
+    for c in sorted(categorical, key=len):  # of two prefixes the longer wins
+        dummy = F.col("feature").startswith(f"{c}_dummies_") & ~F.col("feature").isin(list(numeric))
+        owner = F.when(dummy, F.lit(c)).otherwise(owner)
+    return found.groupBy(owner.alias("feature")).agg(F.sum("importance").alias("importance"))
+
+
 def select_features(
-    train: DataFrame, numeric: Sequence[str], label: str, max_features: int = MAX_FEATURES, threshold: float = VARIANCE_THRESHOLD, seed: int = SEED
+    train: DataFrame,
+    numeric: Sequence[str],
+    label: str,
+    max_features: int = MAX_FEATURES,
+    threshold: float = VARIANCE_THRESHOLD,
+    seed: int = SEED,
+    categorical: Sequence[str] = (),
 ) -> tuple[list[str], dict]:
     """Columns that vary, cut to the most important by a small boosted model if there are more than ``max_features``.
 
-    Returns the columns, most important first if cut, and the counts of the selection.
+    Categorical columns (the ``MAX_CATEGORICAL`` of most values) count by their dummies: one varies if a dummy does, and its
+    importance is that of all its dummies. Returns the columns, most important first if cut, and a report: the counts of
+    the selection and, if cut, ``importance`` of each column.
     """
-    kept = varying_columns(train, numeric, threshold)
-    report = {"variance_threshold": threshold, "variance_selected": len(kept)}
+    ranked = rank_categorical(train, categorical)
+    kept_numeric, kept_categorical = varying_columns(train, numeric, threshold), varying_categorical(train, ranked, threshold)
+    kept = [*kept_numeric, *kept_categorical]
+    report: dict = {"variance_threshold": threshold, "variance_selected": len(kept)}
     if len(kept) > max_features:
         booster = GBTClassifier(labelCol=label, seed=seed, **SELECTOR)
-        model = Pipeline(stages=[*feature_stages(kept, fills=fill_values(train, kept)), booster]).fit(train)
-        kept = [r["feature"] for r in top_features(importances(model, train), max_features).collect()]
+        stages = feature_stages(kept_numeric, kept_categorical, fills=fill_values(train, kept_numeric, kept_categorical), dictionaries=value_dictionaries(train, kept_categorical))
+        model = Pipeline(stages=[*stages, booster]).fit(train)
+        found = importances_by_column(importances(model, train), kept_numeric, kept_categorical)
+        top = top_features(found, max_features).collect()
+        kept = [r["feature"] for r in top]
+        report["importance"] = {r["feature"]: r["importance"] for r in top}
     return kept, {**report, "max_features": max_features, "final_selected": len(kept)}
 
 
 def selection_report(spark: SparkSession, report: Mapping[str, float]) -> DataFrame:
-    return spark.createDataFrame([(k, float(v)) for k, v in report.items()], "item string, value double")
+    return spark.createDataFrame([(k, float(v)) for k, v in report.items() if not isinstance(v, Mapping)], "item string, value double")
+
+
+def selected_features(spark: SparkSession, kept: Sequence[str], report: Mapping) -> DataFrame:
+    """Rows (place, feature, importance) of a selection; importance is null if nothing was cut."""
+    weights = report.get("importance", {})
+    return spark.createDataFrame([(i + 1, c, weights.get(c)) for i, c in enumerate(kept)], "place int, feature string, importance double")
 
 
 def logistic_stages(
-    numeric: Sequence[str], categorical: Sequence[str], label: str, rows: int, weight: str | None, fills: Mapping[str, float | str] | None = None
+    numeric: Sequence[str],
+    categorical: Sequence[str],
+    label: str,
+    rows: int,
+    weight: str | None,
+    fills: Mapping[str, float | str] | None = None,
+    dictionaries: Mapping[str, Sequence[str]] | None = None,
 ) -> list:
     """Scaled features, then logistic regression with L2 strength C = 1, i.e. 1/n on the mean loss.
 
@@ -113,13 +204,14 @@ def logistic_stages(
     scaler = StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True)
     n = max(rows, 1)
     lr = LogisticRegression(labelCol=label, regParam=max(n - 1, 1) / n / n, standardization=False, maxIter=500, tol=1e-3)
-    return [*feature_stages(numeric, categorical, "raw_features", fills), scaler, lr.setWeightCol(weight) if weight else lr]
+    return [*feature_stages(numeric, categorical, "raw_features", fills, dictionaries), scaler, lr.setWeightCol(weight) if weight else lr]
 
 
 def fit_logistic(train: DataFrame, numeric: Sequence[str], label: str, categorical: Sequence[str] = (), balanced: bool = True) -> PipelineModel:
     data = with_class_weight(train, label) if balanced else train
     fills = fill_values(train, numeric, categorical)
-    stages = logistic_stages(numeric, categorical, label, train.count(), "weight" if balanced else None, fills)
+    dictionaries = value_dictionaries(train, categorical)
+    stages = logistic_stages(numeric, categorical, label, train.count(), "weight" if balanced else None, fills, dictionaries)
     return Pipeline(stages=stages).fit(data)
 
 
@@ -134,6 +226,22 @@ def best_length(losses: Sequence[float], patience: int = PATIENCE) -> int:
     return at + 1
 
 
+def first_trees(spark: SparkSession, model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The ensemble of the first ``n`` trees. Each tree corrects those before it, so this is what ``n`` rounds would have fitted.
+
+    The model is stored, its tables are filtered by tree and read back as a model.
+    """
+    whole, cut = shared_path(spark, "trees"), shared_path(spark, "first-trees")
+    model.write().save(whole)
+    for part in ("data", "treesMetadata"):  # the tree's number is the first column of both
+        rows = spark.read.parquet(f"{whole}/{part}")
+        rows.filter(col(rows.columns[0]) < n).write.parquet(f"{cut}/{part}")
+    about = json.loads(spark.read.text(f"{whole}/metadata").first()[0])
+    about["numTrees"] = about["paramMap"]["maxIter"] = n
+    spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{cut}/metadata")
+    return GBTClassificationModel.load(cut)
+
+
 def fit_boosted(
     train: DataFrame,
     numeric: Sequence[str],
@@ -146,13 +254,13 @@ def fit_boosted(
 ) -> PipelineModel:
     """Gradient-boosted trees, positives weighted by the class ratio.
 
-    With a validation split all rounds are fitted, the best prefix is found on ``val`` and the model is fitted again
-    with that many rounds and the same seed, which grows the same first trees.
+    With a validation split all rounds are fitted, the best number of rounds is found on ``val`` and the later trees go.
     """
     data = train
     if balanced:
         data = train.withColumn("weight", F.when(col(label) == 1, F.lit(positive_weight(train, label))).otherwise(F.lit(1.0)))
-    prepared = Pipeline(stages=feature_stages(numeric, categorical, fills=fill_values(train, numeric, categorical))).fit(data)
+    stages = feature_stages(numeric, categorical, fills=fill_values(train, numeric, categorical), dictionaries=value_dictionaries(train, categorical))
+    prepared = Pipeline(stages=stages).fit(data)
     ready = prepared.transform(data)
     settings = {**BOOSTED, **params}
     booster = GBTClassifier(labelCol=label, seed=seed, **settings)
@@ -163,7 +271,7 @@ def fit_boosted(
         seen = prepared.transform(val.withColumn("weight", F.lit(1.0)) if balanced else val)
         rounds = best_length(model.evaluateEachIteration(seen.withColumn(label, col(label).cast("double"))))
         if rounds < settings["maxIter"]:
-            model = booster.setMaxIter(rounds).fit(ready)
+            model = first_trees(train.sparkSession, model, rounds)
     return PipelineModel(stages=[*prepared.stages, model])
 
 
@@ -189,7 +297,7 @@ def split_metrics(scored: DataFrame, label: str, group: str = "split", score: st
     return wide.select(col(group), F.inline(F.array(*cells)))
 
 
-def train_models(
+def compare_models(
     df: DataFrame,
     numeric: Sequence[str],
     label: str,
@@ -198,14 +306,14 @@ def train_models(
     imbalance: str = "class_weight",
     seed: int = SEED,
     **boosted,
-) -> tuple[DataFrame, Trained]:
+) -> tuple[DataFrame, dict[str, Trained]]:
     """Fit logistic regression and boosted trees on the train split.
 
     ``imbalance`` is class_weight, oversample (synthetic minority rows in the train split, numeric columns only) or
     none.
 
-    Returns the metrics (model, split, metric, value) of all splits and the model to use: boosted trees are
-    preferred, with the threshold of the best F1 on the validation split.
+    Returns the metrics (model, split, metric, value) of all splits and the models by name, each with the threshold of the
+    best F1 on the validation split.
     """
     train, val = df.filter(col(split) == "train"), df.filter(col(split) == "val")
     balanced = imbalance == "class_weight"
@@ -225,23 +333,58 @@ def train_models(
         tables.append(split_metrics(scored, label, split).select(F.lit(name).alias("model"), col(split).alias("split"), "metric", "value"))
         sweep = threshold_sweep(scored.filter(col(split) == "val"), label, "score", COARSE_THRESHOLDS)
         thresholds[name] = best_f1_threshold(sweep).first()["threshold"]
-    chosen = "boosted_trees"
-    return tables[0].unionByName(tables[1]), Trained(models[chosen], chosen, [*numeric, *categorical], thresholds[chosen])
-
-
-def cross_validate(df: DataFrame, stages: Sequence, entity: str, label: str, folds: int = 5, parallelism: int = 2, seed: int = SEED):
-    """(mean accuracy, its deviation, model fitted on all rows); folds are by entity."""
-    cv = CrossValidator(
-        estimator=Pipeline(stages=list(stages)),
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
-        numFolds=folds,
-        foldCol="_fold",
-        parallelism=parallelism,
-        seed=seed,
+    trained = {name: Trained(model, name, [*numeric, *categorical], thresholds[name]) for name, model in models.items()}
+    return tables[0].unionByName(tables[1]), trained
+
+
+#: The model to use of those that are compared.
+CHOSEN = "boosted_trees"
+
+
+def train_models(df: DataFrame, numeric: Sequence[str], label: str, categorical: Sequence[str] = (), **options) -> tuple[DataFrame, Trained]:
+    """The metrics of ``compare_models`` and the model to use."""
+    metrics, trained = compare_models(df, numeric, label, categorical, **options)
+    return metrics, trained[CHOSEN]
+
+
+class Validated(NamedTuple):
+    metrics: DataFrame
+    scored: DataFrame
+    models: dict[str, PipelineModel]
+
+
+def cross_validate(
+    df: DataFrame, models: Mapping[str, Sequence], entity: str, label: str, folds: int = 5, parallelism: int = 4, seed: int = SEED
+) -> Validated:
+    """Each of ``models`` (name: pipeline stages) fitted without each fold of entities, scored on it, and fitted on all rows.
+
+    ``metrics`` has rows (model, fold, metric, value), ``scored`` the held-out rows (model, fold, entity, label, score,
+    predicted), ``models`` the models of all rows. The table is stored once with its folds; up to ``parallelism`` fits share
+    the cluster at a time. A fold without rows has no metrics.
+    """
+    ready = write_and_read(df.withColumn("_fold", fold_of(entity, folds, seed)), "folds")
+    present = sorted(r[0] for r in ready.select("_fold").distinct().collect())  # folds at most
+    jobs = [(name, fold) for name in models for fold in [*present, None]]
+
+    def fit(name: str, fold: int | None) -> PipelineModel:
+        return Pipeline(stages=list(models[name])).fit(ready if fold is None else ready.filter(F.col("_fold") != fold))
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        started = [pool.submit(inheritable_thread_target(df.sparkSession)(partial(fit, *job))) for job in jobs]
+        fitted = {job: s.result() for job, s in zip(jobs, started)}
+    parts = []
+    for (name, fold), model in fitted.items():
+        if fold is not None:
+            held = with_score(model, ready.filter(F.col("_fold") == fold))
+            parts.append(held.select(F.lit(name).alias("model"), F.col("_fold").alias("fold"), col(entity), col(label), "score", "predicted"))
+    if not parts:
+        raise ValueError("no rows to validate on")
+    scored = write_and_read(reduce(DataFrame.unionByName, parts), "held-out-scores")
+    keyed = scored.withColumn("_key", F.concat_ws("\n", "model", "fold"))
+    metrics = split_metrics(keyed, label, "_key").select(
+        F.split("_key", "\n")[0].alias("model"), F.split("_key", "\n")[1].cast("int").alias("fold"), "metric", "value"
     )
-    fitted = cv.fit(df.withColumn("_fold", fold_of(entity, folds, seed)))
-    return fitted.avgMetrics[0], fitted.stdMetrics[0], fitted.bestModel
+    return Validated(metrics, scored, {name: fitted[name, None] for name in models})
 
 
 def save_trained(spark: SparkSession, trained: Trained, path: str) -> None:

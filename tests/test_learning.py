@@ -1,4 +1,6 @@
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
 from panelwise.operators import learning as L
@@ -18,8 +20,6 @@ def data(spark):
 
 
 def test_dummies_are_fitted_on_train_only(spark, data):
-    from pyspark.ml import Pipeline
-
     fitted = Pipeline(stages=L.feature_stages(["x"], ["c"])).fit(data)
     unseen = fitted.transform(data.limit(1).withColumn("c", F.lit("zz")))
     assert L.vector_names(unseen) == ["x", "c_dummies_u", "c_dummies_v", "c_dummies___unknown"]
@@ -52,11 +52,65 @@ def test_same_seed_same_scores(data):
     assert {r["id"]: r["score"] for r in a.collect()} == {r["id"]: r["score"] for r in b.collect()}
 
 
-def test_cross_validation(data):
-    stages = L.logistic_stages(["x", "noise"], [], "y", 600, None)
-    mean, std, model = L.cross_validate(data, stages, "id", "y", folds=3)
-    assert mean > 0.85 and 0 <= std < 0.2
-    assert L.with_score(model, data).count() == 600
+def test_first_trees_are_those_of_a_shorter_fit(spark, data):
+    train, params = data.filter("split = 'train'"), {"maxDepth": 3, "seed": 7}
+    long, short = (L.fit_boosted(train, ["x", "noise"], "y", maxIter=n, **params) for n in (8, 3))
+    cut = L.first_trees(spark, long.stages[-1], 3)
+    assert cut.getNumTrees == 3 and cut.treeWeights == short.stages[-1].treeWeights
+    ready = PipelineModel(stages=long.stages[:-1]).transform(data)
+    scores = lambda m: {r["id"]: r["probability"][1] for r in m.transform(ready).select("id", "probability").collect()}
+    assert scores(cut) == scores(short.stages[-1])
+
+
+def test_early_stopping_fits_once(data, monkeypatch):
+    fits = []
+    fit = GBTClassifier.fit
+    monkeypatch.setattr(GBTClassifier, "fit", lambda self, *a, **k: fits.append(1) or fit(self, *a, **k))
+    train, val = data.filter("split = 'train'"), data.filter("split = 'val'")
+    model = L.fit_boosted(train, ["noise"], "y", val, maxIter=15)
+    assert len(fits) == 1 and model.stages[-1].getNumTrees < 15
+
+
+def test_cross_validation_of_several_models(data):
+    booster = GBTClassifier(labelCol="y", maxIter=3, maxDepth=2, seed=1)
+    models = {"lr": L.logistic_stages(["x", "noise"], ["c"], "y", 600, None), "trees": [*L.feature_stages(["x", "noise"]), booster]}
+    out = L.cross_validate(data, models, "id", "y", folds=3)
+    metrics = {(r["model"], r["fold"], r["metric"]): r["value"] for r in out.metrics.collect()}
+    assert len(metrics) == 2 * 3 * 6 and min(metrics[m, f, "accuracy"] for m in models for f in range(3)) > 0.85
+    held = out.scored.collect()
+    assert len(held) == 2 * 600 and len({(r["model"], r["id"]) for r in held}) == 2 * 600
+    for name, f in (("lr", 0), ("trees", 2)):
+        own = [r for r in held if r["model"] == name and r["fold"] == f]
+        assert metrics[name, f, "accuracy"] == pytest.approx(sum(r["predicted"] == r["y"] for r in own) / len(own))
+    assert set(out.models) == set(models) and L.with_score(out.models["trees"], data).count() == 600
+    with pytest.raises(ValueError):
+        L.cross_validate(data.limit(0), models, "id", "y")
+
+
+def test_values_beyond_the_dictionary_share_hashed_dummies(spark):
+    df = spark.range(400).select((F.col("id") % 2).cast("int").alias("y"), F.concat(F.lit("v'"), F.least(F.col("id") % 40, F.lit(39)).cast("string")).alias("c"))
+    df = df.unionByName(spark.createDataFrame([(1, "v'0"), (0, None)], "y int, c string"))
+    kept = L.value_dictionaries(df, ["c"], 10)
+    assert len(kept["c"]) == 10 and kept["c"][0] == "v'0" and L.value_dictionaries(df, ["c"], 40) == {}
+    fitted = Pipeline(stages=L.feature_stages([], ["c"], dictionaries=kept, slots=4)).fit(df)
+    wide = fitted.transform(df)
+    names = L.vector_names(wide)
+    assert len(names) <= 10 + 4 + 1 and {"c_known" in n or "c_dummies" in n for n in names} == {True}
+    for r in wide.collect():
+        assert sum(r["features"].toArray()) == 1.0
+    filled = Pipeline(stages=L.feature_stages([], ["c"], fills={"c": "v'0"}, dictionaries=kept, slots=4)).fit(df).transform(df)
+    assert filled.filter("c IS NULL").first()["features"] == filled.filter(F.col("c") == "v'0").first()["features"]
+
+
+def test_selection_over_dummies(spark, data):
+    wide = data.withColumn("k", F.when(F.col("y") == 1, "hit").otherwise("miss")).withColumn("same", F.lit("s"))
+    kept, report = L.select_features(wide, ["noise", "flat"], "y", max_features=1, categorical=["c", "k", "same"])
+    assert kept == ["k"] and report["variance_selected"] == 3 and list(report["importance"]) == ["k"]
+    assert [tuple(r)[:2] for r in L.selected_features(spark, kept, report).collect()] == [(1, "k")]
+    found = spark.createDataFrame([("c_dummies_a", 0.2), ("c_dummies_b", 0.1), ("c_dummies_x_dummies_a", 0.3), ("n", 0.4)], "feature string, importance double")
+    got = {r[0]: round(r[1], 6) for r in L.importances_by_column(found, ["n"], ["c", "c_dummies_x"]).collect()}
+    assert got == {"c": 0.3, "c_dummies_x": 0.3, "n": 0.4}
+    assert L.rank_categorical(wide, ["same", "c", "k"], 2) == ["c", "k"]
 
 
 def test_stored_model_scores_with_missing_and_extra_columns(spark, data, tmp_path):
