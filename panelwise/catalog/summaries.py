@@ -2,12 +2,16 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DecimalType, StructField, StructType
 
 from panelwise.catalog import query
 from panelwise.catalog.fixtures import PANEL, PREDLOG, SCORED, VISITS, VITALS, panel, predlog, rounded, scored, table, visits, vitals
 from panelwise.functions import validation
 from panelwise.operators import aggregates as A
 from panelwise.operators import encoding, quality, scaling, splits
+from panelwise.operators.panel import NUMERIC_COLUMNS
+from panelwise.operators.projection import numeric_and_categorical
+from panelwise.sources.files import count_from_footers
 
 _PREV = "count(*) AS total_rows, CAST(coalesce(sum(label), 0) AS BIGINT) AS positive_cases, round(coalesce(sum(label) / nullif(count(*), 0), 0), 6) AS prevalence"
 
@@ -201,6 +205,16 @@ def _(spark, sf):
     return rounded(scaling.correlations(v, ["age", "bmi", "age_months"]))
 
 
+_ALL_PAIRS = [(a, b) for i, a in enumerate(NUMERIC_COLUMNS) for b in NUMERIC_COLUMNS[i + 1 :]]
+
+
+@query("l9_all_correlations", f"WITH {VISITS}, c AS (SELECT " + ", ".join(f"corr({a}, {b}) AS r{i}" for i, (a, b) in enumerate(_ALL_PAIRS)) + " FROM visits) "
+       + " UNION ALL ".join(f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", round(r{i}, 6) AS correlation FROM c" for i, (a, b) in enumerate(_ALL_PAIRS)))
+def _(spark, sf):
+    """All pairs of the eighteen columns."""
+    return rounded(scaling.correlations(visits(spark, sf), NUMERIC_COLUMNS))
+
+
 @query("l9_uncorrelated_frame", f"WITH {VITALS} SELECT id, age, bmi FROM vitals")
 def _(spark, sf):
     v = vitals(spark, sf).withColumn("age_months", F.col("age") * 12 + F.col("id") % 2)
@@ -228,8 +242,12 @@ def _(spark, sf):
 
 @query("i8_exact_split", f"""
 WITH {PANEL}, e AS (SELECT entity_id, CASE WHEN sum(label) * 2 > count(*) THEN 1 ELSE 0 END AS stratum FROM panel GROUP BY entity_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY substr(md5(entity_id || '|42'), 1, 13)) AS place, count(*) OVER (PARTITION BY stratum) AS n FROM e)
-SELECT entity_id, stratum, CASE WHEN place <= ceil(n * 0.2) THEN 'test' WHEN place <= ceil(n * 0.2) + ceil((n - ceil(n * 0.2)) * 0.2) THEN 'val' ELSE 'train' END AS split FROM r""")
+c AS (SELECT stratum, count(*) AS n FROM e GROUP BY stratum), c1 AS (SELECT *, ceil(sum(n) OVER () * 0.2) AS t, n * ceil(sum(n) OVER () * 0.2) / sum(n) OVER () AS q FROM c),
+c2 AS (SELECT stratum, n, least(floor(q) + CASE WHEN row_number() OVER (ORDER BY q - floor(q) DESC, stratum) <= t - sum(floor(q)) OVER () THEN 1 ELSE 0 END, n - 1) AS test FROM c1),
+c3 AS (SELECT *, n - test AS m, ceil(sum(n - test) OVER () * 0.2) AS t, (n - test) * ceil(sum(n - test) OVER () * 0.2) / sum(n - test) OVER () AS q FROM c2),
+c4 AS (SELECT stratum, test, least(floor(q) + CASE WHEN row_number() OVER (ORDER BY q - floor(q) DESC, stratum) <= t - sum(floor(q)) OVER () THEN 1 ELSE 0 END, m - 1) AS val FROM c3),
+r AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY substr(md5(entity_id || '|42'), 1, 13)) AS place FROM e)
+SELECT entity_id, stratum, CASE WHEN place <= test THEN 'test' WHEN place <= test + val THEN 'val' ELSE 'train' END AS split FROM r JOIN c4 USING (stratum)""")
 def _(spark, sf):
     return splits.exact_split(panel(spark, sf), "entity_id", "label")
 
@@ -248,6 +266,49 @@ def _(spark, sf):
     return A.row_count(table(spark, sf, "lineitem"))
 
 
+@query("a5_footer_count", "SELECT count(*) AS total_rows FROM orders")
+def _(spark, sf):
+    """From the footers; no column is read."""
+    return count_from_footers(spark, f"{sf}/orders.parquet")
+
+
+_KIND = "CASE WHEN column_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'FLOAT') OR column_type LIKE 'DECIMAL%' THEN 'numeric' ELSE 'categorical' END"
+
+
+@query("b2_column_kinds", f"SELECT column_name, {_KIND} AS kind FROM (DESCRIBE SELECT * FROM lineitem)")
+def _(spark, sf):
+    numeric, categorical = numeric_and_categorical(table(spark, sf, "lineitem"))
+    rows = [(c, "numeric") for c in numeric] + [(c, "categorical") for c in categorical]
+    return spark.createDataFrame(rows, "column_name string, kind string")
+
+
+_SPARK_TYPE = "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END"
+
+
+@query("d27_schema_rows", f"SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name, {_SPARK_TYPE} AS data_type FROM (DESCRIBE SELECT * FROM customer)")
+def _(spark, sf):
+    return A.schema_rows(table(spark, sf, "customer"))
+
+
+@query("d29_importance_summary", """
+WITH i AS (SELECT o_orderpriority, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM orders) AS importance FROM orders GROUP BY ALL)
+SELECT round(avg(importance), 6) AS importance_mean, round(stddev_pop(importance), 6) AS importance_std FROM i""")
+def _(spark, sf):
+    orders = table(spark, sf, "orders")
+    share = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")).withColumn("importance", F.col("n") / orders.agg(F.count(F.lit(1))).scalar())
+    return rounded(A.importance_summary(share))
+
+
+@query("l2_type_differences", """
+SELECT * FROM (VALUES ('c_acctbal', 'decimal(12,2)', (SELECT lower(column_type) FROM (DESCRIBE SELECT * FROM customer) WHERE column_name = 'c_acctbal')),
+  ('c_since', 'date', NULL), ('c_mktsegment', NULL, 'string')) AS t("column_name", expected, actual)""")
+def _(spark, sf):
+    customer = table(spark, sf, "customer")
+    fields = [f for f in customer.schema.fields if f.name not in ("c_acctbal", "c_mktsegment")]
+    expected = StructType([*fields, StructField("c_acctbal", DecimalType(12, 2)), StructField("c_since", DateType())])
+    return quality.type_differences(customer, expected)
+
+
 @query("l1_duplicate_keys", "SELECT o_custkey, o_orderdate, count(*) AS copies FROM orders GROUP BY ALL HAVING count(*) > 1")
 def _(spark, sf):
     return quality.duplicate_keys(table(spark, sf, "orders"), ["o_custkey", "o_orderdate"])

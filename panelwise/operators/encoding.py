@@ -12,6 +12,8 @@ from panelwise.operators.skew import col, lookup
 from panelwise.session import write_and_read
 
 MAX_CATEGORIES = 50
+#: A column of more values is not made into dummies unless ``max_categories`` says how many to keep.
+MAX_COLUMNS = 10_000
 OTHER, UNKNOWN = "other", "unknown"
 
 
@@ -34,7 +36,8 @@ def cap_categories(df: DataFrame, column: str, n: int = MAX_CATEGORIES, other: s
 
 
 def one_hot(df: DataFrame, columns: Sequence[str], max_categories: int | None = None, fit_on: DataFrame | None = None) -> DataFrame:
-    """``{column}_{value}`` 0/1 columns for every non-null value, in value order; null gives all zeros.
+    """``{column}_{value}`` 0/1 columns for every non-null value, in value order; null gives all zeros. More than
+    ``MAX_COLUMNS`` values are refused.
 
     With ``max_categories`` the rarer values of a column with more count together as ``{column}_other``, or
     ``other_``, ``other__`` and so on if a kept value already has that name.
@@ -43,7 +46,9 @@ def one_hot(df: DataFrame, columns: Sequence[str], max_categories: int | None =
     added: dict[str, Column] = {}
     for c in columns:
         if max_categories is None:
-            values = sorted(r[0] for r in source.select(col(c)).where(col(c).isNotNull()).distinct().collect())  # as many as new columns
+            values = small_distinct(source, c, MAX_COLUMNS)
+            if values is None:
+                raise ValueError(f"{c} has more than {MAX_COLUMNS} values; set max_categories")
         else:
             values = small_distinct(source, c, max_categories)
         if values is None:

@@ -5,9 +5,11 @@ serves training, test and streaming data.
 """
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import combinations, combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,15 +93,62 @@ def varying_columns(df: DataFrame, columns: Sequence[str], threshold: float = VA
     return [c for c in columns if c in kept]
 
 
+def _merge_moments(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    """Chan's rule for (n, mean of i, mean of j, squared deviations of i, of j, products of deviations), elementwise."""
+    n = a[0] + b[0]
+    w = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    di, dj = b[1] - a[1], b[2] - a[2]
+    both = a[0] * w
+    return [n, a[1] + di * w, a[2] + dj * w, a[3] + b[3] + di * di * both, a[4] + b[4] + dj * dj * both, a[5] + b[5] + di * dj * both]
+
+
+def _pair_moments(x: np.ndarray) -> list[np.ndarray]:
+    """Moments of every pair of columns over the rows where both have a value, by products of whole matrices."""
+    known = ~np.isnan(x)
+    count = np.maximum(known.sum(axis=0), 1)
+    shift = np.where(known, x, 0.0).sum(axis=0) / count
+    z, m = np.where(known, x - shift, 0.0), known.astype(np.float64)
+    n, first = m.T @ m, z.T @ m  # first[i, j]: sum of i where j is known
+    part = np.maximum(n, 1.0)
+    mean = first / part
+    square = (z * z).T @ m
+    return [n, shift[:, None] + mean, shift[None, :] + mean.T, square - first * mean, (square - first * mean).T, z.T @ z - first * mean.T]
+
+
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (left, right, correlation) for every pair of columns, all pairs in one pass over the data."""
-    pairs = list(combinations(columns, 2))
-    stats = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [
-        F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(f"r{i}").alias("correlation"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return stats.select(F.inline(F.array(*cells)))
+    """Rows (left, right, correlation) for every pair of columns, over the rows where both have a value that is a number.
+
+    One pass: tasks multiply whole blocks of rows, and their matrices are merged a row at a time, so the plan has no
+    expression per pair. Null for pairs of fewer than two such rows, or where a column has one value only.
+    """
+    k, names = len(columns), list(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            x = np.stack([np.asarray(batch.column(i).to_numpy(zero_copy_only=False), dtype=np.float64) for i in range(k)], axis=1)
+            for at in range(0, len(x), 8192):
+                here = _pair_moments(x[at : at + 8192])
+                total = here if total is None else _merge_moments(total, here)
+        if total is not None:
+            moments = np.stack(total, axis=1)  # by column: its six rows of numbers
+            yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array([m.ravel().tolist() for m in moments], pa.list_(pa.float64()))], names=["i", "moments"])
+
+    def merge(rows: pa.Table) -> pa.Table:
+        parts = sorted(r.as_py() for r in rows.column("moments"))  # sorted: the sums don't depend on the order of tasks
+        total = None
+        for p in parts:
+            here = list(np.array(p).reshape(6, k))
+            total = here if total is None else _merge_moments(total, here)
+        i = rows.column("i")[0].as_py()
+        n, mean_i, mean_j, a, b, both = total
+        varies = (a > n * (1e-13 * mean_i) ** 2) & (b > n * (1e-13 * mean_j) ** 2)  # beyond the rounding of equal values
+        value = np.divide(both, np.sqrt(np.abs(a * b)), out=np.full(k, np.nan), where=(n > 1) & varies)
+        later = range(i + 1, k)
+        return pa.table({"left": pa.array([names[i]] * len(later), pa.string()), "right": pa.array([names[j] for j in later], pa.string()), "correlation": pa.array([None if np.isnan(value[j]) else float(value[j]) for j in later], pa.float64())})
+
+    parts = df.select(*[col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)]).mapInArrow(run, "i int, moments array<double>")
+    return parts.groupBy("i").applyInArrow(merge, "left string, right string, correlation double")
 
 
 def uncorrelated_columns(df: DataFrame, columns: Sequence[str], threshold: float = CORRELATION_THRESHOLD) -> list[str]:
@@ -141,3 +190,10 @@ def cumulative_risk(df: DataFrame, age: str, period: str, out: str = "cumulative
     """(age - pivot) * (period - first period) / 10."""
     first = df.agg(F.min(col(period))).scalar()
     return df.withColumn(out, (col(age) - pivot) * (col(period) - first) / 10)
+
+
+def uncertainty_columns(df: DataFrame, age: str = "age", period: str = "year") -> DataFrame:
+    """``diagnostic_confidence`` and ``cumulative_risk_factor``; without a period, 0.5 and (age - 65) / 10."""
+    if period in df.columns:
+        return cumulative_risk(period_confidence(df, period), age, period)
+    return df.withColumns({"diagnostic_confidence": F.lit(0.5), "cumulative_risk_factor": (col(age) - 65.0) / 10})

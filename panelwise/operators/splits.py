@@ -6,6 +6,7 @@ same when data is added or repartitioned.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelwise.operators.aggregates import majority_label
@@ -38,10 +39,28 @@ def split_frames(df: DataFrame, entity: str, **kw) -> tuple[DataFrame, DataFrame
     return tuple(df.filter(split_of(entity, **kw) == s) for s in SPLITS)
 
 
+def allot(sizes: DataFrame, size: str, share: float, out: str, spare: int = 0) -> DataFrame:
+    """``out``: whole parts of ceil(``share`` x all) in proportion to ``size``, by largest remainders (ties: first column).
+
+    Every row keeps ``spare`` of its own; a row of no more than that gets nothing. For a few rows: one task ranks them.
+    """
+    everything = W.partitionBy(F.lit(0))
+    first = col(sizes.columns[0])
+    total = F.ceil(F.sum(col(size)).over(everything) * share)
+    quota = col(size) * total / F.sum(col(size)).over(everything)
+    down = F.floor(quota)
+    wide = sizes.withColumns({"_down": down, "_left": total - F.sum(down).over(everything), "_rest": quota - down})
+    place = F.row_number().over(everything.orderBy(F.desc("_rest"), first))
+    given = F.col("_down") + F.when(place <= F.col("_left"), 1).otherwise(0)
+    return wide.withColumn(out, F.greatest(F.least(given, col(size) - spare), F.lit(0))).drop("_down", "_left", "_rest")
+
+
 def exact_split(df: DataFrame, entity: str, label: str, seed: int = SEED, test: float = TEST_SHARE, val: float = VAL_SHARE) -> DataFrame:
-    """Rows (entity, stratum, split) with the shares met to the entity in each stratum (majority label).
+    """Rows (entity, stratum, split) with the shares met to the entity over all strata (majority labels).
 
-    Entities are ranked by hash within the stratum: the first ceil(n * test) are test, the next ceil(rest * val) val.
+    ceil(n x test) entities are test and ceil(rest x val) of the others val, shared out among the strata by largest
+    remainders. Every stratum keeps an entity for train, so that one of a single entity is there; with one stratum the split
+    is unstratified. Entities are taken in the order of their hash.
     """
     digest = F.md5(F.concat_ws("|", col(entity).cast("string"), F.lit(str(seed))))
     labelled = majority_label(df, entity, label, out="stratum").select(
@@ -49,9 +68,9 @@ def exact_split(df: DataFrame, entity: str, label: str, seed: int = SEED, test:
     )
     ranked = running_totals(labelled, {"_at": "_one"}, entity, group=["stratum"], leading=["_h"])  # equal hashes: by entity
     sizes = labelled.groupBy("stratum").agg(F.count(F.lit(1)).alias("_n"))  # one row per class
-    n_test = F.ceil(F.col("_n") * test)
-    n_val = F.ceil((F.col("_n") - n_test) * val)
-    split = F.when(F.col("_at") <= n_test, "test").when(F.col("_at") <= n_test + n_val, "val").otherwise("train")
+    sizes = allot(sizes, "_n", test, "_test", spare=1).withColumn("_others", F.col("_n") - F.col("_test"))
+    sizes = allot(sizes, "_others", val, "_val", spare=1)
+    split = F.when(F.col("_at") <= F.col("_test"), "test").when(F.col("_at") <= F.col("_test") + F.col("_val"), "val").otherwise("train")
     return ranked.join(F.broadcast(sizes), "stratum").select(col(entity), "stratum", split.alias("split"))
 
 

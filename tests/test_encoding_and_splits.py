@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
@@ -168,14 +169,64 @@ def test_exact_split_meets_the_shares(spark, small):
     counts = {}
     for r in out.groupBy("stratum", "split").count().collect():
         counts.setdefault(r["stratum"], {})[r["split"]] = r["count"]
-    for c in counts.values():
-        n = sum(c.values())
-        test = -(-n // 5)
-        assert c["test"] == test and c["val"] == -(-(n - test) // 5)
+    sizes = {k: sum(c.values()) for k, c in counts.items()}
+    n = sum(sizes.values())
+    test, val = (sum(c.get(s, 0) for c in counts.values()) for s in ("test", "val"))
+    assert test == -(-n // 5) and val == -(-(n - test) // 5)
+    for k, c in counts.items():
+        assert abs(c["test"] - sizes[k] * test / n) < 1 and c["train"] >= 1
     again = splits.exact_split(panel(spark, small).repartition(11), "entity_id", "label")
     assert same_rows(out, again)
 
 
+def test_small_classes_stay_in_train(spark):
+    df = spark.range(40).select("id", F.when(F.col("id") == 7, 1).otherwise(0).alias("y"))
+    out = {r["id"]: (r["stratum"], r["split"]) for r in splits.exact_split(df, "id", "y").collect()}
+    assert out[7] == (1, "train") and len(out) == 40
+    assert sum(s == "test" for _, s in out.values()) == 8 and sum(s == "val" for _, s in out.values()) == 7
+    few = spark.createDataFrame([(i, y) for i, y in enumerate([0] * 11 + [1] * 3 + [1] * 2)], "id long, y int")
+    splits_ = [r["split"] for r in splits.exact_split(few, "id", "y").collect()]
+    assert (splits_.count("test"), splits_.count("val")) == (4, 3)
+    one_class = splits.exact_split(spark.range(10).withColumn("y", F.lit(0)), "id", "y")
+    assert one_class.filter("split = 'test'").count() == 2 and splits.exact_split(df.limit(0), "id", "y").count() == 0
+
+
+def test_parts_by_largest_remainder(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 7), ("c", 1), ("d", 2)], "k string, n int")
+    got = {r["k"]: r["part"] for r in splits.allot(sizes, "n", 0.25, "part").collect()}
+    assert got == {"a": 3, "b": 2, "c": 0, "d": 0}  # quotas 2.5, 1.75, 0.25, 0.5 of 5 in all; a and d tie
+    assert splits.allot(sizes, "n", 0.9, "part", spare=1).filter("part > n - 1").isEmpty()
+
+
+def test_correlations_of_pairs_with_missing_values(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 6)) * [1, 10, 1e-3, 5, 2, 1] + [0, 1e6, 0, -40, 3, 0]
+    x[:, 3] = x[:, 0] * 2 + x[:, 3]
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 5] = 0.1
+    x[1:, 4] = np.nan  # one value
+    names = list("abcdef")
+    df = spark.createDataFrame([[None if v != v and i % 2 else float(v) for v in row] for i, row in enumerate(x)], ", ".join(f"{n} double" for n in names)).repartition(7)
+    got = {(r["left"], r["right"]): r["correlation"] for r in scaling.correlations(df, names).collect()}
+    assert len(got) == 15
+    for i in range(6):
+        for j in range(i + 1, 6):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            if 4 in (i, j) or 5 in (i, j):
+                assert got[names[i], names[j]] is None
+            else:
+                assert got[names[i], names[j]] == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1], abs=1e-9)
+    assert "corr(" not in scaling.correlations(df, names)._jdf.queryExecution().optimizedPlan().toString()
+    assert scaling.correlations(df.limit(0), names).filter("correlation IS NOT NULL").isEmpty()
+
+
+def test_too_many_values_for_dummies_are_refused(words, monkeypatch):
+    monkeypatch.setattr(encoding, "MAX_COLUMNS", 2)
+    with pytest.raises(ValueError):
+        encoding.one_hot(words, ["w"])
+    assert "w_other" in encoding.one_hot(words, ["w"], max_categories=2).columns
+
+
 def test_class_weights(spark):
     df = spark.createDataFrame([(0,), (0,), (0,), (1,)], "y int")
     assert splits.class_weights(df, "y") == {0: 4 / 6, 1: 2.0}

@@ -166,3 +166,21 @@ def test_map_frames_is_independent_of_batches(spark):
         assert same_rows(map_frames(df, double, "id bigint, x bigint", by=2), df.withColumn("x", F.col("id") * 2))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_chunks_have_the_asked_size(spark):
+    df = spark.range(100, numPartitions=3)
+
+    def sizes(frame):
+        frame["n"] = len(frame)
+        return frame
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "9")
+    try:
+        for size, largest in ((1, {1}), (4, {4}), (1000, {33, 34})):
+            out = map_frames(df, sizes, "id bigint, n bigint", size).collect()
+            assert sorted(r["id"] for r in out) == list(range(100)) and {r["n"] for r in out} >= largest and max(r["n"] for r in out) <= size
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with pytest.raises(ValueError):
+        map_frames(df, sizes, "id bigint, n bigint", 0)
