@@ -159,6 +159,21 @@ def vitals(spark: SparkSession, sf: str) -> DataFrame:
     return vitals_of(table(spark, sf, "orders"))
 
 
+# --- requests: one scoring request per order, with all eighteen fields ------------------------------------------------
+_REQUEST = (
+    ("age", "CAST(o_orderkey % 130 AS DOUBLE)"),
+    *[(name, "30 + CAST(o_orderkey % 80 AS DOUBLE) / 5" if name == "temperature" else expr) for name, expr in _VISIT],
+    ("num_encounters", "o_orderkey % 40 - 1"),
+    ("num_medications", "o_orderkey % 7"),
+    ("num_lab_tests", "o_orderkey % 11"),
+)
+REQUESTS = "requests AS (\n  SELECT o_orderkey AS id, " + ", ".join(f"{expr} AS {name}" for name, expr in _REQUEST) + "\n  FROM orders)"
+
+
+def requests_of(orders: DataFrame) -> DataFrame:
+    return orders.select(F.col("o_orderkey").alias("id"), *[F.expr(expr).alias(name) for name, expr in _REQUEST])
+
+
 # --- prediction log and registry ------------------------------------------------------------------------------------
 PREDLOG = """predlog AS (
   SELECT event_id, ts, CASE event_type WHEN 'error' THEN 'Very High' WHEN 'purchase' THEN 'High' WHEN 'click' THEN 'Moderate'

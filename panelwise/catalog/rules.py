@@ -54,12 +54,12 @@ def _(spark, sf):
     return validation.check(v, _IN).select("id", F.concat_ws(",", "violations").alias("violations"))
 
 
-_ALL_RANGES = ", ".join(
+ALL_RANGES = ", ".join(
     f"CASE WHEN {r.field} < {r.lo} {f'OR {r.field} > {r.hi}' if r.hi is not None else ''} THEN '{r.field}:range' END" for r in validation.REQUEST_RANGES
 )
 
 
-@query("b7_all_ranges", f"WITH {VISITS} SELECT patient_id, year, concat_ws(',', {_ALL_RANGES}) AS violations FROM (SELECT * REPLACE (bmi * 2.5 AS bmi, ldl * 1.4 AS ldl) FROM visits)")
+@query("b7_all_ranges", f"WITH {VISITS} SELECT patient_id, year, concat_ws(',', {ALL_RANGES}) AS violations FROM (SELECT * REPLACE (bmi * 2.5 AS bmi, ldl * 1.4 AS ldl) FROM visits)")
 def _(spark, sf):
     """All eighteen request fields."""
     v = visits(spark, sf).withColumns({"bmi": F.col("bmi") * 2.5, "ldl": F.col("ldl") * 1.4})

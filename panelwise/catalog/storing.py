@@ -4,9 +4,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelwise.catalog import query
-from panelwise.catalog.fixtures import PANEL, PREDLOG, REGISTRY, VITALS, panel, predlog_of, registry, rounded, table, vitals_of
-from panelwise.functions.validation import Range
+from panelwise.catalog.fixtures import PANEL, PREDLOG, REGISTRY, REQUESTS, panel, predlog_of, registry, requests_of, rounded, table
+from panelwise.catalog.rules import ALL_RANGES
 from panelwise.operators import aggregates
+from panelwise.operators.scoring import prediction_log, score_with_rules
 from panelwise.session import shared_path, write_and_read
 from panelwise.sources import files, registry as R, runlog
 from panelwise.streaming.monitoring import monitor_stream
@@ -148,18 +149,16 @@ def _(spark, sf):
 
 # --- streams ----------------------------------------------------------------------------------------------------------
 
-_STREAM_RULES = (Range("age", 0, 90), Range("bmi", 16, 100), Range("glucose", 60, 1000))
-
-
 @query("j1_score_stream", f"""
-WITH {VITALS}, s AS (SELECT *, CASE WHEN age > 65 THEN 3 ELSE 0 END + CASE WHEN bmi > 30 THEN 1 ELSE 0 END + CASE WHEN systolic_bp > 140 THEN 1 ELSE 0 END + CASE WHEN glucose > 100 THEN 1 ELSE 0 END AS tenths,
-  concat_ws(',', CASE WHEN age < 0 OR age > 90 THEN 'age:range' END, CASE WHEN bmi < 16 OR bmi > 100 THEN 'bmi:range' END, CASE WHEN glucose < 60 OR glucose > 1000 THEN 'glucose:range' END) AS violations FROM vitals)
+WITH {REQUESTS}, s AS (SELECT *, CASE WHEN age > 65 THEN 3 ELSE 0 END + CASE WHEN bmi > 30 THEN 1 ELSE 0 END + CASE WHEN systolic_bp > 140 THEN 1 ELSE 0 END + CASE WHEN glucose > 100 THEN 1 ELSE 0 END AS tenths,
+  concat_ws(',', {ALL_RANGES}) AS violations FROM requests)
 SELECT id, CASE WHEN violations = '' THEN tenths / 10.0::DOUBLE END AS score, CASE WHEN violations = '' THEN CASE WHEN tenths >= 4 THEN 1 ELSE 0 END ELSE -1 END AS label, violations FROM s""")
 def _(spark, sf):
+    """All eighteen fields against their ranges."""
     out = shared_path(spark, "scored")
     orders = spark.readStream.schema(table(spark, sf, "orders").schema).parquet(f"{sf}/orders*.parquet")
     # 0.35 lies between two possible scores, so rounding of the sum cannot move a label.
-    score_stream(vitals_of(orders), out, shared_path(spark, "stream-state"), 0.35, _STREAM_RULES).awaitTermination()
+    score_stream(requests_of(orders), out, shared_path(spark, "stream-state"), 0.35).awaitTermination()
     good = spark.read.parquet(f"{out}/scored").select("id", F.round("score", 6).alias("score"), "label", F.lit("").alias("violations"))
     bad = spark.read.parquet(f"{out}/rejected")
     return good.unionByName(
@@ -167,6 +166,17 @@ def _(spark, sf):
     )
 
 
+@query("j1_prediction_log", f"""
+WITH {REQUESTS}, s AS (SELECT id, CASE WHEN age > 65 THEN 3 ELSE 0 END + CASE WHEN bmi > 30 THEN 1 ELSE 0 END + CASE WHEN systolic_bp > 140 THEN 1 ELSE 0 END + CASE WHEN glucose > 100 THEN 1 ELSE 0 END AS tenths, age, bmi FROM requests)
+SELECT CAST(id AS VARCHAR) AS id, CAST(age AS INTEGER) AS age, tenths / 10.0::DOUBLE AS alzheimers_risk_probability, 'rules-1' AS model_version FROM s""")
+def _(spark, sf):
+    """Log rows of scored requests, stored and read back."""
+    scored = score_with_rules(requests_of(table(spark, sf, "orders")), 0.35)
+    log = write_and_read(prediction_log(scored, ("id", "age", "bmi"), "rules-1"), "prediction-log")
+    inputs = F.col("inputs")
+    return log.select(inputs["id"].alias("id"), inputs["age"].cast("double").cast("int").alias("age"), F.round("alzheimers_risk_probability", 6).alias("alzheimers_risk_probability"), "model_version")
+
+
 @query("j2_monitor_stream", f"""
 WITH {PREDLOG}, w AS (SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, risk_level, count(*) AS predictions,
   round(coalesce(avg(processing_time_ms) FILTER (processing_time_ms <> 0), 0), 2) AS average_processing_time_ms FROM predlog GROUP BY ALL)

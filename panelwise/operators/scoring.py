@@ -31,3 +31,17 @@ def validate_and_score(df: DataFrame, threshold: float, rules=REQUEST_RANGES) ->
     """(scored valid records, rejected records with their violations)."""
     valid, rejected = split_valid(df, rules)
     return score_with_rules(valid, threshold), rejected.withColumn("n_violations", F.size("violations"))
+
+
+def prediction_log(scored: DataFrame, inputs: tuple[str, ...], version: str, elapsed_ms: float | None = None) -> DataFrame:
+    """Log rows of scored records: id, time, inputs as a map, risk, level, confidence, version and mean latency.
+
+    ``scored`` has the columns of ``score_with_model`` or ``score_with_rules`` next to ``inputs``; ``elapsed_ms`` is the time of the
+    whole batch, shared out evenly. Ids tell rows of one batch apart.
+    """
+    names = [x for c in inputs for x in (F.lit(c), col(c).cast("string"))]
+    latency = F.lit(None).cast("double") if elapsed_ms is None else F.lit(float(elapsed_ms)) / scored.agg(F.count(F.lit(1))).scalar()
+    return scored.select(
+        F.uuid().alias("prediction_id"), F.current_timestamp().alias("logged_at"), F.create_map(*names).alias("inputs"),
+        F.col("score").alias("alzheimers_risk_probability"), "risk_level", "confidence", F.lit(version).alias("model_version"), latency.alias("processing_time_ms"),
+    )

@@ -1,8 +1,6 @@
 """Session settings every job relies on, and the shared folder for intermediate tables."""
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,14 +30,9 @@ _FOLDERS: set[str] = set()
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path below the cluster's checkpoint folder, unique to this call. It is deleted when the driver ends.
 
-    The folder comes from ``spark.checkpoint.dir``. Only where that is unset and driver and executors are one machine, as in
-    tests, a temporary folder takes its place.
+    The folder comes from ``spark.checkpoint.dir`` or, where that is unset, lies in the warehouse, which is shared too.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a shared folder")
-        root = os.path.join(tempfile.gettempdir(), "panelwise")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     folder = f"{root.rstrip('/')}/panelwise/{spark.sparkContext.applicationId}"
     if folder not in _FOLDERS:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)

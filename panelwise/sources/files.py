@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
@@ -116,3 +116,32 @@ def load_warehouse_table(df: DataFrame, database: str, table: str, location: str
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`" + (f" LOCATION '{location}'" if location else ""))
     df.write.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{table}`")
     return spark.table(f"`{database}`.`{table}`").count()
+
+
+def count_from_footers(spark: SparkSession, *paths: str) -> DataFrame:
+    """``total_rows`` of Parquet files, from the row counts in their footers: the aggregate is pushed into the scan, which reads
+    no column and returns one row a file."""
+    with _settings(spark, _PUSHED):
+        plan = _footer_counts(spark, paths)
+        return spark.createDataFrame([(plan.first()[0],)], "total_rows bigint")
+
+
+# Only the second version of the Parquet source takes aggregates.
+_PUSHED = {"spark.sql.parquet.aggregatePushdown": "true", "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text"}
+
+
+def _footer_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return spark.read.parquet(*paths).agg(F.count(F.lit(1)).alias("total_rows"))
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]):
+    """Session settings for the time being."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

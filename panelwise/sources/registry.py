@@ -1,14 +1,18 @@
 """Model registry: one row per model version, stored as Parquet snapshots.
 
-A plain Parquet table cannot be overwritten while it is read, so each registration writes a new ``snapshot`` folder
-and readers take the highest one.
+A plain Parquet table cannot be overwritten while it is read, so each registration writes a new snapshot folder. It becomes
+visible by a marker, a small file ``commits/<number>`` that names the folder; readers follow the highest marker and never see a
+folder without one. A marker is written aside and renamed to its number, which fails if the number is taken: then
+the writer reads what was committed and tries again on top of it.
 """
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from panelwise.functions.identity import version_key
 
@@ -45,35 +49,65 @@ def with_version(rows: DataFrame) -> DataFrame:
     )
 
 
-def _snapshot(spark: SparkSession, path: str) -> int | None:
-    try:
-        return spark.read.parquet(path).agg(F.max("snapshot")).first()[0]
-    except AnalysisException:
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _newest_commit(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """(number, snapshot folder) of the highest marker."""
+    at, files = _files(spark, f"{path}/commits")
+    if not files.exists(at):
         return None
+    numbers = [int(n) for f in files.listStatus(at) if (n := f.getPath().getName()).isdigit()]
+    if not numbers:
+        return None
+    top = max(numbers)
+    return top, spark.read.text(f"{path}/commits/{top:010d}").first()[0]
+
+
+def _commit(spark: SparkSession, path: str, number: int, folder: str) -> bool:
+    """Whether the marker of this number could be set."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    aside, files = _files(spark, f"{path}/commits/_{uuid.uuid4().hex}")
+    out = files.create(aside)
+    out.write(bytearray(folder.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), conf)
+    options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(aside, jvm.org.apache.hadoop.fs.Path(f"{path}/commits/{number:010d}"), options)
+    except Py4JJavaError as e:
+        files.delete(aside, False)
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """The newest snapshot."""
-    at = _snapshot(spark, path)
+    """The newest committed snapshot."""
+    at = _newest_commit(spark, path)
     if at is None:
         raise FileNotFoundError(f"no registry at {path}")
-    return spark.read.parquet(path).filter(F.col("snapshot") == at).drop("snapshot")
+    return spark.read.parquet(f"{path}/{at[1]}")
 
 
-def register(rows: DataFrame, path: str, keep: int = KEEP) -> None:
-    """Add versions and store the trimmed registry as the next snapshot.
-
-    A snapshot's folder is created by an exclusive step: of two writers that take the same number, one fails and may
-    try again; neither overwrites or mixes with the other.
-    """
+def register(rows: DataFrame, path: str, keep: int = KEEP, tries: int = 20) -> None:
+    """Add versions and commit the trimmed registry as the next snapshot; repeated on top of what others commit meanwhile."""
     spark = rows.sparkSession
-    at = _snapshot(spark, path)
     fresh = with_version(rows)
-    # Columns the caller leaves out are stored as null, so every snapshot has the full record.
-    full = spark.createDataFrame([], FIELDS).unionByName(fresh, allowMissingColumns=True)
-    if at is not None:
-        full = read_registry(spark, path).unionByName(full)
-    newest(full, keep).write.mode("errorifexists").parquet(f"{path}/snapshot={0 if at is None else at + 1}")
+    for _ in range(tries):
+        at = _newest_commit(spark, path)
+        # Columns the caller leaves out are stored as null, so every snapshot has the full record.
+        full = spark.createDataFrame([], FIELDS).unionByName(fresh, allowMissingColumns=True)
+        if at is not None:
+            full = spark.read.parquet(f"{path}/{at[1]}").unionByName(full)
+        folder = f"snapshot-{uuid.uuid4().hex}"
+        newest(full, keep).write.parquet(f"{path}/{folder}")
+        if _commit(spark, path, 0 if at is None else at[0] + 1, folder):
+            return
+    raise RuntimeError(f"{tries} writers were faster at {path}")
 
 
 def latest(versions: DataFrame) -> DataFrame:

@@ -1,12 +1,14 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
-from panelwise.catalog.fixtures import panel, visits
+from panelwise.catalog.fixtures import panel, requests_of, visits
 from panelwise.functions.validation import Range
 from panelwise.operators.learning import with_score
-from panelwise.operators.scoring import validate_and_score
+from panelwise.operators.scoring import prediction_log, score_with_rules, validate_and_score
 from panelwise.plans.featurize import run_featurize
-from panelwise.plans.train import load_version, train_and_register
+from panelwise.plans.train import load_version, train, train_and_register
 from panelwise.session import shared_path
 from panelwise.sources import files, registry, runlog
 from panelwise.streaming.monitoring import level_metrics, monitor_stream
@@ -74,10 +76,19 @@ def test_warehouse_table_is_replaced(spark, years):
 
 
 def test_shared_path_follows_the_session(spark):
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     assert shared_path(spark, "x") != shared_path(spark, "x")
-    if root:
-        assert shared_path(spark, "x").startswith(f"{root}/panelwise/{spark.sparkContext.applicationId}/x-")
+    assert shared_path(spark, "x").startswith(f"{root}/panelwise/{spark.sparkContext.applicationId}/x-")
+
+
+def test_rows_are_counted_from_footers(spark, years, tmp_path):
+    path = str(tmp_path / "counted")
+    years.repartition(3).write.parquet(path)
+    assert [tuple(r) for r in files.count_from_footers(spark, path).collect()] == [(years.count(),)]
+    with files._settings(spark, files._PUSHED):
+        plan = files._footer_counts(spark, [path])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")
 
 
 def test_run_log(spark, tmp_path):
@@ -106,6 +117,24 @@ def test_registry(spark, tmp_path):
         registry.compare(now, "m", past[0]["version"], "absent")
 
 
+def test_registrations_at_one_time_all_land(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    entry = lambda m: spark.createDataFrame([(m, "2024-01-01", 0.5, 0.5)], "model_name string, created_at string, test_accuracy double, test_f1 double")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: registry.register(entry(f"m{i}"), path), range(6)))
+    assert sorted(r["model_name"] for r in registry.read_registry(spark, path).collect()) == [f"m{i}" for i in range(6)]
+
+
+def test_readers_see_no_snapshot_without_a_marker(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    entry = spark.createDataFrame([("m", "2024-01-01", 0.5, 0.5)], "model_name string, created_at string, test_accuracy double, test_f1 double")
+    registry.register(entry, path)
+    registry.with_version(entry.withColumn("model_name", F.lit("half"))).write.parquet(f"{path}/snapshot-half")
+    assert [r["model_name"] for r in registry.read_registry(spark, path).collect()] == ["m"]
+    assert not registry._commit(spark, path, 0, "snapshot-half")  # the number is taken
+    assert [r["model_name"] for r in registry.read_registry(spark, path).collect()] == ["m"]
+
+
 def test_featurize_job(spark, small, tmp_path):
     source, target = str(tmp_path / "raw"), str(tmp_path / "features")
     files.write_years(visits(spark, small), source)
@@ -130,10 +159,33 @@ def test_training_job_registers_the_model(spark, small, tmp_path):
     assert load_version(spark, str(tmp_path), "demo").features == ["age", "bmi"]
     assert load_version(spark, str(tmp_path), "demo", row["version"]).features == loaded.features
     assert with_score(load_version(spark, str(tmp_path), "demo").model, holes).filter("score IS NULL").isEmpty()
+    assert load_version(spark, str(tmp_path), "demo", other="logistic_regression").name == "logistic_regression"
     with pytest.raises(ValueError):
         load_version(spark, str(tmp_path), "demo", "absent")
 
 
+def test_training_with_uncertainty_columns(spark, small):
+    data = visits(spark, small)
+    for frame in (data, data.drop("year")):
+        _, trained, report = train(frame, "patient_id", ["age", "bmi"], "alzheimers_diagnosis", ["sex"], uncertainty=True, maxIter=2)
+        varies = ["cumulative_risk_factor"] if "year" not in frame.columns else ["diagnostic_confidence", "cumulative_risk_factor"]
+        assert trained.features == ["age", "bmi", *varies, "sex"] and report["variance_selected"] == len(trained.features)
+
+
+def test_prediction_log(spark, small):
+    requests = requests_of(spark.read.parquet(f"{small}/orders.parquet")).limit(20)
+    log = prediction_log(score_with_rules(requests, 0.35), ("age", "bmi"), "v1", elapsed_ms=40.0).collect()
+    assert len({r["prediction_id"] for r in log}) == 20 and all(r["processing_time_ms"] == 2.0 and set(r["inputs"]) == {"age", "bmi"} for r in log)
+
+
+def test_requests_against_all_rules(spark, small):
+    requests = requests_of(spark.read.parquet(f"{small}/orders.parquet"))
+    scored, rejected = validate_and_score(requests, 0.35)
+    assert scored.count() + rejected.count() == requests.count() and not rejected.isEmpty() and not scored.isEmpty()
+    fields = {v.split(":")[0] for r in rejected.collect() for v in r["violations"]}
+    assert {"age", "num_encounters", "temperature"} <= fields
+
+
 # --- streams ----------------------------------------------------------------------------------------------------------
 
 RULES = (Range("age", 0, 120), Range("bmi", 10, 100))
