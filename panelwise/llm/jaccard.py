@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,11 @@ GROUPS = 64
 #: Shingles of the sets that are compared in one task; a larger bundle is cut into blocks.
 BLOCK_SHINGLES = 1_000_000
 _LEAF = 16
-_SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D)
+_SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
+#: The region of ``prefixes`` holds this many times the share of its shingles that a set may lack in a similar one.
+REGION = 2.25
+#: A shingle of so many sets is not told from more frequent ones.
+FREQUENT = 64
 
 
 def shingle_sets(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -49,83 +52,26 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def _names(hashes: np.ndarray, ends: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes that name a set."""
     n = np.diff(ends).astype(np.uint64)
-    return tuple(pair(_sums(mix(hashes ^ np.uint64(s + 2 * seed)), ends), n) for s in _SEEDS[:2])
-
-
-@lru_cache(maxsize=None)
-def _bounds(percent: int) -> np.ndarray:
-    """First sizes of the size classes; partners are in the same class or the next."""
-    out = [1]
-    while out[-1] < 1 << 31:
-        out.append(max(out[-1] + 1, out[-1] * 100 // percent + 1, out[-1] * 8 // 5))
-    return np.array(out)
-
-
-@lru_cache(maxsize=None)
-def _parts(level: int, percent: int) -> tuple[int, int]:
-    """(parts, empty parts allowed) of a class: two partners whose smaller is in it differ in fewer parts than that."""
-    small, large = int(_bounds(percent)[level]), int(_bounds(percent)[level + 1]) - 1
-    most = (large + large * 100 // percent) * (100 - percent) // (100 + percent)
-    if most == 0:
-        return 0, 0
-    spare = 1
-    for _ in range(3):
-        parts = most + 1 + spare
-        spare = 1 + int(np.ceil(parts * np.exp(-small / parts)))
-    return most + 1 + spare, spare
-
-
-def _scheme(hashes: np.ndarray, ends: np.ndarray, levels: np.ndarray, percent: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set number, signature) for each part with content, and which sets have more empty parts than allowed."""
+    return tuple(pair(_sums(mix(hashes ^ np.uint64(s + 2 * seed)), ends), n) for s in _SEEDS)
+
+
+def prefixes(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set number, shingle, spare) of the shingles by which a set may meet similar ones.
+
+    All shingles have one order: first those of a fixed region of the hash space, rare ones before frequent ones, then the
+    others; ties by hash. A set similar to another lacks at most n - ceil(n p / 100) of its n shingles there, so the two
+    share one of their first n - ceil(n p / 100) + 1 (prefix filtering, which holds for any common order). The region has
+    about twice as many shingles as that; if a set has too few there, the first of the others are added. ``spare`` is
+    how many of the most frequent of the region's shingles are beyond the prefix.
+    """
     sizes = np.diff(ends)
-    table = np.array([_parts(v, percent) for v in range(int(levels.max(initial=0)) + 1)])
-    parts = np.where(sizes > 0, table[levels, 0], 0)
+    need = np.where(sizes > 0, sizes + (-sizes * percent) // 100 + 1, 0)
+    share = min(1.0, REGION * (100 - percent) / 100)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    used = parts[owner] > 0
-    owner, h = owner[used], hashes[used]
-    part = ((h >> np.uint64(32)) * parts[owner].astype(np.uint64)) >> np.uint64(32)
-    if not len(h):
-        return owner, h, np.zeros(len(sizes), dtype=bool)
-    begin = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])]))
-    content = _sums(mix(h ^ np.uint64(_SEEDS[2])), np.append(begin, len(h)))
-    who = owner[begin]
-    sig = pair(content, mix(part[begin] * np.uint64(4096) + levels[who].astype(np.uint64) * np.uint64(8) + np.uint64(seed)))
-    empty = parts - np.bincount(who, minlength=len(sizes))
-    return who, sig, (parts > 0) & (empty > table[levels, 1])
-
-
-def signatures(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(set number, signature): two sets of similarity ``percent`` / 100 have one in common.
-
-    Such sets differ in at most (|A| + |B|) (100 - p) / (100 + p) elements. The space of hashes is cut into that many
-    parts, one more, and some spare ones; so more parts than the spare ones are equal. If those are all empty, both
-    sets have more empty parts than allowed, and both are cut again by another order of hashes.
-    """
-    bounds, sizes = _bounds(percent), np.diff(ends)
-    own = np.searchsorted(bounds, sizes, side="right") - 1
-    below = np.maximum(own - 1, 0)
-    lower = (own > 0) & (sizes <= (bounds[own] - 1) * 100 // percent)
-    out_who, out_sig = [], []
-    for levels, chosen in ((np.maximum(own, 0), sizes > 0), (below, lower)):
-        ids = np.flatnonzero(chosen)
-        h = np.concatenate([hashes[ends[i] : ends[i + 1]] for i in ids]) if len(ids) < len(sizes) and len(ids) else hashes if len(ids) else hashes[:0]
-        e = np.concatenate([[0], np.cumsum(sizes[ids])])
-        v = levels[ids]
-        for seed in range(4):
-            if seed == 3:  # all parts but a few are empty under three orders: these few sets meet by class
-                out_who.append(ids)
-                out_sig.append(mix(v.astype(np.uint64) + np.uint64(1 << 40)))
-                break
-            who, sig, again = _scheme(h, e, v, percent, seed)
-            out_who.append(ids[who])
-            out_sig.append(sig)
-            rest = np.flatnonzero(again)
-            if not len(rest):
-                break
-            h = np.concatenate([np.sort(mix(h[e[i] : e[i + 1]] ^ np.uint64(_SEEDS[seed]))) for i in rest])
-            e = np.concatenate([[0], np.cumsum(np.diff(e)[rest])])
-            ids, v = ids[rest], v[rest]
-    return np.concatenate(out_who), np.concatenate(out_sig)
+    inside = hashes <= np.uint64(min(int(share * 2.0**64), (1 << 64) - 1))
+    held = np.bincount(owner[inside], minlength=len(sizes))
+    taken = np.arange(len(hashes)) - ends[:-1][owner] < np.maximum(held, need)[owner]  # a set's hashes are sorted
+    return owner[taken], hashes[taken], np.maximum(held - need, 0)[owner[taken]]
 
 
 class CountTree:
@@ -192,56 +138,100 @@ def _describe(size: int, seed: int):
     return run
 
 
-def _sign(size: int, percent: int, seed: int, hold: int = 1_000_000):
-    """(signature, set) once per task and signature; the task's other sets with it come as links (set, null, to)."""
-
-    def flush(sigs: list[np.ndarray], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        sig, f = np.concatenate(sigs), np.concatenate(sets)
-        order = np.lexsort((f, sig))
-        sig, f = sig[order], f[order]
-        first = np.concatenate([[True], sig[1:] != sig[:-1]])
-        least = f[np.maximum.accumulate(np.where(first, np.arange(len(f)), 0))]
-        yield pa.RecordBatch.from_arrays([pa.array(sig[first]), pa.array(f[first]), pa.nulls(int(first.sum()), pa.int64())], names=["sig", "f", "to"])
-        rest = ~first & (f != least)
-        links = np.unique(np.stack([f[rest], least[rest]]), axis=1) if rest.any() else np.zeros((2, 0), dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.nulls(links.shape[1], pa.int64()), pa.array(links[1])], names=["sig", "f", "to"])
+def _offer(size: int, percent: int, seed: int, hold: int = 1_000_000):
+    """(shingle, set, spare) of each set's prefix; sets that a task has seen before are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, sets, held = [], [], 0
+        seen: set[int] = set()
         for whole in batches:
             for batch in slices(whole):
                 hashes, ends = shingle_sets(batch.column("text"), size)
-                name, _ = _names(hashes, ends, seed)
-                who, sig = signatures(hashes, ends, percent)
-                sigs.append(signed(sig))
-                sets.append(signed(name)[who])
-                held += len(who)
-                if held > hold:
-                    yield from flush(sigs, sets)
-                    sigs, sets, held = [], [], 0
-        if held:
-            yield from flush(sigs, sets)
+                name = signed(_names(hashes, ends, seed)[0])
+                who, shingle, spare = prefixes(hashes, ends, percent)
+                fresh = np.zeros(len(name), dtype=bool)
+                for i, f in enumerate(name.tolist()):
+                    if f not in seen:
+                        fresh[i] = True
+                        seen.add(f)
+                if len(seen) > hold:
+                    seen.clear()
+                new = fresh[who]
+                yield pa.RecordBatch.from_arrays([pa.array(signed(shingle[new])), pa.array(name[who[new]]), pa.array(spare[new].astype(np.int32))], names=["h", "f", "spare"])
 
     return run
 
 
+def _share(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (shingle, set): those of shingles that several sets have, with their number up to ``FREQUENT``.
+
+    A run of one shingle may be as long as the table: once it is known to be frequent its rows pass as they come.
+    """
+    held = [np.zeros(0, dtype=np.int64)] * 3
+    last: tuple | None = None  # the row before
+    passing: int | None = None  # the shingle whose rows pass as frequent
+
+    def out(rows: list[np.ndarray], count: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(rows[1]), pa.array(count.astype(np.int32)), pa.array(rows[2].astype(np.int32))], names=["h", "f", "sets", "spare"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [batch.column(c).to_numpy().astype(np.int64) for c in ("h", "f", "spare")]
+        new = np.concatenate([[(rows[0][0], rows[1][0]) != last], (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])])
+        last = (rows[0][-1], rows[1][-1])
+        rows = [x[new] for x in rows]
+        if passing is not None:
+            same = rows[0] == passing
+            yield out([x[same] for x in rows], np.full(int(same.sum()), FREQUENT))
+            rows = [x[~same] for x in rows]
+            if len(rows[0]):
+                passing = None
+        rows = [np.concatenate(x) for x in zip(held, rows)]
+        if not len(rows[0]):
+            held = rows
+            continue
+        begin = np.flatnonzero(np.concatenate([[True], rows[0][1:] != rows[0][:-1]]))
+        count = np.diff(np.append(begin, len(rows[0])))
+        each = np.repeat(count, count)
+        open_ = begin[-1]  # the last run may go on
+        if count[-1] >= FREQUENT:
+            passing, open_ = rows[0][-1], len(rows[0])
+        ready = (each >= 2) & (np.arange(len(each)) < open_)
+        yield out([x[ready] for x in rows], np.minimum(each[ready], FREQUENT))
+        held = [x[open_:] for x in rows]
+    if len(held[0]) >= 2:
+        yield out(held, np.full(len(held[0]), len(held[0])))
+
+
+def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by set, the most frequent shingles first: what is left after each set's spare ones."""
+    now, done = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        f = batch.column("f").to_numpy()
+        begin = np.flatnonzero(np.concatenate([[True], f[1:] != f[:-1]]))
+        count = np.diff(np.append(begin, len(f)))
+        place = np.arange(len(f)) - np.repeat(begin, count)
+        if f[0] == now:
+            place[: count[0]] += done
+        now, done = f[-1], place[-1] + 1
+        yield batch.select(["h", "f"]).filter(pa.array(place >= batch.column("spare").to_numpy()))
+
+
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by signature: each further set of a signature is linked with its first; links pass."""
-    sig0 = first0 = None
+    """Rows sorted by (shingle, set): each further set of a shingle is linked with its first."""
+    h0 = first0 = None
     for batch in batches:
-        whole = batch.column("f").is_null().to_numpy(zero_copy_only=False)
-        made = batch.filter(pa.array(whole))
-        links = np.stack([made.column("sig").to_numpy(), made.column("to").to_numpy()]).astype(np.int64)
-        batch = batch.filter(pa.array(~whole))
-        if batch.num_rows:
-            sig, f = batch.column("sig").to_numpy(), batch.column("f").to_numpy()
-            first = np.concatenate([[sig[0] != sig0], sig[1:] != sig[:-1]])
-            at = np.maximum.accumulate(np.where(first, np.arange(len(f)), -1))
-            least = np.where(at >= 0, f[np.maximum(at, 0)], first0 if first0 is not None else 0)
-            keep = ~first & (least != f)
-            sig0, first0 = sig[-1], least[-1]
-            links = np.concatenate([links, np.stack([f[keep], least[keep]])], axis=1)
-        links = np.unique(links, axis=1) if links.shape[1] else links
+        if not batch.num_rows:
+            continue
+        h, f = batch.column("h").to_numpy(), batch.column("f").to_numpy()
+        first = np.concatenate([[h[0] != h0], h[1:] != h[:-1]])
+        at = np.maximum.accumulate(np.where(first, np.arange(len(f)), -1))
+        least = np.where(at >= 0, f[np.maximum(at, 0)], first0 if first0 is not None else 0)
+        keep = ~first & (least != f)
+        h0, first0 = h[-1], least[-1]
+        links = np.unique(np.stack([f[keep], least[keep]]), axis=1) if keep.any() else np.zeros((2, 0), dtype=np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], names=["a", "b"])
 
 
@@ -294,8 +284,8 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     shingles, links with nothing and gets its own id. Repeated rows and equal sets are one class. Columns of these names
     in ``docs`` are replaced.
 
-    Equal sets collapse first. A set is cut into parts by hash so that similar sets have an equal part (``signatures``);
-    sets that share one form bundles. In a bundle an R-tree over count vectors bounds overlaps and the survivors are
+    Equal sets collapse first. Similar sets share a shingle among their rarest few (``prefixes``); sets that do form
+    bundles. In a bundle an R-tree over count vectors bounds overlaps and the survivors are
     verified until all links between different components are known. A bundle above ``BLOCK_SHINGLES`` is cut into
     blocks: every block meets the first; what has then not joined the bundle's largest component meets every block.
     """
@@ -310,8 +300,9 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "t
         if not sets.groupBy("f").count().where("count > 1").head(1):
             break
         seed += 1  # two sets of one name: all are named anew
-    signed_ = bare.select("text").mapInArrow(_sign(size, percent, seed), "sig long, f long, to long")
-    met = signed_.repartition("sig").sortWithinPartitions("sig", "f").mapInArrow(_meet, "a long, b long")
+    offered = bare.select("text").mapInArrow(_offer(size, percent, seed), "h long, f long, spare int").repartition("h").sortWithinPartitions("h", "f")
+    shared = offered.mapInArrow(_share, "h long, f long, sets int, spare int").repartition("f").sortWithinPartitions("f", F.desc("sets"), F.desc("h"))
+    met = shared.mapInArrow(_choose, "h long, f long").repartition("h").sortWithinPartitions("h", "f").mapInArrow(_meet, "a long, b long")
     bundles = store(components(met), "bundles")
 
     members = bundles.join(sets, bundles["node"] == sets["f"]).select(F.col("component").alias("bundle"), "f", "n", "t.t1", "t.t2")

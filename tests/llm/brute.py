@@ -2,8 +2,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter, defaultdict
 
+import sentencepiece
+
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
 
@@ -52,6 +55,76 @@ def classes(rows, size=3, percent=90):
     return [(len(s), rows[i][0] if not s else least.get(root(i))) for i, s in enumerate(sets)]
 
 
+def ways(text, pieces, byte):
+    """(probability, pieces) of every segmentation; a character without a piece is written as its bytes."""
+    if not text:
+        yield 1.0, []
+        return
+    if text[0] not in pieces:
+        n = len(text[0].encode())
+        for p, rest in ways(text[1:], pieces, byte):
+            yield p * byte**n, ["byte"] * n + rest
+    for end in range(1, len(text) + 1):
+        if text[:end] in pieces:
+            for p, rest in ways(text[end:], pieces, byte):
+                yield p * pieces[text[:end]], [text[:end], *rest]
+
+
+def expected_pieces(text, pieces, byte):
+    counts, all_ways = Counter(), list(ways(text, pieces, byte))
+    total = sum(p for p, _ in all_ways)
+    for p, used in all_ways:
+        for x in used:
+            counts[x] += p / total
+    return counts
+
+
+def learnt_scores(rows, held, model_path, rounds, smoothing):
+    """log10 probabilities of the texts under weights learnt by plain expectation maximisation."""
+    model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    size = model.get_piece_size()
+    own = [i for i in range(size) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    ranked = sorted(own, key=lambda i: -model.get_score(i))
+    raw = {i: 1 / (10 + r) for r, i in enumerate(ranked)}
+    total = sum(raw.values()) + (size - len(own)) / (10 + size)
+    weight = {i: raw.get(i, 1 / (10 + size)) / total for i in range(size)}
+    byte = {b: model.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
+    names = {model.id_to_piece(i): i for i in own}
+    texts = [[w.decode() for w in (t or "").encode().translate(LOWER).split()] for _, t in rows]
+
+    def lattice(word):
+        def go(rest):
+            if not rest:
+                yield 1.0, []
+                return
+            if rest[0] not in names:
+                ids = [byte[b] for b in rest[0].encode()]
+                for p, more in go(rest[1:]):
+                    yield p * math.prod(weight[i] for i in ids), ids + more
+            for end in range(1, len(rest) + 1):
+                if rest[:end] in names:
+                    i = names[rest[:end]]
+                    for p, more in go(rest[end:]):
+                        yield p * weight[i], [i, *more]
+
+        return list(go("▁" + word))
+
+    taught = Counter(w for t, h in zip(texts, held) if not h for w in t)
+    for _ in range(rounds):
+        counts = Counter({model.eos_id(): float(sum(not h for h in held))})
+        for word, n in taught.items():
+            found = lattice(word)
+            total = sum(p for p, _ in found)
+            for p, ids in found:
+                for i in ids:
+                    counts[i] += n * p / total
+        usable = [*own, *byte.values(), model.eos_id()]
+        total = sum(counts.values()) + smoothing * len(usable)
+        weight = {i: (counts[i] + smoothing) / total for i in usable}
+    logs = {w: math.log10(sum(p for p, _ in lattice(w))) for t in texts for w in t}
+    return {d: sum(logs[w] for w in t) + math.log10(weight[model.eos_id()]) for (d, _), t in zip(rows, texts)}
+
+
 def segmentations(text, pieces):
     """Sum of the products of piece probabilities over all segmentations."""
     total = [1.0] + [0.0] * len(text)

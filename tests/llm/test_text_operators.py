@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -156,23 +157,61 @@ def test_evidence_is_smoothed():
 # --- 7 ---------------------------------------------------------------------------------------------------------------
 
 
-def test_similar_sets_share_a_signature():
+def in_batches(columns, names, rng, run):
+    """The rows of ``run`` over the given rows in batches of uneven sizes, as columns."""
+    cuts = np.unique(np.concatenate([[0, len(columns[0])], rng.integers(0, len(columns[0]) + 1, 7)]))
+    made = [pa.RecordBatch.from_arrays([pa.array(c[a:b]) for c in columns], names=names) for a, b in zip(cuts[:-1], cuts[1:])]
+    found = [b for b in run(iter(made)) if b.num_rows]
+    return [np.concatenate([b.column(k).to_numpy() for b in found]) if found else np.zeros(0, dtype=np.int64) for k in range(found[0].num_columns if found else 4)]
+
+
+def links_of_prefixes(sets, percent, rng):
+    """Which sets meet by a chosen shingle, all steps in one process."""
+    hashes, ends = np.concatenate(sets), np.cumsum([0, *map(len, sets)])
+    who, h, spare = jaccard.prefixes(hashes, ends, percent)
+    h = h.view(np.int64)
+    order = np.lexsort((who, h))
+    h, f, count, spare = in_batches([h[order], who[order], spare[order].astype(np.int32)], ["h", "f", "spare"], rng, jaccard._share)
+    order = np.lexsort((-h, -count, f)) if len(h) else np.zeros(0, dtype=int)
+    chosen = in_batches([h[order], f[order], count[order], spare[order]], ["h", "f", "sets", "spare"], rng, jaccard._choose)
+    holders = {}
+    for a, b in zip(*chosen[:2]):
+        holders.setdefault(a, set()).add(int(b))
+    return holders
+
+
+@pytest.mark.parametrize("frequent", [3, 64])
+def test_similar_sets_share_one_of_their_prefixes(monkeypatch, frequent):
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
     rng, pairs = np.random.default_rng(0), 0
+    common = np.unique(rng.integers(0, 2**63, 60).astype(np.uint64) * np.uint64(2))  # a passage that many sets have
     for percent in (80, 90):
-        for n in [*range(1, 50), 120, 400]:
-            for _ in range(8):
+        sets = []
+        for n in [*range(1, 40), 120, 400]:
+            for _ in range(4):
                 a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+                if rng.random() < 0.4:
+                    a = np.unique(np.concatenate([a, common[: rng.integers(1, 60)]]))
                 b = [x for x in a if rng.random() > (100 - percent) / 250] + list(rng.integers(0, 2**63, rng.integers(0, n * (100 - percent) // 150 + 1)).astype(np.uint64))
-                b = np.unique(np.array(b, dtype=np.uint64))
-                both = len(np.intersect1d(a, b))
-                if not len(b) or 100 * both < percent * (len(a) + len(b) - both) or both == len(a) == len(b):
-                    continue
-                pairs += 1
-                who, sig = jaccard.signatures(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), percent)
-                assert set(sig[who == 0]) & set(sig[who == 1])
+                sets += [a, np.unique(np.array(b or [1], dtype=np.uint64))]
+        holders = links_of_prefixes(sets, percent, rng)
+        together = {(i, j) for s in holders.values() for i in s for j in s}
+        for i, a in enumerate(sets):
+            for j in range(i):
+                both = len(np.intersect1d(a, sets[j]))
+                if 100 * both >= percent * (len(a) + len(sets[j]) - both):
+                    pairs += 1
+                    assert (i, j) in together
     assert pairs > 200
 
 
+def test_sets_of_one_passage_do_not_meet():
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 2**63, 50).astype(np.uint64) * np.uint64(2)
+    sets = [np.unique(np.concatenate([passage, rng.integers(0, 2**63, 300).astype(np.uint64)])) for _ in range(200)]
+    assert not links_of_prefixes(sets, 80, rng)
+
+
 def test_bound_keeps_every_partner():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 400, rng.integers(20, 200)).astype(np.uint64)) for _ in range(60)]
@@ -239,13 +278,39 @@ def test_marginal_sums_all_segmentations():
     names = ["▁", "a", "b", "▁a", "ab", "ba", "▁ab", "aba"]
     weights = [0.05, 0.1, 0.1, 0.2, 0.15, 0.1, 0.2, 0.1]
     found = lattice.Lattice(list(zip(names, range(8))), [8] * 256, [math.log(w) for w in weights] + [math.log(0.01)])
-    for word in ("▁a", "▁ab", "▁abab", "▁bbaababab"):
-        assert math.isclose(math.exp(found.marginal(word)), brute.segmentations(word, dict(zip(names, weights))), rel_tol=1e-9)
-    assert math.isclose(found.marginal("▁é"), math.log(0.05) + 2 * math.log(0.01))
-    counts = {}
-    found.expect("▁ab", 2.0, counts)
-    assert math.isclose(sum(n * len(names[i]) for i, n in counts.items()), 2 * 3, rel_tol=1e-9)
-    assert found.marginal("▁" + "ab" * 3000) < -1000
+    words = ["▁a", "▁ab", "▁abab", "▁bbaababab", "▁", "▁é", "▁aéb"]
+    got = found.marginals(words)
+    for word, log in zip(words[:5], got):
+        assert math.isclose(math.exp(log), brute.segmentations(word, dict(zip(names, weights))), rel_tol=1e-9)
+    assert math.isclose(got[5], math.log(0.05) + 2 * math.log(0.01))
+    for word, times in zip(words, (2.0, 3.0, 1.0, 0.5, 1.0, 4.0, 2.0)):
+        plain = brute.expected_pieces(word, dict(zip(names, weights)), 0.01)
+        assert np.allclose(found.expected([word], np.array([times])), [times * plain.get(k, 0) for k in [*names, "byte"]])
+    both = found.expected(words, np.ones(len(words)))
+    assert np.allclose(both, sum(found.expected([w], np.ones(1)) for w in words))
+    assert found.marginals(["▁" + "ab" * 3000])[0] < -1000 and len(found.marginals([])) == 0
+
+
+def test_learnt_scores_are_those_of_plain_enumeration(spark):
+    rnd = random.Random(11)
+    words = ["the", "cat", "mat", "hat", "tea", "Ähm", "日本", "x\u0301y", "aaaa"]
+    rows = [(i, " ".join(rnd.choice(words) for _ in range(rnd.randrange(6)))) for i in range(40)]
+    got = lattice.score_documents(texts(spark, rows), F.col("doc_id") % 7 == 2, MODEL).collect()
+    want = brute.learnt_scores(rows, [i % 7 == 2 for i, _ in rows], MODEL, lattice.ROUNDS, lattice.SMOOTHING)
+    assert len(got) == 40 and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-9) for r in got)
+
+
+def test_long_and_short_texts_are_scored_alike(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows = [(i, " ".join(f"w{rnd.randrange(300)}" for _ in range(rnd.choice([3, 40, 900])))) for i in range(200)]
+    held = F.col("doc_id") % 7 == 2
+    whole = {r.doc_id: r for r in lattice.score_documents(texts(spark, rows), held, MODEL).collect()}
+    monkeypatch.setattr(lattice, "CHUNK_BITS", 5)
+    monkeypatch.setattr(lattice, "CHUNK_TEXT", 100)
+    got = lattice.score_documents(texts(spark, rows), held, MODEL).collect()
+    assert len(got) == 200
+    for r in got:
+        assert r.n_known == whole[r.doc_id].n_known and math.isclose(r.score, whole[r.doc_id].score, rel_tol=1e-9) and math.isclose(r.base_score, whole[r.doc_id].base_score, rel_tol=1e-9)
 
 
 def test_scores_of_documents(spark):
