@@ -1,10 +1,11 @@
 """Running totals, ranks and quantiles over a global order, without ordering everything in one task.
 
-The rows are range-sorted into a table in the shared folder. Its files are consecutive ranges of the order, so a
+For totals and ranks the rows are range-sorted into a table in the shared folder. Its files are consecutive ranges of the order, so a
 window per (group, file) and the totals of the files before it give the result. There is no limit on groups or files.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -62,29 +63,90 @@ def _same_cell(left: DataFrame, right: DataFrame, cells: Sequence[str], suffix:
     return same
 
 
-def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows (name, value double), one per non-null, non-NaN cell of the numeric ``columns``."""
-    cells = F.array(*[F.struct(F.lit(c).alias("name"), col(c).cast("double").alias("value")) for c in columns])
-    return df.select(F.inline(cells)).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+#: Rank error of the sketch is a share of 1 / ``ACCURACY``; brackets reach ``MARGIN`` times that to either side.
+ACCURACY, MARGIN = 10_000, 2
+#: Values of a bracket that are counted exactly; a bracket with more is cut by a sketch of what is inside it.
+BRACKET = 1_000_000
+
+
+def _number(c: str) -> Column:
+    value = col(c).cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
-    """One row per column: ``name``, ``n`` and each ``{out: p}`` quantile, linearly interpolated.
+    """One row per column with values: ``name``, ``n`` and each ``{out: p}`` quantile, linearly interpolated.
 
-    Values are counted first (map-side combine), then ranked by ``running_totals``; no task holds a column.
+    Nothing is sorted: a mergeable sketch brackets the wanted ranks, a second aggregate counts what lies below and inside
+    each bracket, and only the values inside are counted one by one. A bracket that misses its rank (the counts tell) is
+    opened on that side, one of more than ``BRACKET`` values is cut again by a sketch of its own values; so results are
+    exact whatever the sketch says. Null and NaN don't count.
     """
-    values = long_values(df, columns)
-    counts = values.groupBy("name", "value").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_totals(counts, {"_upto": "_n"}, "value", group=["name"])
-    ranked = ranked.withColumnRenamed("_upto_total", "n")
-
-    def place(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("n") - 1)
-
-    picks = []
-    for out, p in probs.items():
-        picks.append(F.min(F.when(F.col("_upto") > F.floor(place(p)), F.col("value"))).alias(f"{out}_lo"))
-        picks.append(F.min(F.when(F.col("_upto") > F.ceil(place(p)), F.col("value"))).alias(f"{out}_hi"))
-    found = ranked.groupBy("name", "n").agg(*picks)
-    between = {o: (col(f"{o}_hi") - col(f"{o}_lo")) * (place(p) - F.floor(place(p))) for o, p in probs.items()}
-    return found.select("name", "n", *[(col(f"{o}_lo") + between[o]).alias(o) for o in probs])
+    names, marks = list(columns), [float(p) for p in probs.values()]
+    spread = MARGIN / ACCURACY
+    edges = [min(max(p + s, 0.0), 1.0) for p in marks for s in (-spread, spread)]
+    if not names or not marks:
+        return df.sparkSession.createDataFrame([], ", ".join(["name string", "n bigint", *[f"`{o}` double" for o in probs]]))
+    row = df.agg(*[x for c in names for x in (F.count(_number(c)), F.percentile_approx(_number(c), edges, ACCURACY))]).first()
+    sizes = {c: row[2 * i] for i, c in enumerate(names) if row[2 * i]}
+    brackets, ranks = {}, {}
+    for i, c in enumerate(names):
+        for k, p in enumerate(marks if c in sizes else []):
+            place = p * (sizes[c] - 1)
+            ranks[c, k] = (math.floor(place), math.ceil(place))
+            brackets[c, k] = (row[2 * i + 1][2 * k], row[2 * i + 1][2 * k + 1])
+    below, opened = {}, set()
+    todo = list(brackets)
+    while todo:
+        cells = []
+        for c, k in todo:
+            (lo, hi), v = brackets[c, k], _number(c)
+            inside = F.when((v >= lo) & (v <= hi), v)
+            cells += [F.count_if(v < lo), F.count(inside), F.percentile_approx(inside, [x / 64 for x in range(65)], ACCURACY)]
+        counted, again = df.agg(*cells).first(), []
+        for i, (c, k) in enumerate(todo):
+            under, inside, cuts = counted[3 * i : 3 * i + 3]
+            (lo, hi), (first, last) = brackets[c, k], ranks[c, k]
+            if first < under or last >= under + inside:  # the sketch missed
+                brackets[c, k] = (lo if first >= under else -math.inf, hi if last < under + inside else math.inf)
+                again.append((c, k))
+                opened.add((c, k))
+                continue
+            below[c, k] = under
+            if inside > BRACKET and lo < hi and (c, k) not in opened:
+                share = lambda r: (r - under) / max(inside - 1, 1) * 64  # noqa: E731, B023
+                tight = (cuts[max(0, math.floor(share(first)) - 1)], cuts[min(64, math.ceil(share(last)) + 1)])
+                if tight != (lo, hi):
+                    brackets[c, k] = tight
+                    again.append((c, k))
+        todo = again
+    found = _values_at(df, brackets, below, ranks)
+    rows = []
+    for c, n in sizes.items():
+        values = []
+        for k, p in enumerate(marks):
+            lo, hi = found[c, k]
+            values.append(lo if lo == hi else lo + (hi - lo) * (p * (n - 1) - math.floor(p * (n - 1))))
+        rows.append((c, n, *values))
+    return df.sparkSession.createDataFrame(rows, ", ".join(["name string", "n bigint", *[f"`{o}` double" for o in probs]]))
+
+
+def _values_at(df: DataFrame, brackets: Mapping, below: Mapping, ranks: Mapping) -> dict:
+    """The values at the two ranks of each bracket. Values are counted map-side; a window adds up what a bracket holds."""
+    if not brackets:
+        return {}
+    keys = list(brackets)
+    cells = []
+    for i, (c, k) in enumerate(keys):
+        (lo, hi), v = brackets[c, k], _number(c)
+        cells.append(F.struct(F.lit(i).alias("at"), F.when((v >= lo) & (v <= hi), v).alias("value")))
+    counts = df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull()).groupBy("at", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(W.partitionBy("at").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow))
+    wanted = F.create_map(*[F.lit(x) for i, key in enumerate(keys) for x in (i, below[key])])
+    first = F.create_map(*[F.lit(x) for i, key in enumerate(keys) for x in (i, ranks[key][0])])
+    last = F.create_map(*[F.lit(x) for i, key in enumerate(keys) for x in (i, ranks[key][1])])
+    ranked = counts.withColumn("upto", upto + wanted[F.col("at")])
+    picks = ranked.groupBy("at").agg(
+        F.min(F.when(F.col("upto") > first[F.col("at")], F.col("value"))).alias("lo"), F.min(F.when(F.col("upto") > last[F.col("at")], F.col("value"))).alias("hi")
+    )
+    return {keys[r["at"]]: (r["lo"], r["hi"]) for r in picks.collect()}  # one row for each column and quantile

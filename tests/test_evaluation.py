@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwise.catalog.fixtures import scored
 from panelwise.operators import evaluation as E
+from panelwise.operators import ranking
 from panelwise.operators import slices as S
 from panelwise.operators.ranking import exact_quantiles, running_totals
 from tests.conftest import rows, same_rows
@@ -164,3 +165,45 @@ def test_fairness_needs_two_slices(spark):
     df = spark.createDataFrame([(1, 0.5, "M"), (0, 0.4, "M")], "label int, score double, gender string")
     one = {"gender": {"Male": F.col("gender") == "M", "Female": F.col("gender") == "F"}}
     assert S.fairness(S.slice_metrics(df, "label", "score", one)).count() == 0
+
+
+# --- quantiles --------------------------------------------------------------------------------------------------------
+
+
+def _numbers(spark):
+    x = F.col("id") * 7919 % 10007
+    return spark.range(20_000).select(
+        x.cast("double").alias("a"),
+        F.when(x % 3 == 0, F.lit(5.0)).when(x % 3 == 1, F.lit(float("nan"))).when(x % 5 > 0, x / 7).alias("b"),
+        (x % 2).cast("int").alias("c"),
+        F.lit(None).cast("double").alias("d"),
+        F.when(F.col("id") == 3, 1.5).alias("e"),
+        F.when(x % 100 == 0, float("-inf")).when(x % 100 == 1, float("inf")).otherwise(x).alias("f"),
+    )
+
+
+@pytest.mark.parametrize("accuracy, bracket", [(10_000, 1_000_000), (40, 100), (4, 50)])
+def test_quantiles_are_exact_whatever_the_sketch_says(spark, monkeypatch, accuracy, bracket):
+    monkeypatch.setattr(ranking, "ACCURACY", accuracy)
+    monkeypatch.setattr(ranking, "BRACKET", bracket)
+    df = _numbers(spark)
+    frame = df.toPandas().astype(float)
+    probs = {"low": 0.0, "q1": 0.25, "m": 0.5, "odd": 0.333, "high": 1.0}
+    got = {r["name"]: r for r in ranking.exact_quantiles(df.repartition(5), list("abcdef"), probs).collect()}
+    assert set(got) == set("abcef")
+    for c, r in got.items():
+        values = np.sort(frame[c].dropna().to_numpy())
+        assert r["n"] == len(values)
+        for o, p in probs.items():
+            place = p * (len(values) - 1)
+            lo, hi = values[int(np.floor(place))], values[int(np.ceil(place))]
+            want = lo if lo == hi else lo + (hi - lo) * (place - np.floor(place))
+            assert r[o] == pytest.approx(want) or (np.isinf(lo) and (np.isnan(r[o]) or r[o] == lo))
+    assert ranking.exact_quantiles(df.limit(0), ["a"], probs).count() == 0
+
+
+def test_a_bracket_that_misses_is_opened(spark, monkeypatch):
+    wrong = F.percentile_approx
+    monkeypatch.setattr(ranking.F, "percentile_approx", lambda c, p, a: wrong(c, [1.0] * len(p), a) if len(p) < 60 else wrong(c, p, a))
+    df = spark.range(1001).select(F.col("id").cast("double").alias("v"))
+    assert ranking.exact_quantiles(df, ["v"], {"m": 0.5, "q": 0.1}).first()[2:] == (500.0, 100.0)
