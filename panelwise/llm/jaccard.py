@@ -75,40 +75,59 @@ def prefixes(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.nda
 
 
 class CountTree:
-    """R-tree over count vectors: boxes keep the largest count of each coordinate and the range of set sizes."""
+    """R-tree over count vectors: boxes keep the largest count of each coordinate and the range of set sizes.
+
+    A node knows when all its sets have one label; as labels only merge, that stays so.
+    """
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray, percent: int) -> None:
         self.vectors, self.sizes, self.percent = vectors, sizes, percent
         self.root = self._build(np.arange(len(sizes)))
 
-    def _build(self, ids: np.ndarray) -> tuple:
-        box = (self.vectors[ids].max(axis=0), int(self.sizes[ids].min()), int(self.sizes[ids].max()))
+    def _build(self, ids: np.ndarray) -> list:
+        """[largest counts, least size, greatest size, sets of a leaf, children, whether of one label, a set]"""
+        box = [self.vectors[ids].max(axis=0), int(self.sizes[ids].min()), int(self.sizes[ids].max())]
         if len(ids) <= _LEAF:
-            return (*box, ids, None)
+            return [*box, ids, (), False, int(ids[0])]
         spread = self.vectors[ids].max(axis=0).astype(np.int64) - self.vectors[ids].min(axis=0)
         by = self.sizes[ids] if np.ptp(self.sizes[ids]) >= spread.max() else self.vectors[ids, int(spread.argmax())]
         order = ids[np.argsort(by, kind="stable")]
         half = len(ids) // 2
-        return (*box, None, (self._build(order[:half]), self._build(order[half:])))
-
-    def near(self, k: int) -> np.ndarray:
-        """Sets that may be similar to set ``k``: the summed coordinate minima bound the overlap from above."""
+        return [*box, None, (self._build(order[:half]), self._build(order[half:])), False, int(ids[0])]
+
+    def _one_label(self, node: list, label: np.ndarray) -> bool:
+        if not node[5]:
+            if node[3] is not None:
+                node[5] = bool((label[node[3]] == label[node[6]]).all())
+            else:
+                a, b = node[4]
+                node[5] = a[5] and b[5] and bool(label[a[6]] == label[b[6]])
+        return node[5]
+
+    def near(self, k: int, label: np.ndarray | None = None) -> np.ndarray:
+        """Sets that may be similar to set ``k``: the summed coordinate minima bound the overlap from above. Sets of its own
+        label are left out."""
         x, n, p = self.vectors[k], int(self.sizes[k]), self.percent
         out, todo = [], [self.root]
         while todo:
-            top, least, most, ids, kids = todo.pop()
+            node = todo.pop()
+            top, least, most, ids, kids = node[:5]
+            if label is not None and self._one_label(node, label) and label[node[6]] == label[k]:
+                continue
             if most * 100 < n * p or least * p > n * 100 or (100 + p) * int(np.minimum(x, top).sum()) < p * (n + least):
                 continue
             if kids:
                 todo.extend(kids)
                 continue
             may = (100 + p) * np.minimum(self.vectors[ids], x).sum(axis=1) >= p * (self.sizes[ids] + n)
-            out.append(ids[may])
+            out.append(ids[may] if label is None else ids[may & (label[ids] != label[k])])
         return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
 
 
 def link_sets(sets: list[np.ndarray], percent: int, labels: list | None = None, asking: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Verified links that join all sets which links join; sets already known to be joined share a label."""
+    if not sets:
+        return []
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     vectors = np.zeros((len(sets), GROUPS), dtype=np.int32)
     for i, s in enumerate(sets):
@@ -117,13 +136,14 @@ def link_sets(sets: list[np.ndarray], percent: int, labels: list | None = None,
     label = np.arange(len(sets)) if labels is None else np.unique(np.array(labels), return_inverse=True)[1]
     out = []
     for i in range(len(sets)) if asking is None else np.flatnonzero(asking):
-        for j in tree.near(i):
-            if label[i] == label[j]:
-                continue
+        left = tree.near(i, label)
+        while len(left):
+            j, left = left[0], left[1:]
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
             if 100 * both >= percent * (sizes[i] + sizes[j] - both):
                 out.append((i, int(j)))
                 label[label == label[j]] = label[i]
+                left = left[label[left] != label[i]]
     return out
 
 
