@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -300,13 +301,22 @@ def test_learnt_scores_are_those_of_plain_enumeration(spark):
     assert len(got) == 40 and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-9) for r in got)
 
 
+def test_chunks_are_of_bounded_size():
+    rnd = random.Random(9)
+    sizes = [rnd.choice([0, 1, 10 << 20, 33 << 20, 5 << 20]) for _ in range(200)]
+    got = np.concatenate([x.to_numpy() for x in lattice._cut(iter([pd.Series(sizes[:3]), pd.Series(sizes[3:3], dtype="int64"), pd.Series(sizes[3:90]), pd.Series(sizes[90:])]))])
+    assert len(got) == 200 and (np.diff(got) >= 0).all()
+    for c in np.unique(got):
+        own = [s for s, g in zip(sizes, got) if g == c]
+        assert sum(own) <= lattice.CHUNK_BYTES or sum(s > 0 for s in own) == 1
+
+
 def test_long_and_short_texts_are_scored_alike(spark, monkeypatch):
     rnd = random.Random(4)
     rows = [(i, " ".join(f"w{rnd.randrange(300)}" for _ in range(rnd.choice([3, 40, 900])))) for i in range(200)]
     held = F.col("doc_id") % 7 == 2
     whole = {r.doc_id: r for r in lattice.score_documents(texts(spark, rows), held, MODEL).collect()}
-    monkeypatch.setattr(lattice, "CHUNK_BITS", 5)
-    monkeypatch.setattr(lattice, "CHUNK_TEXT", 100)
+    monkeypatch.setattr(lattice, "CHUNK_BYTES", 1000)
     got = lattice.score_documents(texts(spark, rows), held, MODEL).collect()
     assert len(got) == 200
     for r in got:
