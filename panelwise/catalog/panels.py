@@ -54,7 +54,7 @@ def _orders(spark, sf):
     )
 
 
-def _rolling_sql(c, windows=(1, 2, 3)):
+def rolling_sql(c, windows=(1, 2, 3)):
     parts = []
     for w in windows:
         over = f"OVER (PARTITION BY entity_id ORDER BY period RANGE BETWEEN {w - 1} PRECEDING AND CURRENT ROW)"
@@ -65,7 +65,7 @@ def _rolling_sql(c, windows=(1, 2, 3)):
     return ", ".join(parts)
 
 
-@query("e3_rolling_years", f"WITH {PANEL} SELECT entity_id, period, {_rolling_sql('amt_n')} FROM panel")
+@query("e3_rolling_years", f"WITH {PANEL} SELECT entity_id, period, {rolling_sql('amt_n')} FROM panel")
 def _(spark, sf):
     p = panel(spark, sf).select("entity_id", "period", "amt_n")
     return rounded(P.zero_fill_features(P.rolling_years(p, "entity_id", "period", ["amt_n"]), P.feature_names([], rolling_columns=["amt_n"])).drop("amt_n"))
@@ -74,7 +74,7 @@ def _(spark, sf):
 _HOLES = "holes AS (SELECT entity_id, CASE WHEN n_orders % 2 = 1 AND period % 3 = 0 THEN NULL ELSE period END AS period, period AS grain, amt_n FROM panel)"
 
 
-@query("e3_rolling_null_period", f"WITH {PANEL}, {_HOLES}, r AS (SELECT entity_id, grain, {_rolling_sql('amt_n')} FROM holes) SELECT * FROM r")
+@query("e3_rolling_null_period", f"WITH {PANEL}, {_HOLES}, r AS (SELECT entity_id, grain, {rolling_sql('amt_n')} FROM holes) SELECT * FROM r")
 def _(spark, sf):
     """Rows without a period count among each other only."""
     hole = (F.col("n_orders") % 2 == 1) & (F.col("period") % 3 == 0)
@@ -82,13 +82,13 @@ def _(spark, sf):
     return rounded(P.zero_fill_features(P.rolling_years(p, "entity_id", "period", ["amt_n"]), P.feature_names([], rolling_columns=["amt_n"])).drop("amt_n", "period"))
 
 
-def _delta_sql(c, lags=(1, 2)):
+def delta_sql(c, lags=(1, 2)):
     return ", ".join(
         f"round(CAST(coalesce({c} - min({c}) OVER (PARTITION BY entity_id ORDER BY period RANGE BETWEEN {k} PRECEDING AND {k} PRECEDING), 0) AS DOUBLE), 6) AS {c}_delta_{k}y" for k in lags
     )
 
 
-@query("e4_year_deltas", f"WITH {PANEL} SELECT entity_id, period, {_delta_sql('amt')}, {_delta_sql('amt_n')} FROM panel")
+@query("e4_year_deltas", f"WITH {PANEL} SELECT entity_id, period, {delta_sql('amt')}, {delta_sql('amt_n')} FROM panel")
 def _(spark, sf):
     p = panel(spark, sf).select("entity_id", "period", "amt", "amt_n")
     return rounded(P.year_deltas(p, "entity_id", "period", ["amt", "amt_n"]).drop("amt", "amt_n"))
@@ -162,7 +162,7 @@ def _(spark, sf):
 
 @query("i18_new_rows_with_history", f"""
 WITH {PANEL}, f AS (SELECT entity_id, period, round(avg(amt) OVER e, 6) AS amt_patient_mean, round(coalesce(stddev_samp(amt) OVER e, 0), 6) AS amt_patient_std,
-  min(amt) OVER e AS amt_patient_min, max(amt) OVER e AS amt_patient_max, {_rolling_sql('amt', (1, 2))}, {_delta_sql('amt', (1,))} FROM panel WINDOW e AS (PARTITION BY entity_id))
+  min(amt) OVER e AS amt_patient_min, max(amt) OVER e AS amt_patient_max, {rolling_sql('amt', (1, 2))}, {delta_sql('amt', (1,))} FROM panel WINDOW e AS (PARTITION BY entity_id))
 SELECT * FROM f WHERE period = (SELECT max(period) FROM panel)""")
 def _(spark, sf):
     p = panel(spark, sf).select("entity_id", "period", "amt")
@@ -194,7 +194,7 @@ _DUMMY_SQL = ", ".join(
 
 @query("feature_table_with_history", f"""
 WITH {VISITS}, v AS (SELECT * RENAME (patient_id AS entity_id, year AS period) FROM visits)
-SELECT entity_id AS patient_id, period AS year, {_FEATURE_SQL}, {", ".join(_rolling_sql(c) + ", " + _delta_sql(c) for c in _COLUMNS)},
+SELECT entity_id AS patient_id, period AS year, {_FEATURE_SQL}, {", ".join(rolling_sql(c) + ", " + delta_sql(c) for c in _COLUMNS)},
   sex, coalesce(education_level, 'unknown') AS education_level, {_DUMMY_SQL} FROM v WINDOW e AS (PARTITION BY entity_id)""")
 def _(spark, sf):
     """All columns: entity statistics, rolling years, changes and dummies."""

@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 
 from panelwise.catalog import query
 from panelwise.catalog.fixtures import PANEL, PREDLOG, REGISTRY, REQUESTS, panel, predlog_of, registry, requests_of, rounded, table
+from panelwise.catalog.panels import delta_sql, rolling_sql
 from panelwise.catalog.rules import ALL_RANGES
 from panelwise.operators import aggregates
 from panelwise.operators.scoring import prediction_log, score_with_rules
 from panelwise.session import shared_path, write_and_read
 from panelwise.sources import files, registry as R, runlog
+from panelwise.streaming.features import stored_features, stream_features
 from panelwise.streaming.monitoring import monitor_stream
 from panelwise.streaming.scoring import score_stream
 
@@ -177,6 +179,29 @@ def _(spark, sf):
     return log.select(inputs["id"].alias("id"), inputs["age"].cast("double").cast("int").alias("age"), F.round("alzheimers_risk_probability", 6).alias("alzheimers_risk_probability"), "model_version")
 
 
+_PARTS = (1994, 1996)
+
+
+def _cumulative_sql(c):
+    over = "OVER (PARTITION BY entity_id ORDER BY part)"
+    return f"round(avg({c}) {over}, 6) AS {c}_patient_mean, round(coalesce(stddev_samp({c}) {over}, 0), 6) AS {c}_patient_std, min({c}) {over} AS {c}_patient_min, max({c}) {over} AS {c}_patient_max"
+
+
+@query("j1_stream_features", f"""
+WITH {PANEL}, p AS (SELECT entity_id, period, amt, CASE WHEN period < {_PARTS[0]} THEN 0 WHEN period < {_PARTS[1]} THEN 1 ELSE 2 END AS part FROM panel)
+SELECT entity_id, period, {_cumulative_sql('amt')}, {rolling_sql('amt')}, {delta_sql('amt')} FROM p""")
+def _(spark, sf):
+    """Rows that arrive in three files; each has the features of what arrived with it or before."""
+    inbox, out = shared_path(spark, "arriving"), shared_path(spark, "stream-features")
+    p = panel(spark, sf).select("entity_id", "period", "amt")
+    first, second = _PARTS
+    for part in (F.col("period") < first, (F.col("period") >= first) & (F.col("period") < second), F.col("period") >= second):
+        p.filter(part).coalesce(1).write.mode("append").parquet(inbox)  # one file each, in this order
+    stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    stream_features(stream, "entity_id", "period", ["amt"], out, shared_path(spark, "stream-state")).awaitTermination()
+    return rounded(stored_features(spark, out).drop("amt"))
+
+
 @query("j2_monitor_stream", f"""
 WITH {PREDLOG}, w AS (SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, risk_level, count(*) AS predictions,
   round(coalesce(avg(processing_time_ms) FILTER (processing_time_ms <> 0), 0), 2) AS average_processing_time_ms FROM predlog GROUP BY ALL)

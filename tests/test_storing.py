@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 from panelwise.catalog.fixtures import panel, requests_of, visits
 from panelwise.functions.validation import Range
 from panelwise.operators.learning import with_score
+from panelwise.operators.panel import new_rows_with_history
 from panelwise.operators.scoring import prediction_log, score_with_rules, validate_and_score
 from panelwise.plans.featurize import run_featurize
 from panelwise.plans.train import load_version, train, train_and_register
 from panelwise.session import shared_path
 from panelwise.sources import files, registry, runlog
+from panelwise.streaming.features import stored_features, stream_features
 from panelwise.streaming.monitoring import level_metrics, monitor_stream
 from panelwise.streaming.scoring import score_stream
 from tests.conftest import rows, same_rows
@@ -206,6 +208,30 @@ def test_scored_stream_equals_batch(spark, tmp_path):
     assert sorted(r["id"] for r in rejected.collect()) == [2, 3]
 
 
+def test_streamed_features_equal_the_batch(spark, tmp_path):
+    """Three files, the last after a restart from the checkpoint; one entity holds most rows, some rows have no period."""
+    e = F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 9).cast("string"))
+    y = F.when(F.col("id") % 13 > 0, (2015 + F.col("id") * 7 % 8).cast("int"))
+    rows_ = spark.range(240).select("id", e.alias("e"), y.alias("y"), F.when(F.col("id") % 11 > 0, (F.col("id") * 37 % 101).cast("double")).alias("v"), (F.col("id") % 17).cast("double").alias("w"))
+    parts = [rows_.filter(F.col("id") % 5 == 0), rows_.filter(F.col("id") % 5 == 1), rows_.filter(F.col("id") % 5 > 1)]
+    inbox, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+
+    def run():
+        stream = spark.readStream.schema(rows_.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+        stream_features(stream, "e", "y", ["v", "w"], out, state).awaitTermination()
+
+    for part in parts[:2]:
+        part.coalesce(1).write.mode("append").parquet(inbox)
+    run()
+    parts[2].coalesce(1).write.mode("append").parquet(inbox)
+    run()
+    want, past = None, parts[0].limit(0)
+    for part in parts:
+        here = new_rows_with_history(past, part, "e", "y", ["v", "w"])
+        want, past = here if want is None else want.unionByName(here), past.unionByName(part)
+    assert same_rows(stored_features(spark, out), want)
+
+
 def test_monitor_drops_rows_behind_the_watermark(spark, tmp_path):
     schema = "ts timestamp, level string, ms double"
     at = lambda *rows_: spark.createDataFrame(list(rows_), "ts string, level string, ms double").withColumn("ts", F.col("ts").cast("timestamp"))
