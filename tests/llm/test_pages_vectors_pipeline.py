@@ -65,12 +65,52 @@ def test_same_rows_as_sql(spark, small, name):
 # --- pages -----------------------------------------------------------------------------------------------------------
 
 
+def tree(label, *kids):
+    return [label, 1, list(kids)]
+
+
 def test_tree_matching_keeps_order():
-    a = ("r", (("x", ()), ("y", (("z", ()),)), ("w", ())))
-    b = ("r", (("y", (("z", ()),)), ("x", ()), ("w", ())))
-    assert html_wrapper.matched(a, a) == 5 and html_wrapper.matched(a, b) == 4 and html_wrapper.matched(a, ("q", ())) == 0
-    merged = html_wrapper.merge(html_wrapper._counted(a, 2), html_wrapper._counted(b, 3))
-    assert merged[1] == 5 and [k[0] for k in merged[2]].count("y") == 1 and [k[0] for k in merged[2]].count("x") == 2
+    a = tree("r", tree("x"), tree("y", tree("z")), tree("w"))
+    b = tree("r", tree("y", tree("z")), tree("x"), tree("w"))
+    weight = lambda x, y: html_wrapper.Matching().weight(x, y)
+    assert weight(a, a) == 5 and weight(a, b) == 4 and weight(a, tree("q")) == 0
+    merged = html_wrapper.merge(a, b)
+    assert merged[1] == 2 and [k[0] for k in merged[2]].count("y") == 1 and [k[0] for k in merged[2]].count("x") == 2
+    assert html_wrapper.read_tree(html_wrapper.write_tree(merged)) == merged
+
+
+def plain_weight(a, b):
+    if a[0] != b[0]:
+        return 0
+    best = [[0] * (len(b[2]) + 1) for _ in range(len(a[2]) + 1)]
+    for i, x in enumerate(a[2]):
+        for j, y in enumerate(b[2]):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + plain_weight(x, y))
+    return 1 + best[-1][-1]
+
+
+def test_weights_are_those_of_plain_matching():
+    rnd = random.Random(6)
+
+    def grow(depth):
+        kids = [grow(depth - 1) for _ in range(rnd.randrange(4))] if depth else []
+        return tree(rnd.choice("ab"), *kids)
+
+    for _ in range(200):
+        a, b = grow(3), grow(3)
+        assert html_wrapper.Matching().weight(a, b) == plain_weight(a, b)
+        if a[0] == b[0]:
+            count = lambda t: 1 + sum(map(count, t[2]))
+            assert count(html_wrapper.merge(a, b)) == count(a) + count(b) - plain_weight(a, b)
+
+
+def test_wrapper_of_changing_names_is_bounded():
+    rnd, wrapper = random.Random(1), None
+    for _ in range(300):
+        names = ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(20)]
+        page_ = html_wrapper.flat_shape(html_wrapper.Page("".join(f'<div id="{n}"><p>t</p></div>' for n in names)).root)
+        wrapper = html_wrapper.read_tree(page_) if wrapper is None else html_wrapper.merge(wrapper, html_wrapper.read_tree(page_))
+    assert len(wrapper[2]) <= html_wrapper.KINDS and len(html_wrapper.write_tree(wrapper)) < 5000
 
 
 def page(body, extra=""):
@@ -98,10 +138,11 @@ def test_main_text_of_odd_pages(spark):
 
 
 def test_constant_texts_are_template_and_copies_are_kept(spark):
-    rows = [(i, f"http://c.example/{i}", page(f"<p>Body number {i} of the site</p><p>Subscribe now</p>")) for i in range(30)]
+    rows = [(i, f"http://c.example/{i}", page(f"<p>Body number {i} of the site</p><div><p>Subscribe now</p></div>")) for i in range(30)]
     rows += [(100 + i, f"http://d.example/{i}", page("<p>The same article</p>")) for i in range(15)]
     got = {r.page_id: r.main_text for r in html_wrapper.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)).collect()}
-    assert all(got[i] == f"Body number {i} of the site" for i in range(30))
+    # Constant headings and paragraphs next to those that vary belong to the article; what an element of its own holds does not.
+    assert all(got[i] == f"Title Body number {i} of the site" for i in range(30))
     assert all(got[100 + i] == "Title The same article" for i in range(15))
 
 
@@ -116,11 +157,11 @@ def test_near_copies_are_kept_whole(spark):
     rows = [(i, f"http://e.example/{i}", write(near.get(i, parts))) for i in range(30)]
     each = {100 + i: [*parts[:i % 6], f"Changed by mirror {i}", *parts[i % 6 + 1 :], f"Added by mirror {i}"] for i in range(20)}
     rows += [(i, f"http://f.example/{i}", write(x)) for i, x in each.items()]
-    rows += [(200 + i, f"http://g.example/{i}", page(f"<p>Text {min(i, 12)} that differs from the others here</p><p>Subscribe now</p>")) for i in range(60)]
+    rows += [(200 + i, f"http://g.example/{i}", page(f"<p>Text {min(i, 12)} that differs from the others here</p><div>Subscribe now</div>")) for i in range(60)]
     got = texts_of(spark, rows)
     assert all(got[i] == " ".join(["Title", *near.get(i, parts)]) for i in range(30))
     assert all(got[i] == " ".join(["Title", *x]) for i, x in each.items())
-    assert all(got[200 + i] == f"Text {min(i, 12)} that differs from the others here" for i in range(60))
+    assert all(got[200 + i] == f"Title Text {min(i, 12)} that differs from the others here" for i in range(60))
 
 
 def test_names_of_pages_and_articles_drop_nothing(spark):
@@ -141,11 +182,49 @@ def test_names_of_pages_and_articles_drop_nothing(spark):
 def test_constant_texts_of_small_hosts_are_template(spark):
     plain = lambda h, i: f"<body><div>Home News Contact</div><div><p>Story {i} of {h}, told at some length and unlike others</p></div><div><em>All rights</em></div></body>"
     rows = [(10 * n + i, f"http://s{n}.example/{i}", plain(n, i)) for n in (1, 2, 3, 9) for i in range(n)]
-    rows += [(200 + i, f"http://t.example/{i}", page(f"<p>Story {i} of another place, told at length</p><p>Subscribe now</p>")) for i in range(3)]
+    rows += [(200 + i, f"http://t.example/{i}", page(f"<p>Story {i} of another place, told at length</p><div>Subscribe now</div>")) for i in range(3)]
     got = texts_of(spark, rows)
     assert got.pop(10) == "Home News Contact Story 0 of 1, told at some length and unlike others All rights"
     assert all(got[10 * n + i] == f"Story {i} of {n}, told at some length and unlike others" for n in (2, 3, 9) for i in range(n))
-    assert all(got[200 + i] == f"Story {i} of another place, told at length" for i in range(3))
+    assert all(got[200 + i] == f"Title Story {i} of another place, told at length" for i in range(3))
+
+
+def test_any_depth_of_nesting(spark):
+    rows = [(i, f"http://deep.example/{i}", "<div>" * 100_000 + f"text {i}" + "</span></p></div>" * 3) for i in range(3)]
+    rows += [(10, "http://deep.example/10", "<b>" * 2000 + "<p>".join(["x"] * 20)), (11, "http://e.example/", "</div>" * 100_000 + "y")]
+    got = texts_of(spark, rows)
+    assert [got[i] for i in range(3)] == ["text 0", "text 1", "text 2"] and got[10] == " ".join(["x"] * 20) and got[11] == "y"
+
+
+def test_headings_of_articles_stay(spark):
+    recipe = lambda i: f"<article><header><h1>Recipe {i}</h1><p>by us</p></header><section><h2>Ingredients</h2><ul><li>salt</li><li>item {i}</li></ul></section><h2>Method</h2><p>Do thing {i}</p><div class='share-bar'><p>Tell your friends</p></div></article><footer>end</footer>"
+    got = texts_of(spark, [(i, f"http://r.example/{i}", recipe(i)) for i in range(5)])
+    assert all(got[i] == f"Recipe {i} Ingredients salt item {i} Method Do thing {i}" for i in range(5))
+
+
+def test_reader_comments_go(spark):
+    text = "<p>The text</p>"
+    bodies = [
+        f'<article>{text}</article><article class="comment"><p>nice</p></article>',
+        f'<article>{text}<div class="user-comments-list"><p>nice</p></div></article>',
+        f'<article>{text}<div class="comment-body">nice</div><ol id="commentlist"><li>so</li></ol></article>',
+        f'<body class="comments-open"><article class="post comments-enabled">{text}<div id="disqus_thread">nice</div></article>',
+    ]
+    assert set(texts_of(spark, [(i, f"http://k{i}.example/", x) for i, x in enumerate(bodies)]).values()) == {"The text"}
+
+
+def test_plain_menus_go_from_short_pages(spark):
+    menu = "<div>" + " ".join(f"Entry{k}" for k in range(60)) + "</div>"
+    listed = "<div><ul>" + "".join(f"<li><a href=/{k}>Part {k}</a></li>" for k in range(30)) + "</ul></div>"
+    rows = [(i, f"http://m.example/{i}", f"<body>{menu}{listed}<div><h2>News</h2><p>Short story {i}</p></div></body>") for i in range(10)]
+    got = texts_of(spark, rows)
+    assert all(got[i] == f"News Short story {i}" for i in range(10))
+
+
+def test_a_teaser_article_hides_no_main_text(spark):
+    long = "A main text of many words that no article element holds, only divisions. " * 5
+    got = texts_of(spark, [(0, "http://t.example/", f"<body><div><p>{long}</p></div><article><p>Read also this</p></article></body>")])
+    assert " ".join(long.split()) in got[0]
 
 
 def test_pages_of_the_table(spark, small):
