@@ -119,7 +119,7 @@ class Lattice:
         return counts
 
 
-def _groups(words: list[bytes], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _groups(words: list[bytes], chars: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Consecutive runs of words of about so many bytes."""
     at = size = 0
     for k, w in enumerate(words):
@@ -274,7 +274,10 @@ def score_documents(docs: DataFrame, held_out, path: str, text: str = "text") ->
         found: list[list] = [[], [], [], [], []]
         for part in range(-1, len(starts)):
             mine, here = np.flatnonzero(own == part), np.flatnonzero(of == part)
-            words = sorted(set().union(*(tokens(texts[k]) for k in mine)))  # the numbers that _count_words gave
+            words = set()
+            for k in mine:
+                words.update(tokens(texts[k]))
+            words = sorted(words)  # the numbers that _count_words gave
             if len(here) != len(words):
                 raise ValueError(f"{len(here)} words were counted where the texts have {len(words)}")
             number, at = {w: k for k, w in enumerate(words)}, right.column("number").to_numpy()[here]
