@@ -9,14 +9,21 @@ from pyspark.sql import functions as F
 
 from panelwise.llm.shared import store
 
-#: A candidate is a run of at least so many of these characters.
+#: A run of at least so many of these characters is a candidate wherever it stands.
 LEAST = 16
 _RUN = f"[A-Za-z0-9+/_=-]{{{LEAST},}}"
-#: Words that occur so often, in all texts together, are the dictionary.
-DICTIONARY = 20
-#: At most so many documents lend their hashes to labelled findings; the forest sees about ten rows of each.
+#: Shorter values are candidates after a credential's name, in an address before its host, or by the prefix of a kind of key.
+SHORTEST = 6
+_NAME = r"(?i)(token|secret|passw(or)?d|passwort|passphrase|pwd|api[_-]?key|auth|bearer|credentials?|private[_-]?key|access[_-]?key|client[_-]?key|signing[_-]?key)"
+_SIGN = r"(=>|:=|[=:])"
+_ADDRESS = r"[A-Za-z][A-Za-z0-9+.-]*://[^\s:/@]*:([^\s@/]{3,})@"
+#: Prefixes of well-known kinds of keys.
+_PREFIX = r"(A3T[A-Z0-9]|AKIA|ASIA|AGPA|AIDA)[A-Z0-9]{12,}|gh[pousr]_[A-Za-z0-9]{20,}|github_pat_\w{20,}|glpat-[\w-]{16,}|xox[abeoprs]-[A-Za-z0-9-]{10,}|[sr]k_(live|test)_[A-Za-z0-9]{10,}|AIza[\w-]{20,}|ya29\.[\w-]{10,}|eyJ[\w-]{8,}\.[\w-]{4,}(\.[\w-]*)?|npm_[A-Za-z0-9]{20,}|SG\.[\w-]{10,}\.[\w-]{10,}"
+#: A word of at least this share of the documents with text (and of two) is in the dictionary.
+DICTIONARY = 0.002
+#: At most so many documents lend their hashes to labelled findings; the forest sees about twenty rows of each.
 TRAIN_DOCUMENTS = 2000
-TREES, DEPTH = 30, 7
+TREES, DEPTH = 40, 9
 ACCEPT = 0.5
 MARK = "[secret]"
 
@@ -25,7 +32,8 @@ _DIGEST = r"(?i)(sha\d*|md5|hash|commit|checksum|digest|revision|etag|blob|uuid|
 _TRIAL = r"(?i)(test|example|sample|mock|fixture|demo|dummy)"
 
 FEATURES = (
-    "length digits uppers lowers symbols switches vowels hexadecimal variety coverage credential_before digest_before trial_near assigned quoted path_like trial_path letters_only digits_only"
+    "length digits uppers lowers symbols switches vowels hexadecimal variety coverage credential_before digest_before trial_near assigned quoted path_like trial_path letters_only digits_only "
+    "key_prefix in_address placeholder"
 ).split()
 
 
@@ -33,16 +41,50 @@ def _around(words: Column, i: Column, k: int) -> Column:
     return F.coalesce(F.get(words, i + k), F.lit(""))
 
 
+def _bare(word: Column) -> Column:
+    """What quotes hold at a word's beginning; else the word without brackets and closing punctuation around it."""
+    quoted = F.regexp_extract(word, r"^[(\[<{]*[\"'`]+([^\"'`]+)", 1)
+    return F.when(quoted != "", quoted).otherwise(_trimmed(word))
+
+
+def _trimmed(word: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(word, r"^[\"'`(\[<{]+", ""), r"[\"'`)\]>},;.]+$", "")
+
+
 def candidates(docs: DataFrame, text: str, path: str | None) -> DataFrame:
     """(t1, t2, path, word, value, before, here, after): the distinct candidates of the distinct texts, with up to three words
-    before and one after; ``here`` is the candidate's own word."""
+    before and one after; ``here`` is the candidate's own word.
+
+    Candidates are long runs, keys by their prefix, passwords in addresses, and what follows a credential's name and ``=`` or
+    ``:``, in the same word or the next ones.
+    """
     body = F.col(text)
-    rows = docs.where(body.rlike(_RUN)).select(body.alias("text"), *_key(text, path)).select("t1", "t2", "path", F.split("text", r"[\t\n\x0B\f\r ]+").alias("words"))
-    found = rows.select("*", F.explode(F.expr(f"filter(sequence(0, size(words) - 1), i -> words[i] rlike '{_RUN}')")).alias("word"))
+    named = f"{_NAME}[\\w-]*[\"'`]?\\s*{_SIGN}\\s*\\S"
+    rows = docs.where(body.rlike(f"{_RUN}|{_PREFIX}|{_ADDRESS}") | body.rlike(named))
+    rows = rows.select(body.alias("text"), *_key(text, path)).select("t1", "t2", "path", F.split("text", r"[\t\n\x0B\f\r ]+").alias("words"))
+    words = F.col("words")
+    sign_only, ends_so = rf"^{_SIGN}$", rf"{_NAME}[\w-]*[\"'`]?{_SIGN}$"
+    inside = rf"{_NAME}[\w-]*[\"'`]?{_SIGN}[\"'`]*[^\s\"'`]{{{SHORTEST},}}"
+
+    def chosen(i: Column) -> Column:
+        w, one, two = F.get(words, i), _around(words, i, -1), _around(words, i, -2)
+        return w.rlike(f"{_RUN}|{_PREFIX}|{_ADDRESS}") | w.rlike(inside) | one.rlike(ends_so) | (one.rlike(sign_only) & two.rlike(rf"{_NAME}[\w-]*[\"'`]?$"))
+
+    found = rows.select("*", F.explode(F.filter(F.sequence(F.lit(0), F.size("words") - 1), chosen)).alias("word"))
     i = F.col("word")
-    before = F.concat_ws(" ", *[_around(F.col("words"), i, -k) for k in (3, 2, 1)])
-    some = found.select("t1", "t2", "path", "word", before.alias("before"), F.get("words", i).alias("here"), _around(F.col("words"), i, 1).alias("after"))
-    return some.select("*", F.explode(F.regexp_extract_all("here", F.lit(f"({_RUN})"), 1)).alias("value")).distinct()
+    before = F.concat_ws(" ", *[_around(words, i, -k) for k in (3, 2, 1)])
+    some = found.select("t1", "t2", "path", "word", before.alias("before"), F.get("words", i).alias("here"), _around(words, i, 1).alias("after"))
+    here = F.col("here")
+    follows = F.col("before").rlike(rf"{_NAME}[\w-]*[\"'`]?\s*{_SIGN}$")
+    values = F.concat(
+        F.regexp_extract_all(here, F.lit(f"({_RUN})"), 1),
+        F.regexp_extract_all(here, F.lit(f"({_PREFIX})"), 1),
+        F.regexp_extract_all(here, F.lit(_ADDRESS), 1),
+        F.transform(F.regexp_extract_all(here, F.lit(rf"{_NAME}[\w-]*[\"'`]?{_SIGN}[\"'`]*([^\s\"'`]+)"), 4), _bare),
+        F.when(follows, F.array(_bare(here))).otherwise(F.array().cast("array<string>")),
+    )
+    each = some.select("*", F.explode(F.array_distinct(values)).alias("value"))
+    return each.where((F.length("value") >= SHORTEST) | here.rlike(_ADDRESS)).where(F.length("value") >= 3).distinct()
 
 
 def _key(text: str, path: str | None) -> list[Column]:
@@ -52,17 +94,20 @@ def _key(text: str, path: str | None) -> list[Column]:
 
 
 def dictionary(docs: DataFrame, text: str) -> DataFrame:
-    """The letter trigrams of the words that occur ``DICTIONARY`` times in all texts; at most 26^3 rows."""
-    words = docs.select(F.explode(F.split(F.lower(F.col(text)), "[^a-z]+")).alias("w")).where(F.length("w") >= 3)
-    often = words.groupBy("w").count().where(F.col("count") >= DICTIONARY)
+    """The letter trigrams of the words that a share ``DICTIONARY`` of the documents with text has; at most 26^3 rows."""
+    full = docs.where(F.length(text) > 0)
+    words = full.select(F.explode(F.array_distinct(F.split(F.lower(F.col(text)), "[^a-z]+"))).alias("w")).where(F.length("w") >= 3)
+    least = F.greatest(F.lit(2.0), F.lit(DICTIONARY) * full.agg(F.count(F.lit(1))).scalar())
+    often = words.groupBy("w").count().where(F.col("count") >= least)
     return often.select(F.explode(F.expr("transform(sequence(1, length(w) - 2), i -> substr(w, i, 3))")).alias("trigram")).distinct()
 
 
 def labelled_findings(docs: DataFrame, text: str) -> DataFrame:
     """(path, before, here, after, value, label) made of hashes and words of up to ``TRAIN_DOCUMENTS`` documents.
 
-    Random strings given to a credential's name are secrets; the same kinds of strings as digests, identifiers, numbers,
-    long words and paths are not.
+    Random strings given to a credential's name, keys with a known prefix anywhere, passwords in addresses and short mixed
+    passwords after a name are secrets; the same kinds of strings as digests, identifiers, numbers, long words, paths,
+    and plain words or placeholders after a name are not.
     """
     # Only hashes and the first words of a text travel.
     first = F.slice(F.split(F.col(text), r"[^A-Za-z]+", 13), 1, 12)
@@ -75,6 +120,17 @@ def labelled_findings(docs: DataFrame, text: str) -> DataFrame:
     pair = F.conv(F.substring("c", 2, 1), 16, 10).cast("int") % 4
     name = F.element_at(F.array(*[F.lit(x) for x in ("token", "api_key", "secret", "password")]), pair + 1)
     digest = F.element_at(F.array(*[F.lit(x) for x in ("sha1", "commit", "checksum", "uuid")]), pair + 1)
+    letters = F.upper(F.translate(F.col("a"), "0189", "wxyz"))
+    keys = F.element_at(
+        F.array(F.concat(F.lit("AKIA"), F.substring(letters, 1, 16)), F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), F.concat(F.lit("sk_live_"), F.substring(mixed, 1, 24)), F.concat(F.lit("xoxb-"), F.substring("a", 1, 11), F.lit("-"), F.substring(mixed, 1, 18))),
+        pair + 1,
+    )
+    first_word = F.coalesce(F.get("w", F.lit(1)), F.lit("word"))
+    mark = F.element_at(F.array(*[F.lit(x) for x in ("!", "&3!", "$7", "@#")]), pair + 1)
+    short = F.concat(F.initcap(F.substring(first_word, 1, 5)), F.substring(digits, 1, 3), mark)  # a word with digits and a mark
+    blend = F.concat(F.substring(mixed, 1, 7), mark)
+    plain = F.lower(F.concat(first_word, F.lit("word")))
+    gap = F.element_at(F.array(*[F.lit(x) for x in ("<password>", "********", "${SECRET_NAME}", "os.environ[key]")]), pair + 1)
     near = F.concat_ws(" ", F.get("w", F.lit(2)), F.get("w", F.lit(3)))
 
     def made(before: Column, here: Column, value: Column, label: int, path: str = "src") -> Column:
@@ -88,25 +144,37 @@ def labelled_findings(docs: DataFrame, text: str) -> DataFrame:
         made(assigned, F.concat(quote, mixed, quote), mixed, 1),
         made(F.concat_ws(" ", near, F.concat(name, F.lit(":"))), F.col("c"), F.col("c"), 1),
         made(near, F.concat(F.upper(name), F.lit("="), mixed), mixed, 1),
+        made(near, keys, keys, 1),
+        made(assigned, F.concat(quote, keys, quote), keys, 1),
+        made(assigned, F.concat(quote, short, quote), short, 1),
+        made(near, F.concat(name, F.lit(":"), short), short, 1),
+        made(F.concat_ws(" ", near, F.concat(name, F.lit("="))), blend, blend, 1),
+        made(near, F.concat(F.lit("postgres://admin:"), blend, F.lit("@db.example.com/x")), blend, 1),
+        made(near, F.concat(F.lit("https://user:"), short, F.lit("@host.example.com")), short, 1),
+        made(assigned, F.concat(quote, gap, quote), _bare(gap), 0),
+        made(F.concat_ws(" ", near, F.concat(name, F.lit(":"))), plain, plain, 0),
+        made(assigned, plain, plain, 0),
         made(F.concat_ws(" ", near, digest), F.col("a"), F.col("a"), 0),
         made(F.concat_ws(" ", near, F.concat(digest, F.lit(":"))), F.concat(quote, F.col("b"), quote), F.col("b"), 0),
         made(near, word, word, 0),
+        made(near, F.upper(word), F.upper(word), 0),
+        made(near, F.initcap(word), F.initcap(word), 0),
         made(assigned, word, word, 0),
         made(near, F.concat(digits, F.lit(",")), digits, 0),
         made(near, F.concat(mail, F.lit("@example.com")), mail, 0),
         made(near, F.concat(F.lit("https://example.com/"), word), F.concat(F.lit("/"), word), 0),
         made(assigned, F.concat(quote, F.lit("example"), word, quote), F.concat(F.lit("example"), word), 0, "test"),
     ]
-    return some.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where(F.length("value") >= LEAST)
+    return some.select(F.explode(F.array(*rows)).alias("r")).select("r.*").where(F.length("value") >= SHORTEST)
 
 
 def with_features(found: DataFrame, trigrams: DataFrame) -> DataFrame:
-    """Length, shares of character kinds, switches between kinds, dictionary coverage, path and neighbours."""
-    v, n = F.col("value"), F.length("value").cast("double")
+    """Length, shares of character kinds, switches between kinds, dictionary coverage, path and neighbours; values of any length."""
+    v, n = F.col("value"), F.greatest(F.length("value"), F.lit(1)).cast("double")
     share = lambda pattern: F.regexp_count(v, F.lit(pattern)) / n
     flag = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
     values = found.select("value").distinct()
-    parts = values.select("value", F.explode(F.expr("transform(sequence(1, length(value) - 2), i -> lower(substr(value, i, 3)))")).alias("part"))
+    parts = values.where(F.length("value") >= 3).select("value", F.explode(F.expr("transform(sequence(1, length(value) - 2), i -> lower(substr(value, i, 3)))")).alias("part"))
     covered = parts.join(F.broadcast(trigrams), F.col("part") == F.col("trigram")).groupBy("value").agg(F.count(F.lit(1)).alias("hits"))  # at most 17,576 rows
     known = found.join(covered.withColumnRenamed("value", "of"), v.eqNullSafe(F.col("of")), "left").drop("of")
     columns = {
@@ -118,8 +186,8 @@ def with_features(found: DataFrame, trigrams: DataFrame) -> DataFrame:
         "switches": share("[A-Za-z](?=[0-9])|[0-9](?=[A-Za-z])|[a-z](?=[A-Z])"),
         "vowels": share("(?i)[aeiou]"),
         "hexadecimal": flag(v.rlike("^([0-9a-f]+|[0-9A-F]+)$")),
-        "variety": F.size(F.array_distinct(F.split(F.lower(F.substring(v, 1, 64)), ""))) / F.least(n, F.lit(64.0)),
-        "coverage": F.coalesce(F.col("hits"), F.lit(0)) / (n - 2),
+        "variety": F.size(F.array_distinct(F.split(F.lower(v), ""))) / F.least(n, F.lit(64.0)),
+        "coverage": F.coalesce(F.col("hits"), F.lit(0)) / F.greatest(n - 2, F.lit(1.0)),
         "credential_before": flag(F.concat_ws(" ", "before", F.expr("substring_index(here, value, 1)")).rlike(_CREDENTIAL)),
         "digest_before": flag(F.concat_ws(" ", "before", F.expr("substring_index(here, value, 1)")).rlike(_DIGEST)),
         "trial_near": flag(F.concat_ws(" ", "before", "here", "after").rlike(_TRIAL)),
@@ -129,6 +197,9 @@ def with_features(found: DataFrame, trigrams: DataFrame) -> DataFrame:
         "trial_path": flag(F.col("path").rlike(_TRIAL)),
         "letters_only": flag(v.rlike("^[A-Za-z_-]+$")),
         "digits_only": flag(v.rlike("^[0-9_-]+$")),
+        "key_prefix": flag(v.rlike(f"^({_PREFIX})")),
+        "in_address": flag(F.col("here").rlike(_ADDRESS)),
+        "placeholder": flag(v.rlike(r"[<>{}\[\]()$]{2}|^\W+$|^[<${(\[]|environ|getenv|your|xxxx|\*\*\*")),
     }
     return known.withColumns(columns).drop("hits")
 
