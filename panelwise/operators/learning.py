@@ -364,6 +364,8 @@ def cross_validate(
     """
     ready = write_and_read(df.withColumn("_fold", fold_of(entity, folds, seed)), "folds")
     present = sorted(r[0] for r in ready.select("_fold").distinct().collect())  # folds at most
+    if not present:
+        raise ValueError("no rows to validate on")
     jobs = [(name, fold) for name in models for fold in [*present, None]]
 
     def fit(name: str, fold: int | None) -> PipelineModel:
@@ -377,8 +379,6 @@ def cross_validate(
         if fold is not None:
             held = with_score(model, ready.filter(F.col("_fold") == fold))
             parts.append(held.select(F.lit(name).alias("model"), F.col("_fold").alias("fold"), col(entity), col(label), "score", "predicted"))
-    if not parts:
-        raise ValueError("no rows to validate on")
     scored = write_and_read(reduce(DataFrame.unionByName, parts), "held-out-scores")
     keyed = scored.withColumn("_key", F.concat_ws("\n", "model", "fold"))
     metrics = split_metrics(keyed, label, "_key").select(
