@@ -157,18 +157,23 @@ def _by_cells(
             m2 = F.sum(cell["m2"] + cell["n"] * (cell["mean"] - e("mean")) * (cell["mean"] - e("mean"))).over(whole)
         values = {"mean": e("mean"), "min": e("low"), "max": e("high"), "count": e("n")}
         added |= {f"{c}_patient_{s}": _deviation(e("n"), m2) if s == "std" else values[s] for s in stats}
+    # Merged moments become columns first, so that deviations refer to them instead of repeating them.
+    frames, sums = {}, []
     for c in rolling_columns:
         states = [F.col(f"_{k}y")[at[c]] for k in range(reach + 1)]
         for w in years:
             # A null period is its own frame, which must not be merged with itself.
-            frame = [states[0], *[F.when(col(period).isNotNull(), s) for s in states[1:w]]]
-            n, mean, low, high = _merged(frame)
-            if "std" in rolling:
-                m2 = frame[0]["m2"] if w == 1 else _added([s["m2"] + s["n"] * (s["mean"] - mean) * (s["mean"] - mean) for s in frame])
-            values = {"mean": mean, "min": low, "max": high, "count": n}
-            added |= {_rolling_name(c, s, w): _deviation(n, m2) if s == "std" else values[s] for s in rolling}
+            frames[c, w] = [states[0], *[F.when(col(period).isNotNull(), s) for s in states[1:w]]]
+            sums += [v.alias(f"{at[c]}_{w}y_{k}") for k, v in zip(("n", "mean", "low", "high"), _merged(frames[c, w]))]
         # Without a period the frame of exactly k years before is that of the rows without one, as for a window.
         added |= {f"{_delta_name(c, k)}_from": states[k]["low"] for k in lags}
+    cells = cells.select("*", *sums) if sums else cells
+    for (c, w), frame in frames.items():
+        n, mean, low, high = [F.col(f"{at[c]}_{w}y_{k}") for k in ("n", "mean", "low", "high")]
+        if "std" in rolling:
+            m2 = frame[0]["m2"] if w == 1 else _added([x["m2"] + x["n"] * (x["mean"] - mean) * (x["mean"] - mean) for x in frame])
+        values = {"mean": mean, "min": low, "max": high, "count": n}
+        added |= {_rolling_name(c, s, w): _deviation(n, m2) if s == "std" else values[s] for s in rolling}
     table = cells.select(col(entity), col(period), *[v.alias(k) for k, v in added.items()])
     wide = lookup(df, table, [entity, period])
     deltas = {_delta_name(c, k): _change(col(c), col(f"{_delta_name(c, k)}_from")) for c in rolling_columns for k in lags}
