@@ -1,6 +1,8 @@
 """Credentials in texts: candidates by pattern, false positives removed by a random forest. DataFrame functions only."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,6 +21,9 @@ _SIGN = r"(=>|:=|[=:])"
 _ADDRESS = r"[A-Za-z][A-Za-z0-9+.-]*://[^\s:/@]*:([^\s@/]{3,})@"
 #: Prefixes of well-known kinds of keys.
 _PREFIX = r"(A3T[A-Z0-9]|AKIA|ASIA|AGPA|AIDA)[A-Z0-9]{12,}|gh[pousr]_[A-Za-z0-9]{20,}|github_pat_\w{20,}|glpat-[\w-]{16,}|xox[abeoprs]-[A-Za-z0-9-]{10,}|[sr]k_(live|test)_[A-Za-z0-9]{10,}|AIza[\w-]{20,}|ya29\.[\w-]{10,}|eyJ[\w-]{8,}\.[\w-]{4,}(\.[\w-]*)?|npm_[A-Za-z0-9]{20,}|SG\.[\w-]{10,}\.[\w-]{10,}"
+#: What a text must have for a credential's name, or for a key shorter than a run, to be looked for.
+_STEMS = ("token", "secret", "pass", "pwd", "api", "auth", "bearer", "credential", "private", "access", "client", "signing")
+_SHORT_PREFIXES = ("xox", "ya29.", "sg.", "eyj")
 #: A word of at least this share of the documents with text (and of two) is in the dictionary.
 DICTIONARY = 0.002
 #: At most so many documents lend their hashes to labelled findings; the forest sees about twenty rows of each.
@@ -58,9 +63,12 @@ def candidates(docs: DataFrame, text: str, path: str | None) -> DataFrame:
     Candidates are long runs, keys by their prefix, passwords in addresses, and what follows a credential's name and ``=`` or
     ``:``, in the same word or the next ones.
     """
-    body = F.col(text)
+    body, lower = F.col(text), F.lower(F.col(text))
     named = f"{_NAME}[\\w-]*[\"'`]?\\s*{_SIGN}\\s*\\S"
-    rows = docs.where(body.rlike(f"{_RUN}|{_PREFIX}|{_ADDRESS}") | body.rlike(named))
+    # Plain searches come first: the patterns are tried on the few texts that can match.
+    has = lambda words: reduce(lambda x, y: x | y, [lower.contains(w) for w in words])
+    in_address = body.contains("://") & body.contains("@") & body.rlike(_ADDRESS)
+    rows = docs.where(body.rlike(_RUN) | in_address | (has(_STEMS) & body.rlike(named)) | (has(_SHORT_PREFIXES) & body.rlike(_PREFIX)))
     rows = rows.select(body.alias("text"), *_key(text, path)).select("t1", "t2", "path", F.split("text", r"[\t\n\x0B\f\r ]+").alias("words"))
     words = F.col("words")
     sign_only, ends_so = rf"^{_SIGN}$", rf"{_NAME}[\w-]*[\"'`]?{_SIGN}$"
@@ -68,7 +76,10 @@ def candidates(docs: DataFrame, text: str, path: str | None) -> DataFrame:
 
     def chosen(i: Column) -> Column:
         w, one, two = F.get(words, i), _around(words, i, -1), _around(words, i, -2)
-        return w.rlike(f"{_RUN}|{_PREFIX}|{_ADDRESS}") | w.rlike(inside) | one.rlike(ends_so) | (one.rlike(sign_only) & two.rlike(rf"{_NAME}[\w-]*[\"'`]?$"))
+        alone = (F.length(w) >= 15) & w.rlike(f"{_RUN}|{_PREFIX}")
+        assigned = (w.contains("=") | w.contains(":")) & (w.rlike(inside) | (w.contains("://") & w.rlike(_ADDRESS)))
+        after_name = (one.endswith("=") | one.endswith(":") | one.endswith("=>")) & (one.rlike(ends_so) | (one.rlike(sign_only) & two.rlike(rf"{_NAME}[\w-]*[\"'`]?$")))
+        return alone | assigned | after_name
 
     found = rows.select("*", F.explode(F.filter(F.sequence(F.lit(0), F.size("words") - 1), chosen)).alias("word"))
     i = F.col("word")
@@ -214,7 +225,7 @@ def findings(docs: DataFrame, text: str = "text", path: str | None = "source", l
     trigrams = store(dictionary(docs, text), "dictionary")
     known = labelled_findings(docs, text) if labelled is None else labelled
     train = store(with_features(known, trigrams).select("label", *FEATURES), "labelled")
-    found = with_features(candidates(docs, text, path), trigrams)
+    found = with_features(store(candidates(docs, text, path), "candidates"), trigrams)
     if train.select("label").distinct().count() < 2:
         return found.where("false").select("t1", "t2", "path", "word", "value", F.lit(0.0).alias("probability"))
     put = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
