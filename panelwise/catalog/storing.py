@@ -191,14 +191,14 @@ def _cumulative_sql(c):
 WITH {PANEL}, p AS (SELECT entity_id, period, amt, CASE WHEN period < {_PARTS[0]} THEN 0 WHEN period < {_PARTS[1]} THEN 1 ELSE 2 END AS part FROM panel)
 SELECT entity_id, period, {_cumulative_sql('amt')}, {rolling_sql('amt')}, {delta_sql('amt')} FROM p""")
 def _(spark, sf):
-    """Rows that arrive in three files; each has the features of what arrived with it or before."""
-    inbox, out = shared_path(spark, "arriving"), shared_path(spark, "stream-features")
-    p = panel(spark, sf).select("entity_id", "period", "amt")
+    """Rows that arrive in three loads; each has the features of what arrived with it or before."""
+    inbox, out, state = shared_path(spark, "arriving"), shared_path(spark, "stream-features"), shared_path(spark, "stream-state")
+    p = write_and_read(panel(spark, sf).select("entity_id", "period", "amt"), "panel")
     first, second = _PARTS
     for part in (F.col("period") < first, (F.col("period") >= first) & (F.col("period") < second), F.col("period") >= second):
-        p.filter(part).coalesce(1).write.mode("append").parquet(inbox)  # one file each, in this order
-    stream = spark.readStream.schema(p.schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-    stream_features(stream, "entity_id", "period", ["amt"], out, shared_path(spark, "stream-state")).awaitTermination()
+        p.filter(part).write.mode("append").parquet(inbox)  # a load is what has arrived since the stream last ran, in any number of files
+        stream = spark.readStream.schema(p.schema).parquet(inbox)
+        stream_features(stream, "entity_id", "period", ["amt"], out, state).awaitTermination()
     return rounded(stored_features(spark, out).drop("amt"))
 
 

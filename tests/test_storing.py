@@ -3,6 +3,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from panelwise.catalog.fixtures import panel, requests_of, visits
 from panelwise.functions.validation import Range
 from panelwise.operators.learning import with_score
@@ -12,7 +13,7 @@ from panelwise.plans.featurize import run_featurize
 from panelwise.plans.train import load_version, train, train_and_register
 from panelwise.session import shared_path
 from panelwise.sources import files, registry, runlog
-from panelwise.streaming.features import stored_features, stream_features
+from panelwise.streaming.features import EntityFeatures, stored_features, stream_features
 from panelwise.streaming.monitoring import level_metrics, monitor_stream
 from panelwise.streaming.scoring import score_stream
 from tests.conftest import rows, same_rows
@@ -232,6 +233,40 @@ def test_streamed_features_equal_the_batch(spark, tmp_path):
     assert same_rows(stored_features(spark, out), want)
 
 
+def test_state_of_an_entity_is_read_and_written_once_a_batch():
+    calls = []
+
+    class State:
+        kept = None
+
+        def get(self):
+            calls.append("get")
+            return self.kept
+
+        def update(self, value):
+            calls.append("update")
+            self.kept = value
+
+    class Handle:
+        def getValueState(self, *_):  # noqa: N802
+            return State()
+
+    feature = EntityFeatures(["e", "y", "v"], "y", ["v"], (1, 2), (1,))
+    feature.init(Handle())
+    first = [tuple(r) for r in feature.handleInputRows(("a",), iter([("a", 2020, 4.0), ("a", 2021, float("nan")), ("a", None, None)]), None)]
+    assert calls == ["get", "update"] and first[1][:3] == ("a", 2021, None)
+    assert first[1][3] == [4.0, 0.0, 4.0, 4.0, 0.0, 0.0, 0.0, 0.0, 0.0, 4.0, 0.0, 4.0, 4.0, 1.0, 0.0]
+    (second,) = feature.handleInputRows(("a",), iter([("a", 2021, 8.0)]), None)
+    assert calls == ["get", "update"] * 2 and second[3][-1] == 4.0 and [round(x, 6) for x in second[3][:4]] == [6.0, 2.828427, 4.0, 8.0]
+
+
+def test_loads_of_the_streamed_panel_are_not_one_task(spark, small, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    monkeypatch.setattr(DataFrame, "coalesce", lambda *_: pytest.fail("a load in one task"))
+    assert queries()["j1_stream_features"](spark, small).count() == panel(spark, small).count()
+
+
 def test_monitor_drops_rows_behind_the_watermark(spark, tmp_path):
     schema = "ts timestamp, level string, ms double"
     at = lambda *rows_: spark.createDataFrame(list(rows_), "ts string, level string, ms double").withColumn("ts", F.col("ts").cast("timestamp"))
