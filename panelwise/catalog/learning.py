@@ -121,7 +121,7 @@ def _(spark, sf):
 
 
 def _validated(spark, sf):
-    data = _split(spark, sf)
+    data = write_and_read(_split(spark, sf), "split")  # medians, counts and folds read it
     fills, dictionaries = L.fill_values(data, _NUMERIC, ["sex"]), None
     booster = GBTClassifier(labelCol=_LABEL, seed=42, maxIter=10, maxDepth=3)
     models = {

@@ -10,7 +10,7 @@ from typing import NamedTuple
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -353,23 +353,99 @@ class Validated(NamedTuple):
     models: dict[str, PipelineModel]
 
 
+def _needed(frame: DataFrame, stages: Sequence, *more: str) -> DataFrame:
+    """The columns of ``frame`` that parameters of the stages name, and ``more``."""
+    named = set(more)
+    for stage in stages:
+        for p in stage.params:
+            value = stage.getOrDefault(p) if stage.isDefined(p) else None
+            named |= {x for x in (value if isinstance(value, list) else [value]) if isinstance(x, str)}
+    return frame.select(*[col(c) for c in frame.columns if c in named])
+
+
+def _leading(stages: Sequence) -> tuple[list, StringIndexer | None, list, list]:
+    """The stages of a pipeline as those before its indexer, the indexer, those that depend on its labels alone, and the others."""
+    left, before, after, indexer = list(stages), [], [], None
+    while left and isinstance(left[0], SQLTransformer):
+        before.append(left.pop(0))
+    if left and isinstance(left[0], StringIndexer) and left[0].isSet("inputCols") and left[0].getStringOrderType() == "alphabetAsc":
+        indexer = left.pop(0)
+    while left and isinstance(left[0], (OneHotEncoder, VectorAssembler) if indexer else VectorAssembler):
+        after.append(left.pop(0))
+    return (before, indexer, after, left) if left else ([], None, [], list(stages))
+
+
+def _fold_labels(ready: DataFrame, before: Sequence, indexer: StringIndexer | None, folds: Sequence[int]) -> dict[int | None, tuple]:
+    """The labels of each of the indexer's columns as fitted without each fold, and without none."""
+    if indexer is None:
+        return {f: () for f in [*folds, None]}
+    cells = [F.struct(F.lit(i).alias("at"), col(c).cast("string").alias("value")) for i, c in enumerate(indexer.getInputCols())]
+    seen = PipelineModel(list(before)).transform(ready).select("_fold", F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    found = seen.distinct().collect()  # what the indexers of all folds would collect
+    order = lambda x: x.encode("utf-16-be", "surrogatepass")
+    return {
+        f: tuple(tuple(sorted({r["value"] for r in found if r["at"] == i and r["_fold"] != f}, key=order)) for i in range(len(cells)))
+        for f in [*folds, None]
+    }
+
+
+class _Prepared(NamedTuple):
+    stages: list
+    rest: list
+    table: DataFrame
+
+
+def _prepared(ready: DataFrame, stages: Sequence, folds: Sequence[int], keep: Sequence[str]) -> dict[int | None, _Prepared]:
+    """For each fold the leading stages as fitted without it, the stages left to fit, and the stored table for these.
+
+    The labels of all folds come from one aggregate. Folds of the same labels share one table of feature vectors.
+    """
+    before, indexer, after, rest = _leading(stages)
+    labels = _fold_labels(ready, before, indexer, folds)
+    if not all(all(x) for x in labels.values()):  # a column without values: all stages are left to fit
+        before, indexer, after, rest, labels = [], None, [], list(stages), {f: () for f in labels}
+    made: dict[tuple, _Prepared] = {}
+    for found in labels.values():
+        if found in made:
+            continue
+        known = []
+        if indexer is not None:
+            known = [StringIndexerModel.from_arrays_of_labels([list(x) for x in found], indexer.getInputCols(), indexer.getOutputCols(), indexer.getHandleInvalid())]
+        fitted = Pipeline(stages=[*before, *known, *after]).fit(ready)
+        table = ready
+        if fitted.stages:
+            table = _write_folds(_needed(fitted.transform(ready), rest, "_fold", *keep), "fold-features")
+        made[found] = _Prepared(fitted.stages, rest, table)
+    return {f: made[found] for f, found in labels.items()}
+
+
+def _write_folds(df: DataFrame, name: str) -> DataFrame:
+    """As ``write_and_read``, with a folder for each fold."""
+    path = shared_path(df.sparkSession, name)
+    df.write.partitionBy("_fold").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cross_validate(
     df: DataFrame, models: Mapping[str, Sequence], entity: str, label: str, folds: int = 5, parallelism: int = 4, seed: int = SEED
 ) -> Validated:
     """Each of ``models`` (name: pipeline stages) fitted without each fold of entities, scored on it, and fitted on all rows.
 
     ``metrics`` has rows (model, fold, metric, value), ``scored`` the held-out rows (model, fold, entity, label, score,
-    predicted), ``models`` the models of all rows. The table is stored once with its folds; up to ``parallelism`` fits share
-    the cluster at a time. A fold without rows has no metrics.
+    predicted), ``models`` the models of all rows. The table is stored once with its folds, and so are the feature vectors of
+    each model, which its fits and scores read; up to ``parallelism`` fits share the cluster at a time. A fold without rows
+    has no metrics.
     """
-    ready = write_and_read(df.withColumn("_fold", fold_of(entity, folds, seed)), "folds")
+    ready = _write_folds(df.withColumn("_fold", fold_of(entity, folds, seed)), "folds")
     present = sorted(r[0] for r in ready.select("_fold").distinct().collect())  # folds at most
     if not present:
         raise ValueError("no rows to validate on")
+    prepared = {name: _prepared(ready, stages, present, (entity, label)) for name, stages in models.items()}
     jobs = [(name, fold) for name in models for fold in [*present, None]]
 
     def fit(name: str, fold: int | None) -> PipelineModel:
-        return Pipeline(stages=list(models[name])).fit(ready if fold is None else ready.filter(F.col("_fold") != fold))
+        _, rest, table = prepared[name][fold]
+        return Pipeline(stages=rest).fit(table if fold is None else table.filter(F.col("_fold") != fold))
 
     with ThreadPoolExecutor(parallelism) as pool:
         started = [pool.submit(inheritable_thread_target(df.sparkSession)(partial(fit, *job))) for job in jobs]
@@ -377,14 +453,15 @@ def cross_validate(
     parts = []
     for (name, fold), model in fitted.items():
         if fold is not None:
-            held = with_score(model, ready.filter(F.col("_fold") == fold))
+            held = with_score(model, prepared[name][fold].table.filter(F.col("_fold") == fold))
             parts.append(held.select(F.lit(name).alias("model"), F.col("_fold").alias("fold"), col(entity), col(label), "score", "predicted"))
     scored = write_and_read(reduce(DataFrame.unionByName, parts), "held-out-scores")
     keyed = scored.withColumn("_key", F.concat_ws("\n", "model", "fold"))
     metrics = split_metrics(keyed, label, "_key").select(
         F.split("_key", "\n")[0].alias("model"), F.split("_key", "\n")[1].cast("int").alias("fold"), "metric", "value"
     )
-    return Validated(metrics, scored, {name: fitted[name, None] for name in models})
+    whole = {name: PipelineModel([*prepared[name][None].stages, *fitted[name, None].stages]) for name in models}
+    return Validated(metrics, scored, whole)
 
 
 def save_trained(spark: SparkSession, trained: Trained, path: str) -> None:

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from panelwise.operators import learning as L
@@ -87,6 +88,22 @@ def test_cross_validation_of_several_models(data):
         L.cross_validate(data.limit(0), models, "id", "y")
 
 
+def test_folds_share_stored_features(data, monkeypatch):
+    """No fold reads all rows for its labels or its vectors; a value of one fold alone has no dummy where that fold is held out."""
+    monkeypatch.setattr(StringIndexer, "fit", lambda *_: pytest.fail("an indexer is fitted"))
+    stored = []
+    write = L._write_folds
+    monkeypatch.setattr(L, "_write_folds", lambda df, name: stored.append(name) or write(df, name))
+    booster = GBTClassifier(labelCol="y", maxIter=2, maxDepth=2, seed=1)
+    models = {"lr": L.logistic_stages(["x"], ["c"], "y", 600, None), "trees": [*L.feature_stages(["x"], ["c"], fills={"x": 0.0, "c": "u"}), booster]}
+    out = L.cross_validate(data, models, "id", "y", folds=3)
+    assert stored == ["folds", "fold-features", "fold-features"] and out.scored.count() == 1200
+    assert L.vector_names(L.PipelineModel(out.models["trees"].stages[:-1]).transform(data)) == ["x", "c_filled_dummies_u", "c_filled_dummies_v", "c_filled_dummies___unknown"]
+    ready = data.withColumn("_fold", (F.col("id") % 3).cast("int")).withColumn("k", F.when(F.col("_fold") == 1, "only").when(F.col("_fold") == 0, "u"))
+    labels = L._fold_labels(ready, [], StringIndexer(inputCols=["k"], outputCols=["i"], stringOrderType="alphabetAsc"), [0, 1, 2])
+    assert labels == {0: (("only",),), 1: (("u",),), 2: (("only", "u"),), None: (("only", "u"),)}
+
+
 def test_values_beyond_the_dictionary_share_hashed_dummies(spark):
     df = spark.range(400).select((F.col("id") % 2).cast("int").alias("y"), F.concat(F.lit("v'"), F.least(F.col("id") % 40, F.lit(39)).cast("string")).alias("c"))
     df = df.unionByName(spark.createDataFrame([(1, "v'0"), (0, None)], "y int, c string"))
