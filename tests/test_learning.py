@@ -88,6 +88,17 @@ def test_cross_validation_of_several_models(data):
         L.cross_validate(data.limit(0), models, "id", "y")
 
 
+def test_compared_models_share_fills_and_vectors(data, monkeypatch):
+    calls = []
+    for name in ("fill_values", "value_dictionaries", "feature_stages"):
+        monkeypatch.setattr(L, name, lambda *a, f=getattr(L, name), n=name, **k: calls.append(n) or f(*a, **k))
+    metrics, trained = L.compare_models(data, ["x", "noise"], "y", ["c"], maxIter=3)
+    assert sorted(calls) == ["feature_stages", "fill_values", "value_dictionaries"] and metrics.count() == 36
+    assert not data.sparkSession.sparkContext._jsc.getPersistentRDDs()
+    for t in trained.values():
+        assert L.with_score(t.model, data).count() == data.count()
+
+
 def test_folds_share_stored_features(data, monkeypatch):
     """No fold reads all rows for its labels or its vectors; a value of one fold alone has no dummy where that fold is held out."""
     monkeypatch.setattr(StringIndexer, "fit", lambda *_: pytest.fail("an indexer is fitted"))
@@ -98,7 +109,7 @@ def test_folds_share_stored_features(data, monkeypatch):
     models = {"lr": L.logistic_stages(["x"], ["c"], "y", 600, None), "trees": [*L.feature_stages(["x"], ["c"], fills={"x": 0.0, "c": "u"}), booster]}
     out = L.cross_validate(data, models, "id", "y", folds=3)
     assert stored == ["folds", "fold-features", "fold-features"] and out.scored.count() == 1200
-    assert L.vector_names(L.PipelineModel(out.models["trees"].stages[:-1]).transform(data)) == ["x", "c_filled_dummies_u", "c_filled_dummies_v", "c_filled_dummies___unknown"]
+    assert L.vector_names(L.PipelineModel(out.models["trees"].stages[:-1]).transform(data)) == ["x", "c_dummies_u", "c_dummies_v", "c_dummies___unknown"]
     ready = data.withColumn("_fold", (F.col("id") % 3).cast("int")).withColumn("k", F.when(F.col("_fold") == 1, "only").when(F.col("_fold") == 0, "u"))
     labels = L._fold_labels(ready, [], StringIndexer(inputCols=["k"], outputCols=["i"], stringOrderType="alphabetAsc"), [0, 1, 2])
     assert labels == {0: (("only",),), 1: (("u",),), 2: (("only", "u"),), None: (("only", "u"),)}
