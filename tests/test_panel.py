@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from panelwise.catalog.fixtures import _rounded, rounded
 from panelwise.operators import panel as P
 from panelwise.operators import skew
 from tests.conftest import rows, same_rows
@@ -149,3 +150,13 @@ def test_empty_panel(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert P.panel_features(empty, "e", "y", ["v"], rolling_columns=["v"], lags=(1,)).count() == 0
     assert P.panel_features(empty, "e", "y", ["v"], rolling_columns=["v"], lags=(1,), windows=True).count() == 0
+
+
+def test_rounding_of_results_is_that_of_decimals(spark):
+    """Ties, halves that no double has, signs of zero, large numbers and numbers that aren't; few of them reach decimals."""
+    odd = [0.5, 1.0000005, 2.0000015, -2.0000015, 0.1234565, 1e-7, -1e-7, -0.0, 5e-7, 123456789.1234565, 1e15 + 0.3, 1e300, -1e300, float("inf"), float("-inf"), float("nan"), None]
+    df = spark.createDataFrame([(x,) for x in odd], "x double").unionByName(spark.range(20_000).select((F.rand(5) * 10 ** (F.col("id") % 9) - 40).alias("x")))
+    got = df.select(F.round("x", 6).cast("string").alias("want"), _rounded(F.col("x"), 6).cast("string").alias("got"))
+    assert got.filter(~F.col("want").eqNullSafe(F.col("got"))).collect() == []
+    plan = rounded(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "rint" in plan.lower()
