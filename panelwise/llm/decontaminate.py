@@ -26,6 +26,8 @@ INDEX_ITEMS = 4096
 INDEX_BYTES = 16 << 20
 #: Largest number of item blocks with own maxima for each term.
 BLOCKS = 256
+#: Rows of block maxima that are held at a time.
+ROWS = 4096
 #: Least distance of passage starts, in words; a passage has twice as many, and no item is longer than the distance.
 STRIDE = 64
 
@@ -142,7 +144,8 @@ class Index:
             return out
         begin = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
         bound = np.zeros((base[-1] + 1, self.top.shape[1]), dtype=np.float32)
-        bound[chunk[begin]] = np.add.reduceat(self.top[term], begin, axis=0)
+        for a, z in _runs(begin, len(term), ROWS):  # a row of block maxima for each word of a text would take a hundred times its bytes
+            bound[chunk[begin[a:z]]] = np.add.reduceat(self.top[term[begin[a] : begin[z] if z < len(begin) else None]], begin[a:z] - begin[a], axis=0)
         owner = np.repeat(np.arange(len(texts)), chunks)
         last = np.append(owner[1:] != owner[:-1], True)
         both = bound[:-1] + np.where(last[:, None], 0, bound[1:])
@@ -161,6 +164,15 @@ class Index:
         return [list({f["number"]: f for f in sorted(found, key=lambda f: f["score"])}.values()) if found else found for found in out]
 
 
+def _runs(begin: np.ndarray, end: int, size: int) -> Iterator[tuple[int, int]]:
+    """The groups that begin there in runs of about ``size`` members, one group at least."""
+    ends, a = np.append(begin[1:], end), 0
+    while a < len(begin):
+        z = max(a + 1, int(np.searchsorted(ends, begin[a] + size, side="right")))
+        yield a, z
+        a = z
+
+
 def _share(part: list[str], passage: list[str], known: dict[int, set]) -> float:
     wanted = _shingles(part)
     if not wanted:

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -121,6 +122,22 @@ def test_test_items_are_found_whole_and_only_then(spark):
 # --- 6 ---------------------------------------------------------------------------------------------------------------
 
 
+def test_bounds_of_passages_take_bounded_memory(monkeypatch):
+    """Many different words of many items: their block maxima are added up few rows at a time."""
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(40)) + ".") for i in range(256)]
+    index = decontaminate.Index(items, {f"w{i}x{j}": 1 for i in range(256) for j in range(40)}, 256, 40.0)
+    rnd = random.Random(2)
+    docs = [" ".join(f"w{rnd.randrange(256)}x{rnd.randrange(40)}" for _ in range(2000)) for _ in range(40)] + ["before " + items[7][1] + " after"]
+    tracemalloc.start()
+    found = index.findings(docs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [[f["item_id"] for f in x] for x in found] == [[]] * 40 + [[7]]
+    assert peak < 40 << 20  # 80,000 words x 256 blocks x 4 bytes are 82 MB
+    monkeypatch.setattr(decontaminate, "ROWS", 1)
+    assert index.findings(docs) == found
+
+
 def test_language_of_wrongly_declared_and_of_empty_texts(spark):
     en, fr = "the river was there and the other thing ", "les rivières étaient là avec une autre chose "
     rows = [(i, (en if i % 2 else fr) * 3, "en" if i % 2 else "fr", f"h{i % 3}", 1) for i in range(60)]
