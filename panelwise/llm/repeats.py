@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelwise.llm.shared import buffers, hash_spans, hashed_words, mix, pair, signed, slices, store, word_spans
+from panelwise.llm.shared import buffers, hash_spans, hashed_words, merged, mix, pair, signed, slices, store, word_spans
 
 PREFIX = 8
 #: Surroundings of one prefix whose suffixes are put into one tree.
@@ -244,18 +244,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 35) -> Dat
     key = {"t1": F.xxhash64(body), "t2": F.xxhash64(F.lit(17), F.reverse(body))}  # two hashes with different inputs name a text
     bare = docs.withColumns(key).select(body.alias("text"), *key).where(F.length("text") >= 2 * length - 1)
     found = store(bare.mapInArrow(_anchor_rows(length), _ANCHORS), "anchors")
-    shared = store(found.groupBy("prefix").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("prefix"), "shared-prefixes")
-    live = store(found.join(shared, "prefix", "left_semi"), "shared-anchors")
+    shared = store(merged(found.groupBy("prefix").agg(F.count(F.lit(1)).alias("places")).where("places > 1").select("prefix")), "shared-prefixes")
+    live = store(merged(found.join(shared, "prefix", "left_semi")), "shared-anchors")
 
-    around = store(live.groupBy("prefix", "around").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("t1", "t2", "lo", "n")).alias("at")), "surroundings")
+    around = store(merged(live.groupBy("prefix", "around").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("t1", "t2", "lo", "n")).alias("at"))), "surroundings")
     single = F.sum(F.when(F.col("times") == 1, 1).otherwise(0))
-    mixed = store(around.groupBy("prefix").agg(F.count(F.lit(1)).alias("members"), single.alias("single")).where("members > 1 AND single > 0").select("prefix", "members"), "mixed-prefixes")
+    mixed = store(merged(around.groupBy("prefix").agg(F.count(F.lit(1)).alias("members"), single.alias("single")).where("members > 1 AND single > 0").select("prefix", "members")), "mixed-prefixes")
     members = around.join(mixed, "prefix").select("prefix", "around", "times", "members", "at.*")
-    wanted = store(members.groupBy("t1", "t2").agg(F.collect_list(F.struct("prefix", "around", "lo", "n", "times", "members")).alias("wanted")), "wanted-words")
+    wanted = store(merged(members.groupBy("t1", "t2").agg(F.collect_list(F.struct("prefix", "around", "lo", "n", "times", "members")).alias("wanted"))), "wanted-words")
     sources = bare.join(wanted, ["t1", "t2"]).select("text", "t1", "t2", "wanted")
-    bits = store(sources.mapInArrow(_surroundings(length), _SURROUNDINGS).dropDuplicates(["prefix", "around"]), "words")
+    bits = store(merged(sources.mapInArrow(_surroundings(length), _SURROUNDINGS).dropDuplicates(["prefix", "around"])), "words")
 
-    small = bits.where(F.col("members") <= GROUP).repartition("prefix").sortWithinPartitions("prefix").select("t1", "t2", "prefix", "lo", "n", "times", "words")
+    small = merged(bits.where(F.col("members") <= GROUP).repartition("prefix")).sortWithinPartitions("prefix").select("t1", "t2", "prefix", "lo", "n", "times", "words")
     trees = small.mapInArrow(_subtrees(length), _MASKS)
     pieces = bits.where(F.col("members") > GROUP).select("t1", "t2", "lo", "n", "times", "words").mapInArrow(_long_prefixes(length), "t1 long, t2 long, lo int, times long, shift int, h1 long, h2 long")
     counted = pieces.groupBy("h1", "h2").agg(F.sum("times").alias("leaves")).where("leaves > 1")
@@ -263,7 +263,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 35) -> Dat
     nodes = pieces.join(counted, ["h1", "h2"], "left_semi").groupBy("t1", "t2", "lo").agg(F.sum(bit).alias("mask"))
     whole = live.join(around.where("times > 1"), ["prefix", "around"], "left_semi").select("t1", "t2", "lo", (F.expr("shiftleft(1L, n)") - 1).alias("mask"))
     masks = whole.unionByName(trees).unionByName(nodes).where("mask <> 0")
-    marks = store(masks.groupBy("t1", "t2").agg(F.collect_set(F.struct("lo", "mask")).alias("marks")), "marks")
+    marks = store(merged(masks.groupBy("t1", "t2").agg(F.collect_set(F.struct("lo", "mask")).alias("marks"))), "marks")
     ready = docs.withColumns(key).select(F.struct(*keep).alias("row"), *key).join(marks, ["t1", "t2"], "left").select("row", "marks")
     schema = ready.select("row").schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
     return ready.mapInArrow(_removed(length, text), schema).select("row.*", "n_words", "n_removed", "kept_text")

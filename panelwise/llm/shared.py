@@ -18,6 +18,8 @@ SQL: dict[str, str] = {}
 
 #: Largest piece of text, in bytes, that is held as arrays of numbers at a time (a longer document is its own piece).
 PIECE_BYTES = 2 << 20
+#: Partitions of a shuffle whose results are written to one file.
+MERGED = 8
 _STEP = 1 << 20
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -42,6 +44,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df``, the result of a shuffle, in an eighth of the shuffle's partitions, four for each core at least.
+
+    A file costs about as much time as the few thousand rows that such a partition often holds; the number still grows
+    with the partitions that the session is given for larger tables. A task works on its partitions one after another.
+    """
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    fewer = max(-(-partitions // MERGED), 4 * spark.sparkContext.defaultParallelism)
+    return df.coalesce(fewer) if fewer < partitions else df
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back. The shuffle files of the finished phase are given up: Spark
     deletes them once the driver has collected the plans that own them, which would otherwise happen late or never."""

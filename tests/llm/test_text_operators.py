@@ -92,6 +92,30 @@ def test_repeats_are_those_of_brute_force(spark, monkeypatch, group):
 QUESTION = "Which of the nine rivers crosses the old border town of Velm before it meets the grey northern sea. The answer is the slow river Tarn."
 
 
+def test_many_partitions_of_few_rows_make_few_files(spark, monkeypatch):
+    docs = [(i, " ".join(f"w{i // 2}x{j}" for j in range(80))) for i in range(120)]  # 60 pairs of copies
+    want = sorted(map(tuple, repeats.remove_repeats(texts(spark, docs)).collect()))
+    files = {}
+
+    def counting(df, name, real=repeats.store):
+        out = real(df, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(repeats, "store", counting)
+    many = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in many}
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        got = sorted(map(tuple, repeats.remove_repeats(texts(spark, docs)).collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == want and all(r[3] == 80 for r in got)
+    assert max(files.values()) <= 16, files
+
+
 def test_index_returns_all_items_above_the_threshold():
     rnd = random.Random(2)
     items = [(i, " ".join(f"v{int(rnd.paretovariate(0.7)) % 300}" for _ in range(rnd.randint(5, 40)))) for i in range(60)]
