@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from panelwise.llm.shared import store
+from panelwise.llm.shared import merged, store
 
 #: A text of an aligned node is constant when at least this share of the host's different pages with the node has it ...
 TEMPLATE_SHARE = 0.9
@@ -496,18 +496,18 @@ def main_text(pages: DataFrame, url: str = "url", page: str = "html") -> DataFra
     spread = shapes.withColumn("part", F.pmod(F.xxhash64("shape"), F.lit(32)))
     parts = spread.groupBy("host", "part").applyInPandas(_merged("shape", False), "host string, wrapper string, n long")
     # Stored tables have known sizes: while the wrappers are small, pages meet them without a shuffle.
-    wrappers = store(parts.groupBy("host").applyInPandas(_merged("wrapper", True), "host string, wrapper string, n long").drop("n"), "wrappers")
+    wrappers = store(merged(parts.groupBy("host").applyInPandas(_merged("wrapper", True), "host string, wrapper string, n long").drop("n")), "wrappers")
     aligned = rows.select("host", "html").join(wrappers, "host").mapInPandas(_contents, "host string, content string, blocks array<struct<node:int,hash:long>>")
     each = aligned.groupBy("host", "content").agg(F.first("blocks").alias("blocks"))
     # Each node of a page counts once more under no hash, which tells how many pages have it.
     marks = F.transform(F.array_distinct("blocks.node"), lambda node: F.struct(node.alias("node"), F.lit(None).cast("long").alias("hash")))
     exploded = each.select("host", F.explode(F.concat("blocks", marks)).alias("b")).where("b.node >= 0")
-    counted = store(exploded.groupBy("host", "b.node", "b.hash").agg(F.count(F.lit(1)).alias("n")), "slots")
+    counted = store(merged(exploded.groupBy("host", "b.node", "b.hash").agg(F.count(F.lit(1)).alias("n"))), "slots")
     slots = counted.where("hash IS NULL").select("host", "node", F.col("n").alias("of"))
     sure = (F.col("of") >= TEMPLATE_PAGES) & (F.col("n") >= TEMPLATE_SHARE * F.col("of"))
     texts = counted.where("hash IS NOT NULL").join(slots, ["host", "node"]).where(sure)
     constant = texts.groupBy("host").agg(F.collect_list(F.struct("node", "hash")).alias("template"))  # a text or two for each node of the wrapper
-    known = store(wrappers.join(constant, "host", "left"), "templates")
+    known = store(merged(wrappers.join(constant, "host", "left")), "templates")
     ready = rows.select("row", "host").join(known, "host").select("row", "wrapper", "template")
     schema = StructType([ready.schema["row"], StructField("main_text", StringType())])
     return ready.mapInArrow(_content(page), schema).select("row.*", "main_text")

@@ -227,6 +227,31 @@ def test_a_teaser_article_hides_no_main_text(spark):
     assert " ".join(long.split()) in got[0]
 
 
+def test_many_hosts_make_few_files(spark, monkeypatch):
+    html = "<html><body><p>Same words of all.</p><div><article><p>{}</p></article></div></body></html>"
+    pages = spark.createDataFrame([(f"http://h{h}.example/{k}", html.format(f"page {h} {k} tells.")) for h in range(120) for k in range(2)], "url string, html string")
+    want = sorted(map(tuple, html_wrapper.main_text(pages).collect()))
+    files = {}
+
+    def counting(df, name, real=html_wrapper.store):
+        out = real(df, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(html_wrapper, "store", counting)
+    many = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in many}
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        got = sorted(map(tuple, html_wrapper.main_text(pages).collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == want and all(r[2].endswith(" tells.") for r in got)
+    assert max(files.values()) <= 16, files
+
+
 def test_pages_of_the_table(spark, small):
     raw = {r.page_id: r.html for r in spark.read.parquet(f"{small}/pages.parquet").collect()}
     for r in QUERIES["op5_wrapper_induction_text"](spark, small).collect():
