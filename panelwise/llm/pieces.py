@@ -4,8 +4,10 @@ from __future__ import annotations
 import heapq
 import os
 import re
+import sys
 import tempfile
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Hashable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -18,21 +20,37 @@ from panelwise.llm.shared import slices
 
 _SPACE = "▁"
 _PARTS = re.compile(f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
-#: Entries of each cache of a worker; a full cache is emptied, which costs time and changes nothing.
-CACHE = 600_000
+#: Bytes of text that is encoded at a time.
+PIECE = 1 << 20
+#: Bytes of each of the two generations of a worker's cache of words, which outlives its tasks.
+CACHE_BYTES = 20 << 20
+#: What a cache's entry takes besides its key and value, about.
+ENTRY_BYTES = 64
+#: Places for tested pairs of tokens, eight bytes each; two pairs of one place drive each other out.
+PAIRS = 1_048_573
 _CODECS: dict[str, "Codec"] = {}
 
 
-class _Words(dict):
-    """Ids, as bytes of int32, by text; missing ones are encoded."""
+class Recent(dict):
+    """What ``find`` makes of a key (never None). The entries are a generation of about ``CACHE_BYTES``, whatever the size
+    of keys and values; a full one becomes ``old`` and the one before it goes. What is asked for again moves up.
+    """
 
-    def __init__(self, encode) -> None:
-        self.encode = encode
+    def __init__(self, find: Callable[[Hashable], object]) -> None:
+        self.find, self.held, self.old = find, 0, {}
 
-    def __missing__(self, text: str) -> bytes:
-        if len(self) >= CACHE:
+    def __missing__(self, key: Hashable) -> object:
+        found = self.old.pop(key, None)
+        if found is None:
+            found = self.find(key)
+        size = ENTRY_BYTES + sys.getsizeof(key) + sys.getsizeof(found)
+        if size > CACHE_BYTES:
+            return found
+        if self.held + size > CACHE_BYTES:
+            self.old, self.held = dict(self), 0
             self.clear()
-        found = self[text] = np.array(self.encode(text), dtype=np.int32).tobytes()
+        self.held += size
+        self[key] = found
         return found
 
 
@@ -57,10 +75,10 @@ class Codec:
             self.matches.add_word(t, (i, len(t)))
         self.matches.make_automaton()
         self.chars = {t for t in self.ids if len(t) == 1}
-        self.pairs: dict[int, bool] = {}
+        self.pairs = array("q", [-1]) * PAIRS
         self.whole = [None] * size
-        self.spaced, self.bare = _Words(lambda t: self._segments(_SPACE + t)), _Words(self._segments)
-        self.newline = self.bare["\n"]
+        self.words = Recent(lambda t: self._packed(t[1:] if t.startswith("\n") else _SPACE + t))  # a newline: no space in front
+        self.newline = self._packed("\n")
 
     def merged(self, text: str) -> list[int]:
         """The definition: the adjacent pair whose union has the best score is merged first, the leftmost of equals."""
@@ -97,15 +115,13 @@ class Codec:
             self.whole[i] = self.merged(self.texts[i]) == [i]
         return self.whole[i]
 
-    def _together(self, i: int, j: int) -> bool:
-        """May token j follow token i: the text of both is encoded as these two."""
-        key = i * len(self.texts) + j
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) >= 4 * CACHE:
-                self.pairs.clear()
-            found = self.pairs[key] = self.merged(self.texts[i] + self.texts[j]) == [i, j]
-        return found
+    def _together(self, key: int) -> bool:
+        """May token j follow token i, for the key i * pieces + j: the text of both is encoded as these two."""
+        held = self.pairs[key % PAIRS]
+        if held >> 1 != key:
+            i, j = divmod(key, len(self.texts))
+            held = self.pairs[key % PAIRS] = key << 1 | (self.merged(self.texts[i] + self.texts[j]) == [i, j])
+        return bool(held & 1)
 
     def _known(self, text: str) -> list[int]:
         """A text of known characters without runs of spaces: the table of last tokens, read from its end."""
@@ -118,9 +134,10 @@ class Codec:
                 if self._alone(i):
                     last[end] = i
                 continue
-            before = last[end - n]
-            fits = pairs.get(before * size + i)
-            if self._together(before, i) if fits is None else fits:
+            if (before := last[end - n]) < 0:
+                continue
+            held = pairs[(key := before * size + i) % PAIRS]
+            if held & 1 if held >> 1 == key else self._together(key):
                 last[end] = i
         out, at = [], len(text)
         while at:
@@ -155,24 +172,28 @@ class Codec:
                 out += self._known("".join(run))
         return out
 
+    def _packed(self, text: str) -> bytes:
+        """Ids as bytes of int32."""
+        return array("i", self._segments(text)).tobytes()
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if _SPACE in text:
-            return np.array(self._segments(_SPACE + text.replace(" ", _SPACE)), dtype=np.int32).tobytes()
+            return self._packed(_SPACE + text.replace(" ", _SPACE))
         out: list[bytes] = []
         for k, line in enumerate(text.split("\n")):
             if k:
                 out.append(self.newline)
             words = line.split(" ")
             if k == 0:
-                out.extend(map(self.spaced.__getitem__, words) if "" not in words or words == [""] else [self.bare[_SPACE + line.replace(" ", _SPACE)]])
+                out.extend(map(self.words.__getitem__, words) if "" not in words or words == [""] else [self.words["\n" + _SPACE + line.replace(" ", _SPACE)]])
             elif "" not in words[1:]:
                 if words[0]:
-                    out.append(self.bare[words[0]])
-                out.extend(map(self.spaced.__getitem__, words[1:]))
+                    out.append(self.words["\n" + words[0]])
+                out.extend(map(self.words.__getitem__, words[1:]))
             else:
-                out.append(self.bare[line.replace(" ", _SPACE)])
+                out.append(self.words["\n" + line.replace(" ", _SPACE)])
         return b"".join(out)
 
     def decode(self, ids: np.ndarray) -> str:
@@ -237,7 +258,7 @@ def encode_and_decode(df: DataFrame, model_path: str, text: str = "text", decode
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = codec(model)
         for whole in batches:
-            for batch in slices(whole, text, 4 << 20):
+            for batch in slices(whole, text, PIECE):
                 found = [known.encode(t) if t else b"" for t in batch.column(text).to_pylist()]
                 ends = np.zeros(len(found) + 1, dtype=np.int32)
                 np.cumsum([len(f) // 4 for f in found], out=ends[1:])
