@@ -23,7 +23,7 @@ _PARTS = re.compile(f"{_SPACE}*[^{_SPACE}]+|{_SPACE}+")
 #: Bytes of text that is encoded at a time.
 PIECE = 1 << 20
 #: Bytes of each of the two generations of a worker's cache of words, which outlives its tasks.
-CACHE_BYTES = 20 << 20
+CACHE_BYTES = 40 << 20
 #: What a cache's entry takes besides its key and value, about.
 ENTRY_BYTES = 64
 #: Places for tested pairs of tokens, eight bytes each; two pairs of one place drive each other out.
