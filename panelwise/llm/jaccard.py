@@ -16,6 +16,8 @@ GROUPS = 64
 #: Shingles of the sets that are compared in one task; a larger bundle is cut into blocks.
 BLOCK_SHINGLES = 1_000_000
 _LEAF = 16
+#: Shingles that are looked up at a time when overlaps are counted, at first and at most.
+_FEW_SHINGLES, _MANY_SHINGLES = 1 << 12, 1 << 18
 _SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 #: The region of ``prefixes`` holds this many times the share of its shingles that a set may lack in a similar one.
 REGION = 2.25
@@ -77,73 +79,123 @@ def prefixes(hashes: np.ndarray, ends: np.ndarray, percent: int) -> tuple[np.nda
 class CountTree:
     """R-tree over count vectors: boxes keep the largest count of each coordinate and the range of set sizes.
 
-    A node knows when all its sets have one label; as labels only merge, that stays so.
+    The boxes of a level are rows of one table, so that a search tests all boxes that it reaches in a level at once. As labels
+    only merge, a box whose sets have one label is known by the least and greatest label in it.
     """
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray, percent: int) -> None:
-        self.vectors, self.sizes, self.percent = vectors, sizes, percent
-        self.root = self._build(np.arange(len(sizes)))
-
-    def _build(self, ids: np.ndarray) -> list:
-        """[largest counts, least size, greatest size, sets of a leaf, children, whether of one label, a set]"""
-        box = [self.vectors[ids].max(axis=0), int(self.sizes[ids].min()), int(self.sizes[ids].max())]
-        if len(ids) <= _LEAF:
-            return [*box, ids, (), False, int(ids[0])]
-        spread = self.vectors[ids].max(axis=0).astype(np.int64) - self.vectors[ids].min(axis=0)
-        by = self.sizes[ids] if np.ptp(self.sizes[ids]) >= spread.max() else self.vectors[ids, int(spread.argmax())]
-        order = ids[np.argsort(by, kind="stable")]
-        half = len(ids) // 2
-        return [*box, None, (self._build(order[:half]), self._build(order[half:])), False, int(ids[0])]
-
-    def _one_label(self, node: list, label: np.ndarray) -> bool:
-        if not node[5]:
-            if node[3] is not None:
-                node[5] = bool((label[node[3]] == label[node[6]]).all())
-            else:
-                a, b = node[4]
-                node[5] = a[5] and b[5] and bool(label[a[6]] == label[b[6]])
-        return node[5]
+        self.percent = percent
+        self.order, cuts = self._dealt(vectors, sizes)
+        self.vectors, self.sizes = vectors[self.order], sizes[self.order]
+        self.place = np.empty(len(sizes), dtype=np.int64)
+        self.place[self.order] = np.arange(len(sizes))
+        #: From the leaves to the root: where each box's sets or boxes begin (one more at the end), largest counts, least and greatest size.
+        self.levels = [(cuts, *self._boxes(cuts, self.vectors, self.sizes, self.sizes))]
+        while len(cuts) - 1 > _LEAF:
+            _, tops, least, most = self.levels[-1]
+            cuts = np.append(np.arange(0, len(cuts) - 1, _LEAF), len(cuts) - 1)
+            self.levels.append((cuts, *self._boxes(cuts, tops, least, most)))
+        self.labels: list[tuple[np.ndarray, np.ndarray]] | None = None
+
+    @staticmethod
+    def _boxes(cuts: np.ndarray, tops: np.ndarray, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = cuts[:-1]
+        return np.maximum.reduceat(tops, at, axis=0), np.minimum.reduceat(least, at), np.maximum.reduceat(most, at)
+
+    @staticmethod
+    def _dealt(vectors: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sets in the order of leaves, and where leaves begin: halved by what differs most, size or a coordinate."""
+        out, todo = [], [np.arange(len(sizes))]
+        while todo:
+            ids = todo.pop()
+            if len(ids) <= _LEAF:
+                out.append(ids)
+                continue
+            spread = vectors[ids].max(axis=0).astype(np.int64) - vectors[ids].min(axis=0)
+            by = sizes[ids] if np.ptp(sizes[ids]) >= spread.max() else vectors[ids, int(spread.argmax())]
+            ids = ids[np.argsort(by, kind="stable")]
+            todo += [ids[len(ids) // 2 :], ids[: len(ids) // 2]]
+        return np.concatenate(out), np.cumsum([0, *map(len, out)])
+
+    def relabel(self, label: np.ndarray) -> None:
+        """The labels that hold from now on."""
+        self.labels = []
+        low = high = label[self.order]
+        for cuts, *_ in self.levels:
+            low, high = np.minimum.reduceat(low, cuts[:-1]), np.maximum.reduceat(high, cuts[:-1])
+            self.labels.append((low, high))
 
     def near(self, k: int, label: np.ndarray | None = None) -> np.ndarray:
         """Sets that may be similar to set ``k``: the summed coordinate minima bound the overlap from above. Sets of its own
-        label are left out."""
-        x, n, p = self.vectors[k], int(self.sizes[k]), self.percent
-        out, todo = [], [self.root]
-        while todo:
-            node = todo.pop()
-            top, least, most, ids, kids = node[:5]
-            if label is not None and self._one_label(node, label) and label[node[6]] == label[k]:
-                continue
-            if most * 100 < n * p or least * p > n * 100 or (100 + p) * int(np.minimum(x, top).sum()) < p * (n + least):
-                continue
-            if kids:
-                todo.extend(kids)
-                continue
-            may = (100 + p) * np.minimum(self.vectors[ids], x).sum(axis=1) >= p * (self.sizes[ids] + n)
-            out.append(ids[may] if label is None else ids[may & (label[ids] != label[k])])
-        return np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
+        label are left out. Boxes go by the labels of the last ``relabel``, which may be older than ``label``."""
+        x, n, p = self.vectors[self.place[k]], int(self.sizes[self.place[k]]), self.percent
+        if label is not None and self.labels is None:
+            self.relabel(label)
+        at = np.arange(len(self.levels[-1][0]) - 1)
+        for depth in range(len(self.levels) - 1, -1, -1):
+            cuts, tops, least, most = self.levels[depth]
+            fits = (most[at] * 100 >= n * p) & (least[at] * p <= n * 100)
+            if label is not None:
+                low, high = self.labels[depth]
+                fits &= (low[at] != label[k]) | (high[at] != label[k])
+            at = at[fits]
+            at = at[(100 + p) * np.minimum(tops[at], x).sum(axis=1, dtype=np.int64) >= p * (n + least[at])]
+            at = _spans(cuts[at], cuts[at + 1] - cuts[at])
+            if not len(at):
+                return at
+        if label is not None:
+            at = at[label[self.order[at]] != label[k]]
+        return self.order[at[(100 + p) * np.minimum(self.vectors[at], x).sum(axis=1, dtype=np.int64) >= p * (self.sizes[at] + n)]]
+
+
+def _spans(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The numbers of each span, one span after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(begins - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
 def link_sets(sets: list[np.ndarray], percent: int, labels: list | None = None, asking: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Verified links that join all sets which links join; sets already known to be joined share a label."""
+    """Verified links that join all sets which links join; sets already known to be joined share a label.
+
+    The sets that the tree finds near a set are verified some at a time, more each time: links found first make others needless.
+    """
     if not sets:
         return []
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    begins = np.cumsum(sizes) - sizes
+    names, shingles = np.unique(np.concatenate(sets), return_inverse=True)
+    asked = np.zeros(len(names), dtype=bool)  # the shingles of the set that asks
     vectors = np.zeros((len(sets), GROUPS), dtype=np.int32)
     for i, s in enumerate(sets):
         vectors[i] = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
     tree = CountTree(vectors, sizes, percent)
     label = np.arange(len(sets)) if labels is None else np.unique(np.array(labels), return_inverse=True)[1]
-    out = []
+    tree.relabel(label)
+    out, moved = [], 0  # sets that have another label than the tree knows
     for i in range(len(sets)) if asking is None else np.flatnonzero(asking):
         left = tree.near(i, label)
+        if not len(left):
+            continue
+        own = shingles[begins[i] : begins[i] + sizes[i]]
+        asked[own] = True
+        some = _FEW_SHINGLES
         while len(left):
-            j, left = left[0], left[1:]
-            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if 100 * both >= percent * (sizes[i] + sizes[j] - both):
-                out.append((i, int(j)))
-                label[label == label[j]] = label[i]
-                left = left[label[left] != label[i]]
+            to = max(1, int(np.searchsorted(np.cumsum(sizes[left]), some)))
+            now, left, some = left[:to], left[to:], min(2 * some, _MANY_SHINGLES)
+            total = np.concatenate([[0], np.cumsum(asked[shingles[_spans(begins[now], sizes[now])]])])
+            ends = np.cumsum(sizes[now])
+            both = total[ends] - total[ends - sizes[now]]
+            for j in now[100 * both >= percent * (sizes[i] + sizes[now] - both)].tolist():
+                if label[j] != label[i]:
+                    out.append((int(i), j))
+                    others = label == label[j]
+                    label[others] = label[i]
+                    moved += int(others.sum())
+            left = left[label[left] != label[i]]
+        asked[own] = False
+        if moved * _LEAF >= len(sets):
+            tree.relabel(label)
+            moved = 0
     return out
 
 
@@ -239,20 +291,27 @@ def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["h", "f"]).filter(pa.array(place >= batch.column("spare").to_numpy()))
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (shingle, set): each further set of a shingle is linked with its first."""
-    h0 = first0 = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        h, f = batch.column("h").to_numpy(), batch.column("f").to_numpy()
-        first = np.concatenate([[h[0] != h0], h[1:] != h[:-1]])
-        at = np.maximum.accumulate(np.where(first, np.arange(len(f)), -1))
-        least = np.where(at >= 0, f[np.maximum(at, 0)], first0 if first0 is not None else 0)
-        keep = ~first & (least != f)
-        h0, first0 = h[-1], least[-1]
-        links = np.unique(np.stack([f[keep], least[keep]]), axis=1) if keep.any() else np.zeros((2, 0), dtype=np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], names=["a", "b"])
+def _meet(percent: int):
+    """Rows sorted by (shingle, size, set): each further set of a shingle is linked with the first of those whose sizes no gap
+    parts. Of similar sets the smaller has ``percent`` of the larger one's size, so where the next size is beyond that, no set
+    before it is similar to one after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h0 = n0 = first0 = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, n, f = (batch.column(c).to_numpy() for c in ("h", "n", "f"))
+            apart = (h[1:] != h[:-1]) | (n[:-1] * 100 < n[1:] * percent)
+            first = np.concatenate([[h[0] != h0 or n0 * 100 < n[0] * percent], apart])
+            at = np.maximum.accumulate(np.where(first, np.arange(len(f)), -1))
+            least = np.where(at >= 0, f[np.maximum(at, 0)], first0 if first0 is not None else 0)
+            keep = ~first & (least != f)
+            h0, n0, first0 = h[-1], n[-1], least[-1]
+            links = np.unique(np.stack([f[keep], least[keep]]), axis=1) if keep.any() else np.zeros((2, 0), dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], names=["a", "b"])
+
+    return run
 
 
 def _solve(size: int, percent: int):
@@ -304,14 +363,14 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "t
     shingles, links with nothing and gets its own id. Repeated rows and equal sets are one class. Columns of these names
     in ``docs`` are replaced.
 
-    Equal sets collapse first. Similar sets share a shingle among their rarest few (``prefixes``); sets that do form
-    bundles. In a bundle an R-tree over count vectors bounds overlaps and the survivors are
+    Equal sets collapse first. Similar sets share a shingle among their rarest few (``prefixes``) and have about one size; sets
+    that do, or are linked by such, form bundles. In a bundle an R-tree over count vectors bounds overlaps and the survivors are
     verified until all links between different components are known. A bundle above ``BLOCK_SHINGLES`` is cut into
     blocks: every block meets the first; what has then not joined the bundle's largest component meets every block.
     """
     keep = [c for c in docs.columns if c.lower() not in ("n_shingles", "component_id")]
     body = F.coalesce(F.col(text), F.lit(""))
-    key = {"t1": F.xxhash64(body), "t2": F.xxhash64(F.lit(17), F.reverse(body))}
+    key = {"t1": F.xxhash64(body), "t2": F.xxhash64(F.md5(body.cast("binary")))}
     bare = docs.withColumns(key).select(body.alias("text"), *key, F.col(id_column).cast("long").alias("id"))
     seed = 0
     while True:
@@ -322,7 +381,8 @@ def similar_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "t
         seed += 1  # two sets of one name: all are named anew
     offered = bare.select("text").mapInArrow(_offer(size, percent, seed), "h long, f long, spare int").repartition("h").sortWithinPartitions("h", "f")
     shared = offered.mapInArrow(_share, "h long, f long, sets int, spare int").repartition("f").sortWithinPartitions("f", F.desc("sets"), F.desc("h"))
-    met = shared.mapInArrow(_choose, "h long, f long").repartition("h").sortWithinPartitions("h", "f").mapInArrow(_meet, "a long, b long")
+    sized = shared.mapInArrow(_choose, "h long, f long").join(sets.select("f", "n").hint("merge"), "f").select("h", "n", "f")
+    met = sized.repartition("h").sortWithinPartitions("h", "n", "f").mapInArrow(_meet(percent), "a long, b long")
     bundles = store(components(met), "bundles")
 
     members = bundles.join(sets, bundles["node"] == sets["f"]).select(F.col("component").alias("bundle"), "f", "n", "t.t1", "t.t2")

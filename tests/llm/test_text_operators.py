@@ -267,6 +267,45 @@ def test_bound_keeps_every_partner():
             assert j in near or 100 * both < 30 * (len(a) + len(b) - both)
 
 
+@pytest.mark.parametrize("cuts", [[], [1], [3], [2, 5], [4, 8]])
+def test_sets_of_one_shingle_meet_if_no_gap_parts_their_sizes(cuts):
+    """9 is 90 % of 10 and 81 % of 11: sets of 9 and 11 shingles meet if one of 10 stands between them."""
+    h, n, f = [1, 1, 1, 1, 1, 1, 2, 2, 2], [9, 10, 11, 400, 400, 20_000, 9, 11, 12], [70, 50, 60, 40, 30, 20, 10, 80, 90]
+    rows = pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (h, n, f)], names=["h", "n", "f"])
+    ends = [0, *cuts, len(h)]
+    links = pa.Table.from_batches(jaccard._meet(90)(iter([rows.slice(a, b - a) for a, b in zip(ends[:-1], ends[1:])])))
+    assert sorted(zip(links["a"].to_pylist(), links["b"].to_pylist())) == [(30, 40), (50, 70), (60, 70), (90, 80)]
+
+
+@pytest.mark.parametrize("asking", [False, True])
+def test_links_join_what_pairs_join(asking):
+    """Sets around a few centres at three sizes, compared pair by pair; sets of one label are joined already."""
+    rng = np.random.default_rng(7)
+    sets = []
+    for size in (1, 12, 60, 300):
+        for _ in range(4):
+            centre = rng.integers(0, 2**63, size).astype(np.uint64)
+            for _ in range(25):
+                sets.append(np.unique(np.where(rng.random(size) < rng.choice([0, 0.03, 0.08]), rng.integers(0, 2**63, size).astype(np.uint64), centre)))
+    sets = [sets[i] for i in rng.permutation(len(sets))]
+    labels = rng.integers(0, 300, len(sets)).tolist()
+    asks = rng.random(len(sets)) < 0.5 if asking else np.ones(len(sets), dtype=bool)
+
+    def joined(links):
+        label = np.array(labels)
+        for a, b in links:
+            label[label == label[b]] = label[a]
+        return [label.tolist().index(x) for x in label.tolist()]
+
+    def similar(a, b):
+        both = len(np.intersect1d(a, b))
+        return 100 * both >= 90 * (len(a) + len(b) - both)
+
+    pairs = [(i, j) for i in np.flatnonzero(asks) for j in range(len(sets)) if similar(sets[i], sets[j])]
+    links = jaccard.link_sets(sets, 90, labels, asks if asking else None)
+    assert joined(links) == joined(pairs) and all(similar(sets[a], sets[b]) for a, b in links)
+
+
 @pytest.mark.parametrize("block", [2_000_000, 2500])
 def test_classes_are_those_of_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", block)
