@@ -36,6 +36,8 @@ MAX_CATEGORICAL = 50
 #: Values of a categorical column that get a dummy each; the others share ``VALUE_SLOTS`` dummies by hash.
 MAX_VALUES, VALUE_SLOTS = 1000, 64
 FILLED = "_filled"
+#: Rows of a task that fits. Spark ML keeps what a task has read, so this bounds the blocks that executors keep, spill and send.
+FIT_ROWS = 200_000
 
 
 class Trained(NamedTuple):
@@ -460,10 +462,26 @@ def _prepared(ready: DataFrame, stages: Sequence, folds: Sequence[int], keep: Se
 
 
 def _write_folds(df: DataFrame, name: str) -> DataFrame:
-    """As ``write_and_read``, with a folder for each fold."""
-    path = shared_path(df.sparkSession, name)
-    df.write.partitionBy("_fold").option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """As ``write_and_read``, with a folder for each fold. A task that reads the table gets about ``FIT_ROWS`` rows at most."""
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.partitionBy("_fold").option("compression", "zstd").option("maxRecordsPerFile", FIT_ROWS).parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    rows = spark.read.schema(df.schema).parquet(path).count()
+    own = spark.newSession()  # the limits hold for reads of this table alone
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.files.maxPartitionBytes", str(max(1, size * FIT_ROWS // max(1, rows))))
+    own.conf.set("spark.sql.files.openCostInBytes", "0")
+    return own.read.schema(df.schema).parquet(path)
+
+
+def _side_by_side(tables: Sequence[DataFrame], parallelism: int) -> int:
+    """Fits that share the cluster at a time: fewer if the tasks of one keep it busy, as each keeps its own rows until it ends."""
+    tasks = max(t._jdf.queryExecution().toRdd().getNumPartitions() for t in tables)
+    return max(1, min(parallelism, parallelism * tables[0].sparkSession.sparkContext.defaultParallelism // max(1, tasks)))
 
 
 def cross_validate(
@@ -473,8 +491,8 @@ def cross_validate(
 
     ``metrics`` has rows (model, fold, metric, value), ``scored`` the held-out rows (model, fold, entity, label, score,
     predicted), ``models`` the models of all rows. The table is stored once with its folds, and so are the feature vectors of
-    each model, which its fits and scores read; up to ``parallelism`` fits share the cluster at a time. A fold without rows
-    has no metrics.
+    each model, which its fits and scores read, ``FIT_ROWS`` a task. Up to ``parallelism`` fits share the cluster at a time, one
+    where its tasks are several times the cluster's cores. A fold without rows has no metrics.
     """
     ready = _write_folds(df.withColumn("_fold", fold_of(entity, folds, seed)), "folds")
     present = sorted(r[0] for r in ready.select("_fold").distinct().collect())  # folds at most
@@ -487,7 +505,7 @@ def cross_validate(
         _, rest, table = prepared[name][fold]
         return Pipeline(stages=rest).fit(table if fold is None else table.filter(F.col("_fold") != fold))
 
-    with ThreadPoolExecutor(parallelism) as pool:
+    with ThreadPoolExecutor(_side_by_side([p.table for of in prepared.values() for p in of.values()], parallelism)) as pool:
         started = [pool.submit(inheritable_thread_target(df.sparkSession)(partial(fit, *job))) for job in jobs]
         fitted = {job: s.result() for job, s in zip(jobs, started)}
     parts = []

@@ -115,6 +115,26 @@ def test_folds_share_stored_features(data, monkeypatch):
     assert labels == {0: (("only",),), 1: (("u",),), 2: (("only", "u"),), None: (("only", "u"),)}
 
 
+def test_fits_keep_few_rows_a_task(data, monkeypatch):
+    """A table of one task is fitted in tasks of bounded size, and then fewer fits run at a time; results are the same."""
+    one = data.coalesce(1)
+    models = {"trees": [*L.feature_stages(["x"]), GBTClassifier(labelCol="y", maxIter=2, maxDepth=2, seed=1)]}
+
+    def run():
+        return {(r["model"], r["fold"], r["metric"]): r["value"] for r in L.cross_validate(one, models, "id", "y", folds=2).metrics.collect()}
+
+    whole = run()
+    pools, pool = [], L.ThreadPoolExecutor
+    monkeypatch.setattr(L, "ThreadPoolExecutor", lambda n: pools.append(n) or pool(n))
+    monkeypatch.setattr(L, "FIT_ROWS", 40)
+    limit = data.sparkSession.conf.get("spark.sql.files.maxPartitionBytes")
+    table = L._write_folds(one.withColumn("_fold", (F.col("id") % 3).cast("int")), "few")
+    each = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(each) == 600 and max(each) <= 80
+    assert run() == pytest.approx(whole) and pools == [1]
+    assert data.sparkSession.conf.get("spark.sql.files.maxPartitionBytes") == limit
+
+
 def test_values_beyond_the_dictionary_share_hashed_dummies(spark):
     df = spark.range(400).select((F.col("id") % 2).cast("int").alias("y"), F.concat(F.lit("v'"), F.least(F.col("id") % 40, F.lit(39)).cast("string")).alias("c"))
     df = df.unionByName(spark.createDataFrame([(1, "v'0"), (0, None)], "y int, c string"))
